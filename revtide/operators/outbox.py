@@ -218,7 +218,7 @@ def dedupe_deliveries(
         )
 
     entries = chained.select(
-        "id", F.explode(F.aggregate("_chain", step, follow, lambda s: s["path"])).alias("_e")
+        "id", F.explode_outer(F.aggregate("_chain", step, follow, lambda s: s["path"])).alias("_e")
     ).select("id", "_e.*")
 
     def keep(state: Column, t: Column) -> Column:
@@ -228,7 +228,7 @@ def dedupe_deliveries(
     kept = (
         ranges.join(entries, ["id", "_range"])
         .withColumn("_kept", F.aggregate("_ts", F.array("start"), keep))
-        .select("id", F.explode("_kept").alias("ts"))
+        .select("id", F.explode_outer("_kept").alias("ts"))
     )
     return seconds.join(kept, ["id", "ts"], "left_semi").select("id", "ts", order)
 

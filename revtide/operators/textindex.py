@@ -67,14 +67,17 @@ def build_text_index(docs: DataFrame, fields: list[str]) -> TextIndex:
     )
     analysed = (
         texts.filter(~F.col("bad") & F.col("text").isNotNull())
-        .withColumn("_tokens", F.array_sort(tokens(F.col("text"))))
+        .withColumn("_tokens", F.sort_array(tokens(F.col("text"))))
         .drop("text", "bad")
     )
     postings = (
         analysed.withColumn("doc_len", F.size("_tokens").cast("long"))
         .withColumn("_starts", run_starts(F.col("_tokens")))
         .withColumn("_runs", term_counts(F.col("_tokens"), F.col("_starts")))
-        .select("kind", "field", "id", "revision", "doc_len", F.explode("_runs").alias("_r"))
+        # The outer form: for a plain explode the optimizer infers a size filter and pushes it
+        # below the projections, which would sort every text again for each of its terms.
+        .select("kind", "field", "id", "revision", "doc_len", F.explode_outer("_runs").alias("_r"))
+        .filter("_r IS NOT NULL")
         .select("kind", "field", "_r.term", "id", "revision", "_r.tf", "doc_len")
     )
     lengths = texts.filter(~F.col("bad")).select(

@@ -1 +1,281 @@
-"""stub"""
+"""Text and vector retrieval queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from revtide.functions.values import Mapping
+from revtide.operators.retrieval import (
+    admit_candidates,
+    authorized_view,
+    hydrate,
+    search_text,
+    search_vectors,
+    vector_candidates,
+    vector_candidates_many,
+)
+from revtide.operators.textindex import (
+    build_text_index,
+    read_text_index,
+    text_candidates,
+    write_text_index,
+)
+from revtide.plans.registry import query
+from revtide.plans.tables import (
+    current_documents,
+    documents,
+    shown_documents_sql,
+    table,
+    text,
+    vectors,
+)
+from revtide.session import scratch_dir
+
+_TERMS_SQL = r"""
+  tokens AS (
+    SELECT CAST(doc_id AS VARCHAR) AS id, doc_id % 5 + 1 AS revision,
+           list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS ts
+    FROM documents WHERE doc_id % 11 <> 0),
+  postings AS (
+    SELECT id, revision, len(ts) AS doc_len, term, count(*) AS tf
+    FROM (SELECT id, revision, ts, unnest(ts) AS term FROM tokens)
+    GROUP BY id, revision, len(ts), term)
+"""
+
+
+@query(
+    "text_index_terms",
+    f"""WITH {_TERMS_SQL}
+    SELECT term, count(*) AS documents, CAST(sum(tf) AS BIGINT) AS occurrences,
+           CAST(sum(doc_len) AS BIGINT) AS lengths
+    FROM postings GROUP BY term""",
+)
+def text_index_terms(spark, sf_dir):
+    """Every posting of the whole corpus, summed up by term."""
+    index = build_text_index(documents(spark, sf_dir), ["text"])
+    return index.postings.groupBy("term").agg(
+        F.count("*").alias("documents"),
+        F.sum("tf").alias("occurrences"),
+        F.sum("doc_len").alias("lengths"),
+    )
+
+
+@query(
+    "text_index_stats",
+    f"""WITH {_TERMS_SQL} SELECT 'doc' AS kind, 'text' AS field, count(*) AS n_docs,
+      CAST(sum(len(ts)) AS BIGINT) AS total_len FROM tokens WHERE len(ts) > 0""",
+)
+def text_index_stats(spark, sf_dir):
+    return build_text_index(documents(spark, sf_dir), ["text"]).stats
+
+
+def _candidates_sql(terms: list[str], mode: str, budget: int) -> str:
+    listed = ", ".join(f"'{t}'" for t in terms)
+    every = f"HAVING count(*) = {len(terms)}" if mode == "all" else ""
+    return f"""{_TERMS_SQL},
+      corpus AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(len(ts)) / CAST(count(*) AS DOUBLE)
+                 AS mean FROM tokens WHERE len(ts) > 0),
+      hits AS (SELECT * FROM postings WHERE term IN ({listed})),
+      df AS (SELECT term, count(*) AS df FROM hits GROUP BY term),
+      scored AS (
+        SELECT id, revision, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2
+               / (tf + 1.2 * (0.25 + 0.75 * doc_len / mean))), 6) AS score
+        FROM hits JOIN df USING (term), corpus GROUP BY id, revision {every}),
+      candidates AS (
+        SELECT row_number() OVER (ORDER BY score DESC, id) AS rank, id, revision
+        FROM scored QUALIFY rank <= {budget})"""
+
+
+ALL_TEXT = "The then: THE, on"
+ANY_TEXT = "der et the benchmark"
+
+
+@query(
+    "text_all",
+    f"""WITH {_candidates_sql(["on", "the", "then"], "all", 256)}
+    SELECT rank, 'doc' AS kind, id, revision FROM candidates""",
+)
+def text_all(spark, sf_dir):
+    index = build_text_index(documents(spark, sf_dir), ["text"])
+    return text_candidates(index, "doc", "text", ALL_TEXT, "all")
+
+
+@query(
+    "text_any",
+    f"""WITH {_candidates_sql(["benchmark", "der", "et", "the"], "any", 256)}
+    SELECT rank, 'doc' AS kind, id, revision FROM candidates""",
+)
+def text_any(spark, sf_dir):
+    index = build_text_index(documents(spark, sf_dir), ["text"])
+    return text_candidates(index, "doc", "text", ANY_TEXT, "any")
+
+
+@query(
+    "text_stored_index",
+    f"""WITH {_candidates_sql(["on", "the", "then"], "all", 40)}
+    SELECT rank, 'doc' AS kind, id, revision FROM candidates""",
+)
+def text_stored_index(spark, sf_dir):
+    """The same from an index written to files clustered by term."""
+    path = scratch_dir(spark, "text-index")
+    write_text_index(build_text_index(documents(spark, sf_dir), ["text"]), path, files=8)
+    return text_candidates(read_text_index(spark, path), "doc", "text", ALL_TEXT, "all", 40)
+
+
+def _first_vector(spark, sf_dir) -> list[float]:
+    """The request vector: the embedding of the lowest id."""
+    rows = table(spark, sf_dir, "embeddings")
+    return list(rows.filter(F.col("vec_id") == 0).select("embedding").first()[0])
+
+
+_SCORES = {
+    "dot": ("list_inner_product(v, q)", "DESC"),
+    "euclid": ("list_distance(v, q)", ""),
+    "manhattan": ("list_sum(list_transform(list_zip(v, q), lambda p: abs(p[1] - p[2])))", ""),
+    "cosine": ("list_inner_product(v, q)", "DESC"),
+}
+
+
+def _knn_sql(metric: str, budget: int) -> str:
+    score, order = _SCORES[metric]
+    raw = "CAST(embedding AS DOUBLE[])"
+    unit = (
+        f"CAST(list_transform({raw}, lambda x: CAST(x / sqrt(list_inner_product({raw}, {raw})) AS FLOAT))"
+        " AS DOUBLE[])"
+    )
+    v = unit if metric == "cosine" else raw
+    return f"""SELECT row_number() OVER (ORDER BY score {order}, id) AS rank, 'vec' AS kind, id,
+      revision FROM (
+        SELECT CAST(vec_id AS VARCHAR) AS id, vec_id % 3 + 1 AS revision, round({score}, 6) AS score
+        FROM (SELECT vec_id, {v} AS v FROM embeddings WHERE vec_id % 19 <> 18 AND vec_id <> 0),
+             (SELECT {v} AS q FROM embeddings WHERE vec_id = 0))
+      QUALIFY rank <= {budget}"""
+
+
+def _register_knn(metric: str) -> None:
+    @query(f"knn_{metric}", _knn_sql(metric, 100))
+    def knn(spark, sf_dir):
+        wanted = _first_vector(spark, sf_dir)
+        return vector_candidates(
+            vectors(spark, sf_dir), wanted, metric, "vec", budget=100, exclude="0"
+        )
+
+
+for _metric in _SCORES:
+    _register_knn(_metric)
+
+
+@query(
+    "knn_many",
+    """WITH q AS (SELECT label AS query, embedding AS q FROM (
+        SELECT label, arg_min(embedding, vec_id) AS embedding FROM embeddings GROUP BY label)),
+    s AS (SELECT CAST(query AS VARCHAR) AS query, CAST(vec_id AS VARCHAR) AS id,
+        vec_id % 3 + 1 AS revision,
+        round(list_distance(CAST(embedding AS DOUBLE[]), CAST(q AS DOUBLE[])), 6) AS score
+      FROM embeddings, q WHERE vec_id % 19 <> 18)
+    SELECT query, row_number() OVER (PARTITION BY query ORDER BY score, id) AS rank,
+      'vec' AS kind, id, revision FROM s QUALIFY rank <= 25""",
+)
+def knn_many(spark, sf_dir):
+    """The first vector of every label as one request each, in one pass over the table."""
+    first = (
+        table(spark, sf_dir, "embeddings")
+        .groupBy("label")
+        .agg(F.min_by("embedding", "vec_id").alias("q"))
+    )
+    requests = {str(row.label): list(row.q) for row in first.collect()}
+    return vector_candidates_many(vectors(spark, sf_dir), requests, "euclid", "vec", budget=25)
+
+
+@query(
+    "candidate_admission",
+    """SELECT least(count(*), 65) AS candidates,
+      least(count(*), 65) // 5 + CASE WHEN least(count(*), 65) % 5 > 0 THEN 1 ELSE 0 END
+        AS foreign_kind,
+      0 AS revision_invalid, 1 AS excluded_key, 0 AS duplicate_key, 0 AS score_order,
+      CASE WHEN count(*) > 64 THEN 'over_budget' ELSE 'rejected' END AS status
+    FROM embeddings""",
+)
+def candidate_admission(spark, sf_dir):
+    """A whole table offered as candidates: refused, not trimmed."""
+    k = F.col("vec_id")
+    offered = vectors(spark, sf_dir).select(
+        (k + 1).alias("rank"),
+        F.when(k % 5 == 0, "other").otherwise("vec").alias("kind"),
+        "id",
+        "revision",
+        (F.lit(1.0) / (k + 1)).alias("score"),
+    )
+    return admit_candidates(offered, "vec", 64, exclude="3", order="desc")
+
+
+def _readable(spark, sf_dir):
+    """What reader ``r1`` may see: no ``src1`` rows; ``lang`` is masked for ``src0``."""
+    return authorized_view(
+        current_documents(spark, sf_dir),
+        lambda actor: F.col("source") != "src1",
+        {"text": lambda actor: F.lit(True), "lang": lambda actor: F.col("source") != "src0"},
+        "r1",
+    )
+
+
+@query(
+    "authorized_documents",
+    f"SELECT id, revision, has_lang FROM ({shown_documents_sql()})",
+)
+def authorized_documents(spark, sf_dir):
+    return _readable(spark, sf_dir).select(
+        "id", "revision", F.map_contains_key("fields", "lang").alias("has_lang")
+    )
+
+
+_HYDRATED_SQL = f"""WITH {_candidates_sql(["benchmark", "der", "et", "the"], "any", 200)}
+  SELECT rank, id, c.revision FROM candidates c
+  JOIN ({shown_documents_sql()}) d USING (id)
+  WHERE d.revision = c.revision AND has_lang ORDER BY rank LIMIT 50"""
+
+
+@query("search_hydrated", _HYDRATED_SQL)
+def search_hydrated(spark, sf_dir):
+    """Candidates joined to current readable rows that still show text and lang."""
+    index = build_text_index(documents(spark, sf_dir), ["text"])
+    found = text_candidates(index, "doc", "text", ANY_TEXT, "any", 200)
+    kept = hydrate(found, _readable(spark, sf_dir), ["text", "lang"], 50)
+    return kept.select("rank", "id", "revision")
+
+
+@query("search_text", _HYDRATED_SQL)
+def search_text_request(spark, sf_dir):
+    """The whole request, with the host policy asked around every read."""
+    index = build_text_index(documents(spark, sf_dir), ["text"])
+    found = search_text(
+        index, _readable(spark, sf_dir), "doc", "text", ANY_TEXT, "any", ["text", "lang"], 50, 200
+    )
+    return found.select("rank", "id", "revision")
+
+
+@query(
+    "search_vectors",
+    f"""WITH c AS ({_knn_sql("cosine", 100)})
+    SELECT rank, id, revision, label FROM (
+      SELECT c.rank, c.id, c.revision, CAST(e.label AS VARCHAR) AS label
+      FROM c JOIN embeddings e ON CAST(e.vec_id AS VARCHAR) = c.id
+      WHERE e.vec_id % 7 <> 0) ORDER BY rank LIMIT 20""",
+)
+def search_vectors_request(spark, sf_dir):
+    """Nearest vectors of one mapping whose current row has the indexed revision."""
+    mapping = Mapping("bench", "table", "v1", ("label",), model="given-v1", dimension=64)
+    rows = vectors(spark, sf_dir).withColumn("profile", F.lit(mapping.fingerprint))
+    moved = F.when(F.col("vec_id") % 7 == 0, 1).otherwise(0)
+    view = rows.select(
+        "kind",
+        "id",
+        (F.col("revision") + moved).alias("revision"),
+        "tombstone",
+        F.create_map(F.lit("label"), text("label")).alias("fields"),
+    )
+    wanted = _first_vector(spark, sf_dir)
+    found = search_vectors(
+        rows, view, "vec", wanted, "cosine", mapping, ["label"], 20, 100, exclude="0"
+    )
+    return found.select("rank", "id", "revision", F.col("fields")["label"].alias("label"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revtide.functions import strict_json
 from revtide.verdicts import Refused, first_reason
@@ -22,7 +23,7 @@ def read_files(spark: SparkSession, glob: str, max_bytes: int = strict_json.DOCU
     return small.unionByName(large)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def json_reject_reason(content: pd.Series) -> pd.Series:
     """Why these bytes are not one strict, bounded JSON document; NULL if they are."""
 
@@ -75,6 +76,6 @@ def import_documents(
         "path",
         "bytes",
         F.when(good, F.concat(F.lit("sha256:"), F.col("_digest"))).alias("version"),
-        F.when(good, F.decode("content", F.lit("UTF-8"))).alias("text"),
+        F.when(good, F.decode("content", "UTF-8")).alias("text"),
         "reject_reason",
     )

@@ -100,27 +100,28 @@ def select_fields(df: DataFrame, fields: Iterable[str], value: str = "value") ->
     object gets ``reject_reason``.
     """
     names = check_fields(fields)
-    parsed = df.withColumn("_variant", F.try_parse_json(value))
-    live = F.col(value).isNotNull()
-    is_object = F.schema_of_variant("_variant").startswith("OBJECT")
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(n).alias("name"),
-                F.to_json(F.variant_get("_variant", _path(n), "variant")).alias("text"),
-            )
-            for n in names
-        ]
-    )
-    # variant_get is NULL only for a missing name; a JSON null is the text "null".
-    kept = F.map_from_entries(F.filter(entries, lambda e: e["text"].isNotNull()))
-    return (
-        parsed.withColumn("fields", F.when(live & is_object, kept))
-        .withColumn(
-            "reject_reason", F.when(live & ~F.coalesce(is_object, F.lit(False)), "invalid_value")
+    def pick(variant: Column) -> Column:
+        entries = F.array(
+            *[
+                F.struct(
+                    F.lit(n).alias("name"),
+                    F.to_json(F.variant_get(variant, _path(n), "variant")).alias("text"),
+                )
+                for n in names
+            ]
         )
-        .drop("_variant", value)
-    )
+        # variant_get is NULL only for a missing name; a JSON null is the text "null".
+        kept = F.filter(entries, lambda e: e["text"].isNotNull())
+        is_object = F.coalesce(F.schema_of_variant(variant).startswith("OBJECT"), F.lit(False))
+        return F.struct(
+            F.when(is_object, F.map_from_entries(kept)).alias("fields"),
+            F.when(F.col(value).isNotNull() & ~is_object, "invalid_value").alias("reject_reason"),
+        )
+
+    # A value is parsed once: the generator keeps filters on the outcome above it.
+    parsed = F.transform(F.array(F.try_parse_json(value)), pick)
+    others = [c for c in df.columns if c != value]
+    return df.select("*", F.explode_outer(parsed).alias("_picked")).select(*others, "_picked.*")
 
 
 def content_digest(

@@ -6,6 +6,7 @@ Responses are decoded with explicit schemas; a bad response is refused as a whol
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame
@@ -140,24 +141,31 @@ def check_credit(text: str, link: str | None) -> tuple[str, str | None]:
     return text, link
 
 
+def _let(value: Column, build: Callable[[Column], Column]) -> Column:
+    """``build(value)`` with ``value`` evaluated once, however often it is used."""
+    return F.transform(F.array(value), build)[0]
+
+
 def _text(value: Column, path: str) -> Column:
     """A JSON string at ``path``, else NULL."""
     raw = F.variant_get(value, path, "variant")
     is_text = F.schema_of_variant(raw) == "STRING"
-    return F.when(is_text, F.try_variant_get(raw, "$", "string"))
+    return F.when(is_text, F.try_variant_get(value, path, "string"))
 
 
 def _number(value: Column, path: str) -> Column:
     """A JSON number at ``path``, else NULL."""
     raw = F.variant_get(value, path, "variant")
-    numeric = F.schema_of_variant(raw).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$")
-    return F.when(numeric, F.try_variant_get(raw, "$", "double"))
+    numeric = F.substring(F.schema_of_variant(raw), 1, 6).isin(
+        "BIGINT", "DOUBLE", "FLOAT", "DECIMA"
+    )
+    return F.when(numeric, F.try_variant_get(value, path, "double"))
 
 
 def _lenient_number(value: Column, path: str) -> Column:
     """A finite number given as JSON number or as text."""
     parsed = F.coalesce(_number(value, path), _text(value, path).try_cast("double"))
-    return F.when(is_finite(parsed), parsed)
+    return _let(parsed, lambda x: F.when(is_finite(x), x))
 
 
 def _length(value: Column, path: str) -> Column:
@@ -174,25 +182,49 @@ def _present(value: Column, path: str) -> Column:
     return F.variant_get(value, path, "variant").isNotNull()
 
 
+def _decoded(df: DataFrame, kept: list[str], build: Callable[[Column], Column]) -> DataFrame:
+    """``kept`` and ``_d = build(parsed body)``.
+
+    The body is parsed once per row: the generator keeps later filters from being pushed
+    below it, which would parse the text again for every use.
+    """
+    parsed = F.transform(F.array(F.try_parse_json("body")), build)
+    return df.select(*kept, F.explode_outer(parsed).alias("_d"))
+
+
 def _decode(
-    df: DataFrame, id: str, rows: Column, item, response_reason: Column
+    df: DataFrame,
+    id: str,
+    judge: Callable[[Column], Column],
+    rows: Callable[[Column], Column],
+    item: Callable[[Column], Column],
 ) -> tuple[DataFrame, DataFrame]:
-    """Decode each response in its own row: all of its items or a reason.
+    """Decode each response in its own row: all of its items, or a reason.
 
-    ``rows`` is the array of item variants and ``item`` builds a struct with a ``reason``
-    field. Responses are bounded by their byte limit, so this needs no shuffle.
+    ``judge`` gives the response's own reason, ``rows`` its array of item variants and
+    ``item`` a struct with a ``reason`` field. A response is bounded by its byte limit, so
+    this needs no shuffle.
     """
-    decoded = df.withColumn("_reason", response_reason).withColumn(
-        "_items", F.when(F.col("_reason").isNull(), F.transform(rows, item))
-    )
-    bad = F.filter(F.col("_items"), lambda i: i["reason"].isNotNull())
-    decoded = decoded.withColumn("_reason", F.coalesce("_reason", F.get(bad, F.lit(0))["reason"]))
-    refused = decoded.filter("_reason IS NOT NULL").select(
-        id, F.col("_reason").alias("reject_reason")
+
+    def build(v: Column) -> Column:
+        return _let(
+            F.struct(judge(v).alias("reason"), F.transform(rows(v), item).alias("items")), settle
+        )
+
+    def settle(d: Column) -> Column:
+        bad = F.filter(d["items"], lambda i: i["reason"].isNotNull())
+        return F.struct(
+            F.coalesce(d["reason"], F.get(bad, F.lit(0))["reason"]).alias("reason"),
+            d["items"].alias("items"),
+        )
+
+    decoded = _decoded(df, [id], build)
+    refused = decoded.filter("_d.reason IS NOT NULL").select(
+        id, F.col("_d.reason").alias("reject_reason")
     )
     good = (
-        decoded.filter("_reason IS NULL")
-        .select(id, F.posexplode("_items").alias("ordinal", "_i"))
+        decoded.filter("_d.reason IS NULL")
+        .select(id, F.posexplode("_d.items").alias("ordinal", "_i"))
         .select(id, "ordinal", "_i.*")
         .drop("reason")
     )
@@ -218,38 +250,49 @@ def _place(provider: str):
             F.concat(kind, F.lit("/"), _native_id(v, "$.osm_id")),
         )
         scoped = F.concat(F.lit("place/"), _native_id(v, "$.place_id"))
-        source_id = F.when(has_kind & has_id, referenced).when(~has_kind & ~has_id, scoped)
-        lon, lat = _lenient_number(v, "$.lon"), _lenient_number(v, "$.lat")
-        has_box = _present(v, "$.boundingbox")
-        south, north, west, east = (_lenient_number(v, f"$.boundingbox[{i}]") for i in range(4))
-        box_ok = (
-            F.coalesce(_length(v, "$.boundingbox") == 4, F.lit(False))
-            & valid_box(west, south, east, north)
-            & F.coalesce(west <= east, F.lit(False))
+        box = _let(
+            _items(v, "$.boundingbox"),
+            lambda b: F.when(F.size(b) == 4, F.transform(b, lambda x: _lenient_number(x, "$"))),
+        )
+        read = F.struct(
+            F.when(has_kind & has_id, referenced).when(~has_kind & ~has_id, scoped).alias("source"),
+            _lenient_number(v, "$.lon").alias("lon"),
+            _lenient_number(v, "$.lat").alias("lat"),
+            _present(v, "$.boundingbox").alias("has_box"),
+            box.alias("box"),
+            _text(v, "$.display_name").alias("label"),
+            _text(v, "$.licence").alias("licence"),
+        )
+        return _let(read, judge)
+
+    def judge(r: Column) -> Column:
+        # The provider lists a box as south, north, west, east and never lets it wrap.
+        south, north, west, east = (F.get(r["box"], F.lit(i)) for i in range(4))
+        box_ok = valid_box(west, south, east, north) & F.coalesce(west <= east, F.lit(False))
+        credit_ok = _plain(r["licence"], CREDIT_BYTES) & ~F.coalesce(
+            r["licence"].rlike("[<>]"), F.lit(True)
         )
-        label, licence = _text(v, "$.display_name"), _text(v, "$.licence")
-        credit_ok = _plain(licence, CREDIT_BYTES) & ~F.coalesce(licence.rlike("[<>]"), F.lit(True))
         reason = first_reason(
-            (source_id.isNull(), "invalid_source"),
-            (~valid_coordinate(lon, lat), "invalid_coordinate"),
-            (has_box & ~box_ok, "invalid_bounds"),
+            (r["source"].isNull(), "invalid_source"),
+            (~valid_coordinate(r["lon"], r["lat"]), "invalid_coordinate"),
+            (r["has_box"] & ~box_ok, "invalid_bounds"),
             (~credit_ok, "invalid_credit"),
-            (~_plain(label, LABEL_BYTES), "invalid_label"),
+            (~_plain(r["label"], LABEL_BYTES), "invalid_label"),
         )
         bounds = F.when(
-            has_box,
+            r["has_box"],
             F.struct(
                 west.alias("west"), south.alias("south"), east.alias("east"), north.alias("north")
             ),
         )
         return F.struct(
             F.lit(provider).alias("provider"),
-            source_id.alias("source_id"),
-            label.alias("label"),
-            lon.alias("lon"),
-            lat.alias("lat"),
+            r["source"].alias("source_id"),
+            r["label"].alias("label"),
+            r["lon"].alias("lon"),
+            r["lat"].alias("lat"),
             bounds.alias("bounds"),
-            licence.alias("credit"),
+            r["licence"].alias("credit"),
             F.lit(PLACES_LINK).alias("credit_link"),
             reason.alias("reason"),
         )
@@ -269,68 +312,94 @@ def decode_places(
     if not 1 <= limit <= MAX_PLACES:
         raise Refused("limit outside 1..40")
     _check_plain(provider, PROVIDER_BYTES)
-    parsed = df.withColumn("_v", F.try_parse_json("body"))
-    v = F.col("_v")
     too_large = (F.octet_length("body") > RESPONSE_BYTES, "too_large")
-    if reverse:
-        is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-        empty = (F.schema_of_variant(v) == "OBJECT<error: STRING>") & (
+
+    def no_coverage(v: Column) -> Column:
+        exact = (F.schema_of_variant(v) == "OBJECT<error: STRING>") & (
             _text(v, "$.error") == NO_COVERAGE
         )
-        empty = F.coalesce(empty, F.lit(False))
-        reason = first_reason(
+        return F.coalesce(exact, F.lit(False))
+
+    def judge_reverse(v: Column) -> Column:
+        is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+        return first_reason(
             too_large,
             (~is_object, "invalid_response"),
-            (~empty & _present(v, "$.error"), "invalid_response"),
+            (~no_coverage(v) & _present(v, "$.error"), "invalid_response"),
         )
-        rows = F.when(empty, F.array().cast("array<variant>")).otherwise(F.array(v))
-    else:
+
+    def judge_forward(v: Column) -> Column:
         count = _length(v, "$")
-        reason = first_reason(
+        return first_reason(
             too_large, (count.isNull(), "invalid_response"), (count > limit, "over_limit")
         )
-        rows = _items(v, "$")
-    return _decode(parsed, id, rows, _place(provider), reason)
 
+    def one_row(v: Column) -> Column:
+        return F.when(no_coverage(v), F.array().cast("array<variant>")).otherwise(F.array(v))
+
+    if reverse:
+        return _decode(df, id, judge_reverse, one_row, _place(provider))
+    return _decode(df, id, judge_forward, lambda v: _items(v, "$"), _place(provider))
+
+
+_NUMBER = r"(BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))"
 
-def _position(value: Column, path: str) -> tuple[Column, Column, Column]:
-    """(lon, lat, valid) of a two-number JSON array."""
-    lon, lat = _number(value, f"{path}[0]"), _number(value, f"{path}[1]")
-    two = F.coalesce(_length(value, path) == 2, F.lit(False))
-    return lon, lat, two & valid_coordinate(lon, lat)
+
+def _numbers(value: Column, path: str) -> Column:
+    """A JSON array of numbers at ``path``, else NULL; text elements do not count."""
+    raw = F.variant_get(value, path, "variant")
+    strict = F.schema_of_variant(raw).rlike(f"^ARRAY<{_NUMBER}>$")
+    return F.when(strict, F.try_variant_get(value, path, "array<double>"))
+
+
+def _pair_ok(pair: Column) -> Column:
+    """True for an array of exactly a valid longitude and latitude; never NULL."""
+    return F.coalesce(F.size(pair) == 2, F.lit(False)) & valid_coordinate(
+        F.get(pair, F.lit(0)), F.get(pair, F.lit(1))
+    )
 
 
 def _feature(provider: str, credit: str, link: str | None):
     def build(v: Column) -> Column:
-        lon, lat, point_ok = _position(v, "$.geometry.coordinates")
-        _, _, center_ok = _position(v, "$.center")
-        has_box = _present(v, "$.bbox")
-        west, south, east, north = (_number(v, f"$.bbox[{i}]") for i in range(4))
-        box_ok = F.coalesce(_length(v, "$.bbox") == 4, F.lit(False)) & valid_box(
+        read = F.struct(
+            _text(v, "$.type").alias("type"),
+            _text(v, "$.geometry.type").alias("shape"),
+            _numbers(v, "$.geometry.coordinates").alias("point"),
+            _present(v, "$.center").alias("has_center"),
+            _numbers(v, "$.center").alias("center"),
+            _present(v, "$.bbox").alias("has_box"),
+            _numbers(v, "$.bbox").alias("box"),
+            _text(v, "$.id").alias("source"),
+            _text(v, "$.place_name").alias("label"),
+        )
+        return _let(read, judge)
+
+    def judge(r: Column) -> Column:
+        west, south, east, north = (F.get(r["box"], F.lit(i)) for i in range(4))
+        box_ok = F.coalesce(F.size(r["box"]) == 4, F.lit(False)) & valid_box(
             west, south, east, north
         )
-        source_id, label = _text(v, "$.id"), _text(v, "$.place_name")
         reason = first_reason(
-            (~_text(v, "$.type").eqNullSafe("Feature"), "not_a_feature"),
-            (~_text(v, "$.geometry.type").eqNullSafe("Point"), "not_a_point"),
-            (~point_ok, "invalid_coordinate"),
-            (_present(v, "$.center") & ~center_ok, "invalid_center"),
-            (has_box & ~box_ok, "invalid_bounds"),
-            (~_plain(source_id, LABEL_BYTES), "invalid_source"),
-            (~_plain(label, LABEL_BYTES), "invalid_label"),
+            (~r["type"].eqNullSafe("Feature"), "not_a_feature"),
+            (~r["shape"].eqNullSafe("Point"), "not_a_point"),
+            (~_pair_ok(r["point"]), "invalid_coordinate"),
+            (r["has_center"] & ~_pair_ok(r["center"]), "invalid_center"),
+            (r["has_box"] & ~box_ok, "invalid_bounds"),
+            (~_plain(r["source"], LABEL_BYTES), "invalid_source"),
+            (~_plain(r["label"], LABEL_BYTES), "invalid_label"),
         )
         bounds = F.when(
-            has_box,
+            r["has_box"],
             F.struct(
                 west.alias("west"), south.alias("south"), east.alias("east"), north.alias("north")
             ),
         )
         return F.struct(
             F.lit(provider).alias("provider"),
-            source_id.alias("source_id"),
-            label.alias("label"),
-            lon.alias("lon"),
-            lat.alias("lat"),
+            r["source"].alias("source_id"),
+            r["label"].alias("label"),
+            F.get(r["point"], F.lit(0)).alias("lon"),
+            F.get(r["point"], F.lit(1)).alias("lat"),
             bounds.alias("bounds"),
             F.lit(credit).alias("credit"),
             F.lit(link).cast("string").alias("credit_link"),
@@ -360,61 +429,63 @@ def decode_features(
     check_credit(credit, link)
     if not native_credit.strip() or len(native_credit.encode()) > NATIVE_CREDIT_BYTES:
         raise Refused("native credit is empty or too large")
-    parsed = df.withColumn("_v", F.try_parse_json("body"))
-    v = F.col("_v")
-    count = _length(v, "$.features")
-    reason = first_reason(
-        (F.octet_length("body") > RESPONSE_BYTES, "too_large"),
-        (v.isNull() | ~_text(v, "$.type").eqNullSafe("FeatureCollection"), "invalid_response"),
-        (~_text(v, "$.attribution").eqNullSafe(native_credit), "invalid_credit"),
-        (count.isNull(), "invalid_response"),
-        (count > limit, "over_limit"),
-    )
-    return _decode(parsed, id, _items(v, "$.features"), _feature(provider, credit, link), reason)
+
+    def judge(v: Column) -> Column:
+        count = _length(v, "$.features")
+        return first_reason(
+            (F.octet_length("body") > RESPONSE_BYTES, "too_large"),
+            (v.isNull() | ~_text(v, "$.type").eqNullSafe("FeatureCollection"), "invalid_response"),
+            (~_text(v, "$.attribution").eqNullSafe(native_credit), "invalid_credit"),
+            (count.isNull(), "invalid_response"),
+            (count > limit, "over_limit"),
+        )
+
+    feature = _feature(provider, credit, link)
+    return _decode(df, id, judge, lambda v: _items(v, "$.features"), feature)
+
+
+ROUTE_RESPONSE = (
+    "array<struct<code string, routes array<struct<distance double, duration double, "
+    "geometry struct<type string, coordinates array<array<double>>>>>>>"
+)
 
 
 def decode_routes(df: DataFrame, id: str = "response_id") -> tuple[DataFrame, DataFrame]:
     """Routing responses (``body``, ``success``) -> (routes, refused responses).
 
     Success needs code ``Ok`` and one LineString route. A failure that says there is no
-    route or no nearby segment gives neither a route nor a refusal.
+    route or no nearby segment gives neither a route nor a refusal. Numbers given as text
+    do not fit the schema, and text after the value breaks the enclosing array, so both
+    leave a NULL that is refused.
     """
-    v, ok = F.col("_v"), F.col("success")
-    code = _text(v, "$.code")
-    geometry = "$.routes[0].geometry"
-    metres, seconds = _number(v, "$.routes[0].distance"), _number(v, "$.routes[0].duration")
-    routes = _length(v, "$.routes")
-    vertices = _length(v, f"{geometry}.coordinates")
-
-    def vertex(p: Column) -> Column:
-        lon, lat, valid = _position(p, "$")
-        return F.struct(lon.alias("lon"), lat.alias("lat"), valid.alias("valid"))
-
-    parsed = (
-        df.withColumn("_v", F.try_parse_json("body"))
-        .withColumn("_line", F.transform(_items(v, f"{geometry}.coordinates"), vertex))
+    wrapped = F.from_json(F.concat(F.lit("["), F.col("body"), F.lit("]")), ROUTE_RESPONSE)
+    one = _let(wrapped, lambda w: F.when(F.size(w) == 1, w))
+    parsed = df.select(
+        id, "success", F.octet_length("body").alias("_bytes"), F.explode_outer(one).alias("_d")
     )
-    line_ok = F.coalesce(F.forall("_line", lambda p: p["valid"]), F.lit(False))
-    no_route = ~ok & code.isin("NoRoute", "NoSegment")
+    ok, code, routes = F.col("success"), F.col("_d.code"), F.col("_d.routes")
+    route = F.get(routes, F.lit(0))
+    metres, seconds, line = route["distance"], route["duration"], route["geometry"]["coordinates"]
     reason = first_reason(
-        (F.octet_length("body") > RESPONSE_BYTES, "too_large"),
+        (F.col("_bytes") > RESPONSE_BYTES, "too_large"),
         (code.isNull(), "invalid_response"),
-        (no_route, "no_route"),
+        (~ok & code.isin("NoRoute", "NoSegment"), "no_route"),
         (~ok & (code == "TooBig"), "too_large"),
         (~ok & (code == "Ok"), "invalid_response"),
         (~ok, "rejected"),
         (code != "Ok", "invalid_response"),
-        (routes.isNull() | (routes == 0), "invalid_response"),
-        (routes > 1, "too_large"),
+        (routes.isNull() | (F.size(routes) == 0), "invalid_response"),
+        (F.size(routes) > 1, "too_large"),
         (~valid_quantity(metres) | ~valid_quantity(seconds), "invalid_quantity"),
-        (~_text(v, f"{geometry}.type").eqNullSafe("LineString"), "invalid_geometry"),
-        (vertices > MAX_VERTICES, "too_large"),
-        (vertices.isNull() | (vertices < 2) | ~line_ok, "invalid_geometry"),
+        (~route["geometry"]["type"].eqNullSafe("LineString"), "invalid_geometry"),
+        (F.size(line) > MAX_VERTICES, "too_large"),
+        (line.isNull() | (F.size(line) < 2), "invalid_geometry"),
+        (F.exists(line, lambda p: ~_pair_ok(p)), "invalid_geometry"),
     )
     judged = parsed.withColumn("_reason", reason)
-    line = F.transform("_line", lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat")))
+    points = F.transform(line, lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat")))
     good = judged.filter("_reason IS NULL").select(
-        id, metres.alias("metres"), seconds.alias("seconds"), line.alias("line")
+        id, metres.alias("metres"), seconds.alias("seconds"), points.alias("line")
     )
     refused = judged.filter("_reason <> 'no_route'").select(
         id, F.col("_reason").alias("reject_reason")

@@ -55,11 +55,14 @@ def _texts(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:
     )
 
 
-def build_text_index(docs: DataFrame, fields: list[str]) -> TextIndex:
+def build_text_index(
+    docs: DataFrame, fields: list[str], terms: list[str] | None = None
+) -> TextIndex:
     """Postings, per-field statistics and refused values of the chosen text fields.
 
     A field is a string column of ``docs`` or a name in its ``fields`` map of JSON texts,
-    where only a string or null is accepted. Counting terms needs no shuffle.
+    where only a string or null is accepted. Counting terms needs no shuffle. ``terms``
+    keeps the postings of one request only, for a table that has no stored index.
     """
     texts = _texts(docs, check_fields(fields))
     rejected = texts.filter("bad").select(
@@ -67,11 +70,13 @@ def build_text_index(docs: DataFrame, fields: list[str]) -> TextIndex:
     )
     analysed = (
         texts.filter(~F.col("bad") & F.col("text").isNotNull())
-        .withColumn("_tokens", F.sort_array(tokens(F.col("text"))))
+        .withColumn("_all", tokens(F.col("text")))
         .drop("text", "bad")
     )
+    wanted = F.col("_all") if terms is None else F.filter("_all", lambda t: t.isin(terms or [""]))
     postings = (
-        analysed.withColumn("doc_len", F.size("_tokens").cast("long"))
+        analysed.withColumn("doc_len", F.size("_all").cast("long"))
+        .withColumn("_tokens", F.sort_array(wanted))
         .withColumn("_starts", run_starts(F.col("_tokens")))
         .withColumn("_runs", term_counts(F.col("_tokens"), F.col("_starts")))
         # The outer form: for a plain explode the optimizer infers a size filter and pushes it
@@ -170,3 +175,18 @@ def text_candidates(
     if mode == "all":
         scored = scored.filter(F.col("_matched") == len(terms))
     return ranked(scored, True, budget)
+
+
+def scan_text_candidates(
+    docs: DataFrame,
+    kind: str,
+    field: str,
+    text: str,
+    mode: str,
+    budget: int = MAX_BUDGET,
+    max_budget: int = MAX_BUDGET,
+) -> DataFrame:
+    """``text_candidates`` over a table without a stored index: only the query's terms are
+    counted while the whole texts are read."""
+    index = build_text_index(docs, [field], check_text_query(field, text))
+    return text_candidates(index, kind, field, text, mode, budget, max_budget)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from revtide.functions.text import query_terms
 from revtide.functions.values import Mapping
 from revtide.operators.retrieval import (
     admit_candidates,
@@ -17,6 +18,7 @@ from revtide.operators.retrieval import (
 from revtide.operators.textindex import (
     build_text_index,
     read_text_index,
+    scan_text_candidates,
     text_candidates,
     write_text_index,
 )
@@ -96,8 +98,7 @@ ANY_TEXT = "der et the benchmark"
     SELECT rank, 'doc' AS kind, id, revision FROM candidates""",
 )
 def text_all(spark, sf_dir):
-    index = build_text_index(documents(spark, sf_dir), ["text"])
-    return text_candidates(index, "doc", "text", ALL_TEXT, "all")
+    return scan_text_candidates(documents(spark, sf_dir), "doc", "text", ALL_TEXT, "all")
 
 
 @query(
@@ -106,8 +107,7 @@ def text_all(spark, sf_dir):
     SELECT rank, 'doc' AS kind, id, revision FROM candidates""",
 )
 def text_any(spark, sf_dir):
-    index = build_text_index(documents(spark, sf_dir), ["text"])
-    return text_candidates(index, "doc", "text", ANY_TEXT, "any")
+    return scan_text_candidates(documents(spark, sf_dir), "doc", "text", ANY_TEXT, "any")
 
 
 @query(
@@ -238,8 +238,8 @@ _HYDRATED_SQL = f"""WITH {_candidates_sql(["benchmark", "der", "et", "the"], "an
 @query("search_hydrated", _HYDRATED_SQL)
 def search_hydrated(spark, sf_dir):
     """Candidates joined to current readable rows that still show text and lang."""
-    index = build_text_index(documents(spark, sf_dir), ["text"])
-    found = text_candidates(index, "doc", "text", ANY_TEXT, "any", 200)
+    docs = documents(spark, sf_dir)
+    found = scan_text_candidates(docs, "doc", "text", ANY_TEXT, "any", 200)
     kept = hydrate(found, _readable(spark, sf_dir), ["text", "lang"], 50)
     return kept.select("rank", "id", "revision")
 
@@ -247,7 +247,7 @@ def search_hydrated(spark, sf_dir):
 @query("search_text", _HYDRATED_SQL)
 def search_text_request(spark, sf_dir):
     """The whole request, with the host policy asked around every read."""
-    index = build_text_index(documents(spark, sf_dir), ["text"])
+    index = build_text_index(documents(spark, sf_dir), ["text"], query_terms(ANY_TEXT))
     found = search_text(
         index, _readable(spark, sf_dir), "doc", "text", ANY_TEXT, "any", ["text", "lang"], 50, 200
     )

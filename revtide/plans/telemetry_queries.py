@@ -124,7 +124,7 @@ def last_status(spark, sf_dir):
       GROUP BY 1)
     SELECT s.observation, (['action', 'query', 'work', 'recovery'])[m + 1] AS operation,
       CASE WHEN f.ts - s.ts <= 300
-             THEN CASE flag WHEN 'A' THEN 'success' WHEN 'N' THEN 'denied' ELSE 'rejected' END
+             THEN CASE flag WHEN 'A' THEN 'accepted' WHEN 'N' THEN 'denied' ELSE 'rejected' END
            WHEN 99000 - s.ts > 300 THEN 'abandoned' ELSE 'open' END AS outcome
     FROM s LEFT JOIN f USING (observation) LEFT JOIN r USING (observation)""",
 )
@@ -139,14 +139,8 @@ def lost_operations(spark, sf_dir):
     flag = F.col("l_returnflag")
     finishes = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("observation"),
-        F.when(flag == "A", "ok").when(flag == "N", "denied").otherwise("rare").alias("result"),
+        # Result names sort as the flags do, so equal times are settled alike in SQL.
+        F.when(flag == "A", "accepted").when(flag == "N", "denied").otherwise("rare").alias("result"),
         (F.col("l_orderkey") * 13 % 100000 + F.col("l_partkey") % 900).alias("ts"),
     )
-    # The result names sort as the flags do, so ties are broken alike on both sides.
-    named = finishes.withColumn(
-        "result", F.when(F.col("result") == "ok", "accepted").otherwise(F.col("result"))
-    )
-    out = abandoned_operations(starts, named, 300, 99000)
-    return out.withColumn(
-        "outcome", F.when(F.col("outcome") == "accepted", "success").otherwise(F.col("outcome"))
-    )
+    return abandoned_operations(starts, finishes, 300, 99000)

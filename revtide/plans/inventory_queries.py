@@ -15,7 +15,7 @@ from revtide.plans.registry import query
 from revtide.plans.tables import ARCHIVE_SQL, archive_rows, sha, stored_objects, table, text
 from revtide.session import scratch_dir
 from revtide.sources.documents import import_documents
-from revtide.sources.objects import copy_objects, list_objects
+from revtide.sources.objects import copy_objects, verify_objects
 from revtide.sources.snapshots import publish_snapshot
 
 STORES = ["s0", "s1", "s2"]
@@ -171,7 +171,7 @@ def documents_admitted(spark, sf_dir):
     FROM documents""",
 )
 def objects_copied(spark, sf_dir):
-    """Real files: a create-only copy, then the destination listed and verified.
+    """Real files: a create-only copy, then the destination read back and verified.
 
     Beforehand a seventh of the objects already is at the destination, a seventh lies there
     with other content, and a seventh is lost at the source.
@@ -200,8 +200,7 @@ def objects_copied(spark, sf_dir):
     report = f"{target}-report"
     # Written down, so that listing the destination happens after the copy.
     publish_snapshot(results, report)
-    stored = list_objects(spark, target, "to")
-    checked = verify_entries(manifest, stored).select("seq", "status")
+    checked = verify_objects(manifest, target, tasks=8).select("seq", "status")
     return (
         spark.read.parquet(report)
         .join(checked, "seq")

@@ -47,7 +47,8 @@ def import_documents(
     """Admit files (``path, bytes, content``) by the approved ``manifest`` (``path, sha256``).
 
     Adds ``version`` (``sha256:<hex>``), ``text`` and ``reject_reason``. Bytes are checked
-    against size and digest before anything is parsed.
+    against size and digest before anything is parsed. An approved file that was not read,
+    being absent or empty, is reported as ``missing``.
     """
     if not 1 <= max_bytes <= strict_json.DOCUMENT_BYTES:
         raise Refused("document limit outside 1..65536")
@@ -56,6 +57,7 @@ def import_documents(
     )
     digest: Column = F.sha2("content", 256)
     admitted = first_reason(
+        (F.col("_read").isNull(), "missing"),
         (F.col("_sha256").isNull(), "not_approved"),
         (F.col("_grants") > 1, "ambiguous_grant"),
         (F.col("bytes") > max_bytes, "too_large"),
@@ -63,7 +65,8 @@ def import_documents(
     )
     checked = (
         files.withColumn("_digest", digest)
-        .join(approved, "path", "left")
+        .withColumn("_read", F.lit(True))
+        .join(approved, "path", "full_outer")
         .withColumn("_bytes_reason", admitted)
     )
     # Only bytes that passed reach the parser.

@@ -20,7 +20,10 @@ COPY_RESULT = (
 
 
 def list_objects(spark: SparkSession, root: str, store: str) -> DataFrame:
-    """``store, key, digest, bytes`` of the files under ``root``; content stays in its task."""
+    """``store, key, digest, bytes`` of the files under ``root``; content stays in its task.
+
+    Spark's file source passes over zero-length files; ``verify_objects`` sees them.
+    """
     root = root.rstrip("/")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     bare = root.split(":", 1)[1].lstrip("/") if ":" in root else root.lstrip("/")
@@ -41,10 +44,10 @@ def _mounted(root: str) -> str:
 
 
 def _fetch(path: str, digest: str, size: int) -> tuple[bytes | None, str | None]:
-    """(content, cause): the whole object if it has the listed length and digest."""
+    """(content, fault): the whole object if it has the listed length and digest."""
     try:
         if os.path.getsize(path) != size:
-            return None, "integrity"
+            return None, "length_mismatch"
         with open(path, "rb") as file:
             raw = file.read()
     except FileNotFoundError:
@@ -53,8 +56,18 @@ def _fetch(path: str, digest: str, size: int) -> tuple[bytes | None, str | None]
         return None, "denied"
     except OSError:
         return None, "backend"
-    good = len(raw) == size and hashlib.sha256(raw).hexdigest() == digest
-    return (raw, None) if good else (None, "integrity")
+    if len(raw) != size:
+        return None, "length_mismatch"
+    return (raw, None) if hashlib.sha256(raw).hexdigest() == digest else (None, "digest_mismatch")
+
+
+def _cause(fault: str | None) -> str | None:
+    """A mismatch of any kind is an integrity failure to the recovery."""
+    return "integrity" if fault in ("length_mismatch", "digest_mismatch") else fault
+
+
+def _inside(key: str) -> bool:
+    return os.path.normpath(key) == key and not key.startswith(("/", ".."))
 
 
 def _publish(path: str, raw: bytes) -> str:
@@ -90,27 +103,26 @@ def copy_objects(manifest: DataFrame, source: str, destination: str, tasks: int
         def result(action=None, phase=None, cause=None):
             return (seq, key, size, action, phase, cause)
 
-        inside = os.path.normpath(key) == key and not key.startswith(("/", ".."))
-        if not inside:
+        if not _inside(key):
             return result(phase="destination_read", cause="invalid")
         target = f"{to_root}/{key}"
-        _, cause = _fetch(target, digest, size)
-        if cause is None:
+        _, fault = _fetch(target, digest, size)
+        if fault is None:
             return result("existing")
-        if cause != "missing":
-            return result(phase="destination_read", cause=cause)
-        raw, cause = _fetch(f"{from_root}/{key}", digest, size)
-        if cause is not None:
-            return result(phase="source_read", cause=cause)
+        if fault != "missing":
+            return result(phase="destination_read", cause=_cause(fault))
+        raw, fault = _fetch(f"{from_root}/{key}", digest, size)
+        if fault is not None:
+            return result(phase="source_read", cause=_cause(fault))
         try:
             action = _publish(target, raw)
         except PermissionError:
             return result(phase="create", cause="denied")
         except OSError:
             return result(phase="create", cause="unknown")
-        _, cause = _fetch(target, digest, size)
-        if cause is not None:
-            return result(phase="destination_verify", cause=cause)
+        _, fault = _fetch(target, digest, size)
+        if fault is not None:
+            return result(phase="destination_verify", cause=_cause(fault))
         return result(action)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,3 +136,22 @@ def copy_objects(manifest: DataFrame, source: str, destination: str, tasks: int
 
     spread = manifest.select("seq", "key", "digest", "bytes").repartition(tasks, "key")
     return spread.mapInPandas(run, COPY_RESULT)
+
+
+def verify_objects(manifest: DataFrame, root: str, tasks: int = 64) -> DataFrame:
+    """Read every listed object under a mounted folder: ``seq, key, bytes, status``.
+
+    Listed entries only, each read by the task that holds its entry; empty objects count.
+    """
+    mounted = _mounted(root)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            statuses = [
+                (_fetch(f"{mounted}/{k}", d, int(b))[1] or "ok") if _inside(k) else "invalid"
+                for k, d, b in zip(batch["key"], batch["digest"], batch["bytes"])
+            ]
+            yield batch[["seq", "key", "bytes"]].assign(status=statuses)
+
+    spread = manifest.select("seq", "key", "digest", "bytes").repartition(tasks, "key")
+    return spread.mapInPandas(run, "seq long, key string, bytes long, status string")

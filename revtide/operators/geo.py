@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revtide.functions.vectors import is_finite
+from revtide.operators.joins import SALTS, every_lane, fits, lanes
 from revtide.verdicts import Refused, first_reason
 
 # Response and geometry limits.
@@ -36,7 +37,6 @@ CONTROL = r"[\x00-\x1f\x7f-\x9f]"
 #: Most (box, cell) rows that are broadcast; beyond, points and boxes meet in a salted shuffle.
 BROADCAST_CELLS = 100_000
 CELL_DEGREES = 5.0
-SALTS = 16
 
 
 def valid_coordinate(lon: Column, lat: Column) -> Column:
@@ -103,12 +103,11 @@ def within_bounds(
         .withColumn("_y", index(F.col("lat"), 90.0))
     )
     keys = ["_x", "_y"]
-    if cells.limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS:
+    if fits(cells, BROADCAST_CELLS):
         cells = F.broadcast(cells)
     else:
-        lane = F.pmod(F.xxhash64(*points.columns), F.lit(salts)).cast("int")
-        located = located.withColumn("_lane", lane)
-        cells = cells.withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        located = located.withColumn("_lane", lanes(*points.columns, salts=salts))
+        cells = cells.withColumn("_lane", every_lane(salts))
         keys = [*keys, "_lane"]
     inside = box_contains(w, s, e, n, F.col("lon"), F.col("lat"))
     return located.join(cells, keys).filter(inside).drop(*keys)
@@ -512,10 +511,9 @@ def _lines(points: DataFrame, route: list[str], limit: int, minimum: int):
         ),
     )
     refused = judged.filter("reject_reason IS NOT NULL").select(*route, "points", "reject_reason")
-    lanes = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    dropped = refused.select(*route, lanes.alias("_lane"))
-    lane = F.pmod(F.xxhash64("seq", "lon", "lat"), F.lit(SALTS)).cast("int")
-    kept = points.withColumn("_lane", lane).join(dropped, [*route, "_lane"], "left_anti")
+    dropped = refused.select(*route, every_lane().alias("_lane"))
+    spread = points.withColumn("_lane", lanes("seq", "lon", "lat"))
+    kept = spread.join(dropped, [*route, "_lane"], "left_anti")
     ordered = F.array_sort(F.collect_list(F.struct("seq", "lon", "lat")))
     return kept.groupBy(*route).agg(ordered.alias("_line")), refused
 

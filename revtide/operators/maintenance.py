@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtide.functions.keys import framed
+from revtide.operators.joins import lookup_join
 from revtide.sources.snapshots import publish_snapshot
 from revtide.verdicts import Refused, first_reason
 
@@ -24,7 +25,7 @@ RECORD_TYPES = (
 )
 CIPHERTEXT_BYTES = 16_384
 
-#: Most keys of a keyring that are broadcast; a larger keyring is joined by a shuffle.
+#: Most keys of a keyring that are broadcast; most rows may well share one key.
 BROADCAST_KEYS = 10_000
 
 
@@ -133,15 +134,13 @@ def rekey_envelopes(
     """
     if version < 1:
         raise Refused("the destination version must be pinned")
-    known = keyring.limit(BROADCAST_KEYS + 1).count()
     keys = keyring.select("key_alias", "key_version", F.col("key").alias("_key"))
     pinned = keys.filter((F.col("key_alias") == alias) & (F.col("key_version") == version))
     if pinned.limit(2).count() != 1:
         raise Refused("the keyring holds no single key of that alias and version")
     to = pinned.select("_key").scalar()
-    if known <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
-    joined = envelopes.join(keys, ["key_alias", "key_version"], "left").withColumn("_to", to)
+    by = ["key_alias", "key_version"]
+    joined = lookup_join(envelopes, keys, by, ["id"], rows=BROADCAST_KEYS).withColumn("_to", to)
     context, aad = F.col("context"), F.col("aad")
     opened = joined.withColumn("_plain", unseal(F.col("ciphertext"), F.col("_key"), context, aad))
     sealed = opened.withColumn(

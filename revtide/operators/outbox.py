@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revtide.operators.joins import lookup_join
 from revtide.verdicts import Refused, first_reason
 
 # Delivery identity, payload limits and the queue profile's shorter id.
@@ -168,45 +169,49 @@ def dedupe_deliveries(
     if window < 1:
         raise Refused("window must be positive")
     span = max(window, span or min(65_536, 512 * window))
-    seconds = df.groupBy("id", "ts").agg(F.min(order).alias(order))
+    seconds = df.groupBy("id", "ts").agg(F.min(order).alias("_first"))
+    order_type = seconds.schema["_first"].dataType.simpleString()
+    message = f"struct<ts:bigint,_first:{order_type}>"
     ranges = (
         seconds.withColumn("_range", F.floor(F.col("ts") / F.lit(span)))
         .groupBy("id", "_range")
-        .agg(F.array_sort(F.collect_list("ts")).alias("_ts"))
+        .agg(
+            F.sort_array(
+                F.collect_list(F.struct(F.col("ts").cast("bigint").alias("ts"), "_first"))
+            ).alias("_sent")
+        )
     )
 
-    def walk_end(ts: Column, start: Column) -> Column:
+    def walk_end(start: Column) -> Column:
         return F.aggregate(
-            ts, start, lambda last, t: F.when(t >= last + window, t).otherwise(last)
+            "_sent",
+            start["ts"],
+            lambda last, m: F.when(m["ts"] >= last + window, m["ts"]).otherwise(last),
         )
 
-    opening = F.col("_ts")[0] + window
-    # Starts within the first window of the range, plus the first second after it.
-    starts = F.filter("_ts", lambda t: t < opening)
-    later = F.filter("_ts", lambda t: t >= opening)
-    starts = F.concat(starts, F.slice(later, 1, 1))
+    opening = F.col("_sent")[0]["ts"] + window
+    # Starts within the first window of the range, plus the first message after it.
+    starts = F.concat(
+        F.filter("_sent", lambda m: m["ts"] < opening),
+        F.slice(F.filter("_sent", lambda m: m["ts"] >= opening), 1, 1),
+    )
     chained = (
-        ranges.withColumn("_starts", starts)
-        .withColumn(
+        ranges.withColumn(
             "_moves",
-            F.transform(
-                "_starts",
-                lambda s: F.struct(s.alias("start"), walk_end(F.col("_ts"), s).alias("end")),
-            ),
+            F.transform(starts, lambda m: F.struct(m.alias("start"), walk_end(m).alias("end"))),
         )
         .groupBy("id")
-        .agg(F.array_sort(F.collect_list(F.struct("_range", "_moves"))).alias("_chain"))
+        .agg(F.sort_array(F.collect_list(F.struct("_range", "_moves"))).alias("_chain"))
     )
-    nothing = F.lit(None).cast("long")
     step = F.struct(
-        nothing.alias("last"),
-        F.array().cast("array<struct<_range:bigint,start:bigint>>").alias("path"),
+        F.lit(None).cast("bigint").alias("last"),
+        F.array().cast(f"array<struct<_range:bigint,start:{message}>>").alias("path"),
     )
 
     def follow(state: Column, link: Column) -> Column:
         fits = F.filter(
             link["_moves"],
-            lambda m: state["last"].isNull() | (m["start"] >= state["last"] + window),
+            lambda m: state["last"].isNull() | (m["start"]["ts"] >= state["last"] + window),
         )
         move = F.get(fits, F.lit(0))
         entry = F.struct(link["_range"].alias("_range"), move["start"].alias("start"))
@@ -221,16 +226,14 @@ def dedupe_deliveries(
         "id", F.explode_outer(F.aggregate("_chain", step, follow, lambda s: s["path"])).alias("_e")
     ).select("id", "_e.*")
 
-    def keep(state: Column, t: Column) -> Column:
-        due = t >= F.element_at(state, -1) + window
-        return F.when(due, F.concat(state, F.array(t))).otherwise(state)
+    def keep(state: Column, m: Column) -> Column:
+        due = m["ts"] >= F.element_at(state, -1)["ts"] + window
+        return F.when(due, F.concat(state, F.array(m))).otherwise(state)
 
-    kept = (
-        ranges.join(entries, ["id", "_range"])
-        .withColumn("_kept", F.aggregate("_ts", F.array("start"), keep))
-        .select("id", F.explode_outer("_kept").alias("ts"))
+    kept = ranges.join(entries, ["id", "_range"]).select(
+        "id", F.explode_outer(F.aggregate("_sent", F.array("start"), keep)).alias("_kept")
     )
-    return seconds.join(kept, ["id", "ts"], "left_semi").select("id", "ts", order)
+    return kept.select("id", "_kept.ts", F.col("_kept._first").alias(order))
 
 
 _MAILBOX = (
@@ -244,7 +247,7 @@ def admit_notifications(df: DataFrame, recipients: DataFrame, domain: str) -> Da
     """Check one plain-text notification per row and give it a stable ``message_id``.
 
     Input: ``id, recipient, subject, text, created``; ``recipients`` has ``recipient``, the
-    approved mailboxes.
+    approved mailboxes. Many rows may go to one mailbox; they are spread over tasks.
     """
     if len(domain) > 253 or not re.fullmatch(rf"{_DOMAIN_LABEL}(\.{_DOMAIN_LABEL})+", domain):
         raise Refused("invalid message id domain")
@@ -276,7 +279,7 @@ def admit_notifications(df: DataFrame, recipients: DataFrame, domain: str) -> Da
     )
     message_id = F.concat(F.lit("<"), F.sha2(F.col("id").cast("binary"), 256), F.lit(f"@{domain}>"))
     return (
-        df.join(approved, "recipient", "left")
+        lookup_join(df, approved, ["recipient"], ["id"])
         .withColumn("reject_reason", reason)
         .withColumn("message_id", F.when(F.col("reject_reason").isNull(), message_id))
         .drop("_approved")

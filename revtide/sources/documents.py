@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revtide.functions import strict_json
+from revtide.operators.joins import lookup_join
 from revtide.verdicts import Refused, first_reason
 
 
@@ -57,28 +58,34 @@ def import_documents(
     )
     digest: Column = F.sha2("content", 256)
     admitted = first_reason(
-        (F.col("_read").isNull(), "missing"),
         (F.col("_sha256").isNull(), "not_approved"),
         (F.col("_grants") > 1, "ambiguous_grant"),
         (F.col("bytes") > max_bytes, "too_large"),
         (~F.coalesce(F.col("_digest") == F.col("_sha256"), F.lit(False)), "digest_mismatch"),
     )
-    checked = (
-        files.withColumn("_digest", digest)
-        .withColumn("_read", F.lit(True))
-        .join(approved, "path", "full_outer")
-        .withColumn("_bytes_reason", admitted)
-    )
+    checked = lookup_join(
+        files.withColumn("_digest", digest), approved, ["path"], ["path"], salts=1
+    ).withColumn("_bytes_reason", admitted)
     # Only bytes that passed reach the parser.
     parsed = json_reject_reason(F.when(F.col("_bytes_reason").isNull(), F.col("content")))
     judged = checked.withColumn("_json_reason", parsed).withColumn(
         "reject_reason", F.coalesce("_bytes_reason", "_json_reason")
     )
     good = F.col("reject_reason").isNull()
-    return judged.select(
+    read = judged.select(
         "path",
         "bytes",
         F.when(good, F.concat(F.lit("sha256:"), F.col("_digest"))).alias("version"),
         F.when(good, F.decode("content", "UTF-8")).alias("text"),
         "reject_reason",
     )
+    # Listed paths without a file: only names meet here, content is neither read nor moved.
+    nothing = F.lit(None).cast("string")
+    missing = approved.join(files.select("path"), "path", "left_anti").select(
+        "path",
+        F.lit(None).cast("bigint").alias("bytes"),
+        nothing.alias("version"),
+        nothing.alias("text"),
+        F.lit("missing").alias("reject_reason"),
+    )
+    return read.unionByName(missing)

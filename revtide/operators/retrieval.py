@@ -32,7 +32,7 @@ from revtide.operators.textindex import (
 )
 from revtide.verdicts import Refused, require_ok
 
-CANDIDATE = "rank int, kind string, id string, revision long"
+CANDIDATE = "rank long, kind string, id string, revision long"
 
 #: Query components, and result slots, held by one task in a pass of many queries.
 PASS_COMPONENTS = 1_000_000
@@ -177,7 +177,7 @@ def vector_candidates_many(
         best.withColumn("_lane", F.pmod(F.xxhash64("id"), F.lit(64)))
         .withColumn("rank", F.row_number().over(first))
         .filter(F.col("rank") <= budget)
-        .withColumn("rank", F.row_number().over(final))
+        .withColumn("rank", F.row_number().over(final).cast("long"))
         .filter(F.col("rank") <= budget)
         .select("query", "rank", F.lit(kind).alias("kind"), "id", "revision")
     )

@@ -86,37 +86,24 @@ def latest_status(samples: DataFrame) -> DataFrame:
     entries = [("ready", "", F.col("ready").cast("long")), ("failed", "", F.col("failed").cast("long"))]
     entries += [("intake", s, (F.col("intake") == s).cast("long")) for s in INTAKE_STATES]
     entries += [(i, label, F.col(name).cast("long")) for i, label, name in GAUGES]
+    # One pass: the newest good sample per instrument, and both facts about all samples.
+    marked = samples.withColumn("_good", good)
+    good_ts = F.when(F.col("_good"), F.col("ts"))
+    known = [F.max_by(v, good_ts).alias(f"_v{n}") for n, (_, _, v) in enumerate(entries)]
+    summary = marked.agg(
+        *known,
+        F.max_by(F.col("_good").cast("long"), "ts").alias("available"),
+        F.count_if(~F.col("_good")).alias("status_failures"),
+    )
+    named = [(i, label, F.col(f"_v{n}")) for n, (i, label, _) in enumerate(entries)]
+    named += [(n, "", F.col(n)) for n in ("available", "status_failures")]
     values = F.array(
         *[
             F.struct(F.lit(i).alias("instrument"), F.lit(label).alias("label"), v.alias("value"))
-            for i, label, v in entries
+            for i, label, v in named
         ]
     )
-    marked = samples.withColumn("_good", good)
-    gauges = (
-        marked.filter("_good")
-        .select("ts", F.explode(values).alias("_v"))
-        .groupBy("_v.instrument", "_v.label")
-        .agg(F.max_by("_v.value", "ts").alias("value"))
-    )
-    # Both facts about all samples come from one more narrow pass.
-    health = marked.agg(
-        F.max_by(F.col("_good").cast("long"), "ts").alias("available"),
-        F.count_if(~F.col("_good")).alias("status_failures"),
-    )
-    facts = health.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(n).alias("instrument"), F.lit("").alias("label"), F.col(n).alias("value")
-                    )
-                    for n in ("available", "status_failures")
-                ]
-            )
-        ).alias("_v")
-    ).select("_v.*")
-    return gauges.unionByName(facts.filter("value IS NOT NULL"))
+    return summary.select(F.explode(values).alias("_v")).select("_v.*").filter("value IS NOT NULL")
 
 
 def abandoned_operations(

@@ -129,7 +129,7 @@ def ranked(scored: DataFrame, descending: bool, budget: int) -> DataFrame:
     best = scored.orderBy(score, F.col("id")).limit(budget)
     # The window runs over at most ``budget`` rows.
     place = F.row_number().over(Window.orderBy(score, F.col("id")))
-    return best.select(place.alias("rank"), "kind", "id", "revision")
+    return best.select(place.cast("long").alias("rank"), "kind", "id", "revision")
 
 
 def text_candidates(

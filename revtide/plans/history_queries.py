@@ -362,7 +362,7 @@ def history_conflicts(spark, sf_dir):
     f AS ({FOLD_SQL}),
     d AS (SELECT count(*) AS n FROM f WHERE CAST(id AS BIGINT) % 13 = 0),
     r AS (SELECT coalesce(max(position), 0) >= 9000 AS covered FROM ({OPERATIONS_SQL}))
-    SELECT n * 2 AS differences, 0 AS conflicts, covered,
+    SELECT n * 2 AS differences, 0::BIGINT AS conflicts, covered,
       CASE WHEN NOT covered THEN 'history_gap' WHEN n > 0 THEN 'rebuild_required'
            ELSE 'ok' END AS status FROM d, r""",
 )
@@ -377,7 +377,7 @@ def replay_interval(spark, sf_dir):
 
 @query(
     "replay_clean",
-    f"""SELECT 0 AS differences, 0 AS conflicts, true AS covered, 'ok' AS status
+    f"""SELECT 0::BIGINT AS differences, 0::BIGINT AS conflicts, true AS covered, 'ok' AS status
     FROM ({OPERATIONS_SQL}) HAVING max(position) >= 900""",
 )
 def replay_clean(spark, sf_dir):

@@ -192,7 +192,8 @@ def knn_many(spark, sf_dir):
     """SELECT least(count(*), 65) AS candidates,
       least(count(*), 65) // 5 + CASE WHEN least(count(*), 65) % 5 > 0 THEN 1 ELSE 0 END
         AS foreign_kind,
-      0 AS revision_invalid, 1 AS excluded_key, 0 AS duplicate_key, 0 AS score_order,
+      0::BIGINT AS revision_invalid, 1::BIGINT AS excluded_key, 0::BIGINT AS duplicate_key,
+      0::BIGINT AS score_order,
       CASE WHEN count(*) > 64 THEN 'over_budget' ELSE 'rejected' END AS status
     FROM embeddings""",
 )

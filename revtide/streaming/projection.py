@@ -29,6 +29,7 @@ from revtide.sources.generation import (
     _exists,
     commit,
     committed,
+    compact,
     delta_path,
     stored_rows,
     write_delta,
@@ -70,8 +71,8 @@ def apply_page(
 ) -> None:
     """Apply one page; safe to repeat with the same ``batch_id`` and rows."""
     spark = batch.sparkSession
-    _, deltas = committed(spark, path)
-    if batch_id in deltas:
+    base, deltas = committed(spark, path)
+    if batch_id in deltas or (base is not None and batch_id <= base):
         return
     documents = to_documents(batch)
     fold = fold_latest(documents)
@@ -130,12 +131,18 @@ def run_projection(
     path: str,
     checkpoint: str,
     once: bool = False,
+    compact_every: int | None = None,
 ):
     """Start the job over a journal stream; ``once`` stops when the backlog is done.
 
-    ``to_documents`` maps journal rows to operations plus the columns to store.
+    ``to_documents`` maps journal rows to operations plus the columns to store. With
+    ``compact_every`` the deltas are folded into a new base after that many pages.
     """
-    writer = stream.writeStream.foreachBatch(
-        lambda batch, batch_id: apply_page(batch, batch_id, to_documents, profile, path)
-    ).option("checkpointLocation", checkpoint)
+
+    def page(batch: DataFrame, batch_id: int) -> None:
+        apply_page(batch, batch_id, to_documents, profile, path)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            compact(batch.sparkSession, path, to_documents(batch).schema)
+
+    writer = stream.writeStream.foreachBatch(page).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -12,7 +12,7 @@ from revtide.sources.generation import (
     write_delta,
     write_generation,
 )
-from revtide.sources.journal import JOURNAL, open_journal, stream_journal
+from revtide.sources.journal import JOURNAL, open_journal, read_journal, stream_journal
 from revtide.streaming.projection import RebuildRequired, apply_page, read_cursors, run_projection
 from revtide.streaming.windows import abandoned_stream, dedupe_stream, operation_counts_stream
 from revtide.verdicts import Refused
@@ -105,14 +105,25 @@ def test_stream_ends_where_a_fold_ends(spark, tmp_path):
         journal(spark, *rows[start : start + 20]).coalesce(1).write.mode("append").parquet(feed)
         run_projection(
             stream_journal(spark, feed, 1), to_documents, "profile", path,
-            str(tmp_path / "checkpoint"), once=True,
+            str(tmp_path / "checkpoint"), once=True, compact_every=2,
         ).awaitTermination()
     documents = to_documents(open_journal(spark, feed))
     got = read_generation(spark, path, documents.schema).select(sorted(documents.columns))
     want = latest(documents).select(sorted(documents.columns))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert read_cursors(spark, path).first().position == 60
-    assert len(committed(spark, path)[1]) == 3
+    assert committed(spark, path) == (1, [2])
+
+
+def test_stored_journals_are_read_by_pushed_filters(spark, tmp_path):
+    journal(spark, (1, "a", 1, "x"), (2, "b", 1, "y")).write.parquet(str(tmp_path / "j"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    feed = read_journal(open_journal(spark, str(tmp_path / "j")), "k", "g", 1, 9)
+    plan = feed.select("id")._jdf.queryExecution().toString()
+    for pushed in ("GreaterThan(position,1)", "LessThanOrEqual(position,9)", "EqualTo(kind,k)"):
+        assert pushed in plan
+    assert "value" not in plan.split("ReadSchema")[1]
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 def run_memory(frame, name, mode, tmp_path):

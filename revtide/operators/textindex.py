@@ -55,45 +55,68 @@ def _texts(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:
     )
 
 
+def _analysed(texts: DataFrame, terms: list[str] | None) -> DataFrame:
+    """Per text its length and the (term, tf) runs, of all terms or of the given ones."""
+    split = texts.filter(~F.col("bad") & F.col("text").isNotNull()).withColumn(
+        "_all", tokens(F.col("text"))
+    )
+    wanted = F.col("_all") if terms is None else F.filter("_all", lambda t: t.isin(terms or [""]))
+    return (
+        split.withColumn("doc_len", F.size("_all").cast("long"))
+        .withColumn("_tokens", F.sort_array(wanted))
+        .withColumn("_starts", run_starts(F.col("_tokens")))
+        .withColumn("runs", term_counts(F.col("_tokens"), F.col("_starts")))
+        .select("kind", "field", "id", "revision", "doc_len", "runs")
+    )
+
+
+def _postings(analysed: DataFrame) -> DataFrame:
+    # The outer form: for a plain explode the optimizer infers a size filter and pushes it
+    # below the projections, which would sort every text again for each of its terms.
+    return (
+        analysed.select(
+            "kind", "field", "id", "revision", "doc_len", F.explode_outer("runs").alias("_r")
+        )
+        .filter("_r IS NOT NULL")
+        .select("kind", "field", "_r.term", "id", "revision", "_r.tf", "doc_len")
+    )
+
+
+def _stats(lengths: DataFrame) -> DataFrame:
+    return (
+        lengths.filter("doc_len > 0")
+        .groupBy("kind", "field")
+        .agg(F.count("*").alias("n_docs"), F.sum("doc_len").alias("total_len"))
+    )
+
+
 def build_text_index(
-    docs: DataFrame, fields: list[str], terms: list[str] | None = None
+    docs: DataFrame,
+    fields: list[str],
+    terms: list[str] | None = None,
+    scratch: str | None = None,
 ) -> TextIndex:
     """Postings, per-field statistics and refused values of the chosen text fields.
 
     A field is a string column of ``docs`` or a name in its ``fields`` map of JSON texts,
     where only a string or null is accepted. Counting terms needs no shuffle. ``terms``
-    keeps the postings of one request only, for a table that has no stored index.
+    keeps the postings of one request only, for a table that has no stored index. With
+    ``scratch``, a fresh shared folder, the analysis is written there once; without, each
+    use of the postings and of the statistics reads the texts again.
     """
     texts = _texts(docs, check_fields(fields))
     rejected = texts.filter("bad").select(
         "kind", "id", "revision", "field", F.lit("unsupported_text").alias("reject_reason")
     )
-    analysed = (
-        texts.filter(~F.col("bad") & F.col("text").isNotNull())
-        .withColumn("_all", tokens(F.col("text")))
-        .drop("text", "bad")
-    )
-    wanted = F.col("_all") if terms is None else F.filter("_all", lambda t: t.isin(terms or [""]))
-    postings = (
-        analysed.withColumn("doc_len", F.size("_all").cast("long"))
-        .withColumn("_tokens", F.sort_array(wanted))
-        .withColumn("_starts", run_starts(F.col("_tokens")))
-        .withColumn("_runs", term_counts(F.col("_tokens"), F.col("_starts")))
-        # The outer form: for a plain explode the optimizer infers a size filter and pushes it
-        # below the projections, which would sort every text again for each of its terms.
-        .select("kind", "field", "id", "revision", "doc_len", F.explode_outer("_runs").alias("_r"))
-        .filter("_r IS NOT NULL")
-        .select("kind", "field", "_r.term", "id", "revision", "_r.tf", "doc_len")
-    )
+    analysed = _analysed(texts, terms)
+    if scratch is not None:
+        analysed.write.mode("errorifexists").parquet(scratch)
+        stored = docs.sparkSession.read.schema(analysed.schema).parquet(scratch)
+        return TextIndex(_postings(stored), _stats(stored), rejected)
     lengths = texts.filter(~F.col("bad")).select(
         "kind", "field", F.size(tokens(F.col("text"))).cast("long").alias("doc_len")
     )
-    stats = (
-        lengths.filter("doc_len > 0")
-        .groupBy("kind", "field")
-        .agg(F.count("*").alias("n_docs"), F.sum("doc_len").alias("total_len"))
-    )
-    return TextIndex(postings, stats, rejected)
+    return TextIndex(_postings(analysed), _stats(lengths), rejected)
 
 
 def write_text_index(index: TextIndex, path: str, files: int = 200) -> None:
@@ -185,8 +208,9 @@ def scan_text_candidates(
     mode: str,
     budget: int = MAX_BUDGET,
     max_budget: int = MAX_BUDGET,
+    scratch: str | None = None,
 ) -> DataFrame:
     """``text_candidates`` over a table without a stored index: only the query's terms are
-    counted while the whole texts are read."""
-    index = build_text_index(docs, [field], check_text_query(field, text))
+    counted while the whole texts are read, once if ``scratch`` names a fresh folder."""
+    index = build_text_index(docs, [field], check_text_query(field, text), scratch)
     return text_candidates(index, kind, field, text, mode, budget, max_budget)

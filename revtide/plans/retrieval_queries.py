@@ -98,7 +98,9 @@ ANY_TEXT = "der et the benchmark"
     SELECT rank, 'doc' AS kind, id, revision FROM candidates""",
 )
 def text_all(spark, sf_dir):
-    return scan_text_candidates(documents(spark, sf_dir), "doc", "text", ALL_TEXT, "all")
+    path = scratch_dir(spark, "text-scan")
+    docs = documents(spark, sf_dir)
+    return scan_text_candidates(docs, "doc", "text", ALL_TEXT, "all", scratch=path)
 
 
 @query(
@@ -107,7 +109,9 @@ def text_all(spark, sf_dir):
     SELECT rank, 'doc' AS kind, id, revision FROM candidates""",
 )
 def text_any(spark, sf_dir):
-    return scan_text_candidates(documents(spark, sf_dir), "doc", "text", ANY_TEXT, "any")
+    path = scratch_dir(spark, "text-scan")
+    docs = documents(spark, sf_dir)
+    return scan_text_candidates(docs, "doc", "text", ANY_TEXT, "any", scratch=path)
 
 
 @query(
@@ -240,7 +244,8 @@ _HYDRATED_SQL = f"""WITH {_candidates_sql(["benchmark", "der", "et", "the"], "an
 def search_hydrated(spark, sf_dir):
     """Candidates joined to current readable rows that still show text and lang."""
     docs = documents(spark, sf_dir)
-    found = scan_text_candidates(docs, "doc", "text", ANY_TEXT, "any", 200)
+    path = scratch_dir(spark, "text-scan")
+    found = scan_text_candidates(docs, "doc", "text", ANY_TEXT, "any", 200, scratch=path)
     kept = hydrate(found, _readable(spark, sf_dir), ["text", "lang"], 50)
     return kept.select("rank", "id", "revision")
 
@@ -248,7 +253,8 @@ def search_hydrated(spark, sf_dir):
 @query("search_text", _HYDRATED_SQL)
 def search_text_request(spark, sf_dir):
     """The whole request, with the host policy asked around every read."""
-    index = build_text_index(documents(spark, sf_dir), ["text"], query_terms(ANY_TEXT))
+    path = scratch_dir(spark, "text-scan")
+    index = build_text_index(documents(spark, sf_dir), ["text"], query_terms(ANY_TEXT), path)
     found = search_text(
         index, _readable(spark, sf_dir), "doc", "text", ANY_TEXT, "any", ["text", "lang"], 50, 200
     )

@@ -89,13 +89,15 @@ def docs(spark):
     )
 
 
-def test_text_membership(spark):
+def test_text_membership(spark, tmp_path):
     index = build_text_index(docs(spark), ["text"])
 
     def found(text, mode):
         got = text_candidates(index, "doc", "text", text, mode)
         again = scan_text_candidates(docs(spark), "doc", "text", text, mode)
-        assert ids(got) == ids(again)
+        scratch = str(tmp_path / f"{mode}{len(list(tmp_path.iterdir()))}")
+        once = scan_text_candidates(docs(spark), "doc", "text", text, mode, scratch=scratch)
+        assert ids(got) == ids(again) == ids(once)
         return ids(got)
 
     assert found("quick", "any") == ["2", "1"]

@@ -169,11 +169,14 @@ def dedupe_deliveries(
     if window < 1:
         raise Refused("window must be positive")
     span = max(window, span or min(65_536, 512 * window))
-    seconds = df.groupBy("id", "ts").agg(F.min(order).alias("_first"))
+    # Ranges are used twice below. Without NULLs left for the join to filter, both uses have
+    # the same plan and share one shuffle.
+    timed = df.filter(F.col("id").isNotNull() & F.col("ts").isNotNull())
+    seconds = timed.groupBy("id", "ts").agg(F.min(order).alias("_first"))
     order_type = seconds.schema["_first"].dataType.simpleString()
     message = f"struct<ts:bigint,_first:{order_type}>"
     ranges = (
-        seconds.withColumn("_range", F.floor(F.col("ts") / F.lit(span)))
+        seconds.withColumn("_range", F.coalesce(F.floor(F.col("ts") / F.lit(span)), F.lit(0)))
         .groupBy("id", "_range")
         .agg(
             F.sort_array(

@@ -34,14 +34,14 @@ def commit(spark: SparkSession, path: str, entry: str, batch_id: int) -> None:
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def committed(spark: SparkSession, path: str) -> tuple[int | None, list[int]]:
     """(newest base, later deltas). The log holds one small row per page or compaction."""
-    if not _exists(spark, f"{path}/log"):
+    if not path_exists(spark, f"{path}/log"):
         return None, []
     rows = spark.read.schema(LOG).parquet(f"{path}/log").distinct().collect()
     bases = [r.batch_id for r in rows if r.entry == "base"]

@@ -26,11 +26,11 @@ from revtide.operators.history import (
     reconcile,
 )
 from revtide.sources.generation import (
-    _exists,
     commit,
     committed,
     compact,
     delta_path,
+    path_exists,
     stored_rows,
     write_delta,
 )
@@ -84,7 +84,7 @@ def apply_page(
         require_ok(page_verdict(merged))
         intent = page.select(*OPERATION)
         stored_intent = intent_path(path, batch_id)
-        if _exists(spark, f"{stored_intent}/_SUCCESS"):
+        if path_exists(spark, f"{stored_intent}/_SUCCESS"):
             saved = spark.read.schema(intent.schema).parquet(stored_intent)
             if set_difference(intent, saved, OPERATION).limit(1).count():
                 raise RebuildRequired(f"page {batch_id} no longer matches its intent")

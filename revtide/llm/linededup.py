@@ -111,7 +111,7 @@ def repeated_lines(places: DataFrame, partitions: int) -> DataFrame:
 
 #: Ranges in order -> runs: ranges that overlap or touch become one.
 _RUNS = """
-aggregate(array_sort(ranges), cast(array() as array<struct<first: int, last: int>>), (runs, r) ->
+aggregate(sort_array(ranges), cast(array() as array<struct<first: int, last: int>>), (runs, r) ->
   if(size(runs) > 0 and r.first <= element_at(runs, -1).last + 1,
      concat(slice(runs, 1, size(runs) - 1),
             array(named_struct('first', element_at(runs, -1).first,

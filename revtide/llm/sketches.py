@@ -21,29 +21,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Cells of each of the three tables, base first.
-SIZES = (16, 64, 256, 1024, 4096, 65_536)
+SIZES = (64, 256, 1024, 4096, 16_384, 262_144)
 #: Rounds of peeling; each takes all single cells at once, so few are needed.
 ROUNDS = 12
 #: Documents per chunk of the order, on average.
 CHUNK = 2048
 
-#: A paragraph ends at a newline or at the end of a sentence.
-PARAGRAPH = r"[^\n.!?]*+[\n.!?]++|[^\n.!?]++"
-
-_CELL = "array<struct<c: int, n: int, k: bigint, h: bigint>>"
+#: A paragraph ends at a newline.
+PARAGRAPH = r"[^\n]++"
 
 
 def digests(text: str) -> str:
-    """SQL: distinct 64-bit digests of the paragraphs of ``text``; the second of two equal ones differs from the first."""
+    """SQL: distinct 64-bit digests of the paragraphs of ``text``; repeats are told apart by their count."""
     pieces = f"transform(regexp_extract_all({text}, r'{PARAGRAPH}', 0), p -> xxhash64(trim(p)))"
-    # In order, the place of a digest less the place where its equals begin is its count so far.
-    counted = (
-        f"aggregate(array_sort({pieces}), named_struct('last', 0L, 'n', 0, 'out', cast(array() as array<bigint>)),"
-        " (s, p) -> if(size(s.out) > 0 and s.last = p,"
-        " named_struct('last', p, 'n', s.n + 1, 'out', concat(s.out, array(xxhash64(p, s.n + 1)))),"
-        " named_struct('last', p, 'n', 0, 'out', concat(s.out, array(p)))), s -> s.out)"
+    # In order, a digest's place less the place of the first of its equals is its count.
+    return (
+        f"transform(array(sort_array({pieces})), p -> if(size(array_distinct(p)) = size(p), p,"
+        " transform(p, (x, i) -> if(i > 0 and p[i - 1] = x, xxhash64(x, i + 1 - array_position(p, x)), x))))[0]"
     )
-    return counted
 
 
 def _entries(keys: str, sign: str, size: int) -> str:
@@ -54,14 +49,20 @@ def _entries(keys: str, sign: str, size: int) -> str:
     return f"flatten(transform({keys}, k -> transform(array(0, 1, 2), t -> {cell})))"
 
 
-def _summed(cells: str, s: str = "s") -> str:
-    """SQL: cells of the same place added up, those that hold nothing left out; ``s`` names the sum."""
+def _summed(cells: str) -> str:
+    """SQL: cells of the same place added up, those that hold nothing left out.
+
+    The cells are sorted once; a sum begins wherever the place changes, so the work is linear.
+    """
+    starts = "filter(sequence(0, size(d) - 1), i -> i = 0 or d[i - 1].c <> d[i].c)"
+    total = (
+        "aggregate(sequence(i + 1, z - 1), d[i], (s, x) -> named_struct('c', s.c, 'n', s.n + d[x].n,"
+        " 'k', s.k ^ d[x].k, 'h', s.h ^ d[x].h))"
+    )
+    each = f"transform(a, (i, j) -> transform(array(coalesce(get(a, j + 1), size(d))), z -> if(z = i + 1, d[i], {total}))[0])"
     return (
-        f"filter(aggregate(array_sort({cells}), cast(array() as {_CELL}), ({s}, e) ->"
-        f" if(size({s}) > 0 and element_at({s}, -1).c = e.c,"
-        f" concat(slice({s}, 1, size({s}) - 1), array(named_struct('c', e.c, 'n', element_at({s}, -1).n + e.n,"
-        f" 'k', element_at({s}, -1).k ^ e.k, 'h', element_at({s}, -1).h ^ e.h))),"
-        f" concat({s}, array(e)))), e -> e.n <> 0 or e.k <> 0L or e.h <> 0L)"
+        f"transform(array(sort_array({cells})), d -> if(size(d) = 0, d,"
+        f" filter(transform(array({starts}), a -> {each})[0], e -> e.n <> 0 or e.k <> 0L or e.h <> 0L)))[0]"
     )
 
 
@@ -80,18 +81,15 @@ def _peeled(left: str, right: str, size: int) -> str:
     """SQL: the number of digests by which two sketches differ, NULL where peeling gets stuck."""
     negated = f"transform({sketch(right, size)}, e -> named_struct('c', e.c, 'n', -e.n, 'k', e.k, 'h', e.h))"
     difference = _summed(f"concat({sketch(left, size)}, {negated})")
-    single = (
-        "array_distinct(transform(filter(s.d, e -> abs(e.n) = 1 and e.h = xxhash64(e.k, 3)),"
-        " e -> named_struct('k', e.k, 'n', e.n)))"
-    )
-    taken = (
-        "flatten(transform(one, o -> transform(array(0, 1, 2), t -> named_struct("
-        f"'c', int(pmod(xxhash64(o.k, t), {size}L)) + t * {size}, 'n', -o.n, 'k', o.k, 'h', xxhash64(o.k, 3)))))"
-    )
-    less = _summed(f"concat(s.d, {taken})", "x")
+    # Both signs apart: distinct numbers are found by hashing, distinct structs are not.
+    single = "array_distinct(transform(filter(s.d, e -> e.n = {n} and e.h = xxhash64(e.k, 3)), e -> e.k))"
+    lost, gained = single.format(n=1), single.format(n=-1)
+    taken = f"concat({_entries('one.lost', '-1', size)}, {_entries('one.gained', '1', size)})"
     step = (
-        f"transform(array({single}), one -> named_struct('d', if(size(one) = 0, s.d, {less}),"
-        " 'found', s.found + size(one)))[0]"
+        f"transform(array(named_struct('lost', {lost}, 'gained', {gained})), one ->"
+        " if(size(one.lost) + size(one.gained) = 0, s,"
+        f" named_struct('d', {_summed(f'concat(s.d, {taken})')},"
+        " 'found', s.found + size(one.lost) + size(one.gained))))[0]"
     )
     return (
         f"aggregate(sequence(1, {ROUNDS}), named_struct('d', {difference}, 'found', 0),"

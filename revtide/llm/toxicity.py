@@ -26,12 +26,14 @@ from pyspark.sql import functions as F
 #: Labelled rows for each value of the last category that the chain is fitted on.
 SAMPLE = 4000
 FOLDS = 3
-#: Features that a model keeps: those that tell its category best.
-SELECTED = 1024
+#: Features that a model keeps at most: those whose share among the category's rows differs from that
+#: among the others by the most standard errors, and by ``ERRORS`` at least.
+SELECTED = 512
+ERRORS = 6.0
 SPACE = 1 << 20
 PREFIXES = (3, 4, 5)
 STEPS = 300
-RIDGE = 1e-4
+RIDGE = 1e-3
 #: Distinct words that one Python worker remembers.
 CACHE = 400_000
 
@@ -89,8 +91,10 @@ def _fit(rows: list, labels, odds) -> Linear:
     without = np.bincount(flat, weights=1 - y[line], minlength=SPACE)
     a, b = with_it / y.sum(), without / (1 - y).sum()
     mean = (with_it + without) / len(y)
-    score = np.abs(a - b) / np.sqrt(np.maximum(mean * (1 - mean), 1e-9) + 1.0 / len(y))
+    error = np.sqrt(np.maximum(mean * (1 - mean), 1.0 / len(y)) * (1 / y.sum() + 1 / (1 - y).sum()))
+    score = np.abs(a - b) / error
     best = np.argsort(-score, kind="stable")[:SELECTED]
+    best = best[score[best] >= ERRORS]
     column = np.full(SPACE, -1)
     column[best] = np.arange(len(best))
     x = np.zeros((len(own), len(best) + odds.shape[1] + 1), np.float32)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from revtide.functions import strict_json
 from revtide.functions.keys import framed
-from revtide.functions.vectors import MAX_DIMENSION
+from revtide.functions.vectors import MAX_DIMENSION, METRICS
 from revtide.verdicts import Refused
 
 # Limits of a mapping.
@@ -58,6 +58,7 @@ class Mapping:
     fields: tuple[str, ...]
     model: str | None = None
     dimension: int | None = None
+    metric: str | None = None
 
     def __post_init__(self):
         for name in (self.deployment, self.provider, self.mapping):
@@ -69,6 +70,8 @@ class Mapping:
             check_name(self.model)
             if not 1 <= self.dimension <= MAX_DIMENSION:
                 raise Refused("dimension outside 1..4096")
+        if self.metric is not None and (self.model is None or self.metric not in METRICS):
+            raise Refused("a metric belongs to a model and is a known one")
 
     @property
     def identity(self) -> bytes:
@@ -78,6 +81,8 @@ class Mapping:
         parts.append(len(self.fields).to_bytes(4, "big"))
         parts += [_frame(f.encode()) for f in self.fields]
         parts.append((self.dimension or 0).to_bytes(4, "big"))
+        if self.metric is not None:
+            parts.append(_frame(self.metric.encode()))
         return b"".join(parts)
 
     @property
@@ -137,6 +142,9 @@ def content_digest(
 
     def one(kind, id, revision, text, vector) -> tuple[str | None, str | None]:
         try:
+            number = -1 if revision is None else int(revision)
+            if number < 0 or kind is None or id is None:
+                raise strict_json.Unfit("revision_invalid" if number < 0 else "key_missing")
             if text is None:
                 if vector is not None:
                     raise strict_json.Unfit("vector_forbidden")
@@ -161,7 +169,7 @@ def content_digest(
                     head,
                     _frame(kind.encode()),
                     _frame(id.encode()),
-                    int(revision).to_bytes(8, "big"),
+                    number.to_bytes(8, "big"),
                     b"\1" if text is None else b"\0",
                     _frame(body),
                     bits,
@@ -185,6 +193,8 @@ def content_digest(
         rows = [one(*row) for row in zip(kind, id, revision, value, vector)]
         return pd.DataFrame(rows, columns=["digest", "reject_reason"], dtype=object)
 
+    # As text: beside a NULL, whole numbers would reach Python as floats.
+    revision = revision.cast("string")
     if vector is None:
         return without_vector(kind, id, revision, value)
     return with_vector(kind, id, revision, value, vector)

@@ -161,9 +161,14 @@ def _number(value: Column, path: str) -> Column:
     return F.when(numeric, F.try_variant_get(value, path, "double"))
 
 
+DECIMAL = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def _lenient_number(value: Column, path: str) -> Column:
-    """A finite number given as JSON number or as text."""
-    parsed = F.coalesce(_number(value, path), _text(value, path).try_cast("double"))
+    """A finite number given as JSON number or as text in plain decimal grammar."""
+    text = _text(value, path)
+    decimal = F.when(text.rlike(DECIMAL), text.try_cast("double"))
+    parsed = F.coalesce(_number(value, path), decimal)
     return _let(parsed, lambda x: F.when(is_finite(x), x))
 
 
@@ -187,7 +192,19 @@ def _decoded(df: DataFrame, kept: list[str], build: Callable[[Column], Column])
     The body is parsed once per row: the generator keeps later filters from being pushed
     below it, which would parse the text again for every use.
     """
-    parsed = F.transform(F.array(F.try_parse_json("body")), build)
+    # A parser may stop after the first value. The digest behind the body, which no body can
+    # hold, is read as the second of two values only if nothing else follows the first.
+    mark = F.md5("body")
+    pair = F.try_variant_get(
+        F.try_parse_json(F.concat(F.lit("["), "body", F.lit(',"'), mark, F.lit('"]'))), "$", "array<variant>"
+    )
+    whole = _let(
+        pair,
+        lambda p: F.when(
+            (F.size(p) == 2) & _text(F.get(p, F.lit(1)), "$").eqNullSafe(mark), F.get(p, F.lit(0))
+        ),
+    )
+    parsed = F.transform(F.array(whole), build)
     return df.select(*kept, F.explode_outer(parsed).alias("_d"))
 
 

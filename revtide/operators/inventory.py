@@ -142,21 +142,23 @@ def write_manifests(bindings: DataFrame, path: str, files_per_store: int = 64) -
 
 
 def verify_entries(manifest: DataFrame, objects: DataFrame) -> DataFrame:
-    """Add ``status`` to every manifest entry: ok, missing, length_ or digest_mismatch.
+    """Add ``status`` to every manifest entry: ok, missing, ambiguous, length_ or digest_mismatch.
+
+    Repeated observations of an object are one; if they differ, its entries are ambiguous.
 
     Objects that no entry lists are no claim and are ignored. Only key, length and digest
     are shuffled, never content.
     """
-    have = objects.select(
-        "store", "key", F.struct(F.col("digest"), F.col("bytes")).alias("_have")
-    )
+    seen = F.struct(F.col("digest"), F.col("bytes"))
+    have = objects.groupBy("store", "key").agg(F.min(seen).alias("_have"), F.max(seen).alias("_other"))
     status = (
         F.when(F.col("_have").isNull(), "missing")
+        .when(F.col("_have") != F.col("_other"), "ambiguous")
         .when(~F.col("_have.bytes").eqNullSafe(F.col("bytes")), "length_mismatch")
         .when(~F.col("_have.digest").eqNullSafe(F.col("digest")), "digest_mismatch")
         .otherwise("ok")
     )
-    return manifest.join(have, ["store", "key"], "left").withColumn("status", status).drop("_have")
+    return manifest.join(have, ["store", "key"], "left").withColumn("status", status).drop("_have", "_other")
 
 
 def recovery_report(results: DataFrame) -> DataFrame:

@@ -90,14 +90,20 @@ def restore_snapshot(
     Old cursors then meet a foreign generation and report a gap instead of reading on.
     """
     saved = spark.read.parquet(source)
-    fault = saved.filter(
+    invalid = (
         F.col("kind").isNull()
         | F.col("id").isNull()
         | F.coalesce(F.col("revision") < 1, F.lit(True))
-        | (F.col("generation") == generation)
+        | F.coalesce(F.col("generation") == generation, F.lit(True))
     )
-    if fault.limit(1).count():
+    if "position" in saved.columns:
+        invalid = invalid | F.coalesce(F.col("position") < 1, F.lit(True))
+    if saved.filter(invalid).limit(1).count():
         raise Refused("snapshot has invalid rows, or the generation does not change")
+    # A saved journal has many rows of a key, each at its own position; a saved state has one.
+    unique = ["kind", "position"] if "position" in saved.columns else ["kind", "id"]
+    if saved.groupBy(*unique).agg(F.count("*").alias("n")).filter("n > 1").limit(1).count():
+        raise Refused(f"snapshot repeats {' and '.join(unique)}")
     publish_snapshot(saved.withColumn("generation", F.lit(generation)), destination)
     return spark.read.parquet(destination)
 
@@ -143,8 +149,10 @@ def rekey_envelopes(
     joined = lookup_join(envelopes, keys, by, ["id"], rows=BROADCAST_KEYS).withColumn("_to", to)
     context, aad = F.col("context"), F.col("aad")
     opened = joined.withColumn("_plain", unseal(F.col("ciphertext"), F.col("_key"), context, aad))
-    sealed = opened.withColumn(
-        "_new", F.when(F.col("_plain").isNotNull(), seal(F.col("_plain"), F.col("_to"), context, aad))
+    # Through a generator: the replacement has a random nonce and must be made only once.
+    made = F.when(F.col("_plain").isNotNull(), seal(F.col("_plain"), F.col("_to"), context, aad))
+    sealed = opened.select("*", F.explode(F.array(made)).alias("_new")).withColumn(
+        "_again", unseal(F.col("_new"), F.col("_to"), context, aad)
     )
     reason = first_reason(
         (F.col("key_version") < 1, "invalid_version"),
@@ -152,6 +160,7 @@ def rekey_envelopes(
         (F.col("_key").isNull(), "unknown_key"),
         (F.col("_plain").isNull(), "not_authentic"),
         (F.octet_length("_new") > CIPHERTEXT_BYTES, "ciphertext_too_large"),
+        (~F.col("_again").eqNullSafe(F.col("_plain")), "replacement_differs"),
     )
     good = F.col("reject_reason").isNull()
     return sealed.withColumn("reject_reason", reason).select(

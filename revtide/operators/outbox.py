@@ -71,6 +71,9 @@ def prepare_outbox(
 def sign_outbox(df: DataFrame, current: bytes, previous: bytes | None = None) -> DataFrame:
     """Add ``signature`` over id, Unix ``timestamp`` and body of every prepared row.
 
+    A row without an id, a timestamp or a body has none, and ``signature_reason`` says which
+    is missing.
+
     Keys travel in the function's closure and never appear in a plan. While a previous
     key is active its signature follows, separated by a space.
     """
@@ -81,7 +84,7 @@ def sign_outbox(df: DataFrame, current: bytes, previous: bytes | None = None) ->
     @F.pandas_udf("string")
     def sign(id: pd.Series, timestamp: pd.Series, body: pd.Series) -> pd.Series:
         def one(i, t, b):
-            if b is None:
+            if b is None or i is None or t is None:
                 return None
             message = f"{i}.{int(t)}.".encode() + b.encode()
             macs = (hmac.new(k, message, hashlib.sha256).digest() for k in keys)
@@ -89,7 +92,17 @@ def sign_outbox(df: DataFrame, current: bytes, previous: bytes | None = None) ->
 
         return pd.Series([one(*row) for row in zip(id, timestamp, body)], dtype=object)
 
-    return df.withColumn("signature", sign("id", "timestamp", "body"))
+    # As text: beside a NULL, whole numbers would reach Python as floats.
+    return df.withColumns(
+        {
+            "signature": sign("id", F.col("timestamp").cast("long").cast("string"), "body"),
+            "signature_reason": first_reason(
+                (F.col("id").isNull(), "id_missing"),
+                (F.col("timestamp").isNull(), "timestamp_missing"),
+                (F.col("body").isNull(), "body_missing"),
+            ),
+        }
+    )
 
 
 def http_outcome(status: Column) -> Column:
@@ -151,13 +164,20 @@ def classify_outcomes(attempts: DataFrame) -> DataFrame:
     return attempts.withColumn("outcome", outcome)
 
 
+def unplaced_deliveries(df: DataFrame) -> DataFrame:
+    """Deliveries that deduplication cannot place, with their ``reject_reason``."""
+    reason = first_reason((F.col("id").isNull(), "id_missing"), (F.col("ts").isNull(), "ts_missing"))
+    return df.withColumn("reject_reason", reason).filter("reject_reason IS NOT NULL")
+
+
 def dedupe_deliveries(
     df: DataFrame, window: int, order: str = "attempt", span: int | None = None
 ) -> DataFrame:
     """Deliveries that count: the first per id, then the first at least ``window`` s later.
 
     Input has ``id``, integer ``ts`` (Unix seconds) and a tie-breaking ``order`` column;
-    output is ``id, ts, <order>``. A duplicate does not extend the window.
+    output is ``id, ts, <order>``. A duplicate does not extend the window. Rows without an id
+    or a time cannot be placed; ``unplaced_deliveries`` has them.
 
     One id may hold most rows, so an id is never walked as a whole. Its distinct seconds
     are cut into ranges of ``span`` >= window. A range depends on earlier ones only through

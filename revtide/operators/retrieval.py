@@ -22,6 +22,7 @@ from revtide.functions.vectors import (
     l2_normalize,
     vector_score,
 )
+from revtide.operators.ordering import adjacent_pairs
 from revtide.operators.textindex import (
     MAX_BUDGET,
     MAX_LIMIT,
@@ -54,6 +55,20 @@ def _unit(values: Sequence[float]) -> list[float]:
     return [float(x) for x in (doubles / np.sqrt((doubles * doubles).sum())).astype("f4")]
 
 
+def refused_vectors(
+    vectors: DataFrame, dimension: int, metric: str, kind: str, profile: str | None = None
+) -> DataFrame:
+    """Live vectors that no search of this dimension and metric can rank: ``id, revision, reject_reason``."""
+    rows = searchable(vectors, kind, profile, None)
+    zero = F.lit(metric == "cosine") & ~F.exists("vector", lambda x: x != 0)
+    reason = (
+        F.when(F.col("vector").isNull(), "vector_missing")
+        .when(F.size("vector") != dimension, "dimension_mismatch")
+        .when(zero, "zero_vector")
+    )
+    return rows.select("id", "revision", reason.alias("reject_reason")).filter("reject_reason IS NOT NULL")
+
+
 def vector_candidates(
     vectors: DataFrame,
     query: Sequence[float],
@@ -88,11 +103,16 @@ def _partial_top(names: list[str], matrix: np.ndarray, metric: str, budget: int)
     sign = -1.0 if descending(metric) else 1.0
 
     def scores(block: np.ndarray) -> np.ndarray:
-        if metric in ("dot", "cosine"):
-            return matrix @ block.T
-        if metric == "euclid":
-            return np.stack([np.sqrt(((block - q) ** 2).sum(axis=1)) for q in matrix])
-        return np.stack([np.abs(block - q).sum(axis=1) for q in matrix])
+        # One component after the other, as a single query's scan adds them up.
+        total = np.zeros((len(matrix), len(block)))
+        for component, values in zip(matrix.T, block.T):
+            if metric in ("dot", "cosine"):
+                total += np.multiply.outer(component, values)
+            elif metric == "euclid":
+                total += np.subtract.outer(component, values) ** 2
+            else:
+                total += np.abs(np.subtract.outer(component, values))
+        return np.sqrt(total) if metric == "euclid" else total
 
     def run(batches):
         best = [None] * len(names)
@@ -104,7 +124,6 @@ def _partial_top(names: list[str], matrix: np.ndarray, metric: str, budget: int)
             ids = np.asarray(batch.column(0).to_pylist(), dtype=object)
             revisions = batch.column(1).to_numpy(zero_copy_only=False)
             for at, row in enumerate(scores(block)):
-                row = np.round(row, 6)
                 keep = slice(None)
                 if len(row) > budget:
                     # Rows tied with the last kept score stay, so the id decides among them.
@@ -190,33 +209,30 @@ def admit_candidates(
     exclude: str | None = None,
     order: str | None = None,
 ) -> DataFrame:
-    """One verdict row for a candidate response; refuse it whole, never trim it.
+    """One verdict row for a whole candidate response; refuse it whole, never trim it.
 
-    ``order`` is ``desc`` or ``asc`` when the response carries a ``score`` to check.
-    At most ``budget + 1`` rows are looked at: one row too many already refuses.
+    ``order`` is ``desc`` or ``asc`` when the response carries a ``score`` to check. Ranks must be
+    unique, and scores must not run against them.
     """
-    some = candidates.orderBy("rank").limit(budget + 1)
-    faults = [
-        F.count_if(~F.col("kind").eqNullSafe(kind)).alias("foreign_kind"),
-        F.count_if(F.col("revision").isNull() | (F.col("revision") < 1)).alias("revision_invalid"),
-        F.count_if(F.col("id").eqNullSafe(F.lit(exclude)) & F.lit(exclude is not None)).alias(
-            "excluded_key"
-        ),
-        (F.count("*") - F.count_distinct("kind", "id")).alias("duplicate_key"),
-    ]
+    faults = {
+        "foreign_kind": F.count_if(~F.col("kind").eqNullSafe(kind)),
+        "revision_invalid": F.count_if(F.col("revision").isNull() | (F.col("revision") < 1)),
+        "excluded_key": F.count_if(F.col("id").eqNullSafe(F.lit(exclude)) & F.lit(exclude is not None)),
+        "duplicate_key": F.count("*") - F.count_distinct("kind", "id"),
+        "duplicate_rank": F.count("*") - F.count_distinct("rank"),
+    }
     if order is not None:
-        before = F.lag("score").over(Window.orderBy("rank"))
-        broken = F.col("score") > before if order == "desc" else F.col("score") < before
         infinite = F.col("score").isNull() | F.isnan("score") | (F.abs("score") == float("inf"))
         negative = F.lit(order == "asc") & (F.col("score") < 0)
-        some = some.withColumn(
-            "_bad", infinite | negative | F.coalesce(broken, F.lit(False))
-        )
-        faults.append(F.count_if("_bad").alias("score_order"))
-    names = ["foreign_kind", "revision_invalid", "excluded_key", "duplicate_key"]
-    names += ["score_order"] if order is not None else []
-    counted = some.agg(F.count("*").alias("candidates"), *faults)
-    any_fault = reduce(Column.__or__, [F.col(n) > 0 for n in names])
+        faults["score_order"] = F.count_if(infinite | negative)
+    counted = candidates.agg(F.count("*").alias("candidates"), *[c.alias(n) for n, c in faults.items()])
+    if order is not None:
+        pairs = adjacent_pairs(candidates, [], "rank", ["score"])
+        risen = F.col("cur.score") > F.col("prev.score")
+        fallen = F.col("cur.score") < F.col("prev.score")
+        broken = pairs.agg(F.count_if(risen if order == "desc" else fallen).alias("n")).scalar()
+        counted = counted.withColumn("score_order", F.col("score_order") + broken)
+    any_fault = reduce(Column.__or__, [F.col(n) > 0 for n in faults])
     return counted.withColumn(
         "status",
         F.when(F.col("candidates") > budget, "over_budget")
@@ -260,13 +276,14 @@ def hydrate(
     """Candidates whose current row is readable, live, of the same revision and complete.
 
     Order is the candidates'; the first ``limit`` are kept and missing ones are not
-    replaced. ``candidates`` must have passed ``admit_candidates``, so at most ``budget``
-    rows are broadcast.
+    replaced. More than ``budget`` candidates fail the query, none are dropped.
     """
     complete = reduce(
         Column.__and__, [F.map_contains_key("fields", n) for n in required], F.lit(True)
     )
-    few = F.broadcast(candidates.limit(budget))
+    offered = candidates.agg(F.count("*").alias("n")).scalar()
+    fits = F.when(offered > budget, F.raise_error(F.lit(f"more than {budget} candidates"))).otherwise(F.lit(True))
+    few = candidates.filter(fits.cast("boolean"))
     current = view.filter(~F.col("tombstone")).filter(complete)
     return (
         current.join(few, ["kind", "id", "revision"])
@@ -314,10 +331,12 @@ def search_text(
     limit: int,
     budget: int,
     policy: Callable[[], bool] = lambda: True,
+    mapping=None,
 ) -> DataFrame:
-    """Text candidates, admitted and hydrated, with the host policy asked around every read."""
+    """Text candidates of one mapping, admitted and hydrated, with the host policy asked around every read."""
     check_bounds(limit, budget)
-    found = lambda: text_candidates(index, kind, field, text, mode, budget)
+    profile = mapping.fingerprint if mapping is not None else ""
+    found = lambda: text_candidates(index, kind, field, text, mode, budget, profile=profile)
     return _search(found, view, kind, required, limit, budget, policy, None)
 
 
@@ -338,6 +357,8 @@ def search_vectors(
     check_bounds(limit, budget, MAX_LIMIT)
     if mapping.dimension != len(query):
         raise Refused("query dimension differs from the mapping")
+    if mapping.metric is not None and mapping.metric != metric:
+        raise Refused("metric differs from the mapping")
     found = lambda: vector_candidates(
         vectors, query, metric, kind, budget, exclude, mapping.fingerprint
     )

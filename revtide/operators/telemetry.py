@@ -57,6 +57,22 @@ def operation_counts(observations: DataFrame) -> DataFrame:
     )
 
 
+def rejected_observations(observations: DataFrame) -> DataFrame:
+    """How many rows the counts and the histogram leave out, by ``reject_reason``.
+
+    ``duration_invalid`` rows are left out of the histogram only.
+    """
+    known = F.coalesce(F.col("operation").isin(*OPERATIONS), F.lit(False))
+    valid = F.coalesce(F.col("duration_s").between(0, 1.7976931348623157e308), F.lit(False))
+    reason = F.when(~known, "unknown_operation").when(~valid, "duration_invalid")
+    return (
+        observations.select(reason.alias("reject_reason"))
+        .filter("reject_reason IS NOT NULL")
+        .groupBy("reject_reason")
+        .agg(F.count("*").alias("n"))
+    )
+
+
 def duration_histogram(observations: DataFrame, bounds: Sequence[float]) -> DataFrame:
     """Count, sum and cumulative bucket counts per operation and outcome.
 
@@ -113,10 +129,16 @@ def abandoned_operations(
 
     ``starts``: ``observation, operation, ts`` (Unix seconds); ``finishes``: ``observation,
     result, ts``. A start without a finish within ``timeout_s`` is abandoned once the time
-    has passed at ``now_s``; younger ones are still ``open``.
+    has passed at ``now_s``; younger ones are still ``open``. A finish before its start is
+    none.
     """
     begun = starts.groupBy("observation").agg(F.min(F.struct("ts", "operation")).alias("s"))
-    ended = finishes.groupBy("observation").agg(F.min(F.struct("ts", "result")).alias("f"))
+    ended = (
+        finishes.join(begun, "observation")
+        .filter(F.col("ts") >= F.col("s.ts"))
+        .groupBy("observation")
+        .agg(F.min(F.struct("ts", "result")).alias("f"))
+    )
     in_time = F.col("f.ts").isNotNull() & (F.col("f.ts") - F.col("s.ts") <= timeout_s)
     outcome = (
         F.when(in_time, outcome_label(F.col("f.result")))

@@ -35,6 +35,11 @@ def check_bounds(limit: int, budget: int, max_limit=MAX_LIMIT, max_budget=MAX_BU
         raise Refused("need 1 <= limit <= max_limit and limit <= budget <= max_budget")
 
 
+def _profile(docs: DataFrame):
+    """The mapping that indexed a row; empty where the table has no ``profile`` column."""
+    return F.coalesce("profile", F.lit("")) if "profile" in docs.columns else F.lit("")
+
+
 def _texts(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """Live (kind, id, revision, field, text), with ``bad`` where a value is no string."""
     pieces = []
@@ -50,8 +55,10 @@ def _texts(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:
         pieces.append(F.struct(F.lit(name).alias("field"), text.alias("text"), bad.alias("bad")))
     return (
         docs.filter(~F.col("tombstone"))
-        .select("kind", "id", "revision", F.explode(F.array(*pieces)).alias("_f"))
-        .select("kind", "id", "revision", "_f.*")
+        .select(
+            _profile(docs).alias("profile"), "kind", "id", "revision", F.explode(F.array(*pieces)).alias("_f")
+        )
+        .select("profile", "kind", "id", "revision", "_f.*")
     )
 
 
@@ -66,7 +73,7 @@ def _analysed(texts: DataFrame, terms: list[str] | None) -> DataFrame:
         .withColumn("_tokens", F.sort_array(wanted))
         .withColumn("_starts", run_starts(F.col("_tokens")))
         .withColumn("runs", term_counts(F.col("_tokens"), F.col("_starts")))
-        .select("kind", "field", "id", "revision", "doc_len", "runs")
+        .select("profile", "kind", "field", "id", "revision", "doc_len", "runs")
     )
 
 
@@ -75,17 +82,17 @@ def _postings(analysed: DataFrame) -> DataFrame:
     # below the projections, which would sort every text again for each of its terms.
     return (
         analysed.select(
-            "kind", "field", "id", "revision", "doc_len", F.explode_outer("runs").alias("_r")
+            "profile", "kind", "field", "id", "revision", "doc_len", F.explode_outer("runs").alias("_r")
         )
         .filter("_r IS NOT NULL")
-        .select("kind", "field", "_r.term", "id", "revision", "_r.tf", "doc_len")
+        .select("profile", "kind", "field", "_r.term", "id", "revision", "_r.tf", "doc_len")
     )
 
 
 def _stats(lengths: DataFrame) -> DataFrame:
     return (
         lengths.filter("doc_len > 0")
-        .groupBy("kind", "field")
+        .groupBy("profile", "kind", "field")
         .agg(F.count("*").alias("n_docs"), F.sum("doc_len").alias("total_len"))
     )
 
@@ -114,7 +121,7 @@ def build_text_index(
         stored = docs.sparkSession.read.schema(analysed.schema).parquet(scratch)
         return TextIndex(_postings(stored), _stats(stored), rejected)
     lengths = texts.filter(~F.col("bad")).select(
-        "kind", "field", F.size(tokens(F.col("text"))).cast("long").alias("doc_len")
+        "profile", "kind", "field", F.size(tokens(F.col("text"))).cast("long").alias("doc_len")
     )
     return TextIndex(_postings(analysed), _stats(lengths), rejected)
 
@@ -122,8 +129,8 @@ def build_text_index(
 def write_text_index(index: TextIndex, path: str, files: int = 200) -> None:
     """Store the index clustered by term; a common term spreads over several files by id."""
     (
-        index.postings.repartitionByRange(files, "kind", "field", "term", "id")
-        .sortWithinPartitions("kind", "field", "term", "id")
+        index.postings.repartitionByRange(files, "profile", "kind", "field", "term", "id")
+        .sortWithinPartitions("profile", "kind", "field", "term", "id")
         .write.mode("errorifexists")
         .parquet(f"{path}/postings")
     )
@@ -146,9 +153,8 @@ def check_text_query(field: str, text: str) -> list[str]:
 
 
 def ranked(scored: DataFrame, descending: bool, budget: int) -> DataFrame:
-    """Best ``budget`` rows by rounded score, ties by id, as ``rank`` without the score."""
-    score = F.round("score", 6)
-    score = score.desc() if descending else score.asc()
+    """Best ``budget`` rows by score, equal scores by id, as ``rank`` without the score."""
+    score = F.col("score").desc() if descending else F.col("score").asc()
     best = scored.orderBy(score, F.col("id")).limit(budget)
     # The window runs over at most ``budget`` rows.
     place = F.row_number().over(Window.orderBy(score, F.col("id")))
@@ -163,13 +169,17 @@ def text_candidates(
     mode: str,
     budget: int = MAX_BUDGET,
     max_budget: int = MAX_BUDGET,
+    profile: str = "",
 ) -> DataFrame:
-    """Top ``budget`` live documents holding ``all`` or ``any`` of the terms of ``text``."""
+    """Top ``budget`` live documents holding ``all`` or ``any`` of the terms of ``text``.
+
+    Only texts that the mapping ``profile`` indexed are counted and found.
+    """
     if mode not in ("all", "any"):
         raise Refused("mode is all or any")
     check_bounds(1, budget, max_budget=max_budget)
     terms = check_text_query(field, text)
-    wanted = (F.col("kind") == kind) & (F.col("field") == field)
+    wanted = (F.col("profile") == profile) & (F.col("kind") == kind) & (F.col("field") == field)
     hits = index.postings.filter(wanted & F.col("term").isin(terms or [""]))
     if not terms:
         hits = hits.limit(0)
@@ -191,9 +201,18 @@ def text_candidates(
     length = F.lit(1.0 - B) + F.lit(B) * F.col("doc_len") / F.col("_c.mean")
     part = idf * F.col("tf") * F.lit(K1 + 1.0) / (F.col("tf") + F.lit(K1) * length)
     scored = (
-        weighed.select("kind", "id", "revision", part.alias("_part"))
+        weighed.select("kind", "id", "revision", F.struct("term", part.alias("part")).alias("_part"))
         .groupBy("kind", "id", "revision")
-        .agg(F.sum("_part").alias("score"), F.count("*").alias("_matched"))
+        .agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
+        .select(
+            "kind",
+            "id",
+            "revision",
+            # Added up in the order of terms, one for each query term at most: equal texts then
+            # have equal scores to the last bit, and the id settles their order.
+            F.aggregate("_parts", F.lit(0.0), lambda total, p: total + p["part"]).alias("score"),
+            F.size("_parts").alias("_matched"),
+        )
     )
     if mode == "all":
         scored = scored.filter(F.col("_matched") == len(terms))
@@ -209,8 +228,9 @@ def scan_text_candidates(
     budget: int = MAX_BUDGET,
     max_budget: int = MAX_BUDGET,
     scratch: str | None = None,
+    profile: str = "",
 ) -> DataFrame:
     """``text_candidates`` over a table without a stored index: only the query's terms are
     counted while the whole texts are read, once if ``scratch`` names a fresh folder."""
     index = build_text_index(docs, [field], check_text_query(field, text), scratch)
-    return text_candidates(index, kind, field, text, mode, budget, max_budget)
+    return text_candidates(index, kind, field, text, mode, budget, max_budget, profile)

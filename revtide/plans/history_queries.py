@@ -42,7 +42,7 @@ from revtide.plans.tables import (
 from revtide.session import scratch_dir
 from revtide.sources.generation import compact, read_generation, write_generation
 from revtide.sources.journal import check_generation, read_journal
-from revtide.streaming.projection import read_cursors, run_projection
+from revtide.streaming.projection import apply_page, page_faults, read_cursors, run_projection
 
 
 @query(
@@ -581,3 +581,45 @@ def projection_cursor(spark, sf_dir):
     path = scratch_dir(spark, "projection")
     _project(spark, sf_dir, path)
     return read_cursors(spark, path)
+
+
+_PAGE_SQL = """WITH n AS (SELECT max(event_id) + 1 AS last, (max(event_id) + 1) // 2 AS half FROM events)
+SELECT * FROM (VALUES ('backward', 'user', 'not_after_cursor'), ('changed', 'user', 'generation_changed'),
+  ('mixed', 'user', 'mixed_generations'), ('repeated', 'user', 'not_ascending')) t("case", kind, fault), n"""
+
+
+@query("projection_page_faults", f"""SELECT "case", kind, fault, half AS position FROM ({_PAGE_SQL})""")
+def projection_page_faults(spark, sf_dir):
+    """The second half of the feed after cursors that it does and does not continue."""
+    feed = events_as_journal(table(spark, sf_dir, "events"))
+    last = feed.agg(F.max("position")).first()[0]
+    page = feed.filter(F.col("position") > last // 2)
+    odd = F.when(F.col("position") == last, "g0").otherwise(F.col("generation"))
+    cases = {
+        "fits": (page, "g1", last // 2),
+        "backward": (page, "g1", last // 2 + 1),
+        "changed": (page, "g0", last // 2),
+        "mixed": (page.withColumn("generation", odd), "g1", last // 2),
+        "repeated": (page.unionByName(page.filter(F.col("position") == last)), "g1", last // 2),
+    }
+    found = None
+    for name, (rows, generation, position) in cases.items():
+        cursor = spark.createDataFrame([("user", generation, position)], "kind string, generation string, position long")
+        faults = page_faults(rows, cursor).select(
+            F.lit(name).alias("case"), "kind", "fault", F.lit(last // 2).cast("long").alias("position")
+        )
+        found = faults if found is None else found.unionByName(faults)
+    return found
+
+
+@query("projection_pages", _END_STATE_SQL)
+def projection_pages(spark, sf_dir):
+    """The feed applied as four pages in order, each after the cursor of the one before."""
+    path = scratch_dir(spark, "projection")
+    feed = events_as_journal(table(spark, sf_dir, "events"))
+    last = feed.agg(F.max("position")).first()[0]
+    for n in range(4):
+        inside = F.col("position").between(n * last // 4 + 1, (n + 1) * last // 4)
+        apply_page(feed.filter(inside), n, _stored, "profile-a", path)
+    schema = _stored(journal(spark, sf_dir)).schema
+    return read_generation(spark, path, schema).select("id", "position", "revision", "tombstone", "event_type")

@@ -10,6 +10,7 @@ from revtide.operators.retrieval import (
     admit_candidates,
     authorized_view,
     hydrate,
+    refused_vectors,
     search_text,
     search_vectors,
     vector_candidates,
@@ -68,7 +69,7 @@ def text_index_terms(spark, sf_dir):
       CAST(sum(len(ts)) AS BIGINT) AS total_len FROM tokens WHERE len(ts) > 0""",
 )
 def text_index_stats(spark, sf_dir):
-    return build_text_index(documents(spark, sf_dir), ["text"]).stats
+    return build_text_index(documents(spark, sf_dir), ["text"]).stats.drop("profile")
 
 
 def _candidates_sql(terms: list[str], mode: str, budget: int) -> str:
@@ -80,8 +81,8 @@ def _candidates_sql(terms: list[str], mode: str, budget: int) -> str:
       hits AS (SELECT * FROM postings WHERE term IN ({listed})),
       df AS (SELECT term, count(*) AS df FROM hits GROUP BY term),
       scored AS (
-        SELECT id, revision, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2
-               / (tf + 1.2 * (0.25 + 0.75 * doc_len / mean))), 6) AS score
+        SELECT id, revision, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2
+               / (tf + 1.2 * (0.25 + 0.75 * doc_len / mean)) ORDER BY term) AS score
         FROM hits JOIN df USING (term), corpus GROUP BY id, revision {every}),
       candidates AS (
         SELECT row_number() OVER (ORDER BY score DESC, id) AS rank, id, revision
@@ -150,7 +151,7 @@ def _knn_sql(metric: str, budget: int) -> str:
     v = unit if metric == "cosine" else raw
     return f"""SELECT row_number() OVER (ORDER BY score {order}, id) AS rank, 'vec' AS kind, id,
       revision FROM (
-        SELECT CAST(vec_id AS VARCHAR) AS id, vec_id % 3 + 1 AS revision, round({score}, 6) AS score
+        SELECT CAST(vec_id AS VARCHAR) AS id, vec_id % 3 + 1 AS revision, {score} AS score
         FROM (SELECT vec_id, {v} AS v FROM embeddings WHERE vec_id % 19 <> 18 AND vec_id <> 0),
              (SELECT {v} AS q FROM embeddings WHERE vec_id = 0))
       QUALIFY rank <= {budget}"""
@@ -175,7 +176,7 @@ for _metric in _SCORES:
         SELECT label, arg_min(embedding, vec_id) AS embedding FROM embeddings GROUP BY label)),
     s AS (SELECT CAST(query AS VARCHAR) AS query, CAST(vec_id AS VARCHAR) AS id,
         vec_id % 3 + 1 AS revision,
-        round(list_distance(CAST(embedding AS DOUBLE[]), CAST(q AS DOUBLE[])), 6) AS score
+        list_distance(CAST(embedding AS DOUBLE[]), CAST(q AS DOUBLE[])) AS score
       FROM embeddings, q WHERE vec_id % 19 <> 18)
     SELECT query, row_number() OVER (PARTITION BY query ORDER BY score, id) AS rank,
       'vec' AS kind, id, revision FROM s QUALIFY rank <= 25""",
@@ -191,13 +192,57 @@ def knn_many(spark, sf_dir):
     return vector_candidates_many(vectors(spark, sf_dir), requests, "euclid", "vec", budget=25)
 
 
+@query(
+    "knn_dot_tiny",
+    _knn_sql("dot", 100).replace("CAST(embedding AS DOUBLE[])", "CAST(list_transform(embedding, lambda x: CAST(x * 0.0001 AS FLOAT)) AS DOUBLE[])"),
+)
+def knn_dot_tiny(spark, sf_dir):
+    """Scores of about 1e-8 rank by their full value, as large ones do."""
+    tiny = F.transform("vector", lambda x: (x.cast("double") * 0.0001).cast("float"))
+    rows = vectors(spark, sf_dir).withColumn("vector", tiny)
+    wanted = list(rows.filter("id = '0'").select("vector").first()[0])
+    return vector_candidates(rows, wanted, "dot", "vec", budget=100, exclude="0")
+
+
+@query(
+    "vectors_refused",
+    """SELECT reject_reason, count(*) AS n FROM (
+      SELECT CASE WHEN vec_id % 23 = 4 THEN 'dimension_mismatch' WHEN vec_id % 29 = 5 THEN 'zero_vector' END
+        AS reject_reason
+      FROM embeddings WHERE vec_id % 19 <> 18) WHERE reject_reason IS NOT NULL GROUP BY 1""",
+)
+def vectors_without_rank(spark, sf_dir):
+    """Short and zero vectors, which a cosine search of 64 components cannot rank, are reported."""
+    k = F.col("vec_id")
+    odd = F.when(k % 23 == 4, F.slice("vector", 1, 3)).when(
+        k % 29 == 5, F.transform("vector", lambda x: F.lit(0.0).cast("float"))
+    )
+    rows = vectors(spark, sf_dir).withColumn("vector", F.coalesce(odd, "vector"))
+    return refused_vectors(rows, 64, "cosine", "vec").groupBy("reject_reason").agg(F.count("*").alias("n"))
+
+
+@query(
+    "text_profiles",
+    f"""WITH {_TERMS_SQL}
+    SELECT profile, CAST(count(DISTINCT id) AS BIGINT) AS documents, count(*) AS postings
+    FROM (SELECT id, 'p' || (CAST(id AS BIGINT) % 2) AS profile, term FROM postings) GROUP BY profile""",
+)
+def text_profiles(spark, sf_dir):
+    """Texts that two mappings indexed stay apart."""
+    docs = documents(spark, sf_dir)
+    docs = docs.withColumn("profile", F.concat(F.lit("p"), text(F.col("id").cast("long") % 2)))
+    return (
+        build_text_index(docs, ["text"])
+        .postings.groupBy("profile")
+        .agg(F.count_distinct("id").alias("documents"), F.count("*").alias("postings"))
+    )
+
+
 @query(
     "candidate_admission",
-    """SELECT least(count(*), 65) AS candidates,
-      least(count(*), 65) // 5 + CASE WHEN least(count(*), 65) % 5 > 0 THEN 1 ELSE 0 END
-        AS foreign_kind,
+    """SELECT count(*) AS candidates, count(*) FILTER (vec_id % 5 = 0) AS foreign_kind,
       0::BIGINT AS revision_invalid, 1::BIGINT AS excluded_key, 0::BIGINT AS duplicate_key,
-      0::BIGINT AS score_order,
+      0::BIGINT AS duplicate_rank, 0::BIGINT AS score_order,
       CASE WHEN count(*) > 64 THEN 'over_budget' ELSE 'rejected' END AS status
     FROM embeddings""",
 )

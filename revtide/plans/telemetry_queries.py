@@ -10,6 +10,7 @@ from revtide.operators.telemetry import (
     duration_histogram,
     latest_status,
     operation_counts,
+    rejected_observations,
 )
 from revtide.plans.registry import query
 from revtide.plans.tables import table
@@ -72,6 +73,22 @@ def histogram(spark, sf_dir):
     return out.withColumn("total_s", F.round("total_s", 2))
 
 
+@query(
+    "observations_rejected",
+    """SELECT reject_reason, count(*) AS n FROM (
+      SELECT CASE WHEN event_id % 37 = 3 THEN 'unknown_operation' WHEN event_id % 31 = 2 THEN 'duration_invalid' END
+        AS reject_reason FROM events) WHERE reject_reason IS NOT NULL GROUP BY 1""",
+)
+def observations_rejected(spark, sf_dir):
+    """Observations that counts and histogram leave out are counted by reason."""
+    k = F.col("event_id")
+    rows = table(spark, sf_dir, "events").select(
+        F.when(k % 37 == 3, "other").otherwise("query").alias("operation"),
+        F.when(k % 31 == 2, F.when(k % 2 == 0, float("nan")).otherwise(-1.0)).otherwise(F.abs("value")).alias("duration_s"),
+    )
+    return rejected_observations(rows)
+
+
 @query(
     "latest_status",
     """WITH s AS (SELECT event_id AS ts, event_type <> 'error' AND event_id % 41 <> 5 AS good, *

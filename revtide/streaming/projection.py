@@ -1,6 +1,6 @@
 """The projection job: one micro-batch is one page.
 
-Per page: fold, check against the stored states, persist the intent, write the delta, read
+Per page: admit it after the cursor, fold, check against the stored states, persist the intent, write the delta, read
 it back, reconcile, and only then commit. A failure leaves the intent and the old cursor;
 the stream then replays the same batch id with the same rows, which must rebuild the stored
 intent before anything is written again.
@@ -34,7 +34,7 @@ from revtide.sources.generation import (
     stored_rows,
     write_delta,
 )
-from revtide.verdicts import Refused, require_ok, set_difference
+from revtide.verdicts import Refused, first_reason, require_ok, set_difference
 
 CURSOR = T.StructType(
     [
@@ -62,6 +62,41 @@ def known_states(spark: SparkSession, path: str, schema: T.StructType, keys: Dat
     return latest(ordered, KEY, ["revision", "_earlier"]).select(*KEY, *STATE)
 
 
+def page_faults(batch: DataFrame, cursors: DataFrame) -> DataFrame:
+    """``kind, fault`` of every kind whose rows do not continue its cursor.
+
+    A page holds one generation of a kind, the cursor's, and positions above the cursor, each
+    once. ``cursors`` has ``kind, generation, position``; a kind without one may begin anywhere.
+    """
+    seen = batch.groupBy("kind").agg(
+        F.min("generation").alias("_low"),
+        F.max("generation").alias("_high"),
+        F.count_if(F.col("generation").isNull() | F.col("position").isNull() | (F.col("position") < 1)).alias("_bad"),
+        F.min("position").alias("_first"),
+        (F.count("*") - F.count_distinct("position")).alias("_again"),
+    )
+    at = cursors.select(
+        F.col("kind").alias("_kind"), F.col("generation").alias("_generation"), F.col("position").alias("_position")
+    )
+    fault = first_reason(
+        (F.col("kind").isNull() | (F.col("_bad") > 0), "position_invalid"),
+        (F.col("_low") != F.col("_high"), "mixed_generations"),
+        (F.col("_low") != F.col("_generation"), "generation_changed"),
+        (F.col("_first") <= F.col("_position"), "not_after_cursor"),
+        (F.col("_again") > 0, "not_ascending"),
+    )
+    return (
+        seen.join(at, F.col("kind") == F.col("_kind"), "left")
+        .select("kind", fault.alias("fault"))
+        .filter("fault IS NOT NULL")
+    )
+
+
+def _matches_intent(spark: SparkSession, intent: DataFrame, path: str) -> bool:
+    saved = spark.read.schema(intent.schema).parquet(path)
+    return not set_difference(intent, saved, OPERATION).limit(1).count()
+
+
 def apply_page(
     batch: DataFrame,
     batch_id: int,
@@ -69,26 +104,34 @@ def apply_page(
     profile: str,
     path: str,
 ) -> None:
-    """Apply one page; safe to repeat with the same ``batch_id`` and rows."""
+    """Apply one page; safe to repeat with the same ``batch_id`` and rows.
+
+    A page whose id is committed already must rebuild the intent stored under that id: ids start
+    anew with a new checkpoint, and another page under an old id would otherwise be lost.
+    """
     spark = batch.sparkSession
     base, deltas = committed(spark, path)
-    if batch_id in deltas or (base is not None and batch_id <= base):
-        return
+    done = batch_id in deltas or (base is not None and batch_id <= base)
     documents = to_documents(batch)
     fold = fold_latest(documents)
     page = fold.latest.persist()
     try:
+        intent = page.select(*OPERATION)
+        stored_intent = intent_path(path, batch_id)
+        begun = path_exists(spark, f"{stored_intent}/_SUCCESS")
+        if (begun or done) and not (begun and _matches_intent(spark, intent, stored_intent)):
+            raise RebuildRequired(f"page {batch_id} no longer matches its intent")
+        if done:
+            return
+        at = read_cursors(spark, path) if deltas or base is not None else spark.createDataFrame([], CURSOR)
+        faults = page_faults(batch, at).limit(5).collect()
+        if faults:
+            raise Refused(f"page {batch_id}: " + ", ".join(f"{f.kind}: {f.fault}" for f in faults))
         if fold.conflicts.limit(1).count():
             raise Refused("revisions conflict inside the page")
         merged = merge_key_state(known_states(spark, path, page.schema, page), page)
         require_ok(page_verdict(merged))
-        intent = page.select(*OPERATION)
-        stored_intent = intent_path(path, batch_id)
-        if path_exists(spark, f"{stored_intent}/_SUCCESS"):
-            saved = spark.read.schema(intent.schema).parquet(stored_intent)
-            if set_difference(intent, saved, OPERATION).limit(1).count():
-                raise RebuildRequired(f"page {batch_id} no longer matches its intent")
-        else:
+        if not begun:
             intent.write.mode("overwrite").parquet(stored_intent)
         write_delta(page, path, batch_id)
         observed = (

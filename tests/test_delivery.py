@@ -11,6 +11,7 @@ from revtide.operators.outbox import (
     dedupe_deliveries,
     prepare_outbox,
     sign_outbox,
+    unplaced_deliveries,
 )
 from revtide.sources.outbox_sink import check_topic, outbox_records
 from revtide.verdicts import Refused
@@ -142,3 +143,20 @@ def test_notifications(spark):
     assert out["n1"].message_id.endswith("@m.example.org>") and out["n2"].message_id is None
     with pytest.raises(Refused):
         admit_notifications(rows, approved, "nodots")
+
+
+def test_a_row_without_id_or_time_is_not_signed(spark):
+    rows = spark.createDataFrame(
+        [(None, 1, "b"), ("a", None, "b"), ("a", 1, None), ("a", 2**53 + 1, "b")],
+        "id string, timestamp long, body string",
+    )
+    signed = sign_outbox(rows, bytes([7]) * 32).collect()
+    assert [r.signature_reason for r in signed] == ["id_missing", "timestamp_missing", "body_missing", None]
+    assert [r.signature is None for r in signed] == [True, True, True, False]
+    alone = sign_outbox(rows.filter("timestamp > 2"), bytes([7]) * 32).first().signature
+    assert signed[3].signature == alone
+
+
+def test_deliveries_that_cannot_be_placed_are_reported(spark):
+    rows = spark.createDataFrame([("a", 1, 1), (None, 1, 1), ("b", None, 1)], "id string, ts long, attempt int")
+    assert sorted(r.reject_reason for r in unplaced_deliveries(rows).collect()) == ["id_missing", "ts_missing"]

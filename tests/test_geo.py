@@ -71,38 +71,76 @@ def test_boxes_equal_brute_force(spark, broadcast, monkeypatch):
     assert sorted((r.p, r.box_id) for r in got.collect()) == want
 
 
-PLACE = {
-    "osm_type": "way", "osm_id": "00042", "lat": "52.1", "lon": "21.2", "display_name": "Town",
-    "licence": "Data © contributors", "boundingbox": ["52", "53", "21", "22"],
+def ford(**members) -> dict:
+    """A well-formed place of this test's own; a member given as None is left out."""
+    base = {
+        "osm_type": "node", "osm_id": "731", "display_name": "Mill at the ford", "licence": "Valley survey",
+        "lon": "-149.5", "lat": "-33.25", "boundingbox": ["-33.5", "-33.125", "-150", "-149"],
+    }
+    return {k: v for k, v in {**base, **members}.items() if v is not None}
+
+
+#: For each rule of a place, members that break it.
+BROKEN_PLACES = {
+    "invalid_source": [
+        {"osm_type": None}, {"osm_id": None}, {"osm_type": "street"}, {"osm_id": "7a"}, {"osm_id": ""},
+        {"osm_id": "9" * 65}, {"osm_id": 1.5}, {"osm_type": None, "osm_id": None, "place_id": "x"},
+    ],
+    "invalid_coordinate": [
+        {"lat": "90.5"}, {"lon": "-181"}, {"lat": None}, {"lon": "east"}, {"lon": "-149.5d"}, {"lat": " 3 "},
+        {"lat": "3.0f"}, {"lat": "0x3"}, {"lon": "Infinity"}, {"lon": [1]},
+    ],
+    "invalid_bounds": [
+        {"boundingbox": ["-33", "-34", "-150", "-149"]}, {"boundingbox": ["-34", "-33", "-149", "-150"]},
+        {"boundingbox": ["-34", "-33", "-150"]}, {"boundingbox": "all"}, {"boundingbox": [1, 2, 3, "4d"]},
+    ],
+    "invalid_credit": [{"licence": None}, {"licence": "a<b"}, {"licence": 3}, {"licence": ""}],
+    "invalid_label": [{"display_name": None}, {"display_name": ["Mill"]}, {"display_name": " \t"}],
 }
 
 
-def test_places(spark):
-    change = lambda **kw: [{**PLACE, **kw}]
-    without = lambda *keys: [{k: v for k, v in PLACE.items() if k not in keys}]
+def test_places_that_fit(spark):
     responses = bodies(
-        spark, good=[PLACE], numbers=change(lat=52.1, lon=21, osm_id=7), empty=[], scoped=[
-            {**without("osm_type", "osm_id")[0], "place_id": 99}],
-        half=without("osm_id"), kind=change(osm_type="street"), id=change(osm_id="4x"),
-        far=change(lat="95"), text=change(lat="north"), box=change(boundingbox=["52", "53", "22", "21"]),
-        cut=change(boundingbox=["52", "53"]), nobox=without("boundingbox"), credit=without("licence"),
-        html=change(licence="<b>x</b>"), label=change(display_name=5), blank=change(display_name="  "),
-        many=[PLACE] * 3, object={"a": 1}, broken="[", one_bad=[PLACE, {}],
+        spark,
+        plain=[ford()],
+        numbers=[ford(lat=12, lon=0.5, osm_id=31, boundingbox=None)],
+        powers=[ford(lat="1.5e1", lon=".5", boundingbox=None)],
+        scoped=[ford(osm_type=None, osm_id=None, place_id=640)],
+        two=[ford(osm_type="relation"), ford(osm_id="0012")],
+        none=[],
     )
     places, refused = decode_places(responses, 2, "places")
     rows = {(r.response_id, r.ordinal): r for r in places.collect()}
-    assert set(rows) == {("good", 0), ("numbers", 0), ("scoped", 0), ("nobox", 0)}
-    good = rows["good", 0]
-    assert (good.source_id, good.lon, good.lat) == ("way/00042", 21.2, 52.1)
-    assert good.bounds.asDict() == {"west": 21.0, "south": 52.0, "east": 22.0, "north": 53.0}
-    assert rows["numbers", 0].source_id == "way/7" and rows["scoped", 0].source_id == "place/99"
-    assert rows["nobox", 0].bounds is None
+    assert reasons(refused) == {}
+    assert {k: r.source_id for k, r in rows.items()} == {
+        ("plain", 0): "node/731", ("numbers", 0): "node/31", ("powers", 0): "node/731",
+        ("scoped", 0): "place/640", ("two", 0): "relation/731", ("two", 1): "node/0012",
+    }
+    first = rows["plain", 0]
+    assert (first.lon, first.lat, first.label, first.credit) == (-149.5, -33.25, "Mill at the ford", "Valley survey")
+    assert tuple(first.bounds) == (-150.0, -33.5, -149.0, -33.125)
+    assert (rows["numbers", 0].lon, rows["numbers", 0].lat, rows["numbers", 0].bounds) == (0.5, 12.0, None)
+    assert (rows["powers", 0].lon, rows["powers", 0].lat) == (0.5, 15.0)
+
+
+def test_places_that_break_a_rule(spark):
+    cases = {f"{rule}-{n}": [ford(**c)] for rule, all in BROKEN_PLACES.items() for n, c in enumerate(all)}
+    places, refused = decode_places(bodies(spark, **cases), 2, "places")
+    assert places.count() == 0
+    assert reasons(refused) == {name: name.split("-")[0] for name in cases}
+
+
+def test_place_responses_are_one_value(spark):
+    whole = json.dumps([ford()])
+    responses = bodies(
+        spark, tail=whole + " x", second=whole + "[]", comma=whole + ",", closed=whole + '] , ["', cut=whole[:-1],
+        object=ford(), three=[ford()] * 3, later=[ford(), {}], blank="", spaced=f" {whole}\n",
+    )
+    places, refused = decode_places(responses, 2, "places")
+    assert [r.response_id for r in places.collect()] == ["spaced"]
     assert reasons(refused) == {
-        "half": "invalid_source", "kind": "invalid_source", "id": "invalid_source",
-        "far": "invalid_coordinate", "text": "invalid_coordinate", "box": "invalid_bounds",
-        "cut": "invalid_bounds", "credit": "invalid_credit", "html": "invalid_credit",
-        "label": "invalid_label", "blank": "invalid_label", "many": "over_limit",
-        "object": "invalid_response", "broken": "invalid_response", "one_bad": "invalid_source",
+        **dict.fromkeys(("tail", "second", "comma", "closed", "cut", "object", "blank"), "invalid_response"),
+        "three": "over_limit", "later": "invalid_source",
     }
     for limit in (0, 41):
         with pytest.raises(Refused):
@@ -111,12 +149,12 @@ def test_places(spark):
 
 def test_reverse_places(spark):
     responses = bodies(
-        spark, good=PLACE, none={"error": "Unable to geocode"}, other={"error": "Busy"},
-        mixed={"error": "Unable to geocode", "x": 1}, list=[PLACE],
+        spark, found=ford(), sea={"error": "Unable to geocode"}, busy={"error": "Busy"},
+        more={"error": "Unable to geocode", "code": 1}, listed=[ford()], tail=json.dumps(ford()) + "}",
     )
     places, refused = decode_places(responses, 1, "places", reverse=True)
-    assert [r.response_id for r in places.collect()] == ["good"]
-    assert set(reasons(refused)) == {"other", "mixed", "list"}
+    assert [r.response_id for r in places.collect()] == ["found"]
+    assert set(reasons(refused)) == {"busy", "more", "listed", "tail"}
 
 
 def test_features(spark):

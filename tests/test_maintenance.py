@@ -15,6 +15,7 @@ from revtide.operators.telemetry import (
     duration_histogram,
     latest_status,
     operation_counts,
+    rejected_observations,
 )
 from revtide.sources.journal import check_generation
 from revtide.sources.snapshots import publish_snapshot
@@ -158,3 +159,44 @@ def test_lost_operations_count_once(spark):
     assert sorted((r.observation, r.outcome) for r in out) == [
         ("a", "success"), ("b", "abandoned"), ("c", "abandoned"), ("d", "open"),
     ]
+
+
+def test_a_finish_before_its_start_does_not_count(spark):
+    starts = spark.createDataFrame([(1, "query", 1000)], "observation long, operation string, ts long")
+    finishes = spark.createDataFrame([(1, "denied", 10), (1, "ok", 1010)], "observation long, result string, ts long")
+    assert abandoned_operations(starts, finishes, 60, 5000).first().outcome == "success"
+    assert abandoned_operations(starts, finishes.limit(1), 60, 5000).first().outcome == "abandoned"
+
+
+def test_observations_left_out_are_counted(spark):
+    rows = [("query", 1.0), ("other", 1.0), (None, 1.0), ("work", -1.0), ("work", float("nan")), ("work", None)]
+    frame = spark.createDataFrame(rows, "operation string, duration_s double")
+    assert {r.reject_reason: r.n for r in rejected_observations(frame).collect()} == {
+        "unknown_operation": 2, "duration_invalid": 3,
+    }
+
+
+def test_a_restored_snapshot_is_validated_whole(spark, tmp_path):
+    columns = "kind string, id string, position long, revision long, generation string"
+    good = [("k", "a", 1, 1, "g"), ("k", "a", 2, 2, "g")]
+    bad = [[*good, ("k", "b", 2, 1, "g")], [("k", "a", 0, 1, "g")], [("k", "a", 1, 1, None)], [("k", "a", None, 1, "g")]]
+    for n, rows in enumerate([good, *bad]):
+        source = str(tmp_path / f"s{n}")
+        publish_snapshot(spark.createDataFrame(rows, columns), source)
+        if rows is good:
+            assert restore_snapshot(spark, source, str(tmp_path / "d"), "h").count() == 2
+        else:
+            with pytest.raises(Refused):
+                restore_snapshot(spark, source, str(tmp_path / f"d{n}"), "h")
+
+
+def test_a_replacement_opens_to_the_same_text(spark):
+    keys = spark.createDataFrame([("a", 1, bytes(32)), ("b", 2, bytes([5]) * 32)], "key_alias string, key_version int, key binary")
+    plain = spark.createDataFrame([("x", b"secret", b"c", b"d")], "id string, plain binary, context binary, aad binary")
+    sealed = plain.select(
+        "id", F.lit("p").alias("profile"), F.lit("a").alias("key_alias"), F.lit(1).alias("key_version"),
+        seal(F.col("plain"), F.lit(bytes(32)), F.col("context"), F.col("aad")).alias("ciphertext"), "context", "aad",
+    )
+    row = rekey_envelopes(sealed, keys, "b", 2)
+    opened = row.select("reject_reason", unseal(F.col("ciphertext"), F.lit(bytes([5]) * 32), F.col("context"), F.col("aad")).alias("p")).first()
+    assert opened.reject_reason is None and bytes(opened.p) == b"secret"

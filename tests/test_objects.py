@@ -128,25 +128,44 @@ def test_report_is_the_verified_prefix(spark):
     assert recovery_report(spark.createDataFrame([], schema)).first().verified == 0
 
 
+#: For each rule of an import one document, and the reason it gives.
+IMPORTED = {
+    "nested": ('{"list": [1, [2, {"deep": []}], "t"], "map": {"k": {"k": true}}}', None),
+    "bare": ("-0.5e3", None),
+    "text": ('"caf\\u00e9"', None),
+    "wide": ("[1]" + " " * (65_536 - 3), None),
+    "wider": ("[1]" + " " * (65_536 - 2), "too_large"),
+    "names": ('[{"m": 1, "n": {"o": 2, "o": 3}}]', "duplicate_name"),
+    "two": ("[] []", "invalid_json"),
+    "open": ('{"m": [}', "invalid_json"),
+}
+
+
 def test_import_of_files(spark, tmp_path):
-    good = '{"n":18446744073709551615,"null":null,"false":false,"zero":0,"empty":""}'
-    files = {"good": good, "scalar": "7", "array": "[1]", "twice": '{"a":{"b":1,"b":2}}', "tail": "{} {}",
-             "changed": "{}", "unknown": "{}", "large": '"' + "x" * 70000 + '"'}
-    for name, text in files.items():
+    for name, (text, _) in IMPORTED.items():
         (tmp_path / name).write_text(text)
-    (tmp_path / "latin").write_bytes(b'"\xe9"')
-    manifest = [(f"file:{tmp_path}/{n}", sha(t)) for n, t in files.items() if n not in ("changed", "unknown")]
-    manifest += [(f"file:{tmp_path}/changed", sha("[]")), (f"file:{tmp_path}/absent", sha("1"))]
-    manifest += [(f"file:{tmp_path}/latin", hashlib.sha256(b'"\xe9"').hexdigest())]
-    out = import_documents(
-        read_files(spark, str(tmp_path)), spark.createDataFrame(manifest, "path string, sha256 string")
-    ).collect()
-    assert {r.path.rsplit("/", 1)[1]: r.reject_reason for r in out} == {
-        "good": None, "scalar": None, "array": None, "twice": "duplicate_name", "tail": "invalid_json",
-        "changed": "digest_mismatch", "unknown": "not_approved", "large": "too_large", "latin": "invalid_json",
-        "absent": "missing",
+    others = {"edited": b"[2]", "stray": b"[3]", "bytes": b'"\xff\xfe"'}
+    for name, content in others.items():
+        (tmp_path / name).write_bytes(content)
+    approved = {name: sha(text) for name, (text, _) in IMPORTED.items()}
+    approved |= {"edited": sha("[1]"), "bytes": hashlib.sha256(others["bytes"]).hexdigest(), "lost": sha("[4]")}
+    manifest = spark.createDataFrame(
+        [(f"file:{tmp_path}/{n}", digest) for n, digest in approved.items()], "path string, sha256 string"
+    )
+    rows = {r.path.rsplit("/", 1)[1]: r for r in import_documents(read_files(spark, str(tmp_path)), manifest).collect()}
+    assert {name: r.reject_reason for name, r in rows.items()} == {
+        **{name: reason for name, (_, reason) in IMPORTED.items()},
+        "edited": "digest_mismatch", "stray": "not_approved", "bytes": "invalid_json", "lost": "missing",
     }
-    assert {r.version for r in out if r.text == good} == {"sha256:" + sha(good)}
+    assert {rows[n].version for n in ("nested", "bare")} == {f"sha256:{approved[n]}" for n in ("nested", "bare")}
+
+
+def test_repeated_observations_of_an_object(spark):
+    manifest = spark.createDataFrame([("s", "k", "d", 1), ("s", "m", "d", 1)], "store string, key string, digest string, bytes long")
+    objects = spark.createDataFrame(
+        [("s", "k", "d", 1), ("s", "k", "d", 1), ("s", "m", "d", 1), ("s", "m", "e", 1)], manifest.schema
+    )
+    assert sorted((r.key, r.status) for r in verify_entries(manifest, objects).collect()) == [("k", "ok"), ("m", "ambiguous")]
 
 
 def test_snapshots_are_never_overwritten(spark, tmp_path):

@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from revtide.plans import ORACLES, QUERIES
 from tests.compare import compare, database
 
 SMALL = "/root/testdata/sf0.001"
@@ -12,6 +13,8 @@ EAGER = {
     "generation_upsert",
     "projection_end_state",
     "projection_cursor",
+    "projection_pages",
+    "projection_page_faults",
     "objects_copied",
     "rows_migrated",
     "snapshot_restored",
@@ -25,10 +28,10 @@ def duck():
     return database(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
-    assert name in oracle_sql()
-    _, fault = compare(spark, duck, SMALL, name, queries()[name], oracle_sql()[name])
+    assert name in ORACLES
+    _, fault = compare(spark, duck, SMALL, name, QUERIES[name], ORACLES[name])
     assert fault is None
 
 
@@ -42,19 +45,19 @@ def plan_of(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
 def test_no_query_multiplies_its_inputs(spark, name):
-    plan = plan_of(queries()[name](spark, SMALL))
+    plan = plan_of(QUERIES[name](spark, SMALL))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
 
 def test_journal_filters_reach_the_scan(spark):
-    plan = plan_of(queries()["journal_read"](spark, SMALL))
+    plan = plan_of(QUERIES["journal_read"](spark, SMALL))
     assert "event_type" not in plan.split("ReadSchema")[1]
     assert "GreaterThan" in plan or "event_id" in plan.split("DataFilters")[1]
 
 
 def test_search_keeps_only_the_best_rows_per_task(spark):
     for name in ("knn_dot", "text_any"):
-        assert "TakeOrderedAndProject" in plan_of(queries()[name](spark, SMALL))
+        assert "TakeOrderedAndProject" in plan_of(QUERIES[name](spark, SMALL))

@@ -9,6 +9,7 @@ from revtide.operators.retrieval import (
     admit_candidates,
     authorized_view,
     hydrate,
+    refused_vectors,
     search_text,
     search_vectors,
     vector_candidates,
@@ -168,6 +169,13 @@ def test_admission_refuses_and_never_trims(spark):
     scored = good.withColumn("score", F.col("rank").cast("double"))
     assert admit_candidates(scored, "k", 2, order="asc").first().status == "ok"
     assert admit_candidates(scored, "k", 2, order="desc").first().status == "rejected"
+    assert admit_candidates(candidates(spark, ("a", 1)).union(candidates(spark, ("b", 1))), "k", 2).first().duplicate_rank == 1
+    many = spark.range(1, 400).select(
+        F.col("id").alias("rank"), F.lit("k").alias("kind"), F.col("id").cast("string").alias("id"), F.lit(1).alias("revision")
+    )
+    assert admit_candidates(many, "k", 5).first().candidates == 399
+    with pytest.raises(Exception, match="more than 5 candidates"):
+        hydrate(many, view(spark), [], 5, 5).collect()
     broken = good.withColumn("score", F.lit(float("nan")))
     assert admit_candidates(broken, "k", 2, order="desc").first().status == "rejected"
 
@@ -203,3 +211,34 @@ def test_denial_wins_over_a_failing_read(spark):
             broken, readable(spark), "doc", "text", "quick", "any", [], 1, 1,
             policy=lambda: next(answers, False),
         )
+
+
+def test_small_scores_rank_by_their_full_value(spark):
+    rows = vectors(spark, **{str(n): [n * 1e-8, 0.0] for n in range(1, 10)})
+    assert ids(vector_candidates(rows, [1.0, 0.0], "dot", "k", budget=3)) == ["9", "8", "7"]
+    many = vector_candidates_many(rows, {"q": [1.0, 0.0]}, "dot", "k", budget=3)
+    assert ids(many) == ["9", "8", "7"]
+
+
+def test_vectors_that_cannot_rank_are_reported(spark):
+    rows = vectors(spark, a=[1.0, 2.0], b=[1.0], c=[0.0, 0.0], d=None)
+    got = {r.id: r.reject_reason for r in refused_vectors(rows, 2, "cosine", "k").collect()}
+    assert got == {"b": "dimension_mismatch", "c": "zero_vector", "d": "vector_missing"}
+    assert "c" not in {r.id for r in refused_vectors(rows, 2, "dot", "k").collect()}
+
+
+def test_a_mapping_finds_its_own_texts_only(spark):
+    both = docs(spark).withColumn("profile", F.lit("p")).union(docs(spark).limit(1).withColumn("profile", F.lit("q")))
+    index = build_text_index(both, ["text"])
+    assert ids(text_candidates(index, "doc", "text", "quick", "any", profile="q")) == ["1"]
+    assert ids(text_candidates(index, "doc", "text", "quick", "any", profile="p")) == ["2", "1"]
+    assert ids(text_candidates(index, "doc", "text", "quick", "any")) == []
+
+
+def test_the_metric_belongs_to_the_mapping(spark):
+    mapping = Mapping("d", "p", "m", ("t",), model="m1", dimension=2, metric="dot")
+    assert mapping.fingerprint != Mapping("d", "p", "m", ("t",), model="m1", dimension=2).fingerprint
+    with pytest.raises(Refused):
+        search_vectors(vectors(spark, a=[1.0, 0.0]), view(spark), "k", [1.0, 0.0], "euclid", mapping, [], 1, 1)
+    with pytest.raises(Refused):
+        Mapping("d", "p", "m", ("t",), metric="dot")

@@ -172,3 +172,31 @@ def test_stream_of_lost_operations(spark, tmp_path):
 
 def test_delta_folders_are_named_by_batch():
     assert delta_path("/x", 7) == "/x/deltas/batch_id=7"
+
+
+def test_pages_that_do_not_continue_the_cursor_are_refused(spark, tmp_path):
+    path = str(tmp_path / "p")
+    apply_page(journal(spark, (100, "a", 1, "x")), 0, to_documents, "profile", path)
+    later = journal(spark, (300, "b", 1, "y"))
+    other = later.withColumn("generation", F.lit("g2"))
+    for bad in (
+        journal(spark, (5, "b", 1, "y")),
+        journal(spark, (100, "b", 1, "y")),
+        other,
+        later.unionByName(other.withColumn("position", F.lit(301).cast("long"))),
+        later.unionByName(later),
+    ):
+        with pytest.raises(Refused):
+            apply_page(bad, 1, to_documents, "profile", path)
+    assert read_cursors(spark, path).first().position == 100
+    apply_page(later, 1, to_documents, "profile", path)
+    assert read_cursors(spark, path).first().position == 300
+
+
+def test_another_page_under_a_used_id_is_not_lost(spark, tmp_path):
+    path = str(tmp_path / "p")
+    first = journal(spark, (1, "a", 1, "x"))
+    apply_page(first, 0, to_documents, "profile", path)
+    with pytest.raises(RebuildRequired):
+        apply_page(journal(spark, (2, "new", 1, "y")), 0, to_documents, "profile", path)
+    apply_page(first, 0, to_documents, "profile", path)

@@ -155,3 +155,13 @@ def test_normalisation_is_safe_at_the_edges(spark):
     assert got[1] == f4(0.6, 0.8, 0.0) and math.copysign(1, got[1][2]) == 1
     assert got[2] == f4(0.5**0.5, 0.5**0.5)
     assert got[3] == [1.0, 0.0] and got[4] is None
+
+
+def test_a_row_without_revision_is_refused_alone(spark):
+    rows = spark.createDataFrame([("1", None, "{}"), ("2", 2**60 + 1, "{}"), ("3", -1, "{}")], "id string, revision long, value string")
+    mapping = Mapping("d", "p", "m", ("t",))
+    column = content_digest(mapping, F.lit("k"), F.lit("a"), F.col("revision"), F.col("value"))
+    got = {r.id: r.c for r in rows.coalesce(1).select("id", column.alias("c")).collect()}
+    assert got["1"].reject_reason == got["3"].reject_reason == "revision_invalid"
+    exact = content_digest(mapping, F.lit("k"), F.lit("a"), F.lit(2**60 + 1), F.lit("{}"))
+    assert got["2"].digest == spark.range(1).select(exact.alias("c")).first().c.digest

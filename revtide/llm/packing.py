@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.common import stored
+from revtide.llm.common import slices, stored
 from revtide.llm.encoding import VOCABULARY, text_ids
 
 CAPACITY = 2048
@@ -109,7 +109,7 @@ def _local_bins(vocabulary: str, capacity: int):
         schema = _arrow_schema()
         group = TaskContext.get().partitionId()
         items = []
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 items += [(p["length"], [p]) for p in _pieces(doc_id, text, vocabulary, capacity)]
         bins = _packed(group, 0, items, capacity)

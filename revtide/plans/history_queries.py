@@ -45,6 +45,15 @@ from revtide.sources.journal import check_generation, read_journal
 from revtide.streaming.projection import apply_page, page_faults, read_cursors, run_projection
 
 
+def _feed_end(spark: SparkSession, sf_dir: str) -> int:
+    """The last position of the feed; intervals are fractions of it, so they grow with it."""
+    return table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] + 1
+
+
+def _part_sql(n: int, of: int) -> str:
+    return f"(SELECT (max(event_id) + 1) * {n} // {of} FROM events)"
+
+
 @query(
     "current_state",
     f"""WITH j AS ({JOURNAL_SQL})
@@ -63,10 +72,15 @@ def current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "journal_read",
     f"""SELECT id, position, revision FROM ({JOURNAL_SQL})
-    WHERE position > 1000 AND position <= 8000""",
+    WHERE position > {_part_sql(1, 10)} AND position <= {_part_sql(8, 10)}""",
 )
 def journal_read(spark, sf_dir):
-    feed = read_journal(journal(spark, sf_dir), "user", "g1", after=1000, upto=8000)
+    """Seven tenths of the feed; the interval reaches the stored column, so the scan can skip the rest."""
+    end = _feed_end(spark, sf_dir)
+    after, upto = end // 10, end * 8 // 10
+    # A position is its event's id and one more.
+    stored = table(spark, sf_dir, "events").filter(F.col("event_id").between(after, upto - 1))
+    feed = read_journal(events_as_journal(stored), "user", "g1", after=after, upto=upto)
     return feed.select("id", "position", "revision")
 
 
@@ -314,8 +328,9 @@ _ARRIVAL_SQL = """event_id * 2 + CASE WHEN event_id % 50 = 0 THEN 7 ELSE 0 END""
     "history_check",
     f"""WITH a AS (SELECT event_id + 1 AS position, CAST(user_id AS VARCHAR) AS id,
         1 + (event_id * 3) // 2 AS revision, {_ARRIVAL_SQL} AS arrival FROM events)
-    SELECT position, id, CASE WHEN position <= 100 THEN 'before_cursor'
-      ELSE 'beyond_end' END AS fault FROM a WHERE position <= 100 OR position > 9000
+    SELECT position, id, CASE WHEN position <= {_part_sql(1, 100)} THEN 'before_cursor'
+      ELSE 'beyond_end' END AS fault FROM a
+    WHERE position <= {_part_sql(1, 100)} OR position > {_part_sql(9, 10)}
     UNION ALL
     SELECT position, id, 'not_ascending' FROM (
       SELECT *, lag(position) OVER (ORDER BY arrival) AS before FROM a)
@@ -326,7 +341,8 @@ def history_check(spark, sf_dir):
     event = F.col("position") - 1
     late = F.when(event % 50 == 0, 7).otherwise(0)
     rows = journal(spark, sf_dir).withColumn("arrival", event * 2 + late)
-    faults = check_history(rows, "user", "g1", after=100, end=9000)
+    end = _feed_end(spark, sf_dir)
+    faults = check_history(rows, "user", "g1", after=end // 100, end=end * 9 // 10)
     return faults.select("position", "id", "fault")
 
 
@@ -358,10 +374,10 @@ def history_conflicts(spark, sf_dir):
 
 @query(
     "replay_interval",
-    f"""WITH o AS (SELECT * FROM ({OPERATIONS_SQL}) WHERE position > 500 AND position <= 9000),
+    f"""WITH o AS (SELECT * FROM ({OPERATIONS_SQL}) WHERE position > {_part_sql(1, 20)} AND position <= {_part_sql(9, 10)}),
     f AS ({FOLD_SQL}),
     d AS (SELECT count(*) AS n FROM f WHERE CAST(id AS BIGINT) % 13 = 0),
-    r AS (SELECT coalesce(max(position), 0) >= 9000 AS covered FROM ({OPERATIONS_SQL}))
+    r AS (SELECT coalesce(max(position), 0) >= {_part_sql(9, 10)} AS covered FROM ({OPERATIONS_SQL}))
     SELECT n * 2 AS differences, 0::BIGINT AS conflicts, covered,
       CASE WHEN NOT covered THEN 'history_gap' WHEN n > 0 THEN 'rebuild_required'
            ELSE 'ok' END AS status FROM d, r""",
@@ -369,29 +385,31 @@ def history_conflicts(spark, sf_dir):
 def replay_interval(spark, sf_dir):
     """An interval rebuilt against an intent in which every thirteenth key was altered."""
     ops = operations(journal(spark, sf_dir))
-    interval = ops.filter((F.col("position") > 500) & (F.col("position") <= 9000))
+    end = _feed_end(spark, sf_dir)
+    after, upto = end // 20, end * 9 // 10
+    interval = ops.filter((F.col("position") > after) & (F.col("position") <= upto))
     altered = F.when(F.col("id").cast("long") % 13 == 0, sha(F.lit("x"))).otherwise(F.col("digest"))
     intent = latest(interval).withColumn("digest", altered)
-    return replay_matches(ops, intent, 500, 9000)
+    return replay_matches(ops, intent, after, upto, inspected_end=end)
 
 
 @query(
     "replay_clean",
     f"""SELECT 0::BIGINT AS differences, 0::BIGINT AS conflicts, true AS covered, 'ok' AS status
-    FROM ({OPERATIONS_SQL}) HAVING max(position) >= 900""",
+    FROM ({OPERATIONS_SQL}) HAVING max(position) >= 1""",
 )
 def replay_clean(spark, sf_dir):
     """An intent that the feed rebuilds exactly."""
     ops = operations(journal(spark, sf_dir))
-    interval = ops.filter((F.col("position") > 0) & (F.col("position") <= 900))
-    return replay_matches(ops, latest(interval), 0, 900)
+    end = _feed_end(spark, sf_dir)
+    return replay_matches(ops, latest(ops), 0, end, inspected_end=end)
 
 
 _SPLIT_SQL = f"""
-  s AS (SELECT * FROM ({FOLD_SQL.replace("FROM o)", f"FROM ({OPERATIONS_SQL}) WHERE position <= 5000)")})),
+  s AS (SELECT * FROM ({FOLD_SQL.replace("FROM o)", f"FROM ({OPERATIONS_SQL}) WHERE position <= {_part_sql(1, 2)})")})),
   p AS (SELECT kind, id, CASE WHEN CAST(id AS BIGINT) % 17 = 0 THEN 1 ELSE revision END AS revision,
                tombstone, digest
-        FROM ({FOLD_SQL.replace("FROM o)", f"FROM ({OPERATIONS_SQL}) WHERE position > 5000)")}))
+        FROM ({FOLD_SQL.replace("FROM o)", f"FROM ({OPERATIONS_SQL}) WHERE position > {_part_sql(1, 2)})")}))
 """
 
 
@@ -410,9 +428,10 @@ _SPLIT_SQL = f"""
 def key_state_merge(spark, sf_dir):
     """Stored states met by a page in which every seventeenth key falls back."""
     ops = operations(journal(spark, sf_dir))
-    state = latest(ops.filter("position <= 5000"))
+    half = _feed_end(spark, sf_dir) // 2
+    state = latest(ops.filter(F.col("position") <= half))
     back = F.when(F.col("id").cast("long") % 17 == 0, F.lit(1)).otherwise(F.col("revision"))
-    page = latest(ops.filter("position > 5000")).withColumn("revision", back.cast("long"))
+    page = latest(ops.filter(F.col("position") > half)).withColumn("revision", back.cast("long"))
     return merge_key_state(state, page).select("id", "revision", "status")
 
 

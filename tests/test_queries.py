@@ -55,7 +55,8 @@ def test_no_query_multiplies_its_inputs(spark, name):
 def test_journal_filters_reach_the_scan(spark):
     plan = plan_of(QUERIES["journal_read"](spark, SMALL))
     assert "event_type" not in plan.split("ReadSchema")[1]
-    assert "GreaterThan" in plan or "event_id" in plan.split("DataFilters")[1]
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(event_id," in pushed and "LessThanOrEqual(event_id," in pushed
 
 
 def test_search_keeps_only_the_best_rows_per_task(spark):

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revtide.functions.vectors import is_finite
-from revtide.operators.joins import SALTS, every_lane, fits, lanes
+from revtide.operators.joins import SALTS, every_lane, lanes
 from revtide.verdicts import Refused, first_reason
 
 # Response and geometry limits.
@@ -34,8 +34,6 @@ NO_COVERAGE = "Unable to geocode"
 
 CONTROL = r"[\x00-\x1f\x7f-\x9f]"
 
-#: Most (box, cell) rows that are broadcast; beyond, points and boxes meet in a salted shuffle.
-BROADCAST_CELLS = 100_000
 CELL_DEGREES = 5.0
 
 
@@ -77,9 +75,8 @@ def within_bounds(
     """Every (point, box) pair where the valid box contains the valid point.
 
     ``points`` have ``lon, lat``; ``boxes`` have ``box_id, west, south, east, north``. Both
-    are put on a degree grid and meet on equal cells, then the exact test decides. A small
-    grid of boxes is broadcast after counting it; otherwise points of a cell are spread over
-    ``salts`` lanes so that one crowded cell is not one task.
+    are put on a degree grid and meet on equal cells, then the exact test decides. Points of a
+    cell are spread over ``salts`` lanes so that one crowded cell is not one task.
     """
     columns = int(360 // cell) + 1
 
@@ -102,13 +99,9 @@ def within_bounds(
         .withColumn("_x", index(F.col("lon"), 180.0))
         .withColumn("_y", index(F.col("lat"), 90.0))
     )
-    keys = ["_x", "_y"]
-    if fits(cells, BROADCAST_CELLS):
-        cells = F.broadcast(cells)
-    else:
-        located = located.withColumn("_lane", lanes(*points.columns, salts=salts))
-        cells = cells.withColumn("_lane", every_lane(salts))
-        keys = [*keys, "_lane"]
+    keys = ["_x", "_y", "_lane"]
+    located = located.withColumn("_lane", lanes(*points.columns, salts=salts))
+    cells = cells.withColumn("_lane", every_lane(salts))
     inside = box_contains(w, s, e, n, F.col("lon"), F.col("lat"))
     return located.join(cells, keys).filter(inside).drop(*keys)
 

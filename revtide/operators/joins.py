@@ -5,18 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Lanes a key is spread over when the lookup side is too large to broadcast.
+#: Lanes a key is spread over where both sides are known to meet on few keys.
 SALTS = 16
 
-#: Most lookup rows that are broadcast. Rows are keys and short values, so this is some
-#: tens of megabytes at most.
-BROADCAST_ROWS = 100_000
-
-
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; stops reading once it has more."""
-    return df.limit(rows + 1).count() <= rows
-
 
 def lanes(*cols: str, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int")
@@ -26,23 +17,12 @@ def every_lane(salts: int = SALTS) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
 
 
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    keys: list[str],
-    spread: list[str],
-    how: str = "left",
-    rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join facts with a lookup table that has one row per key.
 
-    A lookup of at most ``rows`` rows is broadcast after counting it. A larger one is
-    repeated per lane and facts are spread over the lanes by the hash of their ``spread``
-    columns, so a key holding a third of the facts fills ``salts`` tasks instead of one.
+    A plain equi-join without a hint, so nothing runs while the query is being built and a stream
+    can be joined, too. At run time Spark broadcasts a lookup whose measured bytes are under
+    ``spark.sql.autoBroadcastJoinThreshold`` and splits a key that holds much of the facts
+    (``spark.sql.adaptive.skewJoin.enabled``).
     """
-    if fits(lookup, rows):
-        return facts.join(F.broadcast(lookup), keys, how)
-    spread_facts = facts.withColumn("_lane", lanes(*spread, salts=salts))
-    repeated = lookup.withColumn("_lane", every_lane(salts))
-    return spread_facts.join(repeated, [*keys, "_lane"], how).drop("_lane")
+    return facts.join(lookup, keys, how)

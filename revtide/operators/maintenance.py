@@ -25,9 +25,6 @@ RECORD_TYPES = (
 )
 CIPHERTEXT_BYTES = 16_384
 
-#: Most keys of a keyring that are broadcast; most rows may well share one key.
-BROADCAST_KEYS = 10_000
-
 
 def archive_counts(records: DataFrame, record_type: str = "record_type") -> DataFrame:
     """One row of counts by record type; values are never read."""
@@ -146,7 +143,7 @@ def rekey_envelopes(
         raise Refused("the keyring holds no single key of that alias and version")
     to = pinned.select("_key").scalar()
     by = ["key_alias", "key_version"]
-    joined = lookup_join(envelopes, keys, by, ["id"], rows=BROADCAST_KEYS).withColumn("_to", to)
+    joined = lookup_join(envelopes, keys, by).withColumn("_to", to)
     context, aad = F.col("context"), F.col("aad")
     opened = joined.withColumn("_plain", unseal(F.col("ciphertext"), F.col("_key"), context, aad))
     # Through a generator: the replacement has a random nonce and must be made only once.

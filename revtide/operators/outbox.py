@@ -302,7 +302,7 @@ def admit_notifications(df: DataFrame, recipients: DataFrame, domain: str) -> Da
     )
     message_id = F.concat(F.lit("<"), F.sha2(F.col("id").cast("binary"), 256), F.lit(f"@{domain}>"))
     return (
-        lookup_join(df, approved, ["recipient"], ["id"])
+        lookup_join(df, approved, ["recipient"])
         .withColumn("reject_reason", reason)
         .withColumn("message_id", F.when(F.col("reject_reason").isNull(), message_id))
         .drop("_approved")

@@ -63,9 +63,7 @@ def import_documents(
         (F.col("bytes") > max_bytes, "too_large"),
         (~F.coalesce(F.col("_digest") == F.col("_sha256"), F.lit(False)), "digest_mismatch"),
     )
-    checked = lookup_join(
-        files.withColumn("_digest", digest), approved, ["path"], ["path"], salts=1
-    ).withColumn("_bytes_reason", admitted)
+    checked = lookup_join(files.withColumn("_digest", digest), approved, ["path"]).withColumn("_bytes_reason", admitted)
     # Only bytes that passed reach the parser.
     parsed = json_reject_reason(F.when(F.col("_bytes_reason").isNull(), F.col("content")))
     judged = checked.withColumn("_json_reason", parsed).withColumn(

@@ -3,7 +3,6 @@ import random
 
 import pytest
 
-from revtide.operators import geo
 from revtide.operators.geo import (
     admit_coordinates,
     assemble_routes,
@@ -46,10 +45,7 @@ def contains(box, lon, lat):
     return inside and south <= lat <= north
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_boxes_equal_brute_force(spark, broadcast, monkeypatch):
-    if not broadcast:
-        monkeypatch.setattr(geo, "BROADCAST_CELLS", 0)
+def test_boxes_equal_brute_force(spark):
     rng = random.Random(5)
     boxes = [(n, *rng.choice([(-180.0, 180.0), (170.0, -170.0), (10.0, 20.0), (-180.0, -180.0), (179.0, 178.0)]), -90.0, 90.0)
              for n in range(5)]

@@ -24,6 +24,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revtide.llm.common import slices
+
 WINDOW = 8
 #: Words of a window that must be literal, so that a row of placeholders says nothing.
 LITERAL = 4
@@ -32,7 +34,7 @@ MIN_WORDS = 13
 #: Bits of the filter that every task gets.
 BITMAP = 1 << 22
 #: Distinct words that one Python worker remembers.
-CACHE = 400_000
+CACHE = 200_000
 
 TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?\n]|[%$€£°]")
 
@@ -172,7 +174,7 @@ def windows(rows: DataFrame, id_column: str, passing=None) -> DataFrame:
                 one, two = _bits(hashes)
                 return bitmap[one] & bitmap[two]
 
-        for batch in batches:
+        for batch in slices(batches):
             out = [[] for _ in range(6)]
             for row_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for found in template_windows(text or "", passes):

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 from revtide.verdicts import Refused
 
+#: Bytes of an object that a task holds at once, and bytes of objects for one task.
+CHUNK_BYTES = 8 << 20
+TASK_BYTES = 1 << 30
+
 COPY_RESULT = (
     "seq long, key string, bytes long, action string, phase string, cause string"
 )
@@ -43,22 +47,46 @@ def _mounted(root: str) -> str:
     return path.rstrip("/")
 
 
-def _fetch(path: str, digest: str, size: int) -> tuple[bytes | None, str | None]:
-    """(content, fault): the whole object if it has the listed length and digest."""
+class Unread(Exception):
+    """An object could not be read; the argument says why."""
+
+
+def _chunks(path: str, size: int) -> Iterator[bytes]:
     try:
         if os.path.getsize(path) != size:
-            return None, "length_mismatch"
+            raise Unread("length_mismatch")
         with open(path, "rb") as file:
-            raw = file.read()
+            while chunk := file.read(CHUNK_BYTES):
+                yield chunk
     except FileNotFoundError:
-        return None, "missing"
+        raise Unread("missing") from None
     except PermissionError:
-        return None, "denied"
-    except OSError:
-        return None, "backend"
-    if len(raw) != size:
-        return None, "length_mismatch"
-    return (raw, None) if hashlib.sha256(raw).hexdigest() == digest else (None, "digest_mismatch")
+        raise Unread("denied") from None
+
+
+def _sent(path: str, size: int, to=None) -> tuple[str | None, str | None]:
+    """(digest, fault) of the object at ``path``, read in chunks and written on to the file ``to``."""
+    read, digest, chunks = 0, hashlib.sha256(), _chunks(path, size)
+    while True:
+        try:
+            chunk = next(chunks, None)
+        except Unread as fault:
+            return None, str(fault)
+        except OSError:
+            return None, "backend"
+        if chunk is None:
+            break
+        read += len(chunk)
+        digest.update(chunk)
+        if to is not None:
+            to.write(chunk)
+    return (digest.hexdigest(), None) if read == size else (None, "length_mismatch")
+
+
+def _fault(path: str, digest: str, size: int) -> str | None:
+    """Why the object at ``path`` is not the listed one; NULL if it is."""
+    found, fault = _sent(path, size)
+    return fault or (None if found == digest else "digest_mismatch")
 
 
 def _cause(fault: str | None) -> str | None:
@@ -70,31 +98,45 @@ def _inside(key: str) -> bool:
     return os.path.normpath(key) == key and not key.startswith(("/", ".."))
 
 
-def _publish(path: str, raw: bytes) -> str:
-    """Create without overwriting: ``created``, or ``existing`` if another writer was first."""
+def _publish(source: str, path: str, digest: str, size: int) -> tuple[str | None, str | None]:
+    """Create without overwriting: (``created`` or ``existing``, fault of the source)."""
     os.makedirs(os.path.dirname(path), exist_ok=True)
     partial = f"{path}.{uuid.uuid4().hex}.partial"
     try:
         with open(partial, "xb") as file:
-            file.write(raw)
+            found, fault = _sent(source, size, file)
+            if fault or found != digest:
+                return None, fault or "digest_mismatch"
             file.flush()
             os.fsync(file.fileno())
         # A hard link appears complete or not at all, and fails if the name is taken.
         os.link(partial, path)
-        return "created"
+        return "created", None
     except FileExistsError:
-        return "existing"
+        return "existing", None
     finally:
         with contextlib.suppress(FileNotFoundError):
             os.unlink(partial)
 
 
-def copy_objects(manifest: DataFrame, source: str, destination: str, tasks: int = 64) -> DataFrame:
+def _spread(manifest: DataFrame, tasks: int | None) -> DataFrame:
+    """The entries dealt out by key, by default to as many tasks as their bytes ask for."""
+    entries = manifest.select("seq", "key", "digest", "bytes")
+    if tasks is None:
+        total = entries.agg(F.sum(F.col("bytes").cast("decimal(38,0)")).alias("n")).first().n or 0
+        parallel = entries.sparkSession.sparkContext.defaultParallelism
+        tasks = max(parallel, -(-int(total) // TASK_BYTES))
+    return entries.repartition(tasks, "key")
+
+
+def copy_objects(
+    manifest: DataFrame, source: str, destination: str, tasks: int | None = None
+) -> DataFrame:
     """Copy every listed object unless the destination already has it: one result per entry.
 
     ``manifest``: ``seq, key, digest, bytes``. Equal content is ``existing``; other content
     under the key is an ``integrity`` failure and is neither overwritten nor deleted. Each
-    created object is read back. Results (not content) are what is returned; a task that
+    created object is read back, in chunks like every other. Results (not content) are what is returned; a task that
     runs twice finds its own objects and reports them as existing.
     """
     from_root, to_root = _mounted(source), _mounted(destination)
@@ -106,21 +148,20 @@ def copy_objects(manifest: DataFrame, source: str, destination: str, tasks: int
         if not _inside(key):
             return result(phase="destination_read", cause="invalid")
         target = f"{to_root}/{key}"
-        _, fault = _fetch(target, digest, size)
+        fault = _fault(target, digest, size)
         if fault is None:
             return result("existing")
         if fault != "missing":
             return result(phase="destination_read", cause=_cause(fault))
-        raw, fault = _fetch(f"{from_root}/{key}", digest, size)
-        if fault is not None:
-            return result(phase="source_read", cause=_cause(fault))
         try:
-            action = _publish(target, raw)
+            action, fault = _publish(f"{from_root}/{key}", target, digest, size)
+            if fault is not None:
+                return result(phase="source_read", cause=_cause(fault))
         except PermissionError:
             return result(phase="create", cause="denied")
         except OSError:
             return result(phase="create", cause="unknown")
-        _, fault = _fetch(target, digest, size)
+        fault = _fault(target, digest, size)
         if fault is not None:
             return result(phase="destination_verify", cause=_cause(fault))
         return result(action)
@@ -134,11 +175,10 @@ def copy_objects(manifest: DataFrame, source: str, destination: str, tasks: int
             ]
             yield pd.DataFrame(rows, columns=columns)
 
-    spread = manifest.select("seq", "key", "digest", "bytes").repartition(tasks, "key")
-    return spread.mapInPandas(run, COPY_RESULT)
+    return _spread(manifest, tasks).mapInPandas(run, COPY_RESULT)
 
 
-def verify_objects(manifest: DataFrame, root: str, tasks: int = 64) -> DataFrame:
+def verify_objects(manifest: DataFrame, root: str, tasks: int | None = None) -> DataFrame:
     """Read every listed object under a mounted folder: ``seq, key, bytes, status``.
 
     Listed entries only, each read by the task that holds its entry; empty objects count.
@@ -148,10 +188,9 @@ def verify_objects(manifest: DataFrame, root: str, tasks: int = 64) -> DataFrame
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             statuses = [
-                (_fetch(f"{mounted}/{k}", d, int(b))[1] or "ok") if _inside(k) else "invalid"
+                (_fault(f"{mounted}/{k}", d, int(b)) or "ok") if _inside(k) else "invalid"
                 for k, d, b in zip(batch["key"], batch["digest"], batch["bytes"])
             ]
             yield batch[["seq", "key", "bytes"]].assign(status=statuses)
 
-    spread = manifest.select("seq", "key", "digest", "bytes").repartition(tasks, "key")
-    return spread.mapInPandas(run, "seq long, key string, bytes long, status string")
+    return _spread(manifest, tasks).mapInPandas(run, "seq long, key string, bytes long, status string")

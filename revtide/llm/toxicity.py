@@ -23,6 +23,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revtide.llm.common import slices
+
 #: Labelled rows for each value of the last category that the chain is fitted on.
 SAMPLE = 4000
 FOLDS = 3
@@ -33,9 +35,11 @@ ERRORS = 6.0
 SPACE = 1 << 20
 PREFIXES = (3, 4, 5)
 STEPS = 300
+#: Out-of-fold precision that a threshold must have.
+PRECISION = 0.95
 RIDGE = 1e-3
 #: Distinct words that one Python worker remembers.
-CACHE = 400_000
+CACHE = 100_000
 
 _EDGES = ".,;:!?\"'()[]{}|*#$%&_-"
 
@@ -123,7 +127,7 @@ def _log_odds(model: Linear, rows: list, odds):
 
 
 def _best_threshold(probabilities, labels) -> float:
-    """The middle of the widest range of thresholds with the best F1."""
+    """The middle of the range of thresholds with the best F1 among those of ``PRECISION`` or more; over 1 if there is none."""
     import numpy as np
 
     known = ~np.isnan(labels)
@@ -132,10 +136,11 @@ def _best_threshold(probabilities, labels) -> float:
         return 2.0
     order = np.argsort(-p, kind="stable")
     hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    taken = np.arange(1, len(y) + 1)
+    below = np.append(p[order][1:], 0.0)
+    f1 = np.where((hits >= PRECISION * taken) & (p[order] > below), 2 * hits / (taken + y.sum()), 0.0)
     last = len(f1) - 1 - int(np.argmax(f1[::-1] >= f1.max() - 1e-12))
-    below = p[order[last + 1]] if last + 1 < len(p) else 0.0
-    return float((p[order[last]] + below) / 2)
+    return float((p[order][last] + below[last]) / 2) if f1[last] > 0 else 2.0
 
 
 def fit_chain(rows: list, labels: dict, folds) -> Chain:
@@ -215,7 +220,7 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
         import pyarrow as pa
 
         hits = Hits(set().union(*(m.features for m in chain.models)))
-        for batch in batches:
+        for batch in slices(batches):
             rows = [_probabilities(chain, hits, t) for t in batch.column(1).to_pylist()]
             columns = [pa.array([r[i] for r in rows], pa.float64()) for i in range(len(names))]
             toxic = pa.array([r[-1] >= chain.threshold for r in rows], pa.bool_())
@@ -232,7 +237,7 @@ def without_toxic(docs: DataFrame, chain: Chain) -> DataFrame:
         import pyarrow as pa
 
         hits = Hits(set().union(*(m.features for m in chain.models)))
-        for batch in batches:
+        for batch in slices(batches):
             clean = [_probabilities(chain, hits, t)[-1] < chain.threshold for t in batch.column(place).to_pylist()]
             yield batch.filter(pa.array(clean, pa.bool_()))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> None:
@@ -34,6 +35,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hash_filter(hashes: DataFrame, bits: int) -> bytes:
+    """Packed bits of a filter of fixed size over ``hash``, a column of 64-bit hashes.
+
+    Each hash sets two places; at most ``bits`` places reach the driver, whatever the table's size.
+    """
+    import numpy as np
+
+    places = hashes.select(
+        F.explode(
+            F.array(F.expr(f"pmod(hash, {bits}L)"), F.expr(f"pmod(shiftrightunsigned(hash, 32), {bits}L)"))
+        ).alias("place")
+    ).distinct()
+    bitmap = np.zeros(bits, bool)
+    bitmap[places.toPandas()["place"].to_numpy(np.int64)] = True
+    return np.packbits(bitmap).tobytes()
+
+
+def in_filter(packed: bytes):
+    """A function on arrays of signed 64-bit hashes: which of them the filter may hold."""
+    import numpy as np
+
+    bitmap = np.unpackbits(np.frombuffer(packed, np.uint8)).view(bool)
+    bits = np.uint64(len(bitmap))
+
+    def passes(hashes):
+        unsigned = hashes.view(np.uint64)
+        low = (hashes % np.int64(bits)).astype(np.int64)
+        high = ((unsigned >> np.uint64(32)) % bits).astype(np.int64)
+        return bitmap[low] & bitmap[high]
+
+    return passes
+
+
 def slices(batches, rows: int = 512):
     """Arrow batches in parts of at most ``rows``, so that a worker holds few texts as Python objects."""
     for batch in batches:

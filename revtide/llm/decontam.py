@@ -24,7 +24,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.common import slices
+from revtide.llm.common import hash_filter, in_filter, slices
 
 WINDOW = 8
 #: Words of a window that must be literal, so that a row of placeholders says nothing.
@@ -141,7 +141,7 @@ def template_windows(text: str, passes=None) -> list[tuple[int, int, int, str, l
     literal = np.concatenate([[0], np.cumsum(kinds == WORD)])
     good = literal[size:] - literal[: n - size + 1] >= min(LITERAL, size)
     if passes is not None:
-        good &= passes(rolled)
+        good &= passes(rolled.view(np.int64))
     found = []
     for at in np.flatnonzero(good).tolist():
         own = [(int(k), tokens[i].lower()) for k, i in zip(kinds[at : at + size], kept[at : at + size], strict=True)]
@@ -150,30 +150,13 @@ def template_windows(text: str, passes=None) -> list[tuple[int, int, int, str, l
     return found
 
 
-def _bits(hashes):
-    """Two places in the filter of each hash."""
-    import numpy as np
-
-    return (hashes % np.uint64(BITMAP)).astype(np.int64), (
-        (hashes >> np.uint64(32)) % np.uint64(BITMAP)
-    ).astype(np.int64)
-
-
 def windows(rows: DataFrame, id_column: str, passing=None) -> DataFrame:
     """``COLUMNS`` of the windows of every text; ``passing`` is a broadcast of the filter's packed bits."""
 
     def compute(batches):
-        import numpy as np
         import pyarrow as pa
 
-        passes = None
-        if passing is not None:
-            bitmap = np.unpackbits(np.frombuffer(passing.value, np.uint8)).view(bool)
-
-            def passes(hashes):
-                one, two = _bits(hashes)
-                return bitmap[one] & bitmap[two]
-
+        passes = in_filter(passing.value) if passing is not None else None
         for batch in slices(batches):
             out = [[] for _ in range(6)]
             for row_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -188,23 +171,6 @@ def windows(rows: DataFrame, id_column: str, passing=None) -> DataFrame:
     return selected.mapInArrow(compute, COLUMNS)
 
 
-def _filter_of(benchmark_windows: DataFrame):
-    """The packed filter: at most ``BITMAP`` places reach the driver."""
-    import numpy as np
-
-    places = benchmark_windows.select(
-        F.explode(
-            F.array(
-                F.expr(f"pmod(hash, {BITMAP}L)"),
-                F.expr(f"pmod(shiftrightunsigned(hash, 32), {BITMAP}L)"),
-            )
-        ).alias("place")
-    ).distinct()
-    bitmap = np.zeros(BITMAP, bool)
-    bitmap[places.toPandas()["place"].to_numpy(np.int64)] = True
-    return np.packbits(bitmap).tobytes()
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, matched_words, item_words, exact`` of every document that leaks an item.
 
@@ -213,7 +179,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     context = docs.sparkSession.sparkContext
     items = windows(benchmark, "item_id")
-    passing = context.broadcast(_filter_of(items))
+    passing = context.broadcast(hash_filter(items, BITMAP))
     own = items.select(
         "hash",
         "template",

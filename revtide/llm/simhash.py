@@ -6,7 +6,7 @@ Two differing positions put at most two linear conditions on three bits, so some
 zero on both, and its mask covers neither: each pair within two bits falls into one bucket of
 some table. No list of candidates is sampled or cut.
 
-Buckets are not paired out. A fingerprint that shares a bucket emits itself and its neighbours
+Buckets of three or more are not paired out. A fingerprint in one emits itself and its neighbours
 over the positions that its buckets leave open; fingerprints that meet in one neighbour are at
 most two bits apart, and any two at most two bits apart meet in one. Each such meeting is tied to
 its least member, so a group of n copies costs n links.
@@ -24,12 +24,10 @@ empty result.
 
 from __future__ import annotations
 
-import hashlib
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revtide.llm.common import stored
+from revtide.llm.common import hash_filter, in_filter, slices, stored
 from revtide.llm.components import connected_components
 
 BITS = 64
@@ -40,6 +38,8 @@ BLOCK = 1 << 15
 #: A part of a text ends where a shingle's hash is a multiple of it.
 PART_SHINGLES = 32
 SHINGLE_WORDS = 5
+#: Bits of the filter of texts to be checked.
+FILTER = 1 << 22
 MIN_SIMILARITY = 0.8
 
 
@@ -101,7 +101,7 @@ def fingerprints(docs: DataFrame, size: int) -> DataFrame:
     def compute(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             found = [text_fingerprint(t or "", size) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "fp": pa.array(found, pa.int64())})
 
@@ -124,20 +124,25 @@ def covering_masks() -> list[int]:
 
 def link_fingerprints(fps: DataFrame) -> DataFrame:
     """``node, root`` for every fingerprint of ``fps`` (``fp``, distinct) that has another within two bits."""
-    tables = F.array(
-        *[
-            F.struct(F.lit(n).alias("n"), F.col("fp").bitwiseAND(F.lit(mask)).alias("key"), F.lit(~mask).alias("open"))
-            for n, mask in enumerate(covering_masks())
-        ]
+    masks = covering_masks()
+    # The table's number stands in the low bits of a bucket's key. A clash of keys only adds a
+    # candidate; whether fingerprints are close is settled where they meet.
+    keys = [F.xxhash64(F.col("fp").bitwiseAND(F.lit(m))).bitwiseAND(F.lit(-8)).bitwiseOR(F.lit(n)) for n, m in enumerate(masks)]
+    partitions = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = fps.select("fp", F.explode(F.array(*keys)).alias("key")).repartition(partitions, "key")
+    # Dealt out by bucket once; whether a bucket has two members or more shows in the neighbours.
+    bucket = Window.partitionBy("key").orderBy("fp")
+    beside = {f"b{n}": F.lag("fp", -n).over(bucket) for n in (-2, -1, 1, 2)}
+    placed = stored(keyed.withColumns(beside).filter("coalesce(`b-1`, b1) is not null"))
+    more = F.expr("`b-2` is not null or b2 is not null or (`b-1` is not null and b1 is not null)")
+    # Two in a bucket are held against one another at once; more meet by way of their neighbours.
+    two = placed.filter(~more & F.col("b1").isNotNull()).filter(f"bit_count(fp ^ b1) <= {RADIUS}")
+    open_bits = F.array(*[F.lit(~m) for m in masks])
+    near = (
+        placed.filter(more)
+        .groupBy("fp")
+        .agg(F.bit_or(F.element_at(open_bits, (F.col("key").bitwiseAND(F.lit(7)) + 1).cast("int"))).alias("open"))
     )
-    keyed = fps.select("fp", F.explode(tables).alias("t")).select("fp", "t.n", "t.key", "t.open")
-    shared = (
-        keyed.groupBy("n", "key")
-        .agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
-        .filter("low <> high")
-        .select("n", "key")
-    )
-    near = keyed.join(shared, ["n", "key"], "left_semi").groupBy("fp").agg(F.bit_or("open").alias("open"))
     turned = near.select(
         "fp",
         F.explode(
@@ -149,7 +154,7 @@ def link_fingerprints(fps: DataFrame) -> DataFrame:
     )
     meetings = turned.groupBy("z").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high")
     links = turned.join(meetings.select("z", "low"), "z").filter("fp <> low").select(F.col("fp").alias("a"), F.col("low").alias("b"))
-    return connected_components(links)
+    return connected_components(links.unionAll(two.select(F.col("fp").alias("a"), F.col("b1").alias("b"))))
 
 
 def fingerprint_components(docs: DataFrame, size: int = 3) -> DataFrame:
@@ -174,29 +179,30 @@ def _text_parts(size: int, part: int):
     def compute(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             ids, found = [], []
-            for text in batch.column(0).to_pylist():
+            for text_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = set(part_fingerprints(text, size, part))
-                ids += [hashlib.md5(text.encode()).hexdigest()] * len(own)
+                ids += [text_id] * len(own)
                 found += own
-            for at in range(0, len(ids), 50_000):
-                yield pa.RecordBatch.from_pydict(
-                    {"text_id": pa.array(ids[at : at + 50_000]), "fp": pa.array(found[at : at + 50_000], pa.int64())}
-                )
+            yield pa.RecordBatch.from_pydict({"text_id": pa.array(ids, pa.int64()), "fp": pa.array(found, pa.int64())})
 
     return compute
 
 
-def _shingle_sets(size: int):
+def _shingle_sets(size: int, wanted):
+    """Sets of shingles of the texts that the filter ``wanted``, a broadcast, lets through."""
+
     def compute(batches):
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(t, size)).view(np.int64) for t in batch.column(1).to_pylist()]
+        passes = in_filter(wanted.value)
+        for batch in slices(batches):
+            some = batch.filter(pa.array(passes(batch.column(0).to_numpy())))
+            sets = [np.unique(shingle_hashes(t, size)).view(np.int64) for t in some.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict(
-                {"text_id": batch.column(0), "shingles": pa.array(sets, pa.list_(pa.int64()))}
+                {"text_id": some.column(0), "shingles": pa.array(sets, pa.list_(pa.int64()))}
             )
 
     return compute
@@ -219,21 +225,25 @@ def _similar(minimum: float):
     return check
 
 
+def _text_id(docs: DataFrame):
+    return F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+
+
 def near_duplicate_groups(
     docs: DataFrame,
     size: int = SHINGLE_WORDS,
     minimum: float = MIN_SIMILARITY,
     part: int = PART_SHINGLES,
 ) -> DataFrame:
-    """``text_id, group_id``: texts (by MD5) in one group with others, and the group's least text.
+    """``text_id, group_id``: texts (by 64-bit hash) in one group with others, and the group's least text.
 
     Two texts are linked if they share a part (its fingerprint within two bits) and their sets of
     ``size``-word shingles have a Jaccard similarity of ``minimum`` or more. Within the texts of one
     part each is held against the least and the greatest, so a part that many texts have costs a
     number of checks in proportion to them. A text in no group is not returned.
     """
-    texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    parts = stored(texts.mapInArrow(_text_parts(size, part), "text_id string, fp long").distinct())
+    texts = docs.select(_text_id(docs).alias("text_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    parts = stored(texts.mapInArrow(_text_parts(size, part), "text_id long, fp long"))
     roots = link_fingerprints(parts.select("fp").distinct())
     classes = parts.join(roots, parts.fp == roots.node, "left").select("text_id", F.coalesce("root", "fp").alias("cls"))
     ends = (
@@ -248,26 +258,26 @@ def near_duplicate_groups(
         .select(F.least("text_id", "end").alias("a"), F.greatest("text_id", "end").alias("b"))
         .distinct()
     )
-    wanted = pairs.select(F.col("a").alias("text_id")).union(pairs.select(F.col("b").alias("text_id"))).distinct()
-    sets = (
-        texts.select(F.md5("text").alias("text_id"), "text")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("text_id")).distinct()
+    # A filter of fixed size spares most texts the way; the join decides.
+    passing = docs.sparkSession.sparkContext.broadcast(hash_filter(wanted.select(F.col("text_id").alias("hash")), FILTER))
+    sets = stored(
+        texts.mapInArrow(_shingle_sets(size, passing), "text_id long, shingles array<long>")
         .join(wanted, "text_id", "left_semi")
         .dropDuplicates(["text_id"])
-        .mapInArrow(_shingle_sets(size), "text_id string, shingles array<long>")
     )
-    sets = stored(sets)
     links = (
         pairs.join(sets.select(F.col("text_id").alias("a"), F.col("shingles").alias("x")), "a")
         .join(sets.select(F.col("text_id").alias("b"), F.col("shingles").alias("y")), "b")
         .select("a", "b", "x", "y")
-        .mapInArrow(_similar(minimum), "a string, b string")
+        .mapInArrow(_similar(minimum), "a long, b long")
     )
     return connected_components(links).select(F.col("node").alias("text_id"), F.col("root").alias("group_id"))
 
 
 def one_of_each_group(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` (all columns) without near and exact copies: of each group the row with the least ``doc_id`` stays."""
-    marked = docs.withColumn("_text_id", F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    marked = docs.withColumn("_text_id", _text_id(docs))
     groups = near_duplicate_groups(docs, **settings)
     ids = marked.select("doc_id", "_text_id")
     kept = (
@@ -277,12 +287,10 @@ def one_of_each_group(docs: DataFrame, **settings) -> DataFrame:
         .agg(F.min(F.struct("doc_id", "_text_id")).alias("k"))
         .select(F.col("k.doc_id").alias("_kept_id"), F.col("k._text_id").alias("_kept_text"))
     )
-    return (
-        marked.join(
-            kept,
-            marked["doc_id"].eqNullSafe(F.col("_kept_id")) & (marked["_text_id"] == F.col("_kept_text")),
-            "left_semi",
-        )
-        .dropDuplicates(["doc_id", "_text_id"])
-        .drop("_text_id")
+    left = marked.join(kept, marked["_text_id"] == kept["_kept_text"]).filter(
+        F.col("doc_id").eqNullSafe(F.col("_kept_id"))
     )
+    # Repeated rows are rare, and to find one row of each the texts have to be dealt out again.
+    if ids.groupBy("doc_id", "_text_id").count().filter("count > 1").limit(1).count():
+        left = left.dropDuplicates(["_text_id"])
+    return left.select(*docs.columns)

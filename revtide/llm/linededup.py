@@ -42,10 +42,11 @@ def _document(docs: DataFrame) -> tuple[Column, Column]:
 
 
 def fingerprint_places(docs: DataFrame) -> DataFrame:
-    """``fp, doc, version, at, size, left, right``: each selected fingerprint and where it is.
+    """``fp, doc, place, left, right``: each selected fingerprint and where it is.
 
-    ``at`` and ``size`` are its first line and its number of lines; ``left`` and ``right`` hold 32
-    bits of the hashes of the two lines before and after it, 0 where there is none.
+    ``place`` holds the 32 bits that tell the text, its first line and whether it has two lines or
+    one; ``left`` and ``right`` hold 32 bits of the hashes of the two lines before and after it, 0
+    where there is none.
     """
     doc, version = _document(docs)
     hashed = docs.select(doc.alias("doc"), version.alias("version"), _lines("text").alias("lines")).select(
@@ -65,11 +66,11 @@ def fingerprint_places(docs: DataFrame) -> DataFrame:
     def around(near: int, far: int) -> str:
         return f"(coalesce(get(h, i + {near}), 0L) & 4294967295L) | shiftleft(coalesce(get(h, i + {far}), 0L), 32)"
 
-    pair = f"struct(x as fp, i as at, 2 as size, {around(-1, -2)} as left, {around(2, 3)} as right)"
-    wide = f"struct(xxhash64(x, 1) as fp, i as at, 1 as size, {around(-1, -2)} as left, {around(1, 2)} as right)"
+    place = "shiftleft(bigint(version), 32) | shiftleft(bigint(i), 1)"
+    pair = f"struct(x as fp, {place} | 1L as place, {around(-1, -2)} as left, {around(2, 3)} as right)"
+    wide = f"struct(xxhash64(x, 1) as fp, {place} as place, {around(-1, -2)} as left, {around(1, 2)} as right)"
     return paired.select(
         "doc",
-        "version",
         F.inline(
             F.expr(
                 f"filter(concat(transform(p, (x, i) -> if({least}, {pair}, null)),"
@@ -87,13 +88,11 @@ def repeated_lines(places: DataFrame, partitions: int) -> DataFrame:
     dealt = places.repartition(partitions, "fp")
     first = (
         dealt.groupBy("fp")
-        .agg(F.min(F.struct("doc", "version", "at", "left", "right")).alias("o"), F.count("*").alias("n"))
+        .agg(F.min(F.struct("doc", "place", "left", "right")).alias("o"), F.count("*").alias("n"))
         .filter("n > 1")
         .select("fp", "o")
     )
-    matched = dealt.join(first, "fp").filter(
-        "doc <> o.doc or version <> o.version or at <> o.at"
-    )
+    matched = dealt.join(first, "fp").filter("doc <> o.doc or place <> o.place")
     low, high = "({c} & 4294967295L)", "shiftrightunsigned({c}, 32)"
 
     def reach(side: str) -> str:
@@ -101,11 +100,12 @@ def repeated_lines(places: DataFrame, partitions: int) -> DataFrame:
         far = f"({high.format(c=side)} <> 0 and {high.format(c=side)} = {high.format(c='o.' + side)})"
         return f"case when not {near} then 0 when not {far} then 1 else 2 end"
 
+    at = "int(shiftrightunsigned(place & 4294967295L, 1))"
     return matched.select(
         "doc",
-        "version",
-        F.expr(f"at - {reach('left')}").alias("first"),
-        F.expr(f"at + size - 1 + {reach('right')}").alias("last"),
+        F.expr("int(shiftright(place, 32))").alias("version"),
+        F.expr(f"{at} - {reach('left')}").alias("first"),
+        F.expr(f"{at} + int(place & 1L) + {reach('right')}").alias("last"),
     )
 
 

@@ -24,11 +24,11 @@ def connected_components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = both.join(least.hint("merge"), "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.filter("a <> b").distinct()
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         lower = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(lower, "a").select(
+        small = down.join(lower.hint("merge"), "a").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
         )
         edges = stored(small.select("e.a", "e.b").filter("a <> b").distinct())

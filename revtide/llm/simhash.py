@@ -17,6 +17,9 @@ moves by about ten of 64 bits at a similarity of 0.8, beyond any affordable radi
 each text's shingles at content-defined places, fingerprints and links the parts, and checks the
 texts that share a part by the exact similarity of their shingle sets.
 
+Joins that grow with the corpus are merge joins by hint: the planner's guess of the size of a
+computed table may be far too low, and would send it to the driver.
+
 Cases: a NULL text counts as empty; a text without words has fingerprint zero. Rows with a NULL
 ``doc_id`` take part, but give no component number. Repeated rows stay. An empty table gives an
 empty result.
@@ -153,7 +156,7 @@ def link_fingerprints(fps: DataFrame) -> DataFrame:
         ).alias("z"),
     )
     meetings = turned.groupBy("z").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high")
-    links = turned.join(meetings.select("z", "low"), "z").filter("fp <> low").select(F.col("fp").alias("a"), F.col("low").alias("b"))
+    links = turned.join(meetings.select("z", "low").hint("merge"), "z").filter("fp <> low").select(F.col("fp").alias("a"), F.col("low").alias("b"))
     return connected_components(links.unionAll(two.select(F.col("fp").alias("a"), F.col("b1").alias("b"))))
 
 
@@ -165,12 +168,12 @@ def fingerprint_components(docs: DataFrame, size: int = 3) -> DataFrame:
     rows = stored(fingerprints(docs, size))
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = link_fingerprints(classes.select("fp"))
-    rooted = classes.join(roots, classes.fp == roots.node, "left").select(
+    rooted = classes.join(roots.hint("merge"), classes.fp == roots.node, "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stored(rooted.join(least, "root").select("fp", "component_id"))
-    return rows.join(named, "fp").select(
+    named = stored(rooted.join(least.hint("merge"), "root").select("fp", "component_id"))
+    return rows.join(named.hint("merge"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -245,14 +248,14 @@ def near_duplicate_groups(
     texts = docs.select(_text_id(docs).alias("text_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     parts = stored(texts.mapInArrow(_text_parts(size, part), "text_id long, fp long"))
     roots = link_fingerprints(parts.select("fp").distinct())
-    classes = parts.join(roots, parts.fp == roots.node, "left").select("text_id", F.coalesce("root", "fp").alias("cls"))
+    classes = parts.join(roots.hint("merge"), parts.fp == roots.node, "left").select("text_id", F.coalesce("root", "fp").alias("cls"))
     ends = (
         classes.groupBy("cls")
         .agg(F.min("text_id").alias("low"), F.max("text_id").alias("high"))
         .filter("low <> high")
     )
     pairs = stored(
-        classes.join(ends, "cls")
+        classes.join(ends.hint("merge"), "cls")
         .select("text_id", F.explode(F.array("low", "high")).alias("end"))
         .filter("text_id <> end")
         .select(F.least("text_id", "end").alias("a"), F.greatest("text_id", "end").alias("b"))
@@ -263,7 +266,7 @@ def near_duplicate_groups(
     passing = docs.sparkSession.sparkContext.broadcast(hash_filter(wanted.select(F.col("text_id").alias("hash")), FILTER))
     sets = stored(
         texts.mapInArrow(_shingle_sets(size, passing), "text_id long, shingles array<long>")
-        .join(wanted, "text_id", "left_semi")
+        .join(wanted.hint("merge"), "text_id", "left_semi")
         .dropDuplicates(["text_id"])
     )
     links = (
@@ -281,13 +284,13 @@ def one_of_each_group(docs: DataFrame, **settings) -> DataFrame:
     groups = near_duplicate_groups(docs, **settings)
     ids = marked.select("doc_id", "_text_id")
     kept = (
-        ids.join(groups, ids["_text_id"] == groups["text_id"], "left")
+        ids.join(groups.hint("merge"), ids["_text_id"] == groups["text_id"], "left")
         .select("doc_id", "_text_id", F.coalesce("group_id", "_text_id").alias("group_id"))
         .groupBy("group_id")
         .agg(F.min(F.struct("doc_id", "_text_id")).alias("k"))
         .select(F.col("k.doc_id").alias("_kept_id"), F.col("k._text_id").alias("_kept_text"))
     )
-    left = marked.join(kept, marked["_text_id"] == kept["_kept_text"]).filter(
+    left = marked.join(kept.hint("merge"), marked["_text_id"] == kept["_kept_text"]).filter(
         F.col("doc_id").eqNullSafe(F.col("_kept_id"))
     )
     # Repeated rows are rare, and to find one row of each the texts have to be dealt out again.

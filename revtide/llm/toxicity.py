@@ -76,6 +76,16 @@ class Chain:
     threshold: float
 
 
+def _largest_square(x) -> float:
+    """The square of the largest singular value of ``x`` or a little more, by power iteration."""
+    import numpy as np
+
+    v = np.ones(x.shape[1], np.float32)
+    for _ in range(30):
+        v = x.T @ (x @ (v / np.linalg.norm(v)))
+    return 1.1 * float(np.linalg.norm(v))
+
+
 def _fit(rows: list, labels, odds) -> Linear:
     """One model; ``rows`` are arrays of features, ``odds`` the earlier categories' columns."""
     import numpy as np
@@ -107,7 +117,7 @@ def _fit(rows: list, labels, odds) -> Linear:
     x[:, len(best) : -1] = odds[known]
     x[:, -1] = 1.0
     weights, pull = np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32)
-    rate_of_step = 4.0 / max(float(np.linalg.norm(x, 2) ** 2 / len(y)), 1e-6)
+    rate_of_step = 4.0 * len(y) / _largest_square(x)
     ridge = np.full(x.shape[1], RIDGE, np.float32)
     ridge[-1] = 0.0
     for step in range(1, STEPS + 1):
@@ -178,7 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
     frame = rows.join(F.broadcast(chosen[0].unionAll(chosen[1])), "_id").toPandas()
     frame = frame.sort_values(["_order", "_id"], kind="stable").reset_index(drop=True)
-    features = [np.fromiter(text_features(t or ""), np.int64) for t in frame["text"]]
+    features = [np.fromiter(text_features(t or ""), np.int32) for t in frame.pop("text")]
     values = {c: frame[c].to_numpy(np.float64, na_value=np.nan) for c in categories}
     return fit_chain(features, values, frame["_order"].to_numpy(np.int64) % FOLDS)
 

@@ -17,22 +17,39 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.encoding import CACHE, ENDS, OTHER, VOCABULARY, whole_ids
+from revtide.llm.common import slices
+from revtide.llm.encoding import CACHE, ENDS, OTHER, VOCABULARY, letter_ids, whole_ids
 
 #: Entries of the broadcast table, a fixed bound.
 FREQUENT = 16_384
-#: Words that the sketch of one task follows.
-TRACKED = 65_536
+#: Words that a sketch follows.
+TRACKED = 32_768
+#: Sketches that are merged at once, and how often that is done before the last merge.
+FAN_IN, LEVELS = 32, 2
 
 COUNTS = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
 def frequent_words(docs: DataFrame) -> list[str]:
-    """The commonest words of all texts, at most ``FREQUENT``; their counts are approximate."""
-    words = docs.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("word"))
-    top = words.agg(F.expr(f"approx_top_k(word, {FREQUENT}, {TRACKED})").alias("top"))
+    """The commonest words of all texts, at most ``FREQUENT``; their counts are approximate.
+
+    The tasks' sketches are merged ``FAN_IN`` at a time, so no task reads those of all others.
+    """
+    words = docs.select(
+        F.explode(F.split(F.lower("text"), r"\s+")).alias("word"),
+        F.floor(F.spark_partition_id() / FAN_IN).alias("part"),
+    )
+    sketches = words.groupBy("part").agg(F.expr(f"approx_top_k_accumulate(word, {TRACKED})").alias("s"))
+    for _ in range(LEVELS):
+        sketches = sketches.groupBy(F.floor(F.col("part") / FAN_IN).alias("part")).agg(
+            F.expr(f"approx_top_k_combine(s, {TRACKED})").alias("s")
+        )
+    # Grouped by a constant: without rows there is no group, and nothing to merge.
+    top = sketches.groupBy(F.lit(0).alias("part")).agg(F.expr(f"approx_top_k_combine(s, {TRACKED})").alias("s")).select(
+        F.expr(f"approx_top_k_estimate(s, {FREQUENT})").alias("top")
+    )
     row = top.select(F.expr("transform(top, t -> t.item)").alias("words")).first()
-    return [w for w in (row.words or []) if w]
+    return [w for w in ((row and row.words) or []) if w]
 
 
 class WordLengths(dict):
@@ -43,9 +60,14 @@ class WordLengths(dict):
         self.vocabulary, self.frequent = vocabulary, frequent
 
     def __missing__(self, word: str) -> int:
-        stem = word[:-1]
-        if word[-1] in ENDS and stem.isalpha():
-            value = self[stem] + self[word[-1]]
+        stem, mark = word[:-1], word[-1]
+        if mark in ENDS and stem.isalpha():
+            seen = stem in self
+            value = self[stem] + self[mark]
+            if not seen:
+                return value
+        elif word.isalpha():
+            value = len(letter_ids(self.vocabulary, word))
         else:
             value = len(whole_ids(self.vocabulary, word))
         if len(self) >= CACHE:
@@ -83,7 +105,7 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = 204
         import pyarrow as pa
 
         lengths = _lengths(vocabulary, name, table.value)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             tokens = [text_tokens(lengths, t) for t in texts]
             yield pa.RecordBatch.from_pydict(

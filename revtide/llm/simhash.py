@@ -13,9 +13,8 @@ its least member, so a group of n copies costs n links.
 
 Two operators use it. ``fingerprint_components`` links whole texts' fingerprints.
 ``near_duplicate_groups`` finds texts whose word shingles are similar: a whole-text fingerprint
-moves by about ten of 64 bits at a similarity of 0.8, beyond any affordable radius, so it cuts
-each text's shingles at content-defined places, fingerprints and links the parts, and checks the
-texts that share a part by the exact similarity of their shingle sets.
+moves by about ten of 64 bits at a similarity of 0.8, beyond any affordable radius, so it is an
+exact similarity join of the shingle sets by prefix filter and misses no pair.
 
 Joins that grow with the corpus are merge joins by hint: the planner's guess of the size of a
 computed table may be far too low, and would send it to the driver.
@@ -38,12 +37,18 @@ RADIUS = 2
 SEED = 42
 #: Shingles are turned into bits so many at a time, which bounds the memory of a long text.
 BLOCK = 1 << 15
-#: A part of a text ends where a shingle's hash is a multiple of it.
-PART_SHINGLES = 32
 SHINGLE_WORDS = 5
 #: Bits of the filter of texts to be checked.
 FILTER = 1 << 22
 MIN_SIMILARITY = 0.8
+#: Texts whose shingles are counted, and the shingles kept, to take common ones last.
+ORDER_TEXTS, ORDER_SHINGLES = 4000, 1 << 17
+#: Texts of a class up to which its pairs are counted out.
+SMALL = 16
+#: Times that the texts of large classes are held against a few before all are compared.
+ROUNDS = 3
+#: Texts of a block, on average, and shingles of the matrix that is held at once.
+BLOCK_TEXTS, MATRIX = 128, 4096
 
 
 def shingle_hashes(text: str, size: int):
@@ -178,17 +183,74 @@ def fingerprint_components(docs: DataFrame, size: int = 3) -> DataFrame:
     )
 
 
-def _text_parts(size: int, part: int):
+def _seen_shingles(size: int):
     def compute(batches):
+        import numpy as np
         import pyarrow as pa
 
         for batch in slices(batches):
-            ids, found = [], []
-            for text_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = set(part_fingerprints(text, size, part))
-                ids += [text_id] * len(own)
-                found += own
-            yield pa.RecordBatch.from_pydict({"text_id": pa.array(ids, pa.int64()), "fp": pa.array(found, pa.int64())})
+            for text in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_pydict({"key": np.unique(shingle_hashes(text, size)).view(np.int64)})
+
+    return compute
+
+
+def common_shingles(texts: DataFrame, size: int):
+    """Hashes in order, and their ranks, of the commonest shingles of a sample of ``texts``.
+
+    They only settle the order in which prefixes are taken, so that common shingles come last;
+    any order finds the same pairs.
+    """
+    import numpy as np
+
+    some = texts.filter("text <> ''").orderBy(F.xxhash64("text_id")).limit(ORDER_TEXTS)
+    counts = some.select("text").mapInArrow(_seen_shingles(size), "key long").groupBy("key").count().filter("count > 2")
+    found = counts.orderBy(F.desc("count"), "key").limit(ORDER_SHINGLES).toPandas()
+    keys = found["key"].to_numpy(np.int64)
+    places = np.argsort(keys)
+    return keys[places], found["count"].to_numpy(np.int64)[places]
+
+
+def shared_at_least(n: int) -> int:
+    """How many prefix shingles a text of ``n`` shares at least with any similar one that has as many or more."""
+    return 1 + n // 20
+
+
+def prefix(own, often, ranks, minimum: float):
+    """Of distinct shingles those that come first, so many that similar texts share ``shared_at_least`` of them.
+
+    Texts of x and y shingles with a similarity of ``minimum`` share ``minimum * max(x, y)`` or more.
+    Of the first ``n - minimum * n + k`` of each, in one order for all texts, they share k.
+    """
+    import math
+
+    import numpy as np
+
+    n = len(own)
+    length = n - math.ceil(minimum * n - 1e-9) + shared_at_least(n)
+    if len(often):
+        at = np.minimum(np.searchsorted(often, own), len(often) - 1)
+        own = own[np.lexsort((own, np.where(often[at] == own, ranks[at], 0)))]
+    return own[:length]
+
+
+def _prefixes(size: int, minimum: float, order):
+    def compute(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        often, ranks = order.value
+        for batch in slices(batches):
+            ids, sizes, keys = [], [], []
+            for text in batch.column(1).to_pylist():
+                own = np.unique(shingle_hashes(text, size).view(np.int64))
+                # Texts without words are all alike and meet in one class.
+                keys.append(prefix(own, often, ranks, minimum) if len(own) else np.zeros(1, np.int64))
+                sizes.append(len(own))
+            lengths = [len(k) for k in keys]
+            ids = np.repeat(batch.column(0).to_numpy(), lengths)
+            keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_pydict({"text_id": ids, "n": np.repeat(np.array(sizes, np.int64), lengths), "key": keys})
 
     return compute
 
@@ -232,50 +294,161 @@ def _text_id(docs: DataFrame):
     return F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
 
 
-def near_duplicate_groups(
-    docs: DataFrame,
-    size: int = SHINGLE_WORDS,
-    minimum: float = MIN_SIMILARITY,
-    part: int = PART_SHINGLES,
-) -> DataFrame:
+def _block_links(minimum: float):
+    """Links that join the similar texts of one block, a tree for each of its groups."""
+
+    def compute(table):
+        import numpy as np
+        import pyarrow as pa
+
+        ids = table.column("text_id").to_numpy()
+        chunks = table.column("shingles").combine_chunks()
+        m, lengths = len(ids), np.diff(chunks.offsets.to_numpy()).astype(np.int64)
+        values, place, counts = np.unique(chunks.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(m), lengths)
+        # Shingles that only one text has are in no intersection.
+        column = np.cumsum(counts > 1) - 1
+        kept = counts[place] > 1
+        owner, column = owner[kept], column[place[kept]]
+        ordered = np.argsort(column, kind="stable")
+        owner, column = owner[ordered], column[ordered]
+        common = np.zeros((m, m))
+        for low in range(0, int(column[-1]) + 1 if len(column) else 0, MATRIX):
+            begin, end = np.searchsorted(column, (low, low + MATRIX))
+            has = np.zeros((m, MATRIX), np.float32)
+            has[owner[begin:end], column[begin:end] - low] = 1
+            common += has @ has.T
+        alike = np.triu(common >= minimum * (lengths[:, None] + lengths[None, :] - common), 1)
+        parent = list(range(m))
+
+        def top(x):
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        found = []
+        for x, y in np.argwhere(alike).tolist():
+            p, q = top(x), top(y)
+            if p != q:
+                parent[q] = p
+                found.append((ids[x], ids[y]))
+        left, right = ([pair[i] for pair in found] for i in (0, 1))
+        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+    return compute
+
+
+def _all_pairs(classes: DataFrame, sets: DataFrame, minimum: float) -> DataFrame:
+    """``a, b``: links among the texts of each class (``key, text_id``), dealt out in pairs of blocks."""
+    seen = classes.groupBy("key").agg(F.count("*").alias("m"), F.sum(F.xxhash64("text_id").cast("decimal(38,0)")).alias("of"))
+    # Classes of the same texts are looked at once.
+    once = seen.groupBy("m", "of").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("m") / BLOCK_TEXTS).alias("blocks"))
+    dealt = (
+        classes.join(once.hint("merge"), "key")
+        .withColumn("own", F.pmod(F.xxhash64("text_id"), F.col("blocks")))
+        .select("text_id", "key", "own", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("other"))
+        .select("text_id", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    )
+    rows = dealt.join(sets.hint("merge"), "text_id")
+    return rows.groupBy("key", "i", "j").applyInArrow(_block_links(minimum), "a long, b long")
+
+
+def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: float = MIN_SIMILARITY) -> DataFrame:
     """``text_id, group_id``: texts (by 64-bit hash) in one group with others, and the group's least text.
 
-    Two texts are linked if they share a part (its fingerprint within two bits) and their sets of
-    ``size``-word shingles have a Jaccard similarity of ``minimum`` or more. Within the texts of one
-    part each is held against the least and the greatest, so a part that many texts have costs a
-    number of checks in proportion to them. A text in no group is not returned.
+    Two texts are linked if their sets of ``size``-word shingles have a Jaccard similarity of
+    ``minimum`` or more. Those that may are the texts with a common shingle among their first ones
+    (``prefix``); no such pair is passed over. Pairs of small classes are counted out and checked.
+    In a large class all texts are first held against a few of it, those with the most links; as long
+    as a class has texts of more than one group, in the end all of these are compared in blocks. A text
+    in no group is not returned.
     """
+    spark = docs.sparkSession
     texts = docs.select(_text_id(docs).alias("text_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    parts = stored(texts.mapInArrow(_text_parts(size, part), "text_id long, fp long"))
-    roots = link_fingerprints(parts.select("fp").distinct())
-    classes = parts.join(roots.hint("merge"), parts.fp == roots.node, "left").select("text_id", F.coalesce("root", "fp").alias("cls"))
-    ends = (
-        classes.groupBy("cls")
-        .agg(F.min("text_id").alias("low"), F.max("text_id").alias("high"))
-        .filter("low <> high")
+    order = spark.sparkContext.broadcast(common_shingles(texts, size))
+    keyed = texts.mapInArrow(_prefixes(size, minimum, order), "text_id long, n long, key long")
+    dealt = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").dropDuplicates(["key", "text_id"])
+    classes = stored(dealt.withColumn("m", F.count("*").over(Window.partitionBy("key"))).filter("m > 1"))
+    large = stored(classes.filter(F.col("m") > SMALL).select("key", "text_id", "n"))
+
+    near = F.least("na", "nb") >= F.lit(minimum) * F.greatest("na", "nb") - F.lit(1e-9)
+    each = (
+        "transform(t, (x, i) -> transform(slice(t, i + 2, size(t)),"
+        " y -> named_struct('a', x.text_id, 'na', x.n, 'b', y.text_id, 'nb', y.n)))"
     )
-    pairs = stored(
-        classes.join(ends.hint("merge"), "cls")
-        .select("text_id", F.explode(F.array("low", "high")).alias("end"))
-        .filter("text_id <> end")
-        .select(F.least("text_id", "end").alias("a"), F.greatest("text_id", "end").alias("b"))
-        .distinct()
+    counted = (
+        classes.filter(F.col("m") <= SMALL)
+        .groupBy("key")
+        .agg(F.sort_array(F.collect_list(F.struct("text_id", "n"))).alias("t"))
+        .select(F.inline(F.expr(f"flatten({each})")))
+        .filter(near)
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("shared"), F.min(F.least("na", "nb")).alias("least"))
     )
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("text_id")).distinct()
+    # What two texts share in large classes is not counted out: at most the lesser number of theirs.
+    inside = large.groupBy("text_id").agg(F.count("*").alias("more"))
+    for side in ("a", "b"):
+        own = inside.select(F.col("text_id").alias(side), F.col("more").alias(f"more_{side}"))
+        counted = counted.join(own.hint("merge"), side, "left")
+    rest = F.least(F.coalesce("more_a", F.lit(0)), F.coalesce("more_b", F.lit(0)))
+    small = stored(counted.filter(F.col("shared") + rest >= F.expr("1 + least div 20")).select("a", "b"))
+
+    wanted = stored(small.select(F.explode(F.array("a", "b")).alias("text_id")).unionAll(large.select("text_id")).distinct())
     # A filter of fixed size spares most texts the way; the join decides.
-    passing = docs.sparkSession.sparkContext.broadcast(hash_filter(wanted.select(F.col("text_id").alias("hash")), FILTER))
+    passing = spark.sparkContext.broadcast(hash_filter(wanted.select(F.col("text_id").alias("hash")), FILTER))
     sets = stored(
         texts.mapInArrow(_shingle_sets(size, passing), "text_id long, shingles array<long>")
         .join(wanted.hint("merge"), "text_id", "left_semi")
         .dropDuplicates(["text_id"])
     )
-    links = (
-        pairs.join(sets.select(F.col("text_id").alias("a"), F.col("shingles").alias("x")), "a")
-        .join(sets.select(F.col("text_id").alias("b"), F.col("shingles").alias("y")), "b")
-        .select("a", "b", "x", "y")
-        .mapInArrow(_similar(minimum), "a long, b long")
-    )
-    return connected_components(links).select(F.col("node").alias("text_id"), F.col("root").alias("group_id"))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        return (
+            pairs.join(sets.select(F.col("text_id").alias("a"), F.col("shingles").alias("x")).hint("merge"), "a")
+            .join(sets.select(F.col("text_id").alias("b"), F.col("shingles").alias("y")).hint("merge"), "b")
+            .select("a", "b", "x", "y")
+            .mapInArrow(_similar(minimum), "a long, b long")
+        )
+
+    links = stored(checked(small))
+    roots = connected_components(links)
+    tried = None
+    for turn in range(ROUNDS + 1):
+        if large.isEmpty():
+            break
+        rooted = large.join(roots.hint("merge"), large.text_id == roots.node, "left").select(
+            "key", "text_id", "n", F.coalesce("root", "text_id").alias("root")
+        )
+        mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+        open_rows = stored(rooted.join(mixed.select("key").hint("merge"), "key", "left_semi"))
+        large = open_rows.select("key", "text_id", "n")
+        if open_rows.isEmpty():
+            break
+        if turn == ROUNDS:
+            found = _all_pairs(large.select("key", "text_id"), sets, minimum)
+        else:
+            ends = links.select(F.explode(F.array("a", "b")).alias("text_id")).groupBy("text_id").agg(F.count("*").alias("links"))
+            left = large if tried is None else large.join(tried.hint("merge"), ["key", "text_id"], "left_anti")
+            chosen = left.join(ends.hint("merge"), "text_id", "left").groupBy("key").agg(
+                F.max(F.struct(F.coalesce("links", F.lit(0)), "text_id")).alias("most"), F.min("text_id").alias("least")
+            )
+            chosen = stored(chosen.select("key", F.explode(F.array_distinct(F.array("most.text_id", "least"))).alias("text_id")))
+            tried = chosen if tried is None else tried.unionAll(chosen)
+            held = open_rows.join(chosen.hint("merge"), ["key", "text_id"], "left_semi").select(
+                "key", F.col("text_id").alias("end"), F.col("n").alias("nb"), F.col("root").alias("of")
+            )
+            pairs = (
+                open_rows.withColumnRenamed("n", "na")
+                .join(held.hint("merge"), "key")
+                .filter("root <> of")
+                .filter(near)
+                .select(F.least("text_id", "end").alias("a"), F.greatest("text_id", "end").alias("b"))
+                .distinct()
+            )
+            found = checked(pairs)
+        links = stored(links.unionAll(found))
+        roots = connected_components(links)
+    return roots.select(F.col("node").alias("text_id"), F.col("root").alias("group_id"))
 
 
 def one_of_each_group(docs: DataFrame, **settings) -> DataFrame:

@@ -95,3 +95,36 @@ def test_long_text_in_blocks(monkeypatch):
     text = " ".join(f"w{i % 37}" for i in range(300))
     assert simhash.text_fingerprint(text, 3) % (1 << 64) == brute.simhash(text, 3)
     assert len(simhash.part_fingerprints(text, 5, 4)) > 5
+
+
+def edited_family(copies, seed=5):
+    """A text of 300 words, and copies with five words changed: near the text, not near one another."""
+    draw = random.Random(seed)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(300)]
+    docs = [(copies, " ".join(base), "en", "s", 1)]
+    for i in range(copies):
+        text = base[:]
+        for at in draw.sample(range(10, 290, 6), 5):
+            text[at] = f"x{draw.randrange(10**6)}"
+        docs.append((i, " ".join(text), "en", "s", 1))
+    return docs
+
+
+def left_by_brute_force(docs):
+    texts = {d: set(brute.shingles(t, 5)) for d, t, *_ in docs}
+    linked = lambda a, b: len(texts[a] & texts[b]) >= 0.8 * len(texts[a] | texts[b])
+    return {d for d, r in brute.groups(texts, linked).items() if d == r}
+
+
+def test_a_family_of_edited_copies_is_one_group(spark):
+    docs = edited_family(300)
+    assert left_by_brute_force(docs) == {0}
+    assert [r.doc_id for r in simhash.one_of_each_group(brute.documents(spark, docs)).collect()] == [0]
+
+
+def test_large_classes_are_compared_in_blocks(spark, monkeypatch):
+    for name, value in (("SMALL", 2), ("ROUNDS", 0), ("BLOCK_TEXTS", 16), ("MATRIX", 64)):
+        monkeypatch.setattr(simhash, name, value)
+    docs = edited_family(60) + [(100 + d, t + " more", *r) for d, t, *r in edited_family(20, 6)]
+    kept = {r.doc_id for r in simhash.one_of_each_group(brute.documents(spark, docs)).collect()}
+    assert kept == left_by_brute_force(docs) == {0, 100}

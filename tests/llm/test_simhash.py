@@ -128,3 +128,17 @@ def test_large_classes_are_compared_in_blocks(spark, monkeypatch):
     docs = edited_family(60) + [(100 + d, t + " more", *r) for d, t, *r in edited_family(20, 6)]
     kept = {r.doc_id for r in simhash.one_of_each_group(brute.documents(spark, docs)).collect()}
     assert kept == left_by_brute_force(docs) == {0, 100}
+
+
+def test_short_texts_with_a_changed_word_are_found(spark):
+    draw = random.Random(12)
+    docs = []
+    for i, n in enumerate(n for n in (49, 50, 52, 55, 60, 65, 80, 110, 150) for _ in range(25)):
+        base = [f"w{draw.randrange(10**6)}" for _ in range(n)]
+        text = base[:]
+        for at in draw.sample(range(n), max(1, n // 50)):
+            text[at] = f"x{draw.randrange(10**6)}"
+        docs += [(i, " ".join(base), "en", "s", 1), (1000 + i, " ".join(text), "en", "s", 1)]
+    kept = {r.doc_id for r in simhash.one_of_each_group(brute.documents(spark, docs)).collect()}
+    assert kept == left_by_brute_force(docs)
+    assert sum(d >= 1000 for d in kept) < 225 / 2

@@ -2,10 +2,10 @@
 
 A text becomes a template: numbers, names and units turn into typed placeholders, every other word
 is lower-cased. Windows of ``WINDOW`` template words are hashed, and the documents' windows are
-joined with the benchmark's by hash and text. The values that stand in the slots of one alignment
-of a document and an item are then checked: a re-parameterised question replaces values one for
-one, so that each value of the item has a single counterpart in the document and the other way
-round. Alignments whose slots contradict one another are no leaks.
+joined with the benchmark's by hash and text. A sentence's capitalised first word stands in them as
+a word and, in a second template, as a name. The values that stand in the slots of one alignment of
+a document and an item are then checked, each type of slot by itself (``_agreeing``). Alignments
+whose slots contradict one another are no leaks.
 
 A bitmap of fixed size with the benchmark's window hashes goes to every task and lets those
 windows pass that may match, however large the benchmark is; the join decides.
@@ -24,7 +24,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.common import hash_filter, in_filter, slices
+from revtide.llm.common import hash_filter, in_filter, slices, stored
 
 WINDOW = 8
 #: Words of a window that must be literal, so that a row of placeholders says nothing.
@@ -33,8 +33,12 @@ LITERAL = 4
 MIN_WORDS = 13
 #: Bits of the filter that every task gets.
 BITMAP = 1 << 22
+#: Of so many pairs of values of one type one may contradict the others.
+CONTRADICTIONS = 4
 #: Distinct words that one Python worker remembers.
 CACHE = 200_000
+#: Texts whose windows are hashed at once.
+TOGETHER = 32
 
 TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?\n]|[%$€£°]")
 
@@ -109,48 +113,94 @@ def _mixed(hashes):
     return hashes ^ (hashes >> np.uint64(32))
 
 
-def template_windows(text: str, passes=None) -> list[tuple[int, int, int, str, list[str]]]:
-    """``hash, at, words of the text, template, slot values`` of the windows that ``passes`` lets through.
+def _rolled(hashes, size: int):
+    import numpy as np
+
+    rolled = np.full(len(hashes) - size + 1, np.uint64(size))
+    for j in range(size):
+        rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + hashes[j : len(hashes) - size + 1 + j]
+    return _mixed(rolled)
+
 
-    A capitalised word is a name unless it begins a sentence; a unit follows a number.
+def text_windows(texts: list[str], passes=None, whole: bool = False, short: tuple[int, ...] = ()):
+    """``number of the text, hash, at, words of the text, template, slot values`` of the windows that ``passes`` lets through.
+
+    A capitalised word is a name unless it begins a sentence; a unit follows a number. A window with
+    a capitalised word that begins a sentence comes a second time with it as a name, and, if ``whole``
+    is set, each window with placeholders comes once more with all values as words. ``short`` has the
+    sizes below ``WINDOW`` in which all windows of longer texts are taken, too.
     """
     import numpy as np
 
-    tokens = TOKEN.findall(text)
-    if not tokens:
-        return []
+    tokens: list[str] = []
+    ends = np.zeros(len(texts) + 1, np.int64)
+    for i, text in enumerate(texts):
+        tokens.append("\n")
+        tokens += TOKEN.findall(text)
+        ends[i + 1] = len(tokens)
+    if len(tokens) == len(texts):
+        return
     words = _words()
     numbers = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
     kinds = np.frombuffer(words.kinds, np.int8)[numbers]
     before = np.concatenate([[END], kinds[:-1]])
-    kinds[(kinds == NAME) & (before == END)] = WORD
     kinds[(kinds == UNIT) & (before != NUMBER)] = WORD
-    hashes = np.where(
-        kinds == WORD, np.frombuffer(words.hashes, np.uint64)[numbers], _slot_hashes()[kinds]
-    )
+    named = kinds
+    kinds = np.where((kinds == NAME) & (before == END), WORD, kinds)
     kept = np.flatnonzero(kinds != END)
-    kinds, hashes = kinds[kept], hashes[kept]
-    n = len(kept)
-    if not n:
-        return []
-    size = min(WINDOW, n)
-    rolled = np.full(n - size + 1, np.uint64(size))
-    for j in range(size):
-        rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + hashes[j : n - size + 1 + j]
-    rolled = _mixed(rolled)
-    literal = np.concatenate([[0], np.cumsum(kinds == WORD)])
-    good = literal[size:] - literal[: n - size + 1] >= min(LITERAL, size)
-    if passes is not None:
-        good &= passes(rolled.view(np.int64))
-    found = []
-    for at in np.flatnonzero(good).tolist():
-        own = [(int(k), tokens[i].lower()) for k, i in zip(kinds[at : at + size], kept[at : at + size], strict=True)]
-        template = " ".join(PLACEHOLDER.get(k, t) for k, t in own)
-        found.append((int(rolled[at : at + 1].view(np.int64)[0]), at, n, template, [t for k, t in own if k in PLACEHOLDER]))
-    return found
-
-
-def windows(rows: DataFrame, id_column: str, passing=None) -> DataFrame:
+    if not len(kept):
+        return
+    kinds, named, owner = kinds[kept], named[kept], np.searchsorted(ends, kept, "right") - 1
+    plain = np.frombuffer(words.hashes, np.uint64)[numbers[kept]]
+    lengths = np.bincount(owner, minlength=len(texts))
+    begin = np.concatenate([[0], np.cumsum(lengths)])
+    forms = [kinds]
+    if (named != kinds).any():
+        forms.append(named)
+    if whole:
+        forms.append(np.full_like(kinds, WORD))
+    hashed = [plain if (f == WORD).all() else np.where(f == WORD, plain, _slot_hashes()[f]) for f in forms]
+    changed = [np.concatenate([[0], np.cumsum(f != kinds)]) for f in forms]
+    literal = [np.concatenate([[0], np.cumsum(f == WORD)]) for f in forms]
+    for size in range(1, min(WINDOW, len(kept)) + 1):
+        fits = owner[: len(kept) - size + 1] == owner[size - 1 :]
+        if size < WINDOW and size not in short:
+            fits &= lengths[owner[: len(fits)]] == size
+        if not fits.any():
+            continue
+        for number, form in enumerate(forms):
+            good = fits & (literal[number][size:] - literal[number][: len(fits)] >= min(LITERAL, size))
+            if number:
+                good &= changed[number][size:] > changed[number][: len(fits)]
+            if not good.any():
+                continue
+            if size < WINDOW and not short:
+                # Few texts are so short; no need to hash all others' windows.
+                starts = np.flatnonzero(good)
+                rolled = np.array([_rolled(hashed[number][at : at + size], size)[0] for at in starts], np.uint64)
+            else:
+                rolled = _rolled(hashed[number], size)
+                if passes is not None:
+                    good &= passes(rolled.view(np.int64))
+                starts = np.flatnonzero(good)
+                rolled = rolled[starts]
+            if passes is not None and len(starts):
+                through = passes(rolled.view(np.int64))
+                starts, rolled = starts[through], rolled[through]
+            for at, value in zip(starts.tolist(), rolled.view(np.int64).tolist(), strict=True):
+                own = [(int(k), tokens[i].lower()) for k, i in zip(form[at : at + size], kept[at : at + size], strict=True)]
+                template = " ".join(PLACEHOLDER.get(k, t) for k, t in own)
+                text = int(owner[at])
+                slots = [t for k, t in own if k in PLACEHOLDER]
+                yield text, value, at - int(begin[text]), int(lengths[text]), template, slots
+
+
+def template_windows(text: str, passes=None) -> list[tuple[int, int, int, str, list[str]]]:
+    """``hash, at, words of the text, template, slot values`` of the windows of one text."""
+    return [found[1:] for found in text_windows([text], passes)]
+
+
+def windows(rows: DataFrame, id_column: str, passing=None, whole: bool = False, short: tuple[int, ...] = ()) -> DataFrame:
     """``COLUMNS`` of the windows of every text; ``passing`` is a broadcast of the filter's packed bits."""
 
     def compute(batches):
@@ -159,9 +209,10 @@ def windows(rows: DataFrame, id_column: str, passing=None) -> DataFrame:
         passes = in_filter(passing.value) if passing is not None else None
         for batch in slices(batches):
             out = [[] for _ in range(6)]
-            for row_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for found in template_windows(text or "", passes):
-                    for column, value in zip(out, (row_id, *found), strict=True):
+            ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            for at in range(0, len(texts), TOGETHER):
+                for text, *found in text_windows(texts[at : at + TOGETHER], passes, whole, short):
+                    for column, value in zip(out, (ids[at + text], *found), strict=True):
                         column.append(value)
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.string()))
             names = ("id", "hash", "at", "words", "template", "slots")
@@ -171,14 +222,32 @@ def windows(rows: DataFrame, id_column: str, passing=None) -> DataFrame:
     return selected.mapInArrow(compute, COLUMNS)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def _agreeing(kind: str) -> str:
+    """SQL: whether the values of one type of slot go together, but for one in ``CONTRADICTIONS`` of their pairs.
+
+    Different values of the item have different counterparts. Equal names and units have equal ones;
+    equal numbers may be unrelated quantities.
+    """
+    of = f"filter(pairs, p -> p.types = '{kind}')"
+    sides = ("slots",) if kind == PLACEHOLDER[NUMBER] else ("slots", "item_slots")
+    return " and ".join(
+        f"size(array_distinct(transform({of}, p -> p.{side}))) >= size({of}) - size({of}) div {CONTRADICTIONS}" for side in sides
+    )
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataFrame:
     """``doc_id, item_id, matched_words, item_words, exact`` of every document that leaks an item.
 
     ``exact`` tells whether all slot values are the item's own. ``docs`` has ``doc_id`` and ``text``,
-    ``benchmark`` has ``item_id`` and ``text``.
+    ``benchmark`` has ``item_id`` and ``text``. With ``whole``, items shorter than a window are also
+    found inside longer documents, and windows full of placeholders where their values are equal.
     """
     context = docs.sparkSession.sparkContext
-    items = windows(benchmark, "item_id")
+    items = windows(benchmark, "item_id", whole=whole)
+    short = ()
+    if whole:
+        items = stored(items)
+        short = tuple(r.words for r in items.filter(F.col("words") < WINDOW).select("words").distinct().collect())
     passing = context.broadcast(hash_filter(items, BITMAP))
     own = items.select(
         "hash",
@@ -188,18 +257,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.col("words").alias("item_words"),
         F.col("slots").alias("item_slots"),
     )
-    matched = windows(docs, "doc_id", passing).join(own, ["hash", "template"])
+    matched = windows(docs, "doc_id", passing, whole, short).join(own, ["hash", "template"])
     aligned = (
         matched.withColumn("shift", F.col("at") - F.col("item_at"))
+        .withColumn("types", F.expr("regexp_extract_all(template, '<[a-z]+>', 0)"))
         .groupBy(F.col("id").alias("doc_id"), "item_id", "item_words", "shift")
         .agg(
             F.collect_set("item_at").alias("ats"),
-            F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs"),
-        )
-        .filter(
-            "size(array_distinct(pairs.item_slots)) = size(pairs)"
-            " and size(array_distinct(pairs.slots)) = size(pairs)"
+            F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("types", "item_slots", "slots")))).alias("pairs"),
         )
+        .filter(" and ".join(_agreeing(t) for t in PLACEHOLDER.values()))
     )
     # Alignments of one pair cover different words of the item: an inserted word shifts the rest.
     return (
@@ -222,5 +289,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) that leak no item."""
-    tainted = leaks(docs, benchmark).select(F.col("doc_id").alias("_tainted")).distinct()
+    tainted = leaks(docs, benchmark, whole=True).select(F.col("doc_id").alias("_tainted")).distinct()
     return docs.join(tainted, docs["doc_id"].cast("long").eqNullSafe(F.col("_tainted")), "left_anti")

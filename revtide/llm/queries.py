@@ -26,7 +26,7 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_benchmark_decontamination")
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), whole=True)
 
 
 @query("op3_url_filter")

@@ -76,3 +76,23 @@ def test_templates():
     assert windows[0][3] == "then <name> paid <number> <unit> and $ <number>"
     assert windows[0][4] == ["bob", "5", "km", "3,5"]
     assert decontam.template_windows("1 2 3 4 5 6 7 8 9") == []
+
+
+def found_whole(spark, docs, items):
+    documents = brute.documents(spark, [(d, t, "en", "s", 0) for d, t in docs])
+    rows = decontam.leaks(documents, spark.createDataFrame(items, "item_id long, text string"), whole=True).collect()
+    return {(r.doc_id, r.item_id): r.exact for r in rows}
+
+
+def test_exact_copies_of_short_and_dense_items(spark):
+    items = [
+        (1, "short item of five words"),
+        (2, "12 + 30 = 42, 7 + 8 = 15, 20 + 21 = 41"),
+        (3, "Add up 5 kg, 3 kg and 10 kg for Bob"),
+        (4, "The old lighthouse keeper counted seven passing ships before dawn"),
+        (5, "3 + 4"),
+    ]
+    docs = [(i, f"some text ahead {t} and some text after it") for i, t in items]
+    docs += [(10, "a short item of six words"), (11, "12 + 31 = 43, 7 + 9 = 16, 20 + 22 = 42")]
+    got = found_whole(spark, docs, items)
+    assert got == {(i, i): True for i, _ in items}

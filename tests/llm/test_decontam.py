@@ -96,3 +96,12 @@ def test_exact_copies_of_short_and_dense_items(spark):
     docs += [(10, "a short item of six words"), (11, "12 + 31 = 43, 7 + 9 = 16, 20 + 22 = 42")]
     got = found_whole(spark, docs, items)
     assert got == {(i, i): True for i, _ in items}
+
+
+def test_reparameterised_names_at_sentence_starts_and_unrelated_equal_numbers(spark):
+    items = [
+        (1, "Anna has 5 apples in her bag. Anna buys 3 pears from him. Anna eats 2 plums at home."),
+        (2, "the farmer sold 3 baskets of ripe cherries at noon and bought 3 sacks of dry seed before he went home"),
+    ]
+    docs = [(1, f"Read this. {items[0][1].replace('Anna', 'Tom')}"), (2, items[1][1].replace("3 b", "4 b").replace("3 s", "6 s"))]
+    assert found_whole(spark, docs, items) == {(1, 1): False, (2, 2): False}

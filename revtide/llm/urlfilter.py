@@ -2,9 +2,10 @@
 
 The trees see lexical features of the URL: lengths, depth, digit ratio, character entropy,
 parameter counts, hyphens and labels of the host, and statistics of its suffix (how common it is
-and how many of the labelled URLs under it are blocked). The statistics are kept for
-``SUFFIXES`` hash buckets, so their table has a fixed size; in training a URL's own label is left
-out of them. The trees are fitted on a bounded sample of the labelled URLs, those of least hash.
+and how many of the labelled URLs under it are blocked). The statistics count all labelled URLs;
+those of the ``SUFFIXES`` commonest suffixes go to every task, the others are joined. In training a
+URL's own label is left out of them. The trees alone are fitted on a bounded sample of the labelled
+URLs, those of least hash.
 
 Rules are ``host/path`` with an action. A rule fits its host and all subdomains if the URL's path
 starts with the rule's; the longest rule that fits wins, between equals the longer host.
@@ -27,6 +28,7 @@ from revtide.llm.common import stored
 
 #: Labelled URLs that the trees are fitted on.
 SAMPLE = 20_000
+#: Suffixes whose statistics go to every task.
 SUFFIXES = 4096
 TREES, DEPTH, SEED = 20, 3, 7
 #: The rules are part of the plan.
@@ -78,7 +80,7 @@ def fitting_rule(rules: dict[str, str]) -> tuple[Column, Column]:
 
 
 def _lexical(urls: DataFrame) -> DataFrame:
-    """The features that a URL has by itself, and the hash bucket of its suffix."""
+    """The features that a URL has by itself, and its suffix."""
     url = F.lower(F.coalesce("url", F.lit("")))
     length = F.length(url)
     entropy = F.lit(0.0)
@@ -86,7 +88,6 @@ def _lexical(urls: DataFrame) -> DataFrame:
         share = (length - F.length(F.replace(url, F.lit(letter), F.lit("")))) / F.greatest(length, F.lit(1))
         entropy = entropy - F.when(share > 0, share * F.log2(share)).otherwise(0.0)
     query = F.expr(_query())
-    suffix = F.element_at(F.split("host", r"\."), -1)
     return urls.withColumns(
         {
             "length": length.cast("double"),
@@ -99,11 +100,15 @@ def _lexical(urls: DataFrame) -> DataFrame:
             "parameters": F.size(F.expr(f"filter(split({_query()}, '&'), p -> p <> '')")).cast("double"),
             "parameter_length": F.length(query).cast("double"),
             "entropy": entropy,
-            "suffix": F.pmod(F.xxhash64(suffix), F.lit(SUFFIXES)).cast("int"),
+            "suffix": _suffix(),
         }
     )
 
 
+def _suffix() -> Column:
+    return F.element_at(F.split("host", r"\."), -1)
+
+
 def _query() -> str:
     return "regexp_extract(coalesce(url, ''), '[?]([^#]*)', 1)"
 
@@ -112,6 +117,22 @@ def _assembled(rows: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(rows)
 
 
+def _counted(rows: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """``rows`` with ``seen`` and ``bad`` of their ``suffix``, NULL where no labelled URL has it."""
+    common = suffixes.filter("common").select("suffix", "seen", "bad")
+    rows = rows.join(F.broadcast(common), "suffix", "left")
+    rare = suffixes.filter("not common")
+    if rare.isEmpty():
+        return rows
+    # A host holds no slash: rows that have their counts match nothing, and are dealt out evenly.
+    done = F.concat("suffix", F.lit("/"), F.pmod(F.xxhash64("url"), F.lit(4096)).cast("string"))
+    rare = rare.select(F.col("suffix").alias("_rare"), F.col("seen").alias("_seen"), F.col("bad").alias("_bad"))
+    joined = rows.withColumn("_key", F.when(F.col("seen").isNull(), F.col("suffix")).otherwise(done)).join(
+        rare.hint("merge"), F.col("_key") == F.col("_rare"), "left"
+    )
+    return joined.withColumns({"seen": F.coalesce("seen", "_seen"), "bad": F.coalesce("bad", "_bad")}).drop("_key", "_rare", "_seen", "_bad")
+
+
 class UrlModel:
     """The fitted trees and the suffix statistics."""
 
@@ -120,7 +141,7 @@ class UrlModel:
 
     def judged(self, urls: DataFrame) -> DataFrame:
         """``urls`` (with ``host`` and ``path``) and ``_blocked``, 1.0 where the trees say so."""
-        rows = _lexical(urls).join(F.broadcast(self.suffixes), "suffix", "left")
+        rows = _counted(_lexical(urls), self.suffixes)
         seen, bad = F.coalesce("seen", F.lit(0)), F.coalesce("bad", F.lit(0.0))
         rows = rows.withColumns(
             {"suffix_share": seen / F.lit(float(self.total)), "suffix_blocked": (bad + 0.5) / (seen + 1.0)}
@@ -135,11 +156,18 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> UrlModel | None:
         "url", "host", "path", F.col("blocked").cast("double").alias("blocked"), F.xxhash64("url", F.lit(11)).alias("_order")
     )
     rows = stored(_lexical(chosen.orderBy("_order", "url").limit(sample)).coalesce(2))
-    suffixes = stored(rows.groupBy("suffix").agg(F.count("*").alias("seen"), F.sum("blocked").alias("bad")))
-    found = suffixes.agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad")).first()
-    if not found.seen or not 0 < found.bad < found.seen:
+    kinds = rows.agg(F.count("*").alias("n"), F.sum("blocked").alias("bad")).first()
+    if not kinds.n or not 0 < kinds.bad < kinds.n:
         return None
-    others = rows.join(F.broadcast(suffixes), "suffix").withColumns(
+    counts = stored(chosen.groupBy(_suffix().alias("suffix")).agg(F.count("*").alias("seen"), F.sum("blocked").alias("bad")))
+    top = counts.orderBy(F.desc("seen"), "suffix").limit(SUFFIXES).select(F.col("suffix").alias("_top"))
+    suffixes = stored(
+        counts.join(F.broadcast(top), F.col("suffix") == F.col("_top"), "left").select(
+            "suffix", "seen", "bad", F.col("_top").isNotNull().alias("common")
+        )
+    )
+    found = suffixes.agg(F.sum("seen").alias("seen")).first()
+    others = _counted(rows, suffixes).withColumns(
         {
             "suffix_share": F.col("seen") / F.lit(float(found.seen)),
             "suffix_blocked": (F.col("bad") - F.col("blocked") + 0.5) / F.col("seen"),

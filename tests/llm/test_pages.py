@@ -126,3 +126,22 @@ def test_trees_held_out(spark):
     assert odd.count() == 3
     assert urlfilter.train(frame.filter("blocked = 0")) is None
     assert urlfilter.train(frame.limit(0)) is None
+
+
+def test_suffix_statistics_count_all_labelled_urls(spark, monkeypatch):
+    monkeypatch.setattr(urlfilter, "SUFFIXES", 5)
+    draw = random.Random(4)
+    rows = [(i, f"http://h{i}.{draw.choice(['com', f't{i % 150}'])}/{i}", float(i % 2)) for i in range(600)]
+    rows += [(i, f"http://again{i}.t7/{i}", 1.0) for i in range(600, 605)]
+    frame = urlfilter.with_host_and_path(spark.createDataFrame(rows, "page_id long, url string, blocked double"))
+    model = urlfilter.train(frame, sample=100)
+    expected = {}
+    for _, url, blocked in rows:
+        suffix = url.split("/")[2].split(".")[-1]
+        seen, bad = expected.get(suffix, (0, 0.0))
+        expected[suffix] = (seen + 1, bad + blocked)
+    assert model.total == 605
+    assert {r["suffix"]: (r.seen, r.bad) for r in model.suffixes.collect()} == expected
+    counted = urlfilter._counted(urlfilter._lexical(frame.select("page_id", "url", "host", "path")), model.suffixes).collect()
+    assert len(counted) == 605 and all((r.seen, r.bad) == expected[r["suffix"]] for r in counted)
+    assert len(urlfilter.judge(frame.select("page_id", "url"), {}, model).collect()) == 605

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revtide.operators.joins import lookup_join
+from revtide.operators.spacing import spaced
 from revtide.verdicts import Refused, first_reason
 
 # Delivery identity, payload limits and the queue profile's shorter id.
@@ -179,84 +180,14 @@ def dedupe_deliveries(
     output is ``id, ts, <order>``. A duplicate does not extend the window. Rows without an id
     or a time cannot be placed; ``unplaced_deliveries`` has them.
 
-    One id may hold most rows, so an id is never walked as a whole. Its distinct seconds
-    are cut into ranges of ``span`` >= window. A range depends on earlier ones only through
-    the first second it keeps, which lies in its first ``window`` seconds or is the first
-    one after them; so each range reports, for every such start, the second it ends on.
-    Chaining those short lists gives each range its start, and the ranges are then walked
-    independently.
+    One id may hold most rows and the window may be long: see ``operators.spacing``. ``span``
+    is the number of seconds that are walked together.
     """
     if window < 1:
         raise Refused("window must be positive")
-    span = max(window, span or min(65_536, 512 * window))
-    # Ranges are used twice below. Without NULLs left for the join to filter, both uses have
-    # the same plan and share one shuffle.
     timed = df.filter(F.col("id").isNotNull() & F.col("ts").isNotNull())
-    seconds = timed.groupBy("id", "ts").agg(F.min(order).alias("_first"))
-    order_type = seconds.schema["_first"].dataType.simpleString()
-    message = f"struct<ts:bigint,_first:{order_type}>"
-    ranges = (
-        seconds.withColumn("_range", F.coalesce(F.floor(F.col("ts") / F.lit(span)), F.lit(0)))
-        .groupBy("id", "_range")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct(F.col("ts").cast("bigint").alias("ts"), "_first"))
-            ).alias("_sent")
-        )
-    )
-
-    def walk_end(start: Column) -> Column:
-        return F.aggregate(
-            "_sent",
-            start["ts"],
-            lambda last, m: F.when(m["ts"] >= last + window, m["ts"]).otherwise(last),
-        )
-
-    opening = F.col("_sent")[0]["ts"] + window
-    # Starts within the first window of the range, plus the first message after it.
-    starts = F.concat(
-        F.filter("_sent", lambda m: m["ts"] < opening),
-        F.slice(F.filter("_sent", lambda m: m["ts"] >= opening), 1, 1),
-    )
-    chained = (
-        ranges.withColumn(
-            "_moves",
-            F.transform(starts, lambda m: F.struct(m.alias("start"), walk_end(m).alias("end"))),
-        )
-        .groupBy("id")
-        .agg(F.sort_array(F.collect_list(F.struct("_range", "_moves"))).alias("_chain"))
-    )
-    step = F.struct(
-        F.lit(None).cast("bigint").alias("last"),
-        F.array().cast(f"array<struct<_range:bigint,start:{message}>>").alias("path"),
-    )
-
-    def follow(state: Column, link: Column) -> Column:
-        fits = F.filter(
-            link["_moves"],
-            lambda m: state["last"].isNull() | (m["start"]["ts"] >= state["last"] + window),
-        )
-        move = F.get(fits, F.lit(0))
-        entry = F.struct(link["_range"].alias("_range"), move["start"].alias("start"))
-        return F.struct(
-            F.coalesce(move["end"], state["last"]).alias("last"),
-            F.when(move.isNull(), state["path"])
-            .otherwise(F.concat(state["path"], F.array(entry)))
-            .alias("path"),
-        )
-
-    entries = chained.select(
-        "id", F.explode_outer(F.aggregate("_chain", step, follow, lambda s: s["path"])).alias("_e")
-    ).select("id", "_e.*")
-
-    def keep(state: Column, m: Column) -> Column:
-        due = m["ts"] >= F.element_at(state, -1)["ts"] + window
-        return F.when(due, F.concat(state, F.array(m))).otherwise(state)
-
-    kept = ranges.join(entries, ["id", "_range"]).select(
-        "id", F.explode_outer(F.aggregate("_sent", F.array("start"), keep)).alias("_kept")
-    )
-    return kept.select("id", "_kept.ts", F.col("_kept._first").alias(order))
+    seconds = timed.groupBy("id", F.col("ts").cast("bigint").alias("ts")).agg(F.min(order).alias("first"))
+    return spaced(seconds, window, span).withColumnRenamed("first", order)
 
 
 _MAILBOX = (

@@ -165,6 +165,30 @@ def deliveries_deduped(spark, sf_dir):
     return dedupe_deliveries(sent, 300)
 
 
+@query(
+    "deliveries_deduped_day",
+    """WITH RECURSIVE d AS (
+      SELECT CASE WHEN event_id % 2 = 0 THEN 'hot' ELSE 'u' || CAST(user_id % 7 AS VARCHAR) END AS id,
+        event_id * 97 AS ts, min(event_id) AS attempt FROM events GROUP BY 1, 2),
+    kept(id, ts) AS (
+      SELECT id, min(ts) FROM d GROUP BY id
+      UNION ALL
+      SELECT id, ts FROM (
+        SELECT k.id, (SELECT min(d.ts) FROM d WHERE d.id = k.id AND d.ts >= k.ts + 86400) AS ts
+        FROM kept k) WHERE ts IS NOT NULL)
+    SELECT id, ts, attempt FROM kept JOIN d USING (id, ts)""",
+)
+def deliveries_deduped_day(spark, sf_dir):
+    """A window of a day over seconds that grow with the table; one id has half of all rows."""
+    event = F.col("event_id")
+    sent = table(spark, sf_dir, "events").select(
+        F.when(event % 2 == 0, "hot").otherwise(F.concat(F.lit("u"), text(F.col("user_id") % 7))).alias("id"),
+        (event * 97).alias("ts"),
+        event.alias("attempt"),
+    )
+    return dedupe_deliveries(sent, 86_400)
+
+
 @query(
     "notifications_admitted",
     """WITH n AS (SELECT c_custkey, 'n' || CAST(c_custkey AS VARCHAR) AS id, c_custkey % 23 AS m,

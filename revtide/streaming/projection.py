@@ -1,14 +1,14 @@
 """The projection job: one micro-batch is one page.
 
-Per page: admit it after the cursor, fold, check against the stored states, persist the intent, write the delta, read
-it back, reconcile, and only then commit. A failure leaves the intent and the old cursor;
-the stream then replays the same batch id with the same rows, which must rebuild the stored
-intent before anything is written again.
+Per page: admit it after the cursor, fold, check against the stored states of its keys' buckets, persist
+the intent, write the page, read it back, reconcile, and only then move the cursor. A failure leaves the
+intent and the old cursor; the stream then replays the same batch id with the same rows, which must
+rebuild the stored intent before anything is written again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,18 +20,20 @@ from revtide.operators.history import (
     STATE,
     all_ok,
     fold_latest,
-    latest,
     merge_key_state,
     page_verdict,
     reconcile,
 )
 from revtide.sources.generation import (
-    commit,
+    BUCKETS,
+    bucket_of_key,
     committed,
     compact,
     delta_path,
-    path_exists,
-    stored_rows,
+    is_complete,
+    numbered,
+    read_generation,
+    remove,
     write_delta,
 )
 from revtide.verdicts import Refused, first_reason, require_ok, set_difference
@@ -41,9 +43,10 @@ CURSOR = T.StructType(
         T.StructField("kind", T.StringType()),
         T.StructField("generation", T.StringType()),
         T.StructField("position", T.LongType()),
-        T.StructField("batch_id", T.LongType()),
     ]
 )
+#: Pages whose cursors and intents are kept; a page that is older than that can't be repeated.
+KEPT_PAGES = 8
 
 
 class RebuildRequired(RuntimeError):
@@ -54,12 +57,16 @@ def intent_path(path: str, batch_id: int) -> str:
     return f"{path}/intents/batch_id={batch_id}"
 
 
-def known_states(spark: SparkSession, path: str, schema: T.StructType, keys: DataFrame) -> DataFrame:
-    """Stored key states of the page's keys: narrow columns, folded after the semi-join."""
+def cursor_path(path: str, batch_id: int) -> str:
+    return f"{path}/cursors/batch_id={batch_id}"
+
+
+def known_states(
+    spark: SparkSession, path: str, schema: T.StructType, only: Iterable[int] | None = None, before: int | None = None
+) -> DataFrame:
+    """Stored key states in the buckets ``only``: narrow columns of these folders, folded."""
     narrow = T.StructType([f for f in schema.fields if f.name in (*KEY, *STATE)])
-    rows = stored_rows(spark, path, narrow).join(keys.select(*KEY), KEY, "left_semi")
-    ordered = rows.withColumn("_earlier", -F.col("batch_id"))
-    return latest(ordered, KEY, ["revision", "_earlier"]).select(*KEY, *STATE)
+    return read_generation(spark, path, narrow, only, before).select(*KEY, *STATE)
 
 
 def page_faults(batch: DataFrame, cursors: DataFrame) -> DataFrame:
@@ -97,43 +104,60 @@ def _matches_intent(spark: SparkSession, intent: DataFrame, path: str) -> bool:
     return not set_difference(intent, saved, OPERATION).limit(1).count()
 
 
+def _inspect(batch: DataFrame, conflicts: DataFrame, page: DataFrame, cursors: DataFrame, batch_id: int, buckets: int) -> list[int]:
+    """The buckets of the page's keys; refuses a page with faults. One job, at most ``buckets`` and ten rows."""
+    nothing = F.lit(None).cast("string")
+    faults = page_faults(batch, cursors).limit(5).select(F.concat("kind", F.lit(": "), "fault").alias("fault"))
+    broken = conflicts.limit(5).select(F.concat("id", F.lit(": revisions conflict, "), "fault").alias("fault"))
+    own = page.select(bucket_of_key(buckets).alias("bucket")).distinct()
+    rows = (
+        faults.unionByName(broken)
+        .withColumn("bucket", F.lit(None).cast("int"))
+        .unionByName(own.withColumn("fault", nothing))
+        .collect()
+    )
+    found = [r.fault for r in rows if r.bucket is None]
+    if found:
+        raise Refused(f"page {batch_id}: " + ", ".join(map(str, found)))
+    return [r.bucket for r in rows]
+
+
 def apply_page(
     batch: DataFrame,
     batch_id: int,
     to_documents: Callable[[DataFrame], DataFrame],
     profile: str,
     path: str,
+    buckets: int = BUCKETS,
 ) -> None:
     """Apply one page; safe to repeat with the same ``batch_id`` and rows.
 
-    A page whose id is committed already must rebuild the intent stored under that id: ids start
-    anew with a new checkpoint, and another page under an old id would otherwise be lost.
+    A page that is done already must rebuild the intent stored under its id: ids start anew with a new
+    checkpoint, and another page under an old id would otherwise be lost.
     """
     spark = batch.sparkSession
-    base, deltas = committed(spark, path)
-    done = batch_id in deltas or (base is not None and batch_id <= base)
-    documents = to_documents(batch)
-    fold = fold_latest(documents)
+    newest = max(numbered(spark, f"{path}/cursors"), default=None)
+    done = newest is not None and batch_id <= newest
+    fold = fold_latest(to_documents(batch))
     page = fold.latest.persist()
     try:
         intent = page.select(*OPERATION)
         stored_intent = intent_path(path, batch_id)
-        begun = path_exists(spark, f"{stored_intent}/_SUCCESS")
+        begun = is_complete(spark, stored_intent)
         if (begun or done) and not (begun and _matches_intent(spark, intent, stored_intent)):
             raise RebuildRequired(f"page {batch_id} no longer matches its intent")
         if done:
             return
-        at = read_cursors(spark, path) if deltas or base is not None else spark.createDataFrame([], CURSOR)
-        faults = page_faults(batch, at).limit(5).collect()
-        if faults:
-            raise Refused(f"page {batch_id}: " + ", ".join(f"{f.kind}: {f.fault}" for f in faults))
-        if fold.conflicts.limit(1).count():
-            raise Refused("revisions conflict inside the page")
-        merged = merge_key_state(known_states(spark, path, page.schema, page), page)
-        require_ok(page_verdict(merged))
+        at = read_cursors(spark, path)
+        own = _inspect(batch, fold.conflicts, page, at, batch_id, buckets)
+        base, deltas = committed(spark, path)
+        if base is not None or any(n < batch_id for n in deltas):
+            # The buckets' other keys count as kept.
+            merged = merge_key_state(known_states(spark, path, page.schema, own, batch_id), page)
+            require_ok(page_verdict(merged))
         if not begun:
             intent.write.mode("overwrite").parquet(stored_intent)
-        write_delta(page, path, batch_id)
+        write_delta(page, path, batch_id, buckets)
         observed = (
             spark.read.schema(page.schema)
             .parquet(delta_path(path, batch_id))
@@ -141,30 +165,28 @@ def apply_page(
             .withColumn("target", F.lit(path))
         )
         require_ok(all_ok(reconcile(intent, observed, profile, path)))
-        # The cursor follows the inspected batch, filtered events included.
-        (
-            batch.groupBy("kind", "generation")
-            .agg(F.max("position").alias("position"))
-            .withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .coalesce(1)
-            .write.mode("overwrite")
-            .parquet(f"{path}/cursors/batch_id={batch_id}")
-        )
-        commit(spark, path, "delta", batch_id)
+        _move_cursors(batch, at, path, batch_id)
     finally:
         page.unpersist()
 
 
+def _move_cursors(batch: DataFrame, at: DataFrame, path: str, batch_id: int) -> None:
+    """Store every kind's cursor after this page; it follows the inspected batch, filtered events included."""
+    ends = batch.groupBy("kind", "generation").agg(F.max("position").alias("position"))
+    every = at.unionByName(ends).groupBy("kind").agg(F.max_by(F.struct("generation", "position"), "position").alias("_c"))
+    every.select("kind", "_c.*").coalesce(1).write.mode("overwrite").parquet(cursor_path(path, batch_id))
+    for old in numbered(batch.sparkSession, f"{path}/cursors"):
+        if old <= batch_id - KEPT_PAGES:
+            remove(batch.sparkSession, cursor_path(path, old))
+            remove(batch.sparkSession, intent_path(path, old))
+
+
 def read_cursors(spark: SparkSession, path: str) -> DataFrame:
-    """Position per kind after the newest committed page that moved it."""
-    log = spark.read.parquet(f"{path}/log").filter("entry = 'delta'").select("batch_id").distinct()
-    saved = spark.read.schema(CURSOR).parquet(f"{path}/cursors")
-    return (
-        saved.join(log, "batch_id", "left_semi")
-        .groupBy("kind")
-        .agg(F.max_by(F.struct("generation", "position"), "batch_id").alias("_c"))
-        .select("kind", "_c.*")
-    )
+    """Generation and position of each kind after the newest page that is done."""
+    newest = max(numbered(spark, f"{path}/cursors"), default=None)
+    if newest is None:
+        return spark.createDataFrame([], CURSOR)
+    return spark.read.schema(CURSOR).parquet(cursor_path(path, newest))
 
 
 def run_projection(
@@ -175,6 +197,7 @@ def run_projection(
     checkpoint: str,
     once: bool = False,
     compact_every: int | None = None,
+    buckets: int = BUCKETS,
 ):
     """Start the job over a journal stream; ``once`` stops when the backlog is done.
 
@@ -183,9 +206,9 @@ def run_projection(
     """
 
     def page(batch: DataFrame, batch_id: int) -> None:
-        apply_page(batch, batch_id, to_documents, profile, path)
+        apply_page(batch, batch_id, to_documents, profile, path, buckets)
         if compact_every and batch_id % compact_every == compact_every - 1:
-            compact(batch.sparkSession, path, to_documents(batch).schema)
+            compact(batch.sparkSession, path, to_documents(batch).schema, buckets)
 
     writer = stream.writeStream.foreachBatch(page).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -5,15 +5,18 @@ from pyspark.sql import functions as F
 
 from revtide.operators.history import latest
 from revtide.sources.generation import (
-    compact,
+    bucket_of_key,
     committed,
+    compact,
     delta_path,
+    numbered,
     read_generation,
+    stored_rows,
     write_delta,
     write_generation,
 )
 from revtide.sources.journal import JOURNAL, open_journal, read_journal, stream_journal
-from revtide.streaming.projection import RebuildRequired, apply_page, read_cursors, run_projection
+from revtide.streaming.projection import KEPT_PAGES, RebuildRequired, apply_page, known_states, read_cursors, run_projection
 from revtide.streaming.windows import abandoned_stream, dedupe_stream, operation_counts_stream
 from revtide.verdicts import Refused
 
@@ -40,7 +43,9 @@ def test_generation_keeps_the_greatest_revision(spark, tmp_path):
     assert compact(spark, path, first.schema) == 2
     assert committed(spark, path) == (2, [])
     assert state(spark, path, first.schema) == want
+    # A page whose writer died before its end is not seen.
     write_delta(page(spark, ("a", 9, 9, False, "d", "unseen")), path, 3)
+    (tmp_path / "g" / "deltas" / "batch_id=3" / "_SUCCESS").unlink()
     assert state(spark, path, first.schema) == want
     write_generation(page(spark, ("b", 9, 3, False, "d", "back")), path, 3)
     assert state(spark, path, first.schema)[1] == ("b", 3, False, "back")
@@ -68,9 +73,8 @@ def test_a_page_is_safe_to_repeat(spark, tmp_path):
     # A crash after the intent and the write, before the commit: the same page resolves it.
     second = journal(spark, (7, "b", 2, "z"))
     apply_page(second, 1, to_documents, "profile", path)
-    log = sorted((tmp_path / "p" / "log").glob("*.parquet"), key=lambda f: f.stat().st_mtime)
-    log[-1].unlink()
-    assert committed(spark, path) == (None, [0])
+    (tmp_path / "p" / "cursors" / "batch_id=1" / "_SUCCESS").unlink()
+    assert read_cursors(spark, path).first().position == 5
     with pytest.raises(RebuildRequired):
         apply_page(journal(spark, (7, "b", 2, "other")), 1, to_documents, "profile", path)
     assert read_cursors(spark, path).first().position == 5
@@ -170,6 +174,59 @@ def test_stream_of_lost_operations(spark, tmp_path):
     assert got == {"a": "success", "b": "abandoned", "z": "success"}
 
 
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_page_reads_only_its_keys_buckets(spark, tmp_path):
+    path = str(tmp_path / "p")
+    rows = [(n, f"k{n}", 1, "x") for n in range(1, 41)]
+    apply_page(journal(spark, *rows), 0, to_documents, "profile", path)
+    apply_page(journal(spark, (50, "k7", 2, "y"), (51, "k9", 2, "y")), 1, to_documents, "profile", path)
+    schema = to_documents(journal(spark, *rows)).schema
+    keys = spark.createDataFrame([("k", "k7"), ("k", "k9")], "kind string, id string")
+    own = [r[0] for r in keys.select(bucket_of_key()).distinct().collect()]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    states = known_states(spark, path, schema, own)
+    plan = plan_of(states)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for n in own:
+        assert str(n) in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "value" not in plan.split("ReadSchema")[1]
+    read = stored_rows(spark, path, schema, own).select(F.input_file_name().alias("f")).distinct().collect()
+    assert {int(r.f.split("bucket=")[1].split("/")[0]) for r in read} == set(own)
+    every = {(r.id, r.revision) for r in known_states(spark, path, schema).collect()}
+    assert len(every) == 40 and {("k7", 2), ("k9", 2), ("k8", 1)} <= every
+    assert {("k7", 2), ("k9", 2)} <= {(r.id, r.revision) for r in states.collect()} < every
+    assert {r.revision for r in known_states(spark, path, schema, own, before=1).collect()} == {1}
+
+
+def test_compaction_removes_what_the_base_before_it_covers(spark, tmp_path):
+    path = str(tmp_path / "g")
+    first = page(spark, ("a", 1, 1, False, "d", "one"))
+    for n in range(6):
+        write_generation(page(spark, (f"k{n}", n + 2, 1, False, "d", str(n)), ("a", 9 + n, n + 2, False, "d", str(n))), path, n)
+        if n % 2:
+            assert compact(spark, path, first.schema) == n
+    assert numbered(spark, f"{path}/base") == [3, 5] and numbered(spark, f"{path}/deltas") == [4, 5]
+    assert committed(spark, path) == (5, [])
+    assert state(spark, path, first.schema) == [("a", 7, False, "5"), *((f"k{n}", 1, False, str(n)) for n in range(6))]
+
+
+def test_cursors_carry_every_kind_and_old_pages_cannot_return(spark, tmp_path):
+    path = str(tmp_path / "p")
+    other = journal(spark, (7, "a", 1, "x")).withColumn("kind", F.lit("other"))
+    apply_page(other, 0, to_documents, "profile", path)
+    for n in range(1, KEPT_PAGES + 3):
+        apply_page(journal(spark, (n, f"k{n}", 1, "x")), n, to_documents, "profile", path)
+    at = {r.kind: r.position for r in read_cursors(spark, path).collect()}
+    assert at == {"other": 7, "k": KEPT_PAGES + 2}
+    assert len(numbered(spark, f"{path}/cursors")) == KEPT_PAGES == len(numbered(spark, f"{path}/intents"))
+    with pytest.raises(RebuildRequired):
+        apply_page(other, 0, to_documents, "profile", path)
+    apply_page(journal(spark, (5, "k5", 1, "x")), 5, to_documents, "profile", path)
+
+
 def test_delta_folders_are_named_by_batch():
     assert delta_path("/x", 7) == "/x/deltas/batch_id=7"
 

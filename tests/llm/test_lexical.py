@@ -105,7 +105,7 @@ def test_blocks_that_cannot_matter_stay_packed(monkeypatch):
     """A rare term decides; most blocks of the common term are rejected by their maxima."""
     monkeypatch.setattr(lexical, "BLOCK", 16)
     monkeypatch.setattr(lexical, "WINDOW", 64)
-    docs = [(i, "common " * (40 if i < 16 else 1) + ("rare " * 5 if i % 97 == 3 else "") + "filler " * 20) for i in range(2000)]
+    docs = [(i, "common " * ((40 if i < 16 else 1) * (i % 2)) + ("rare " * 5 if i % 97 == 3 else "") + "filler " * 20) for i in range(2000)]
     lists, df = segment(docs)
     query = {t: lexical.weight(len(docs), df[t]) for t in (b"common", b"rare")}
     best = lexical.best_of_segment(lists, query, 5)

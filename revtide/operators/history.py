@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revtide.functions.keys import ID_BYTES, identifier_faults
@@ -104,22 +104,124 @@ def fold_latest(ops: DataFrame, chunk: int = CHUNK) -> Fold:
     return Fold(latest(ops), revision_conflicts(ops, chunk))
 
 
+def _breaks(cur: Column, prev: Column) -> Column:
+    """Whether an operation breaks with the one before it along its key."""
+    same = cur["tombstone"].eqNullSafe(prev["tombstone"]) & cur["digest"].eqNullSafe(prev["digest"])
+    return (cur["revision"] < prev["revision"]) | ((cur["revision"] == prev["revision"]) & ~same)
+
+
+def folded_with_breaks(ops: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``OPERATION`` of the newest row per key and ``breaks``, the number of conflicts along it.
+
+    One shuffle of the rows, by key and range of positions: a range gives its newest, first and last row
+    and its own breaks; then only ranges of a key meet. A key with most of the rows is spread by range.
+    """
+    cut = ops.select(*KEY, F.floor(F.col("position") / F.lit(chunk)).alias("_chunk"), "position", F.struct("position", *STATE).alias("_cur"))
+    inside = Window.partitionBy(*KEY, "_chunk").orderBy("position")
+    ranges = (
+        cut.withColumn("_prev", F.lag("_cur").over(inside))
+        .groupBy(*KEY, "_chunk")
+        .agg(
+            F.count_if(_breaks(F.col("_cur"), F.col("_prev"))).alias("_own"),
+            F.min_by("_cur", "position").alias("_head"),
+            F.max_by("_cur", "position").alias("_tail"),
+            F.max_by("_cur", F.struct("_cur.revision", "position")).alias("_newest"),
+        )
+    )
+    along = Window.partitionBy(*KEY).orderBy("_chunk")
+    return (
+        ranges.withColumn("_before", F.lag("_tail").over(along))
+        .groupBy(*KEY)
+        .agg(
+            F.max_by("_newest", F.struct("_newest.revision", "_newest.position")).alias("_row"),
+            (F.sum("_own") + F.count_if(_breaks(F.col("_head"), F.col("_before")))).alias("breaks"),
+        )
+        .select(*KEY, "_row.*", "breaks")
+    )
+
+
+#: Buckets of keys that are compared by their digests.
+DIGEST_BUCKETS = 4096
+
+
+def key_bucket(buckets: int = DIGEST_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*KEY), F.lit(buckets)).cast("int")
+
+
+def _digests(rows: DataFrame, prefix: str) -> DataFrame:
+    """Per ``_bucket`` the number of rows and two additive digests of them, whatever their order."""
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in OPERATION])
+    return rows.groupBy("_bucket").agg(
+        F.count("*").alias(f"{prefix}_rows"),
+        F.bit_xor(F.xxhash64(*OPERATION, nulls)).alias(f"{prefix}_xor"),
+        F.sum(F.pmod(F.xxhash64(*OPERATION, nulls, F.lit(1)), F.lit(1 << 31))).alias(f"{prefix}_sum"),
+        F.sum("breaks").alias(f"{prefix}_breaks"),
+    )
+
+
+def _compared(rebuilt: DataFrame, intent: DataFrame) -> DataFrame:
+    """Both sides' digests of every bucket, with ``differs``."""
+    both = _digests(rebuilt, "r").join(_digests(intent, "i"), "_bucket", "full_outer")
+    agree = (
+        F.col("r_rows").eqNullSafe(F.col("i_rows"))
+        & F.col("r_xor").eqNullSafe(F.col("i_xor"))
+        & F.col("r_sum").eqNullSafe(F.col("i_sum"))
+    )
+    return both.withColumn("differs", ~agree)
+
+
+def _sides(ops: DataFrame, intent: DataFrame, start: int, end: int, bucket: Column, chunk: int) -> tuple[DataFrame, DataFrame]:
+    interval = ops.filter((F.col("position") > start) & (F.col("position") <= end))
+    rebuilt = folded_with_breaks(interval, chunk).withColumn("_bucket", bucket)
+    return rebuilt, intent.select(*OPERATION, F.lit(0).cast("long").alias("breaks")).withColumn("_bucket", bucket)
+
+
+def replay_buckets(
+    ops: DataFrame, intent: DataFrame, start: int, end: int, bucket: Column | None = None, chunk: int = CHUNK
+) -> DataFrame:
+    """The key buckets in which the rebuilt interval and the stored intent differ, or conflicts lie.
+
+    ``bucket, rebuilt_rows, intent_rows, conflicts``. Only digests meet: neither side's rows are shuffled
+    for it. ``bucket`` is an expression over the key.
+    """
+    compared = _compared(*_sides(ops, intent, start, end, key_bucket() if bucket is None else bucket, chunk))
+    return compared.filter("differs OR r_breaks > 0").select(
+        F.col("_bucket").alias("bucket"),
+        F.coalesce("r_rows", F.lit(0)).alias("rebuilt_rows"),
+        F.coalesce("i_rows", F.lit(0)).alias("intent_rows"),
+        F.coalesce("r_breaks", F.lit(0)).alias("conflicts"),
+    )
+
+
 def replay_matches(
-    ops: DataFrame, intent: DataFrame, start: int, end: int, inspected_end: int | None = None
+    ops: DataFrame,
+    intent: DataFrame,
+    start: int,
+    end: int,
+    inspected_end: int | None = None,
+    bucket: Column | None = None,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """Rebuild ``(start, end]`` and compare it with the stored intent, as one verdict row.
 
     ``ok``; ``rebuild_required`` when the fold differs or conflicts; ``history_gap`` when the
     feed does not reach ``end``. Without ``inspected_end`` the highest position seen counts.
+
+    The interval is read and shuffled once, and folds and conflicts come from that. Both sides are compared by
+    additive digests of key buckets (64 bits of xor, a sum of 31-bit hashes and a count); rows are
+    compared in differing buckets alone.
     """
-    interval = ops.filter((F.col("position") > start) & (F.col("position") <= end))
-    rebuilt, conflicts = fold_latest(interval)
-    differing = set_difference(rebuilt, intent, OPERATION).agg(F.count("*").alias("n"))
-    broken = conflicts.agg(F.count("*").alias("n"))
+    rebuilt, stored = _sides(ops, intent, start, end, key_bucket() if bucket is None else bucket, chunk)
+    compared = _compared(rebuilt, stored)
+    # At most one row for each bucket. An outer join is not pushed below the fold, which would read the feed again.
+    odd = F.broadcast(compared.filter("differs").select(F.col("_bucket").alias("_odd")))
+    apart = [side.join(odd, F.col("_bucket") == F.col("_odd"), "left").filter("_odd IS NOT NULL") for side in (rebuilt, stored)]
+    differing = set_difference(*apart, OPERATION).agg(F.count("*").alias("n"))
     if inspected_end is None:
         reached = ops.agg(F.coalesce(F.max("position"), F.lit(0)).alias("n")).scalar()
     else:
         reached = F.lit(inspected_end)
+    broken = compared.agg(F.coalesce(F.sum("r_breaks"), F.lit(0)).alias("n"))
     verdict = differing.select(
         F.col("n").alias("differences"),
         broken.scalar().alias("conflicts"),

@@ -6,9 +6,10 @@ of the terms) and the live, kind and profile filters. No score leaves the operat
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,10 +25,50 @@ MAX_LIMIT = 64
 MAX_BUDGET = 256
 
 
+#: A stored index deals its documents by length into zones, ``ZONES_PER_DOUBLING`` for each doubling, and
+#: a zone's documents into blocks of about so many.
+ZONES_PER_DOUBLING = 4
+BLOCK_DOCS = 128
+#: Terms of texts, repeats included, whose postings make up one file of a stored index at most.
+FILE_TERMS = 8_000_000
+#: What rounding may add to a sum of parts.
+SLACK = 1e-9
+
+
 class TextIndex(NamedTuple):
     postings: DataFrame
     stats: DataFrame
     rejected: DataFrame
+    lengths: DataFrame
+
+
+_OWN = "profile string, kind string, field string, term string"
+#: Tables of a stored index.
+STORED = {
+    "postings": f"{_OWN}, id string, revision long, tf long, doc_len long, block long, top double, zone int",
+    "blocks": f"{_OWN}, block long, top double, n long, zone int",
+    "zones": f"{_OWN}, zone int, top double, n long",
+    "terms": f"{_OWN}, df long",
+    "stats": "profile string, kind string, field string, n_docs long, total_len long",
+}
+
+
+class StoredTextIndex(NamedTuple):
+    """Postings in folders by zone, clustered by term, with what tells which of them a request needs.
+
+    ``terms`` has each term's number of documents; ``blocks`` and ``zones`` have, for each term, the
+    largest part of a score that it has in a block or zone.
+    """
+
+    postings: DataFrame
+    stats: DataFrame
+    rejected: DataFrame
+    terms: DataFrame
+    blocks: DataFrame
+    zones: DataFrame
+
+
+FIELD = ["profile", "kind", "field"]
 
 
 def check_bounds(limit: int, budget: int, max_limit=MAX_LIMIT, max_budget=MAX_BUDGET) -> None:
@@ -119,30 +160,72 @@ def build_text_index(
     if scratch is not None:
         analysed.write.mode("errorifexists").parquet(scratch)
         stored = docs.sparkSession.read.schema(analysed.schema).parquet(scratch)
-        return TextIndex(_postings(stored), _stats(stored), rejected)
+        return TextIndex(_postings(stored), _stats(stored), rejected, stored.select(*FIELD, "doc_len"))
     lengths = texts.filter(~F.col("bad")).select(
         "profile", "kind", "field", F.size(tokens(F.col("text"))).cast("long").alias("doc_len")
     )
-    return TextIndex(_postings(analysed), _stats(lengths), rejected)
+    return TextIndex(_postings(analysed), _stats(lengths), rejected, lengths)
 
 
-def write_text_index(index: TextIndex, path: str, files: int = 200) -> None:
-    """Store the index clustered by term; a common term spreads over several files by id."""
-    (
-        index.postings.repartitionByRange(files, "profile", "kind", "field", "term", "id")
-        .sortWithinPartitions("profile", "kind", "field", "term", "id")
-        .write.mode("errorifexists")
-        .parquet(f"{path}/postings")
-    )
-    index.stats.write.mode("errorifexists").parquet(f"{path}/stats")
+def _part(mean: Column) -> Column:
+    """A term's share of a score but for its rarity."""
+    length = F.lit(1.0 - B) + F.lit(B) * F.col("doc_len") / mean
+    return F.col("tf") * F.lit(K1 + 1.0) / (F.col("tf") + F.lit(K1) * length)
+
+
+def _zone() -> Column:
+    return F.floor(F.log2("doc_len") * ZONES_PER_DOUBLING).cast("int")
+
 
+def write_text_index(index: TextIndex, path: str, files: int | None = None) -> None:
+    """Store the index by zone and clustered by term; a common term spreads over several files by id.
 
-def read_text_index(spark, path: str) -> TextIndex:
-    postings = spark.read.parquet(f"{path}/postings")
-    empty = postings.limit(0).select(
-        "kind", "id", "revision", "field", F.lit("").alias("reject_reason")
+    Built with ``scratch``, the texts are analysed once. Without ``files`` their number follows from the
+    terms of all texts.
+    """
+    spark = index.stats.sparkSession
+    index.stats.write.mode("errorifexists").parquet(f"{path}/stats")
+    stats = _stored_table(spark, path, "stats")
+    if files is None:
+        total = stats.agg(F.sum("total_len")).first()[0] or 0
+        files = max(1, -(-total // FILE_TERMS))
+    sizes = (
+        index.lengths.filter("doc_len > 0")
+        .groupBy(*FIELD, _zone().alias("zone"))
+        .agg(F.ceil(F.count("*") / F.lit(BLOCK_DOCS)).alias("_blocks"))
+    )
+    means = stats.select(*FIELD, (F.col("total_len") / F.col("n_docs")).alias("_mean"))
+    placed = (
+        index.postings.withColumn("zone", _zone())
+        .join(sizes.join(means, FIELD), [*FIELD, "zone"])
+        .withColumns({"block": F.pmod(F.xxhash64("kind", "id"), "_blocks"), "top": _part(F.col("_mean"))})
     )
-    return TextIndex(postings, spark.read.parquet(f"{path}/stats"), empty)
+    by_term = [*FIELD, "term"]
+    _store(placed, path, "postings", ["zone", *by_term, "id"], files)
+    postings = _stored_table(spark, path, "postings")
+    by_block = postings.groupBy(*by_term, "block", "zone").agg(F.max("top").alias("top"), F.count("*").alias("n"))
+    _store(by_block, path, "blocks", ["zone", *by_term, "block"], max(1, files // 4))
+    by_zone = _stored_table(spark, path, "blocks").groupBy(*by_term, "zone").agg(F.max("top").alias("top"), F.sum("n").alias("n"))
+    _store(by_zone, path, "zones", by_term, max(1, files // 16))
+    counts = _stored_table(spark, path, "zones").groupBy(*by_term).agg(F.sum("n").alias("df"))
+    _store(counts, path, "terms", by_term, max(1, files // 16))
+
+
+def _stored_table(spark, path: str, name: str) -> DataFrame:
+    return spark.read.schema(STORED[name]).parquet(f"{path}/{name}")
+
+
+def _store(rows: DataFrame, path: str, name: str, order: list[str], files: int) -> None:
+    """One table of the index in order; in folders by zone if its order begins with it."""
+    columns = [F.col(c.split()[0]).cast(c.split()[1]) for c in STORED[name].split(", ")]
+    writer = rows.select(*columns).repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("errorifexists")
+    (writer.partitionBy("zone") if order[0] == "zone" else writer).parquet(f"{path}/{name}")
+
+
+def read_text_index(spark, path: str) -> StoredTextIndex:
+    postings, stats, terms, blocks, zones = (_stored_table(spark, path, name) for name in ("postings", "stats", "terms", "blocks", "zones"))
+    empty = postings.limit(0).select("kind", "id", "revision", "field", F.lit("").alias("reject_reason"))
+    return StoredTextIndex(postings, stats, empty, terms, blocks, zones)
 
 
 def check_text_query(field: str, text: str) -> list[str]:
@@ -161,8 +244,112 @@ def ranked(scored: DataFrame, descending: bool, budget: int) -> DataFrame:
     return best.select(place.cast("long").alias("rank"), "kind", "id", "revision")
 
 
+def _scored(weighed: DataFrame) -> DataFrame:
+    """Scores of documents from their hits (``term``, ``part``)."""
+    return (
+        weighed.select("kind", "id", "revision", F.struct("term", "part").alias("_part"))
+        .groupBy("kind", "id", "revision")
+        .agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
+        .select(
+            "kind",
+            "id",
+            "revision",
+            # Added up in the order of terms, one for each query term at most: equal texts then
+            # have equal scores to the last bit, and the id settles their order.
+            F.aggregate("_parts", F.lit(0.0), lambda total, p: total + p["part"]).alias("score"),
+            F.size("_parts").alias("_matched"),
+        )
+    )
+
+
+def _weighed(hits: DataFrame, n: Column, df: Column, mean: Column) -> DataFrame:
+    idf = F.log1p((n - df + 0.5) / (df + 0.5))
+    length = F.lit(1.0 - B) + F.lit(B) * F.col("doc_len") / mean
+    return hits.withColumn("part", idf * F.col("tf") * F.lit(K1 + 1.0) / (F.col("tf") + F.lit(K1) * length))
+
+
+class Request(NamedTuple):
+    """One checked request against a stored index, with the rarity of its terms."""
+
+    wanted: Column
+    terms: list[str]
+    df: dict[str, int]
+    n: int
+    mean: float
+    every: bool
+
+    def idf(self, term: str) -> float:
+        return math.log1p((self.n - self.df[term] + 0.5) / (self.df[term] + 0.5))
+
+    def idf_column(self) -> Column:
+        pairs = [F.lit(x) for t in self.df for x in (t, self.idf(t))]
+        return F.element_at(F.create_map(*pairs), F.col("term"))
+
+    def scored(self, hits: DataFrame) -> DataFrame:
+        pairs = [F.lit(x) for t, d in self.df.items() for x in (t, float(d))]
+        df = F.element_at(F.create_map(*pairs), F.col("term"))
+        found = _scored(_weighed(hits, F.lit(float(self.n)), df, F.lit(self.mean)))
+        return found.filter(F.col("_matched") == len(self.terms)) if self.every else found
+
+
+def _request(index: StoredTextIndex, kind: str, field: str, terms: list[str], mode: str, profile: str) -> Request | None:
+    """None where nothing can be found. At most one row for each term of the request is read."""
+    wanted = (F.col("profile") == profile) & (F.col("kind") == kind) & (F.col("field") == field)
+    if not terms:
+        return None
+    df = {r.term: r.df for r in index.terms.filter(wanted & F.col("term").isin(terms)).select("term", "df").collect()}
+    corpus = index.stats.filter(wanted).agg(F.sum("n_docs").alias("n"), (F.sum("total_len") / F.sum("n_docs")).alias("mean")).first()
+    if not df or (mode == "all" and len(df) < len(terms)):
+        return None
+    return Request(wanted, terms, df, corpus.n, corpus.mean, mode == "all")
+
+
+def _bounds(request: Request, parts: DataFrame, by: list[str]) -> DataFrame:
+    """The best score that a group of documents can reach, by its terms' largest parts; ``n`` documents at most one of them has."""
+    own = parts.filter(request.wanted & F.col("term").isin(list(request.df)))
+    reached = own.groupBy(*by).agg(
+        F.sum(request.idf_column() * F.col("top")).alias("bound"), F.count("*").alias("_terms"), F.max("n").alias("most"), F.min("n").alias("least")
+    )
+    return reached.filter(F.col("_terms") == len(request.terms)) if request.every else reached
+
+
+def pruned_hits(index: StoredTextIndex, request: Request, budget: int) -> DataFrame:
+    """The postings that a request needs for its ``budget`` best documents, and maybe some more.
+
+    Zones with the highest bounds are scored first, as many as should hold ``budget`` documents.
+    The last of these scores is a limit that every document of the result reaches, so zones, and within them blocks,
+    whose bound lies below it are skipped: zones as folders, blocks before their postings are grouped.
+    """
+    own = index.postings.filter(request.wanted & F.col("term").isin(list(request.df)))
+    # A zone is a class of lengths: a few hundred rows at most.
+    zones = sorted(_bounds(request, index.zones, ["zone"]).collect(), key=lambda z: -z.bound)
+    seeds, sure = [], 0
+    for zone in zones:
+        if sure >= budget:
+            break
+        seeds.append(zone.zone)
+        sure += zone.least // 4 if request.every else zone.most
+    first = request.scored(own.filter(F.col("zone").isin(seeds)))
+    least = first.orderBy(F.desc("score")).limit(budget).agg(F.min("score").alias("score"), F.count("*").alias("n")).first()
+    if least.n < budget:
+        return own
+    limit = least.score - SLACK * abs(least.score)
+    needed = [z.zone for z in zones if z.bound >= limit]
+    inside = F.col("zone").isin(needed)
+    blocks = _bounds(request, index.blocks.filter(inside), ["zone", "block"]).filter(F.col("bound") >= limit)
+    return own.filter(inside).join(blocks.select("zone", "block"), ["zone", "block"], "left_semi")
+
+
+def _stored_candidates(index: StoredTextIndex, kind: str, field: str, terms: list[str], mode: str, budget: int, profile: str) -> DataFrame:
+    request = _request(index, kind, field, terms, mode, profile)
+    if request is None:
+        nothing = index.postings.limit(0).select("kind", "id", "revision", F.lit(0.0).alias("score"))
+        return ranked(nothing, True, budget)
+    return ranked(request.scored(pruned_hits(index, request, budget)), True, budget)
+
+
 def text_candidates(
-    index: TextIndex,
+    index: TextIndex | StoredTextIndex,
     kind: str,
     field: str,
     text: str,
@@ -173,12 +360,15 @@ def text_candidates(
 ) -> DataFrame:
     """Top ``budget`` live documents holding ``all`` or ``any`` of the terms of ``text``.
 
-    Only texts that the mapping ``profile`` indexed are counted and found.
+    Only texts that the mapping ``profile`` indexed are counted and found. A stored index
+    is asked for its bounds first, by small jobs, and read only where the best may be.
     """
     if mode not in ("all", "any"):
         raise Refused("mode is all or any")
     check_bounds(1, budget, max_budget=max_budget)
     terms = check_text_query(field, text)
+    if isinstance(index, StoredTextIndex):
+        return _stored_candidates(index, kind, field, terms, mode, budget, profile)
     wanted = (F.col("profile") == profile) & (F.col("kind") == kind) & (F.col("field") == field)
     hits = index.postings.filter(wanted & F.col("term").isin(terms or [""]))
     if not terms:
@@ -194,26 +384,8 @@ def text_candidates(
             (F.sum("total_len") / F.sum("n_docs")).alias("mean"),
         ).alias("s")
     ).scalar()
-    weighed = hits.withColumn("_c", corpus).withColumn(
-        "_df", F.element_at(document_count, F.col("term")).cast("double")
-    )
-    idf = F.log1p((F.col("_c.n") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
-    length = F.lit(1.0 - B) + F.lit(B) * F.col("doc_len") / F.col("_c.mean")
-    part = idf * F.col("tf") * F.lit(K1 + 1.0) / (F.col("tf") + F.lit(K1) * length)
-    scored = (
-        weighed.select("kind", "id", "revision", F.struct("term", part.alias("part")).alias("_part"))
-        .groupBy("kind", "id", "revision")
-        .agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
-        .select(
-            "kind",
-            "id",
-            "revision",
-            # Added up in the order of terms, one for each query term at most: equal texts then
-            # have equal scores to the last bit, and the id settles their order.
-            F.aggregate("_parts", F.lit(0.0), lambda total, p: total + p["part"]).alias("score"),
-            F.size("_parts").alias("_matched"),
-        )
-    )
+    counted = hits.withColumn("_c", corpus).withColumn("_df", F.element_at(document_count, F.col("term")).cast("double"))
+    scored = _scored(_weighed(counted, F.col("_c.n"), F.col("_df"), F.col("_c.mean")))
     if mode == "all":
         scored = scored.filter(F.col("_matched") == len(terms))
     return ranked(scored, True, budget)

@@ -8,9 +8,12 @@ from revtide.operators.history import (
     all_ok,
     check_history,
     fold_latest,
+    folded_with_breaks,
+    latest,
     merge_key_state,
     page_verdict,
     reconcile,
+    replay_buckets,
     replay_matches,
     revision_conflicts,
 )
@@ -142,3 +145,64 @@ def test_generation_gap(spark):
     assert check_generation(journal, "k", "g0").first().status == "gap"
     assert read_journal(journal, "k", "g1", 1).count() == 1
     assert read_journal(journal, "k", "g1", 0, 1).count() == 1
+
+
+def chain_breaks(history):
+    """Breaks along one key by walking it."""
+    found, before = 0, None
+    for position, revision, tombstone, digest in sorted(history):
+        if before and (revision < before[0] or (revision == before[0] and (tombstone, digest) != before[1:])):
+            found += 1
+        before = (revision, tombstone, digest)
+    return found
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1_000_000])
+def test_fold_with_breaks_equals_a_walk(spark, chunk):
+    draw = random.Random(chunk)
+    log = [
+        (draw.choice(["hot", "hot", "a", "b"]), p, draw.randrange(1, 40) if draw.random() < 0.3 else p // 3 + 1, draw.random() < 0.2, draw.choice("xy"))
+        for p in draw.sample(range(1, 400), 250)
+    ]
+    got = {r.id: (r.position, r.revision, r.tombstone, r.digest, r.breaks) for r in folded_with_breaks(ops(spark, *log).repartition(3), chunk).collect()}
+    for key in {r[0] for r in log}:
+        own = [r[1:] for r in log if r[0] == key]
+        newest = max(own, key=lambda r: (r[1], r[0]))
+        assert got[key] == (*newest, chain_breaks(own))
+    broken = sum(v[-1] for v in got.values())
+    verdict = replay_matches(ops(spark, *log), latest(ops(spark, *log)), 0, 400, inspected_end=400, chunk=chunk).first()
+    assert (verdict.differences, verdict.conflicts) == (0, broken)
+    assert revision_conflicts(ops(spark, *log), chunk).count() == broken
+
+
+def test_buckets_name_the_differing_keys(spark):
+    log = [(f"k{n}", n, n, n % 5 == 0, "x") for n in range(1, 60)]
+    feed = ops(spark, *log)
+    changed = [r if r[0] != "k7" else (*r[:4], "y") for r in log if r[0] != "k9"] + [("new", 99, 99, False, "x"), log[20]]
+    intent = ops(spark, *changed)
+    by = F.substring("id", -1, 1)
+    found = {r.bucket: (r.rebuilt_rows, r.intent_rows, r.conflicts) for r in replay_buckets(feed, intent, 0, 60, by).collect()}
+    assert found == {"7": (6, 6, 0), "9": (6, 5, 0), "1": (6, 7, 0), "w": (0, 1, 0)}
+    verdict = replay_matches(feed, intent, 0, 60, inspected_end=60, bucket=by).first()
+    # k7 twice, k9, the new key, and the repeated row.
+    assert (verdict.differences, verdict.status) == (5, "rebuild_required")
+
+
+def test_nulls_in_other_columns_are_told_apart(spark):
+    one = ops(spark, ("a", 1, 1, None, "x"))
+    two = one.select("kind", "id", "position", "revision", F.lit(False).alias("tombstone"), "digest")
+    assert replay_matches(one, two, 0, 1, inspected_end=1).first().differences == 2
+    assert replay_matches(one, one, 0, 1, inspected_end=1).first().status == "ok"
+
+
+def test_a_replay_reads_and_shuffles_the_feed_once(spark, tmp_path):
+    log = [(f"k{n % 50}", n, n, False, "x") for n in range(1, 500)]
+    ops(spark, *log).write.parquet(str(tmp_path / "feed"))
+    feed = spark.read.parquet(str(tmp_path / "feed"))
+    latest(feed).write.parquet(str(tmp_path / "intent"))
+    verdict = replay_matches(feed, spark.read.parquet(str(tmp_path / "intent")), 0, 500, inspected_end=500)
+    assert verdict.collect()[0].status == "ok"
+    plan = verdict._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    scans = [part for part in final.split("FileScan parquet")[1:] if "/feed]" in part.split("PushedFilters")[0]]
+    assert len(scans) == 1

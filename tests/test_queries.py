@@ -20,6 +20,7 @@ EAGER = {
     "snapshot_restored",
     "snapshot_published",
     "text_stored_index",
+    "text_any_stored",
 }
 
 

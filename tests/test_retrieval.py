@@ -15,7 +15,14 @@ from revtide.operators.retrieval import (
     vector_candidates,
     vector_candidates_many,
 )
-from revtide.operators.textindex import build_text_index, scan_text_candidates, text_candidates
+from revtide.operators import textindex
+from revtide.operators.textindex import (
+    build_text_index,
+    read_text_index,
+    scan_text_candidates,
+    text_candidates,
+    write_text_index,
+)
 from revtide.verdicts import Refused
 
 VECTORS = "kind string, id string, revision long, tombstone boolean, profile string, vector array<float>"
@@ -242,3 +249,62 @@ def test_the_metric_belongs_to_the_mapping(spark):
         search_vectors(vectors(spark, a=[1.0, 0.0]), view(spark), "k", [1.0, 0.0], "euclid", mapping, [], 1, 1)
     with pytest.raises(Refused):
         Mapping("d", "p", "m", ("t",), metric="dot")
+
+
+def stored(spark, tmp_path, docs, name="index"):
+    write_text_index(build_text_index(docs, ["text"], scratch=str(tmp_path / f"{name}-analysis")), str(tmp_path / name))
+    return read_text_index(spark, str(tmp_path / name))
+
+
+def many_texts(spark, n=900, seed=4):
+    draw = random.Random(seed)
+    words = [f"w{int(draw.paretovariate(0.7))}" for _ in range(2000)]
+    rows = []
+    for i in range(n):
+        text = " ".join(draw.choices(words, k=draw.choice([3, 8, 30, 120, 400])))
+        rows.append(("doc" if i % 9 else "other", str(i), i % 4 + 1, i % 13 == 5, text if i % 17 else None, f"p{i % 2}"))
+    return spark.createDataFrame(rows, "kind string, id string, revision int, tombstone boolean, text string, profile string")
+
+
+@pytest.mark.parametrize("mode", ["any", "all"])
+def test_stored_index_equals_a_scan_and_skips(spark, tmp_path, mode, monkeypatch):
+    monkeypatch.setattr(textindex, "BLOCK_DOCS", 8)
+    docs = many_texts(spark)
+    index = stored(spark, tmp_path, docs)
+    skipped = 0
+    for profile, texts in (("p0", ("w3 W40, w7", "w11 w1 w5 w2")), ("p1", ("w1", "absent w1", "absent"))):
+        for text in texts:
+            for budget in (1, 20, 256):
+                got = text_candidates(index, "doc", "text", text, mode, budget, profile=profile).collect()
+                want = scan_text_candidates(docs, "doc", "text", text, mode, budget, profile=profile).collect()
+                assert got == want
+            terms = textindex.check_text_query("text", text)
+            request = textindex._request(index, "doc", "text", terms, mode, profile)
+            if request:
+                every = index.postings.filter(request.wanted & F.col("term").isin(terms)).count()
+                needed = textindex.pruned_hits(index, request, 1).count()
+                assert needed <= every
+                skipped += every - needed
+    assert skipped > 0
+
+
+def test_a_request_names_the_zones_it_needs(spark, tmp_path):
+    """Short texts hold the term often; the zones of long texts are not read."""
+    rows = [("doc", str(i), 1, False, "rare " * 3 if i % 2 else "rare " + "filler " * (200 + i)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "kind string, id string, revision int, tombstone boolean, text string")
+    index = stored(spark, tmp_path, docs)
+    request = textindex._request(index, "doc", "text", ["rare"], "any", "")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    hits = textindex.pruned_hits(index, request, 20)
+    filters = hits._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "zone" in filters
+    read = {r.zone for r in hits.select("zone").distinct().collect()}
+    assert len(read) == 1 < index.postings.select("zone").distinct().count()
+    assert {r.df for r in index.terms.filter("term = 'rare'").collect()} == {300}
+
+
+def test_stored_index_of_nothing(spark, tmp_path):
+    docs = many_texts(spark, 0)
+    index = stored(spark, tmp_path, docs)
+    assert text_candidates(index, "doc", "text", "w1", "any", 5).collect() == []

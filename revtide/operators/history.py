@@ -111,13 +111,17 @@ def _breaks(cur: Column, prev: Column) -> Column:
 
 
 def folded_with_breaks(ops: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """``OPERATION`` of the newest row per key and ``breaks``, the number of conflicts along it.
+    """The newest row per key, all its columns, and ``breaks``, the number of conflicts along the key.
 
     One shuffle of the rows, by key and range of positions: a range gives its newest, first and last row
     and its own breaks; then only ranges of a key meet. A key with most of the rows is spread by range.
     """
-    cut = ops.select(*KEY, F.floor(F.col("position") / F.lit(chunk)).alias("_chunk"), "position", F.struct("position", *STATE).alias("_cur"))
+    rest = [c for c in ops.columns if c not in KEY]
+    cut = ops.select(
+        *KEY, F.floor(F.col("position") / F.lit(chunk)).alias("_chunk"), F.struct(*STATE).alias("_cur"), F.struct(*rest).alias("_row"), "position"
+    )
     inside = Window.partitionBy(*KEY, "_chunk").orderBy("position")
+    order = F.struct("_cur.revision", "position")
     ranges = (
         cut.withColumn("_prev", F.lag("_cur").over(inside))
         .groupBy(*KEY, "_chunk")
@@ -125,7 +129,7 @@ def folded_with_breaks(ops: DataFrame, chunk: int = CHUNK) -> DataFrame:
             F.count_if(_breaks(F.col("_cur"), F.col("_prev"))).alias("_own"),
             F.min_by("_cur", "position").alias("_head"),
             F.max_by("_cur", "position").alias("_tail"),
-            F.max_by("_cur", F.struct("_cur.revision", "position")).alias("_newest"),
+            F.max_by("_row", order).alias("_newest"),
         )
     )
     along = Window.partitionBy(*KEY).orderBy("_chunk")
@@ -172,7 +176,7 @@ def _compared(rebuilt: DataFrame, intent: DataFrame) -> DataFrame:
 
 def _sides(ops: DataFrame, intent: DataFrame, start: int, end: int, bucket: Column, chunk: int) -> tuple[DataFrame, DataFrame]:
     interval = ops.filter((F.col("position") > start) & (F.col("position") <= end))
-    rebuilt = folded_with_breaks(interval, chunk).withColumn("_bucket", bucket)
+    rebuilt = folded_with_breaks(interval.select(*OPERATION), chunk).withColumn("_bucket", bucket)
     return rebuilt, intent.select(*OPERATION, F.lit(0).cast("long").alias("breaks")).withColumn("_bucket", bucket)
 
 

@@ -29,8 +29,11 @@ MAX_BUDGET = 256
 #: a zone's documents into blocks of about so many.
 ZONES_PER_DOUBLING = 4
 BLOCK_DOCS = 128
-#: Terms of texts, repeats included, whose postings make up one file of a stored index at most.
-FILE_TERMS = 8_000_000
+#: Terms of texts, repeats included, whose postings make up one file of a stored index at most; while
+#: there are fewer files than cores, a file is made for each ``SMALL_FILE_TERMS``.
+FILE_TERMS, SMALL_FILE_TERMS = 8_000_000, 250_000
+#: A term of so many documents at most has no stored bounds; a request takes them from its few postings.
+RARE_DOCS = 256
 #: What rounding may add to a sum of parts.
 SLACK = 1e-9
 
@@ -56,8 +59,8 @@ STORED = {
 class StoredTextIndex(NamedTuple):
     """Postings in folders by zone, clustered by term, with what tells which of them a request needs.
 
-    ``terms`` has each term's number of documents; ``blocks`` and ``zones`` have, for each term, the
-    largest part of a score that it has in a block or zone.
+    ``terms`` has each term's number of documents; ``blocks`` and ``zones`` have, for each term that is not
+    rare, the largest part of a score that it has in a block or zone.
     """
 
     postings: DataFrame
@@ -188,7 +191,7 @@ def write_text_index(index: TextIndex, path: str, files: int | None = None) -> N
     stats = _stored_table(spark, path, "stats")
     if files is None:
         total = stats.agg(F.sum("total_len")).first()[0] or 0
-        files = max(1, -(-total // FILE_TERMS))
+        files = max(1, -(-total // FILE_TERMS), min(spark.sparkContext.defaultParallelism, total // SMALL_FILE_TERMS))
     sizes = (
         index.lengths.filter("doc_len > 0")
         .groupBy(*FIELD, _zone().alias("zone"))
@@ -203,12 +206,12 @@ def write_text_index(index: TextIndex, path: str, files: int | None = None) -> N
     by_term = [*FIELD, "term"]
     _store(placed, path, "postings", ["zone", *by_term, "id"], files)
     postings = _stored_table(spark, path, "postings")
-    by_block = postings.groupBy(*by_term, "block", "zone").agg(F.max("top").alias("top"), F.count("*").alias("n"))
-    _store(by_block, path, "blocks", ["zone", *by_term, "block"], max(1, files // 4))
+    _store(postings.groupBy(*by_term).agg(F.count("*").alias("df")), path, "terms", by_term, max(1, files // 16))
+    common = _stored_table(spark, path, "terms").filter(F.col("df") > RARE_DOCS).select(*by_term)
+    by_block = postings.join(common, by_term).groupBy(*by_term, "block", "zone").agg(F.max("top").alias("top"), F.count("*").alias("n"))
+    _store(by_block, path, "blocks", ["zone", *by_term, "block"], max(1, files // 8))
     by_zone = _stored_table(spark, path, "blocks").groupBy(*by_term, "zone").agg(F.max("top").alias("top"), F.sum("n").alias("n"))
-    _store(by_zone, path, "zones", by_term, max(1, files // 16))
-    counts = _stored_table(spark, path, "zones").groupBy(*by_term).agg(F.sum("n").alias("df"))
-    _store(counts, path, "terms", by_term, max(1, files // 16))
+    _store(by_zone, path, "zones", by_term, max(1, files // 64))
 
 
 def _stored_table(spark, path: str, name: str) -> DataFrame:
@@ -304,9 +307,12 @@ def _request(index: StoredTextIndex, kind: str, field: str, terms: list[str], mo
     return Request(wanted, terms, df, corpus.n, corpus.mean, mode == "all")
 
 
-def _bounds(request: Request, parts: DataFrame, by: list[str]) -> DataFrame:
-    """The best score that a group of documents can reach, by its terms' largest parts; ``n`` documents at most one of them has."""
-    own = parts.filter(request.wanted & F.col("term").isin(list(request.df)))
+def _bounds(request: Request, index: StoredTextIndex, stored: DataFrame, by: list[str]) -> DataFrame:
+    """The best score that each group of documents can reach, by its terms' largest parts, and most and fewest documents of a term."""
+    rare = [t for t, d in request.df.items() if d <= RARE_DOCS]
+    kept = stored.filter(request.wanted & F.col("term").isin([t for t in request.df if t not in rare] or [""]))
+    few = index.postings.filter(request.wanted & F.col("term").isin(rare or [""])).groupBy(*by, "term")
+    own = kept.select(*by, "term", "top", "n").unionByName(few.agg(F.max("top").alias("top"), F.count("*").alias("n")))
     reached = own.groupBy(*by).agg(
         F.sum(request.idf_column() * F.col("top")).alias("bound"), F.count("*").alias("_terms"), F.max("n").alias("most"), F.min("n").alias("least")
     )
@@ -322,7 +328,7 @@ def pruned_hits(index: StoredTextIndex, request: Request, budget: int) -> DataFr
     """
     own = index.postings.filter(request.wanted & F.col("term").isin(list(request.df)))
     # A zone is a class of lengths: a few hundred rows at most.
-    zones = sorted(_bounds(request, index.zones, ["zone"]).collect(), key=lambda z: -z.bound)
+    zones = sorted(_bounds(request, index, index.zones, ["zone"]).collect(), key=lambda z: -z.bound)
     seeds, sure = [], 0
     for zone in zones:
         if sure >= budget:
@@ -336,7 +342,7 @@ def pruned_hits(index: StoredTextIndex, request: Request, budget: int) -> DataFr
     limit = least.score - SLACK * abs(least.score)
     needed = [z.zone for z in zones if z.bound >= limit]
     inside = F.col("zone").isin(needed)
-    blocks = _bounds(request, index.blocks.filter(inside), ["zone", "block"]).filter(F.col("bound") >= limit)
+    blocks = _bounds(request, index, index.blocks, ["zone", "block"]).filter(inside & (F.col("bound") >= limit))
     return own.filter(inside).join(blocks.select("zone", "block"), ["zone", "block"], "left_semi")
 
 

@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 
 from revtide.operators.history import KEY, latest
 
-#: Folders of a page or a base; every reader and writer of one target must name the same number.
-BUCKETS = 64
+#: Folders of a page or a base, fit for some hundred GB; a larger target names more. Every writer of one
+#: target must name the same number.
+BUCKETS = 16
 BASE_BATCH = -1
 DEALT = T.StructField("bucket", T.IntegerType())
 

@@ -34,7 +34,8 @@ NO_COVERAGE = "Unable to geocode"
 
 CONTROL = r"[\x00-\x1f\x7f-\x9f]"
 
-CELL_DEGREES = 5.0
+#: Grids halve their cells from level to level; boxes use every ``LEVEL_STEP``-th, up to ``MAX_LEVEL``.
+MAX_LEVEL, LEVEL_STEP = 20, 2
 
 
 def valid_coordinate(lon: Column, lat: Column) -> Column:
@@ -69,41 +70,65 @@ def box_contains(west: Column, south: Column, east: Column, north: Column, lon:
     return lat.between(south, north) & F.when(wraps, across).otherwise(lon.between(west, east))
 
 
-def within_bounds(
-    points: DataFrame, boxes: DataFrame, cell: float = CELL_DEGREES, salts: int = SALTS
-) -> DataFrame:
-    """Every (point, box) pair where the valid box contains the valid point.
+def _cell(value: Column, origin: float, span: float, level: Column) -> Column:
+    """Number of the cell of a grid of 2^level cells over ``span`` degrees."""
+    return F.floor((value + origin) / F.lit(span) * F.pow(F.lit(2.0), level)).cast("long")
 
-    ``points`` have ``lon, lat``; ``boxes`` have ``box_id, west, south, east, north``. Both
-    are put on a degree grid and meet on equal cells, then the exact test decides. Points of a
-    cell are spread over ``salts`` lanes so that one crowded cell is not one task.
-    """
-    columns = int(360 // cell) + 1
 
-    def index(value: Column, origin: float) -> Column:
-        return F.floor((value + origin) / F.lit(cell)).cast("int")
+def _level(extent: Column, span: float) -> Column:
+    """The coarsest grid whose cells are at most half of ``extent``, an eighth at least."""
+    needed = F.ceil(F.log2(F.lit(2.0 * span) / F.greatest(extent, F.lit(span / 2**MAX_LEVEL))) / LEVEL_STEP) * LEVEL_STEP
+    return F.least(needed, F.lit(MAX_LEVEL)).cast("int")
 
+
+def box_cells(boxes: DataFrame) -> DataFrame:
+    """Valid boxes with the cells ``_lx, _ly, _x, _y`` that cover them, each on grids of its own size: at most ten by ten."""
     w, s, e, n = (F.col(c) for c in ("west", "south", "east", "north"))
-    sane = boxes.filter(valid_box(w, s, e, n))
-    first, last = index(w, 180.0), index(e, 180.0)
-    lons = F.when(
-        w > e, F.concat(F.sequence(first, F.lit(columns - 1)), F.sequence(F.lit(0), last))
-    ).otherwise(F.sequence(first, F.when(w > e, first).otherwise(last)))
-    # A box that wraps and meets itself in one cell would list that cell twice.
-    cells = (
-        sane.withColumn("_x", F.explode(F.array_distinct(lons)))
-        .withColumn("_y", F.explode(F.sequence(index(s, 90.0), index(n, 90.0))))
+    wraps = w > e
+    levelled = (
+        boxes.filter(valid_box(w, s, e, n))
+        .withColumn("_lx", _level(F.when(wraps, F.lit(360.0) - (w - e)).otherwise(e - w), 360.0))
+        .withColumn("_ly", _level(n - s, 180.0))
     )
+    first, last = _cell(w, 180.0, 360.0, F.col("_lx")), _cell(e, 180.0, 360.0, F.col("_lx"))
+    edge = _cell(F.lit(180.0), 180.0, 360.0, F.col("_lx"))
+    lons = F.when(wraps, F.concat(F.sequence(first, edge), F.sequence(F.lit(0).cast("long"), last))).otherwise(
+        F.sequence(first, F.when(wraps, first).otherwise(last))
+    )
+    lats = F.sequence(_cell(s, 90.0, 180.0, F.col("_ly")), _cell(n, 90.0, 180.0, F.col("_ly")))
+    # A box that wraps and meets itself in one cell would list that cell twice.
+    return levelled.withColumn("_x", F.explode(F.array_distinct(lons))).withColumn("_y", F.explode(lats))
+
+
+def box_candidates(points: DataFrame, boxes: DataFrame, salts: int = SALTS) -> DataFrame:
+    """(point, box) pairs that share a cell, before the exact test.
+
+    Boxes may be of all sizes: each is put on a grid of its own size, and a point looks up one cell for every
+    pair of grids that some box uses, 121 at most. Points of a cell are spread over ``salts`` lanes so that one crowded
+    cell is not one task.
+    """
+    cells = box_cells(boxes)
+    used = cells.agg(F.collect_set(F.struct("_lx", "_ly")).alias("levels")).scalar()
     located = (
         points.filter(valid_coordinate(F.col("lon"), F.col("lat")))
-        .withColumn("_x", index(F.col("lon"), 180.0))
-        .withColumn("_y", index(F.col("lat"), 90.0))
+        .withColumn("_lane", lanes(*points.columns, salts=salts))
+        .withColumn("_level", F.explode(used))
+        .withColumns({"_lx": F.col("_level._lx"), "_ly": F.col("_level._ly")})
+        .withColumns({"_x": _cell(F.col("lon"), 180.0, 360.0, F.col("_lx")), "_y": _cell(F.col("lat"), 90.0, 180.0, F.col("_ly"))})
+        .drop("_level")
     )
-    keys = ["_x", "_y", "_lane"]
-    located = located.withColumn("_lane", lanes(*points.columns, salts=salts))
-    cells = cells.withColumn("_lane", every_lane(salts))
-    inside = box_contains(w, s, e, n, F.col("lon"), F.col("lat"))
-    return located.join(cells, keys).filter(inside).drop(*keys)
+    keys = ["_lx", "_ly", "_x", "_y", "_lane"]
+    return located.join(cells.withColumn("_lane", every_lane(salts)), keys).drop(*keys)
+
+
+def within_bounds(points: DataFrame, boxes: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Every (point, box) pair where the valid box contains the valid point.
+
+    ``points`` have ``lon, lat``; ``boxes`` have ``box_id, west, south, east, north``. Both meet on equal cells of
+    grids that fit the boxes' sizes, then the exact test decides.
+    """
+    w, s, e, n = (F.col(c) for c in ("west", "south", "east", "north"))
+    return box_candidates(points, boxes, salts).filter(box_contains(w, s, e, n, F.col("lon"), F.col("lat")))
 
 
 def _plain(text: Column, limit: int) -> Column:

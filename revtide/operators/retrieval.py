@@ -9,12 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revtide.functions.text import tokens
+from revtide.functions.values import check_name
 from revtide.functions.vectors import (
     check_query_vector,
     descending,
@@ -26,10 +29,14 @@ from revtide.operators.ordering import adjacent_pairs
 from revtide.operators.textindex import (
     MAX_BUDGET,
     MAX_LIMIT,
+    QUERY_BYTES,
+    StoredTextIndex,
     TextIndex,
     check_bounds,
     ranked,
+    score_hits,
     text_candidates,
+    weigh_hits,
 )
 from revtide.verdicts import Refused, require_ok
 
@@ -363,3 +370,105 @@ def search_vectors(
         vectors, query, metric, kind, budget, exclude, mapping.fingerprint
     )
     return _search(found, view, kind, required, limit, budget, policy, exclude)
+
+
+class ManyFound(NamedTuple):
+    """``found``: ``request, rank, kind, id, revision, fields``; ``verdicts``: ``request, status, candidates, shown``."""
+
+    found: DataFrame
+    verdicts: DataFrame
+
+
+def _request_candidates(index, terms: DataFrame, kind: str, field: str, every: bool, budget: int, profile: str) -> DataFrame:
+    """``request, rank, kind, id, revision``: each request's best ``budget`` texts."""
+    wanted = (F.col("profile") == profile) & (F.col("kind") == kind) & (F.col("field") == field)
+    postings = index.postings.filter(wanted).select("term", "kind", "id", "revision", "tf", "doc_len")
+    if isinstance(index, StoredTextIndex):
+        counts = index.terms.filter(wanted).select("term", "df")
+    else:
+        counts = postings.groupBy("term").agg(F.count("*").alias("df"))
+    known = terms.join(counts, "term")
+    if every:
+        # A request's rarest term names all texts that can have every term; the others are looked up by term and text,
+        # so a common term's postings never meet a request as a whole.
+        first = (
+            known.groupBy("request", "_n")
+            .agg(F.count("*").alias("_known"), F.min_by("term", F.struct("df", "term")).alias("term"))
+            .filter(F.col("_known") == F.col("_n"))
+        )
+        named = first.join(postings.select("term", "kind", "id", "revision"), "term").drop("term")
+        hits = named.join(known.select("request", "term", "df"), "request").join(postings, ["term", "kind", "id", "revision"])
+    else:
+        hits = known.join(postings, "term")
+    corpus = index.stats.filter(wanted).agg(
+        F.struct(F.sum("n_docs").cast("double").alias("n"), (F.sum("total_len") / F.sum("n_docs")).alias("mean")).alias("s")
+    ).scalar()
+    weighed = weigh_hits(hits.withColumn("_c", corpus), F.col("_c.n"), F.col("df").cast("double"), F.col("_c.mean"))
+    scored = score_hits(weighed, "request", "_n")
+    if every:
+        scored = scored.filter(F.col("_matched") == F.col("_n"))
+    # The planner keeps each task's best rows of a request before they are shuffled.
+    best = Window.partitionBy("request").orderBy(F.desc("score"), "id")
+    return (
+        scored.withColumn("rank", F.row_number().over(best).cast("long"))
+        .filter(F.col("rank") <= budget)
+        .select("request", "rank", "kind", "id", "revision")
+    )
+
+
+def search_many(
+    index: TextIndex | StoredTextIndex,
+    view: DataFrame,
+    requests: DataFrame,
+    kind: str,
+    field: str,
+    mode: str,
+    required: Sequence[str],
+    limit: int,
+    budget: int,
+    profile: str = "",
+) -> ManyFound:
+    """``search_text`` for a table of requests (``request`` unique, ``text``): candidates, admission and hydration as one plan.
+
+    Requests are rows that meet the postings, so nothing passes the driver and any number of them may be asked. The
+    verdict of a request is ``ok``; ``invalid`` for a text that ``search_text`` would not take; or
+    ``rejected``, if its candidates repeat a key. Only ``ok`` requests show rows.
+    """
+    check_bounds(limit, budget)
+    check_name(field)
+    if mode not in ("all", "any"):
+        raise Refused("mode is all or any")
+    text = F.col("text")
+    fits = F.coalesce(
+        (F.octet_length(text) <= QUERY_BYTES) & (F.trim(F.regexp_replace(text, r"\s", " ")) != "") & ~text.contains("\0"), F.lit(False)
+    )
+    checked = requests.select("request", "text", fits.alias("_fits"))
+    split = checked.filter("_fits").select("request", F.array_distinct(tokens(text)).alias("_terms"))
+    terms = split.select("request", F.size("_terms").alias("_n"), F.explode("_terms").alias("term"))
+    candidates = _request_candidates(index, terms, kind, field, mode == "all", budget, profile)
+    # At most ``budget`` rows of a request.
+    admitted = candidates.groupBy("request").agg(
+        F.count("*").alias("candidates"), (F.count("*") - F.count_distinct("id")).alias("_again")
+    )
+    complete = reduce(Column.__and__, [F.map_contains_key("fields", n) for n in required], F.lit(True))
+    current = view.filter(~F.col("tombstone") & (F.col("kind") == kind)).filter(complete)
+    shown = (
+        candidates.join(current.select("kind", "id", "revision", "fields"), ["kind", "id", "revision"])
+        .join(admitted.filter("_again = 0").select("request"), "request", "left_semi")
+        .withColumn("_place", F.row_number().over(Window.partitionBy("request").orderBy("rank")))
+        .filter(F.col("_place") <= limit)
+        .select("request", "rank", "kind", "id", "revision", "fields")
+    )
+    status = F.when(~F.col("_fits"), "invalid").when(F.col("_again") > 0, "rejected").otherwise("ok")
+    verdicts = (
+        checked.select("request", "_fits")
+        .join(admitted, "request", "left")
+        .join(shown.groupBy("request").agg(F.count("*").alias("shown")), "request", "left")
+        .select(
+            "request",
+            status.alias("status"),
+            F.coalesce("candidates", F.lit(0)).alias("candidates"),
+            F.coalesce("shown", F.lit(0)).alias("shown"),
+        )
+    )
+    return ManyFound(shown, verdicts)

@@ -247,13 +247,14 @@ def ranked(scored: DataFrame, descending: bool, budget: int) -> DataFrame:
     return best.select(place.cast("long").alias("rank"), "kind", "id", "revision")
 
 
-def _scored(weighed: DataFrame) -> DataFrame:
-    """Scores of documents from their hits (``term``, ``part``)."""
+def score_hits(weighed: DataFrame, *by: str) -> DataFrame:
+    """Scores of documents, for each value of ``by``, from their hits (``term``, ``part``)."""
     return (
-        weighed.select("kind", "id", "revision", F.struct("term", "part").alias("_part"))
-        .groupBy("kind", "id", "revision")
+        weighed.select(*by, "kind", "id", "revision", F.struct("term", "part").alias("_part"))
+        .groupBy(*by, "kind", "id", "revision")
         .agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
         .select(
+            *by,
             "kind",
             "id",
             "revision",
@@ -265,7 +266,7 @@ def _scored(weighed: DataFrame) -> DataFrame:
     )
 
 
-def _weighed(hits: DataFrame, n: Column, df: Column, mean: Column) -> DataFrame:
+def weigh_hits(hits: DataFrame, n: Column, df: Column, mean: Column) -> DataFrame:
     idf = F.log1p((n - df + 0.5) / (df + 0.5))
     length = F.lit(1.0 - B) + F.lit(B) * F.col("doc_len") / mean
     return hits.withColumn("part", idf * F.col("tf") * F.lit(K1 + 1.0) / (F.col("tf") + F.lit(K1) * length))
@@ -291,7 +292,7 @@ class Request(NamedTuple):
     def scored(self, hits: DataFrame) -> DataFrame:
         pairs = [F.lit(x) for t, d in self.df.items() for x in (t, float(d))]
         df = F.element_at(F.create_map(*pairs), F.col("term"))
-        found = _scored(_weighed(hits, F.lit(float(self.n)), df, F.lit(self.mean)))
+        found = score_hits(weigh_hits(hits, F.lit(float(self.n)), df, F.lit(self.mean)))
         return found.filter(F.col("_matched") == len(self.terms)) if self.every else found
 
 
@@ -391,7 +392,7 @@ def text_candidates(
         ).alias("s")
     ).scalar()
     counted = hits.withColumn("_c", corpus).withColumn("_df", F.element_at(document_count, F.col("term")).cast("double"))
-    scored = _scored(_weighed(counted, F.col("_c.n"), F.col("_df"), F.col("_c.mean")))
+    scored = score_hits(weigh_hits(counted, F.col("_c.n"), F.col("_df"), F.col("_c.mean")))
     if mode == "all":
         scored = scored.filter(F.col("_matched") == len(terms))
     return ranked(scored, True, budget)

@@ -59,6 +59,38 @@ def points_in_boxes(spark, sf_dir):
     return within_bounds(points, boxes).select("c_custkey", "box_id")
 
 
+@query(
+    "points_in_boxes_of_all_sizes",
+    f"""WITH b AS (SELECT s_suppkey AS box_id, (s_suppkey * 6007 % 36000) / 100.0::DOUBLE - 180.0::DOUBLE AS west,
+        (s_suppkey * 4019 % 13000) / 100.0::DOUBLE - 90.0::DOUBLE AS south, s_suppkey % 20 = 7 AS large FROM supplier),
+    e AS (SELECT *, west + CASE WHEN large THEN 70.0::DOUBLE ELSE 0.75::DOUBLE END AS reach FROM b),
+    x AS (SELECT box_id, west, south, CASE WHEN reach > 180 THEN reach - 360 ELSE reach END AS east,
+        south + CASE WHEN large THEN 40.0::DOUBLE ELSE 0.5::DOUBLE END AS north FROM e)
+    SELECT c_custkey, box_id FROM ({POINTS_SQL}), x
+    WHERE lat BETWEEN south AND north
+      AND CASE WHEN west > east THEN lon >= west OR lon <= east
+               ELSE lon BETWEEN west AND east END""",
+)
+def points_in_boxes_of_all_sizes(spark, sf_dir):
+    """Customers in one box for each supplier, most of a city's size and some of a continent's."""
+    k = F.col("s_suppkey")
+    large = k % 20 == 7
+    boxes = (
+        table(spark, sf_dir, "supplier")
+        .select(k.alias("box_id"), large.alias("large"), (k * 6007 % 36000 / 100.0 - 180.0).alias("west"), (k * 4019 % 13000 / 100.0 - 90.0).alias("south"))
+        .withColumn("reach", F.col("west") + F.when(F.col("large"), 70.0).otherwise(0.75))
+        .select(
+            "box_id",
+            "west",
+            "south",
+            F.when(F.col("reach") > 180, F.col("reach") - 360).otherwise(F.col("reach")).alias("east"),
+            (F.col("south") + F.when(F.col("large"), 40.0).otherwise(0.5)).alias("north"),
+        )
+    )
+    points = customer_points(spark, sf_dir).select("c_custkey", "lon", "lat")
+    return within_bounds(points, boxes).select("c_custkey", "box_id")
+
+
 def _place_bodies(spark, sf_dir):
     """A response of zero to three places per customer; some places are out of range."""
     k = F.col("c_custkey")

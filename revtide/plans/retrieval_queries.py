@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from revtide.functions.text import query_terms
+from revtide.functions.text import query_terms, tokens
 from revtide.functions.values import Mapping
 from revtide.operators.retrieval import (
     admit_candidates,
     authorized_view,
     hydrate,
     refused_vectors,
+    search_many,
     search_text,
     search_vectors,
     vector_candidates,
@@ -321,6 +322,60 @@ def search_text_request(spark, sf_dir):
     return found.select("rank", "id", "revision")
 
 
+_REQUESTS_SQL = r"""
+  words AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS ws
+            FROM benchmark),
+  requests AS (SELECT item_id * 5 + j AS request, list_distinct(ws[4 * j + 1 : 4 * j + 2]) AS ts
+               FROM words, (SELECT unnest(range(5)) AS j))
+"""
+
+_MANY_SQL = f"""WITH {_TERMS_SQL}, {_REQUESTS_SQL},
+  corpus AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(len(ts)) / CAST(count(*) AS DOUBLE) AS mean FROM tokens WHERE len(ts) > 0),
+  asked AS (SELECT request, len(ts) AS n_terms, unnest(ts) AS term FROM requests),
+  df AS (SELECT term, count(*) AS df FROM postings GROUP BY term),
+  scored AS (
+    SELECT request, id, revision, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2
+           / (tf + 1.2 * (0.25 + 0.75 * doc_len / mean)) ORDER BY term) AS score
+    FROM asked JOIN df USING (term) JOIN postings USING (term), corpus
+    GROUP BY request, id, revision, n_terms HAVING count(*) = n_terms),
+  candidates AS (
+    SELECT request, row_number() OVER (PARTITION BY request ORDER BY score DESC, id) AS rank, id, revision
+    FROM scored QUALIFY rank <= 40),
+  shown AS (
+    SELECT request, rank, id, c.revision FROM candidates c JOIN ({shown_documents_sql()}) d USING (id)
+    WHERE d.revision = c.revision AND has_lang
+    QUALIFY row_number() OVER (PARTITION BY request ORDER BY rank) <= 10)"""
+
+
+def _many(spark, sf_dir):
+    """Five pairs of neighbouring words of every benchmark text as one request each."""
+    words = table(spark, sf_dir, "benchmark").select("item_id", tokens(F.col("text")).alias("ws"))
+    requests = words.select(
+        "item_id", "ws", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("j")
+    ).select((F.col("item_id") * 5 + F.col("j")).alias("request"), F.array_join(F.slice("ws", F.col("j") * 4 + 1, 2), " ").alias("text"))
+    index = build_text_index(documents(spark, sf_dir), ["text"], scratch=scratch_dir(spark, "text-scan"))
+    return search_many(index, _readable(spark, sf_dir), requests, "doc", "text", "all", ["text", "lang"], 10, 40)
+
+
+@query("search_many", f"{_MANY_SQL} SELECT request, rank, id, revision FROM shown")
+def search_many_requests(spark, sf_dir):
+    """All requests as one plan."""
+    return _many(spark, sf_dir).found.select("request", "rank", "id", "revision")
+
+
+@query(
+    "search_many_verdicts",
+    f"""{_MANY_SQL}
+    SELECT request, CASE WHEN len(ts) = 0 THEN 'invalid' ELSE 'ok' END AS status,
+      (SELECT count(*) FROM candidates c WHERE c.request = r.request) AS candidates,
+      (SELECT count(*) FROM shown s WHERE s.request = r.request) AS shown
+    FROM requests r""",
+)
+def search_many_verdicts(spark, sf_dir):
+    """One verdict for each request."""
+    return _many(spark, sf_dir).verdicts
+
+
 @query(
     "search_vectors",
     f"""WITH c AS ({_knn_sql("cosine", 100)})

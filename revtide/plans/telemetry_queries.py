@@ -8,8 +8,11 @@ from revtide.operators.telemetry import (
     OUTCOME_OF,
     abandoned_operations,
     duration_histogram,
+    duration_percentiles,
+    duration_sketches,
     latest_status,
     operation_counts,
+    outcome_label,
     rejected_observations,
 )
 from revtide.plans.registry import query
@@ -19,7 +22,7 @@ BOUNDS = (1.0, 5.0, 10.0, 50.0, 100.0, 500.0)
 RESULTS = (*OUTCOME_OF, "odd")
 
 
-def _observations(spark, sf_dir):
+def _observations(spark, sf_dir, *more):
     """Every event as a host observation; the result class comes from the user id."""
     e = F.col("event_type")
     operation = (
@@ -34,7 +37,7 @@ def _observations(spark, sf_dir):
         F.get(results, (F.col("user_id") % len(RESULTS)).cast("int"))
     )
     return table(spark, sf_dir, "events").select(
-        operation.alias("operation"), result.alias("result"), F.col("value").alias("duration_s")
+        operation.alias("operation"), result.alias("result"), F.col("value").alias("duration_s"), *more
     )
 
 
@@ -130,6 +133,27 @@ def last_status(spark, sf_dir):
     return latest_status(samples)
 
 
+@query(
+    "duration_percentiles",
+    f"""SELECT operation, outcome, n, share, true AS close FROM (
+      SELECT operation, outcome, count(*) AS n FROM ({_OBSERVED_SQL}) GROUP BY 1, 2),
+      (SELECT unnest([0.5, 0.9, 0.99])::DOUBLE AS share)""",
+)
+def percentiles(spark, sf_dir):
+    """Percentiles from hourly sketches; ``close`` if the exact rank is off by 1 % at most."""
+    rows = _observations(spark, sf_dir, F.expr("event_id div 360").alias("hour"))
+    found = duration_percentiles(duration_sketches(rows), [0.5, 0.9, 0.99])
+    # A few dozen groups of three.
+    own = rows.withColumn("outcome", outcome_label(F.col("result"))).select("operation", "outcome", F.col("duration_s").alias("_d"))
+    ranked = (
+        own.join(F.broadcast(found), ["operation", "outcome"])
+        .groupBy("operation", "outcome", "n", "share")
+        .agg(F.count_if(F.col("_d") < F.col("duration_s")).alias("_below"), F.count_if(F.col("_d") <= F.col("duration_s")).alias("_upto"))
+    )
+    near = (F.col("_below") / F.col("n") <= F.col("share") + 0.01) & (F.col("_upto") / F.col("n") >= F.col("share") - 0.01)
+    return ranked.select("operation", "outcome", "n", "share", near.alias("close"))
+
+
 @query(
     "abandoned_operations",
     """WITH s AS (SELECT o_orderkey AS observation, o_orderkey % 4 AS m,

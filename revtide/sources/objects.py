@@ -94,8 +94,17 @@ def _cause(fault: str | None) -> str | None:
     return "integrity" if fault in ("length_mismatch", "digest_mismatch") else fault
 
 
-def _inside(key: str) -> bool:
-    return os.path.normpath(key) == key and not key.startswith(("/", ".."))
+def _inside(key: str | None) -> bool:
+    return bool(key) and os.path.normpath(key) == key and not key.startswith(("/", "..")) and key != "."
+
+
+def _number(value) -> int | None:
+    return None if pd.isna(value) else int(value)
+
+
+def _valid(key: str | None, digest: str | None, size: int | None) -> bool:
+    """An entry that can be looked up at all: a key inside the folder, a digest and a length."""
+    return _inside(key) and digest is not None and size is not None and size >= 0
 
 
 def _publish(source: str, path: str, digest: str, size: int) -> tuple[str | None, str | None]:
@@ -135,7 +144,8 @@ def copy_objects(
     """Copy every listed object unless the destination already has it: one result per entry.
 
     ``manifest``: ``seq, key, digest, bytes``. Equal content is ``existing``; other content
-    under the key is an ``integrity`` failure and is neither overwritten nor deleted. Each
+    under the key is an ``integrity`` failure and is neither overwritten nor deleted. An entry without key, digest
+    or length, or with a key outside the folder, is ``invalid``. Each
     created object is read back, in chunks like every other. Results (not content) are what is returned; a task that
     runs twice finds its own objects and reports them as existing.
     """
@@ -145,7 +155,7 @@ def copy_objects(
         def result(action=None, phase=None, cause=None):
             return (seq, key, size, action, phase, cause)
 
-        if not _inside(key):
+        if not _valid(key, digest, size):
             return result(phase="destination_read", cause="invalid")
         target = f"{to_root}/{key}"
         fault = _fault(target, digest, size)
@@ -170,10 +180,10 @@ def copy_objects(
         columns = ["seq", "key", "bytes", "action", "phase", "cause"]
         for batch in batches:
             rows = [
-                entry(int(s), k, d, int(b))
+                entry(_number(s), k, d, _number(b))
                 for s, k, d, b in zip(batch["seq"], batch["key"], batch["digest"], batch["bytes"])
             ]
-            yield pd.DataFrame(rows, columns=columns)
+            yield pd.DataFrame(rows, columns=columns).astype({"seq": "Int64", "bytes": "Int64"})
 
     return _spread(manifest, tasks).mapInPandas(run, COPY_RESULT)
 
@@ -188,8 +198,8 @@ def verify_objects(manifest: DataFrame, root: str, tasks: int | None = None) ->
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             statuses = [
-                (_fault(f"{mounted}/{k}", d, int(b)) or "ok") if _inside(k) else "invalid"
-                for k, d, b in zip(batch["key"], batch["digest"], batch["bytes"])
+                (_fault(f"{mounted}/{k}", d, b) or "ok") if _valid(k, d, b) else "invalid"
+                for k, d, b in zip(batch["key"], batch["digest"], map(_number, batch["bytes"]))
             ]
             yield batch[["seq", "key", "bytes"]].assign(status=statuses)
 

@@ -2,6 +2,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from revtide.operators.geo import (
     admit_coordinates,
@@ -11,6 +12,8 @@ from revtide.operators.geo import (
     decode_places,
     decode_routes,
     resource_points,
+    box_candidates,
+    box_cells,
     within_bounds,
 )
 from revtide.verdicts import Refused
@@ -67,6 +70,25 @@ def test_boxes_equal_brute_force(spark):
     assert sorted((r.p, r.box_id) for r in got.collect()) == want
 
 
+def test_boxes_of_all_sizes_meet_few_points_in_vain(spark):
+    rng = random.Random(11)
+    boxes = []
+    for n in range(300):
+        wide, high = rng.choice([(0.3, 0.2), (2.0, 1.0), (60.0, 30.0), (0.5, 20.0), (90.0, 0.4)])
+        west, south = rng.uniform(-180, 180), rng.uniform(-90, 90 - high)
+        east = west + wide
+        boxes.append((n, west, south, east - 360 if east > 180 else east, south + high))
+    points = [(n, rng.uniform(-180, 180), rng.uniform(-90, 90)) for n in range(6000)]
+    frame = spark.createDataFrame(points, "p int, lon double, lat double")
+    areas = spark.createDataFrame(boxes, "box_id int, west double, south double, east double, north double")
+    want = sorted((p, b[0]) for p, lon, lat in points for b in boxes if contains(b[1:], lon, lat))
+    assert sorted((r.p, r.box_id) for r in within_bounds(frame, areas, salts=2).collect()) == want
+    assert box_candidates(frame, areas, salts=2).count() <= 4 * len(want)
+    most = box_cells(areas).groupBy("box_id").count().agg(F.max("count")).first()[0]
+    assert most <= 100
+    assert within_bounds(frame, areas.limit(0)).count() == 0
+
+
 def ford(**members) -> dict:
     """A well-formed place of this test's own; a member given as None is left out."""
     base = {

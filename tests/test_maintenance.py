@@ -1,3 +1,5 @@
+import bisect
+import random
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from revtide.operators.maintenance import (
 )
 from revtide.operators.telemetry import (
     abandoned_operations,
+    duration_percentiles,
+    duration_sketches,
     duration_histogram,
     latest_status,
     operation_counts,
@@ -200,3 +204,22 @@ def test_a_replacement_opens_to_the_same_text(spark):
     row = rekey_envelopes(sealed, keys, "b", 2)
     opened = row.select("reject_reason", unseal(F.col("ciphertext"), F.lit(bytes([5]) * 32), F.col("context"), F.col("aad")).alias("p")).first()
     assert opened.reject_reason is None and bytes(opened.p) == b"secret"
+
+
+def test_sketches_of_hours_merge_to_close_percentiles(spark):
+    draw = random.Random(8)
+    rows = [(n % 7, "work", "ok", draw.paretovariate(0.8)) for n in range(30_000)]
+    rows += [(1, "odd", "ok", 1.0), (1, "work", "ok", None), (1, "work", "ok", -1.0), (1, "work", "ok", float("nan")), (2, "query", "denied", 3.5)]
+    frame = spark.createDataFrame(rows, "hour int, operation string, result string, duration_s double").repartition(5)
+    hourly = duration_sketches(frame)
+    assert hourly.count() == 8
+    got = {(r.operation, r.share): (r.n, r.duration_s) for r in duration_percentiles(hourly, [0.01, 0.5, 0.99]).collect()}
+    values = sorted(r[3] for r in rows[:30_000])
+    for share in (0.01, 0.5, 0.99):
+        n, found = got["work", share]
+        assert n == 30_000 and abs(bisect.bisect_left(values, found) / n - share) < 0.01
+        assert got["query", share] == (1, 3.5)
+    some = duration_percentiles(hourly.filter("hour < 3"), [0.5]).filter("operation = 'work'").first()
+    part = sorted(r[3] for r in rows[:30_000] if r[0] < 3)
+    assert some.n == len(part) and abs(bisect.bisect_left(part, some.duration_s) / len(part) - 0.5) < 0.01
+    assert duration_percentiles(hourly.limit(0), [0.5]).count() == 0

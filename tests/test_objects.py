@@ -174,3 +174,22 @@ def test_snapshots_are_never_overwritten(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)exist"):
         publish_snapshot(spark.range(1).toDF("n"), path)
     assert spark.read.parquet(path).count() == 5
+
+
+def test_entries_without_key_digest_or_length_are_results(spark, tmp_path):
+    (tmp_path / "from").mkdir()
+    (tmp_path / "to").mkdir()
+    (tmp_path / "from" / "a").write_bytes(b"one")
+    digest = hashlib.sha256(b"one").hexdigest()
+    entries = spark.createDataFrame(
+        [(1, "a", digest, 3), (2, None, digest, 3), (3, "a", None, 3), (4, "a", digest, None), (5, "", digest, 3),
+         (6, "../a", digest, 3), (7, "a", digest, -1), (None, "a", digest, 3), (9, ".", digest, 3)],
+        "seq long, key string, digest string, bytes long",
+    )
+    copied = {r.seq: (r.action, r.phase, r.cause, r.bytes) for r in copy_objects(entries, str(tmp_path / "from"), str(tmp_path / "to")).collect()}
+    assert {copied[1][0], copied[None][0]} == {"created", "existing"}
+    assert all(copied[n][:3] == (None, "destination_read", "invalid") for n in (2, 3, 4, 5, 6, 7, 9))
+    assert copied[4][3] is None
+    status = {r.seq: r.status for r in verify_objects(entries, str(tmp_path / "to")).collect()}
+    assert status == {1: "ok", None: "ok", **dict.fromkeys((2, 3, 4, 5, 6, 7, 9), "invalid")}
+    assert recovery_report(copy_objects(entries, str(tmp_path / "from"), str(tmp_path / "to"))).first().failed_seq == 2

@@ -10,6 +10,7 @@ from revtide.operators.retrieval import (
     authorized_view,
     hydrate,
     refused_vectors,
+    search_many,
     search_text,
     search_vectors,
     vector_candidates,
@@ -309,3 +310,26 @@ def test_stored_index_of_nothing(spark, tmp_path):
     docs = many_texts(spark, 0)
     index = stored(spark, tmp_path, docs)
     assert text_candidates(index, "doc", "text", "w1", "any", 5).collect() == []
+
+
+@pytest.mark.parametrize("mode", ["all", "any"])
+def test_many_requests_equal_one_at_a_time(spark, tmp_path, mode):
+    docs = many_texts(spark, 200).withColumn("profile", F.lit("")).filter("text IS NOT NULL")
+    view = docs.filter("kind = 'doc'").select(
+        "kind", "id", F.when(F.col("id").cast("int") % 5 == 0, 9).otherwise(F.col("revision")).alias("revision"), "tombstone",
+        F.create_map(F.lit("text"), F.col("text")).alias("fields"),
+    )
+    texts = {1: "w1 w2", 2: "w3, W1 w3", 3: "absent w1", 4: "w7", 5: "", 6: None, 7: " . ", 8: "x" * 5000, 9: "a\0b"}
+    requests = spark.createDataFrame(list(texts.items()), "request int, text string")
+    index = build_text_index(docs, ["text"], scratch=str(tmp_path / "scratch"))
+    many = search_many(index, view, requests, "doc", "text", mode, ["text"], 4, 9)
+    verdicts = {r.request: (r.status, r.candidates, r.shown) for r in many.verdicts.collect()}
+    rows = many.found.collect()
+    for request, text in texts.items():
+        own = sorted((r.rank, r.id, r.revision) for r in rows if r.request == request)
+        if request in (5, 6, 8, 9):
+            assert verdicts[request] == ("invalid", 0, 0) and own == []
+            continue
+        alone = search_text(index, view, "doc", "text", text, mode, ["text"], 4, 9).collect()
+        assert own == sorted((r["rank"], r.id, r.revision) for r in alone)
+        assert verdicts[request][0] == "ok" and verdicts[request][2] == len(own)

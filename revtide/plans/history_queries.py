@@ -43,6 +43,7 @@ from revtide.plans.tables import (
 from revtide.session import scratch_dir
 from revtide.sources.generation import compact, read_generation, write_generation
 from revtide.sources.journal import check_generation, read_journal
+from revtide.streaming.keyed import key_state_stream, use_keyed_state
 from revtide.streaming.projection import apply_page, page_faults, read_cursors, run_projection
 
 
@@ -455,6 +456,44 @@ def key_state_merge(spark, sf_dir):
     return merge_key_state(state, page).select("id", "revision", "status")
 
 
+_QUARTER_SQL = f"""
+  o AS (SELECT *, (position - 1) * 4 // (SELECT max(event_id) + 1 FROM events) AS q,
+        CASE WHEN (position - 1) * 4 // (SELECT max(event_id) + 1 FROM events) = 3 AND CAST(id AS BIGINT) % 17 = 0
+             THEN 1 ELSE revision END AS own FROM ({OPERATIONS_SQL})),
+  p AS (SELECT id, q, max_by(own, position) AS revision, count(DISTINCT digest || tombstone) AS contents FROM o GROUP BY id, q)
+"""
+
+
+@query(
+    "key_state_stream",
+    f"""WITH {_QUARTER_SQL}
+    SELECT id, coalesce(max(revision) FILTER (NOT (q = 3 AND CAST(id AS BIGINT) % 17 = 0)), 1) AS revision,
+      count(*) FILTER (q = 3 AND CAST(id AS BIGINT) % 17 = 0) AS conflicts
+    FROM p GROUP BY id""",
+)
+def key_state_in_pages(spark, sf_dir):
+    """The feed as a stream of four pages; in the last every seventeenth key falls back and keeps its state."""
+    path = scratch_dir(spark, "keyed")
+    ops = operations(journal(spark, sf_dir))
+    end = _feed_end(spark, sf_dir)
+    for n in range(4):
+        quarter = ops.filter(F.floor((F.col("position") - 1) * 4 / F.lit(end)) == n)
+        if n == 3:
+            back = F.when(F.col("id").cast("long") % 17 == 0, F.lit(1)).otherwise(F.col("revision"))
+            quarter = quarter.withColumn("revision", back.cast("long"))
+        quarter.coalesce(1).write.mode("append").parquet(f"{path}/in")
+    use_keyed_state(spark)
+    stream = spark.readStream.schema(ops.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+
+    def store(batch, number):
+        batch.withColumn("page", F.lit(number)).write.mode("overwrite").parquet(f"{path}/out/page={number}")
+
+    job = key_state_stream(stream).writeStream.foreachBatch(store).outputMode("update")
+    job.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    seen = spark.read.parquet(f"{path}/out")
+    return seen.groupBy("id").agg(F.max("revision").alias("revision"), F.count_if(F.col("status") == "conflict").alias("conflicts"))
+
+
 @query(
     "reconcile_status",
     f"""WITH o AS ({OPERATIONS_SQL}), f AS ({FOLD_SQL}),

@@ -17,6 +17,8 @@ from revtide.operators.telemetry import (
 )
 from revtide.plans.registry import query
 from revtide.plans.tables import table
+from revtide.session import scratch_dir
+from revtide.streaming.keyed import abandoned_operations_stream, use_keyed_state
 
 BOUNDS = (1.0, 5.0, 10.0, 50.0, 100.0, 500.0)
 RESULTS = (*OUTCOME_OF, "odd")
@@ -171,6 +173,10 @@ def percentiles(spark, sf_dir):
 )
 def lost_operations(spark, sf_dir):
     """Orders as started observations, line items as (repeated) finishes."""
+    return abandoned_operations(*_observed(spark, sf_dir), 300, 99000)
+
+
+def _observed(spark, sf_dir):
     names = F.array(*[F.lit(o) for o in ("action", "query", "work", "recovery")])
     starts = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("observation"),
@@ -184,4 +190,41 @@ def lost_operations(spark, sf_dir):
         F.when(flag == "A", "accepted").when(flag == "N", "denied").otherwise("rare").alias("result"),
         (F.col("l_orderkey") * 13 % 100000 + F.col("l_partkey") % 900).alias("ts"),
     )
-    return abandoned_operations(starts, finishes, 300, 99000)
+    return starts, finishes
+
+
+@query(
+    "abandoned_operations_stream",
+    """WITH s AS (SELECT o_orderkey AS observation, o_orderkey % 4 AS m, o_orderkey * 13 % 100000 AS ts FROM orders),
+    f AS (SELECT l_orderkey AS observation, min(l_orderkey * 13 % 100000 + l_partkey % 900) AS ts FROM lineitem GROUP BY 1),
+    r AS (SELECT l_orderkey AS observation, min(l_returnflag) AS flag FROM lineitem l
+      JOIN f ON f.observation = l_orderkey AND f.ts = l_orderkey * 13 % 100000 + l_partkey % 900 GROUP BY 1)
+    SELECT s.observation, (['action', 'query', 'work', 'recovery'])[m + 1] AS operation,
+      CASE WHEN f.ts - s.ts <= 300
+             THEN CASE flag WHEN 'A' THEN 'accepted' WHEN 'N' THEN 'denied' ELSE 'rejected' END
+           ELSE 'abandoned' END AS outcome
+    FROM s LEFT JOIN f USING (observation) LEFT JOIN r USING (observation)""",
+)
+def lost_operations_stream(spark, sf_dir):
+    """The same as a stream, every start twice, until its last timer has run out."""
+    path = scratch_dir(spark, "lost")
+    starts, finishes = _observed(spark, sf_dir)
+    end = [("end", "end", 10**6)] * 2
+    for name, frame in (("starts", starts.unionAll(starts)), ("finishes", finishes)):
+        # A stream's watermark begins at second 0, so the day begins after it.
+        timed = frame.withColumns({"observation": F.col("observation").cast("string"), "ts": F.timestamp_seconds(F.col("ts") + 3600)})
+        timed.coalesce(1).write.parquet(f"{path}/{name}")
+        # Two later files move the watermark past every timer.
+        for row in end:
+            last = spark.createDataFrame([row], timed.columns).withColumn("ts", F.timestamp_seconds("ts"))
+            last.coalesce(1).write.mode("append").parquet(f"{path}/{name}")
+    use_keyed_state(spark)
+    streams = [
+        spark.readStream.schema(spark.read.parquet(f"{path}/{n}").schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/{n}")
+        for n in ("starts", "finishes")
+    ]
+    lost = abandoned_operations_stream(*streams, 300)
+    job = lost.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint")
+    job.trigger(availableNow=True).start().awaitTermination()
+    seen = spark.read.schema("observation string, operation string, ts long, outcome string").parquet(f"{path}/out")
+    return seen.filter("observation <> 'end'").select(F.col("observation").cast("long").alias("observation"), "operation", "outcome")

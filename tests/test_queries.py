@@ -21,6 +21,8 @@ EAGER = {
     "snapshot_published",
     "text_stored_index",
     "text_any_stored",
+    "key_state_stream",
+    "abandoned_operations_stream",
     "search_many",
     "search_many_verdicts",
 }

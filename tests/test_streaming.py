@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,9 @@ from revtide.sources.generation import (
     write_delta,
     write_generation,
 )
+from revtide.operators.telemetry import abandoned_operations
 from revtide.sources.journal import JOURNAL, open_journal, read_journal, stream_journal
+from revtide.streaming.keyed import abandoned_operations_stream, key_state_stream, use_keyed_state
 from revtide.streaming.projection import KEPT_PAGES, RebuildRequired, apply_page, known_states, read_cursors, run_projection
 from revtide.streaming.windows import abandoned_stream, dedupe_stream, operation_counts_stream
 from revtide.verdicts import Refused
@@ -257,3 +260,70 @@ def test_another_page_under_a_used_id_is_not_lost(spark, tmp_path):
     with pytest.raises(RebuildRequired):
         apply_page(journal(spark, (2, "new", 1, "y")), 0, to_documents, "profile", path)
     apply_page(first, 0, to_documents, "profile", path)
+
+
+def test_key_states_over_a_stream_equal_merged_pages(spark, tmp_path):
+    """Each file is one page; pages that break a key leave its state as it was."""
+    draw = random.Random(3)
+    pages = []
+    for n in range(4):
+        rows = [("k", f"i{draw.randrange(25)}", n * 100 + p, n * 100 + p + 1, draw.random() < 0.2, draw.choice("xy")) for p in range(40)]
+        if n == 2:
+            rows += [("k", "i1", 290, 3, False, "x"), ("k", "i2", 291, 391, False, "x"), ("k", "i2", 292, 391, False, "y")]
+        pages.append(rows)
+    schema = "kind string, id string, position long, revision long, tombstone boolean, digest string"
+    expected, state = [], {}
+    for n, rows in enumerate(pages):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        for key in {r[1] for r in rows}:
+            own = [r[3:] for r in sorted(rows, key=lambda r: r[2]) if r[1] == key]
+            broken = any(b[0] < a[0] or (b[0] == a[0] and b != a) for a, b in zip(own, own[1:]))
+            new, old = max(reversed(own), key=lambda r: r[0]), state.get(key)
+            if broken or (old and (new[0] < old[0] or (new[0] == old[0] and new != old))):
+                status = "conflict"
+            else:
+                status = "inserted" if old is None else "repeated" if new == old else "advanced"
+                state[key] = new
+            expected.append((n, key, status, state.get(key, (None,))[0]))
+    use_keyed_state(spark)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    seen = []
+
+    def collect(batch, n):
+        seen.extend((n, r.id, r.status, r.revision) for r in batch.collect())
+
+    query = (
+        key_state_stream(stream).writeStream.foreachBatch(collect).outputMode("update")
+        .option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert sorted(seen, key=str) == sorted(expected, key=str)
+    assert {s for _, _, s, _ in seen} == {"inserted", "advanced", "conflict"}
+
+
+def test_stream_of_operations_equals_the_batch(spark, tmp_path):
+    draw = random.Random(6)
+    starts, finishes = [], []
+    for n in range(40):
+        at = draw.randrange(0, 3000)
+        starts += [(f"o{n}", "work", at)] * draw.choice([1, 1, 2])
+        if draw.random() < 0.2:
+            starts.append((f"o{n}", "query", at + 5))
+        for _ in range(draw.choice([0, 1, 1, 2])):
+            finishes.append((f"o{n}", draw.choice(["ok", "denied"]), at + draw.randrange(-20, 150)))
+    finishes.append(("lone", "ok", 10))
+    begun = spark.createDataFrame(starts, "observation string, operation string, ts long")
+    ended = spark.createDataFrame(finishes, "observation string, result string, ts long")
+    want = {(r.observation, r.operation, r.outcome) for r in abandoned_operations(begun, ended, 100, 10**6).collect()}
+    use_keyed_state(spark)
+    streams = []
+    for name, frame in (("s", begun), ("f", ended)):
+        timed = frame.withColumn("ts", F.timestamp_seconds("ts"))
+        timed.coalesce(1).write.parquet(str(tmp_path / name))
+        later = timed.limit(1).select(*[F.lit("end").alias(c) if c != "ts" else F.timestamp_seconds(F.lit(10**6)).alias(c) for c in timed.columns])
+        for _ in range(2):
+            later.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        streams.append(spark.readStream.schema(timed.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name)))
+    run_memory(abandoned_operations_stream(*streams, 100), "timed", "append", tmp_path)
+    got = [(r.observation, r.operation, r.outcome) for r in spark.table("timed").collect() if r.observation != "end"]
+    assert len(got) == len(set(got)) and set(got) == want

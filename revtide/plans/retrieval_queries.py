@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from revtide.functions.text import query_terms, tokens
 from revtide.functions.values import Mapping
+from revtide.operators.pivots import pivot_candidates, read_pivot_store, write_pivot_store
 from revtide.operators.retrieval import (
     admit_candidates,
     authorized_view,
@@ -186,6 +187,14 @@ for _metric in _SCORES:
     _register_knn(_metric)
 
 
+@query("knn_euclid_pivots", _knn_sql("euclid", 100))
+def knn_euclid_pivots(spark, sf_dir):
+    """The same vectors as the scan's, from a store clustered by distances to pivots."""
+    path = scratch_dir(spark, "pivots")
+    write_pivot_store(vectors(spark, sf_dir), path, "euclid")
+    return pivot_candidates(read_pivot_store(spark, path), _first_vector(spark, sf_dir), "vec", budget=100, exclude="0")
+
+
 @query(
     "knn_many",
     """WITH q AS (SELECT label AS query, embedding AS q FROM (

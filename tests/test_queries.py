@@ -21,6 +21,7 @@ EAGER = {
     "snapshot_published",
     "text_stored_index",
     "text_any_stored",
+    "knn_euclid_pivots",
     "key_state_stream",
     "abandoned_operations_stream",
     "search_many",

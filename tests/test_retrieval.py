@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revtide.functions.values import Mapping
+from revtide.operators.pivots import pivot_candidates, read_pivot_store, within_reach, write_pivot_store
 from revtide.operators.retrieval import (
     Denied,
     admit_candidates,
@@ -333,3 +334,40 @@ def test_many_requests_equal_one_at_a_time(spark, tmp_path, mode):
         alone = search_text(index, view, "doc", "text", text, mode, ["text"], 4, 9).collect()
         assert own == sorted((r["rank"], r.id, r.revision) for r in alone)
         assert verdicts[request][0] == "ok" and verdicts[request][2] == len(own)
+
+
+def scanned_rows(frame):
+    """Rows of the row groups that the scan read, after it ran."""
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+@pytest.mark.parametrize("metric", ["euclid", "manhattan"])
+def test_pivots_find_what_a_scan_finds_and_skip_row_groups(spark, tmp_path, metric):
+    draw = random.Random(13)
+    centres = [[draw.uniform(-50, 50) for _ in range(8)] for _ in range(12)]
+    rows = []
+    for n in range(4000):
+        centre = draw.choice(centres)
+        vector = [x + draw.gauss(0, 1) for x in centre] if n % 50 else [0.0] * 8
+        rows.append(("vec", str(n), 1, n % 19 == 3, vector if n % 333 else None))
+    rows += [("vec", "short", 1, False, [1.0, 2.0]), ("other", "x", 1, False, centres[0])]
+    frame = spark.createDataFrame(rows, "kind string, id string, revision int, tombstone boolean, vector array<float>")
+    write_pivot_store(frame, str(tmp_path / "store"), metric, group_bytes=4096)
+    store = read_pivot_store(spark, str(tmp_path / "store"))
+    assert store.vectors.count() == len(rows)
+    for query, exclude in ((centres[0], None), (rows[7][4], "7"), ([500.0] * 8, None), ([0.0] * 8, None)):
+        got = pivot_candidates(store, query, "vec", 20, exclude)
+        assert got.collect() == vector_candidates(frame, query, metric, "vec", 20, exclude).collect()
+    near = within_reach(store, centres[0], "vec", 20, None, None).select("id")
+    assert 20 <= len(near.collect()) < len(rows)
+    assert 0 < scanned_rows(near) < len(rows) / 2
+    assert pivot_candidates(store, [1.0, 2.0], "vec", 5).collect() == vector_candidates(frame, [1.0, 2.0], metric, "vec", 5).collect()
+
+
+def test_a_store_of_nothing(spark, tmp_path):
+    frame = spark.createDataFrame([("vec", "a", 1, False, None)], "kind string, id string, revision int, tombstone boolean, vector array<float>")
+    write_pivot_store(frame, str(tmp_path / "store"), "euclid")
+    assert pivot_candidates(read_pivot_store(spark, str(tmp_path / "store")), [1.0], "vec", 5).collect() == []
+    with pytest.raises(Refused):
+        write_pivot_store(frame, str(tmp_path / "other"), "cosine")

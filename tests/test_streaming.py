@@ -19,7 +19,8 @@ from revtide.sources.generation import (
 from revtide.operators.telemetry import abandoned_operations
 from revtide.sources.journal import JOURNAL, open_journal, read_journal, stream_journal
 from revtide.streaming.keyed import abandoned_operations_stream, key_state_stream, use_keyed_state
-from revtide.streaming.projection import KEPT_PAGES, RebuildRequired, apply_page, known_states, read_cursors, run_projection
+from revtide.streaming import projection
+from revtide.streaming.projection import RebuildRequired, apply_page, known_states, read_cursors, run_projection
 from revtide.streaming.windows import abandoned_stream, dedupe_stream, operation_counts_stream
 from revtide.verdicts import Refused
 
@@ -216,18 +217,19 @@ def test_compaction_removes_what_the_base_before_it_covers(spark, tmp_path):
     assert state(spark, path, first.schema) == [("a", 7, False, "5"), *((f"k{n}", 1, False, str(n)) for n in range(6))]
 
 
-def test_cursors_carry_every_kind_and_old_pages_cannot_return(spark, tmp_path):
+def test_cursors_carry_every_kind_and_old_pages_cannot_return(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(projection, "KEPT_PAGES", 2)
     path = str(tmp_path / "p")
     other = journal(spark, (7, "a", 1, "x")).withColumn("kind", F.lit("other"))
     apply_page(other, 0, to_documents, "profile", path)
-    for n in range(1, KEPT_PAGES + 3):
+    for n in range(1, 4):
         apply_page(journal(spark, (n, f"k{n}", 1, "x")), n, to_documents, "profile", path)
     at = {r.kind: r.position for r in read_cursors(spark, path).collect()}
-    assert at == {"other": 7, "k": KEPT_PAGES + 2}
-    assert len(numbered(spark, f"{path}/cursors")) == KEPT_PAGES == len(numbered(spark, f"{path}/intents"))
+    assert at == {"other": 7, "k": 3}
+    assert numbered(spark, f"{path}/cursors") == [2, 3] == numbered(spark, f"{path}/intents")
     with pytest.raises(RebuildRequired):
         apply_page(other, 0, to_documents, "profile", path)
-    apply_page(journal(spark, (5, "k5", 1, "x")), 5, to_documents, "profile", path)
+    apply_page(journal(spark, (2, "k2", 1, "x")), 2, to_documents, "profile", path)
 
 
 def test_delta_folders_are_named_by_batch():

@@ -2,9 +2,13 @@
 
 Each input partition cuts its documents into pieces and packs them best-fit decreasing. Bins that
 are nearly full are final. The others become items of the next round, where the bins of
-``FAN_IN`` neighbouring groups meet in one group and are packed best-fit again, as wholes. The
-rounds are fixed, so no task ever holds more than the underfull bins of ``FAN_IN`` groups, and the
-groups of the last round each leave a handful of underfull bins however large the input is.
+``FAN_IN`` neighbouring groups meet in one group and are packed best-fit again, as wholes.
+
+A group that is packed leaves at most one bin that is half full or less, since two such would have become one. So
+at most ``FAN_IN`` bins of a next round can still find room in others, and of the bins over half full a group
+sends up no more than ``FAN_IN`` of each fill: more could never meet a partner and are final. Nothing is
+lost by that, and however large the input is, a task holds at most ``FAN_IN`` bins of each fill from
+each of ``FAN_IN`` groups.
 
 Cases: a NULL or empty text is one piece that holds the end token alone. A row with a NULL
 ``doc_id`` is packed and returned under NULL. Repeated rows are packed once each. An empty table
@@ -31,7 +35,7 @@ FAN_IN = 16
 ROUNDS = 3
 
 PIECE = "doc_id: bigint, piece: int, start: bigint, length: bigint, ids_crc32: bigint, offset: bigint"
-BINS = f"group_id long, bin_id long, fill int, pieces array<struct<{PIECE}>>"
+BINS = f"group_id long, bin_id long, fill int, done boolean, pieces array<struct<{PIECE}>>"
 
 
 def _arrow_schema():
@@ -40,7 +44,7 @@ def _arrow_schema():
     names = ("doc_id", "piece", "start", "length", "ids_crc32", "offset")
     piece = pa.struct([(n, pa.int32() if n == "piece" else pa.int64()) for n in names])
     return pa.schema(
-        [("group_id", pa.int64()), ("bin_id", pa.int64()), ("fill", pa.int32()), ("pieces", pa.list_(piece))]
+        [("group_id", pa.int64()), ("bin_id", pa.int64()), ("fill", pa.int32()), ("done", pa.bool_()), ("pieces", pa.list_(piece))]
     )
 
 
@@ -98,6 +102,12 @@ def _packed(group: int, level: int, items: list[tuple[int, list[dict]]], capacit
         )
         own["pieces"] += [{**p, "offset": p.get("offset", 0) + own["fill"]} for p in pieces]
         own["fill"] += fill
+    sent: dict[int, int] = {}
+    for own in bins.values():
+        fill = own["fill"]
+        sent[fill] = sent.get(fill, 0) + 1
+        full = fill >= capacity - NEARLY_FULL or (2 * fill > capacity and sent[fill] > FAN_IN)
+        own["done"] = full or level == ROUNDS
     return list(bins.values())
 
 
@@ -137,13 +147,11 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     bins = stored(rows.mapInArrow(_local_bins(vocabulary, capacity), BINS))
-    nearly = F.col("fill") >= capacity - NEARLY_FULL
-    final, rest = bins.filter(nearly), bins.filter(~nearly)
+    final, rest = bins.filter("done"), bins.filter("NOT done")
     for level in range(1, ROUNDS + 1):
         rest = rest.withColumn("group_id", F.floor(F.col("group_id") / FAN_IN).cast("long"))
         packed = stored(rest.groupBy("group_id").applyInArrow(_merged_bins(level, capacity), BINS))
-        last = F.lit(level == ROUNDS)
-        final, rest = final.unionByName(packed.filter(nearly | last)), packed.filter(~(nearly | last))
+        final, rest = final.unionByName(packed.filter("done")), packed.filter("NOT done")
     return final.select(F.col("bin_id").alias("sequence_id"), F.explode("pieces").alias("p")).select(
         "p.doc_id",
         "p.piece",

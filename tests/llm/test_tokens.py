@@ -51,6 +51,39 @@ def test_best_fit_takes_the_fullest_bin_that_fits():
     assert packing.best_fit([], 10) == []
 
 
+def test_bins_without_a_partner_are_packed_whole(spark):
+    """Texts of about 1,400 tokens can't share a sequence, shorter ones fill them up."""
+    docs = [(i, " ".join(["word"] * (1390 + i % 3)), "en", "s", 0) for i in range(480)]
+    docs += [(1000 + i, " ".join(["word"] * 300), "en", "s", 0) for i in range(40)]
+    frame = brute.documents(spark, docs).repartition(64)
+    used = check_pieces(docs, packing.pack(frame).collect())
+    assert used <= 481
+
+
+def test_what_is_sent_up_is_bounded():
+    many = [(1400, []) for _ in range(1000)] + [(1500, []) for _ in range(7)] + [(300, [])]
+    bins = packing._packed(0, 0, many, 2048)
+    assert sum(not b["done"] for b in bins if b["fill"] == 1400) == packing.FAN_IN
+    assert sum(not b["done"] for b in bins if b["fill"] == 1500) == 6
+    assert sorted(b["fill"] for b in bins if b["fill"] not in (1400, 1500)) == [1800]
+    assert all(b["done"] for b in packing._packed(0, packing.ROUNDS, many, 2048))
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_holding_bins_back_costs_no_sequence(seed, monkeypatch):
+    """Packed group by group with and without the rule: the same number of bins."""
+    draw = random.Random(seed)
+    groups = [[(draw.choice([1400, 1401, 1300, draw.randrange(1, 2049)]), []) for _ in range(draw.randrange(1, 120))] for _ in range(16)]
+
+    def bins_of(limit):
+        monkeypatch.setattr(packing, "FAN_IN", limit)
+        low = [b for g, items in enumerate(groups) for b in packing._packed(g, 0, items, 2048)]
+        up = [(b["fill"], b["pieces"]) for b in low if not b["done"]]
+        return sum(b["done"] for b in low) + len(packing._packed(0, 1, up, 2048))
+
+    assert bins_of(16) == bins_of(10**9)
+
+
 def test_counts_odd_rows(spark):
     rows = tokencount.count_tokens(brute.with_clashes(brute.documents(spark))).collect()
     found = sorted((str(r.doc_id), r.n_bytes, r.n_tokens, r.over_limit) for r in rows)

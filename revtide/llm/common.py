@@ -41,6 +41,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def others_aside(work, docs: DataFrame, own: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """``work(docs)`` with the columns that are not its ``own`` under names that no operator uses, then under their names again.
+
+    So a column may be called as the operator's inner ones are. Where ``work`` adds a column of the name of one of
+    the others, the added one stands in the result.
+    """
+    aside = {c: c if c in own else f"__other_{n}" for n, c in enumerate(docs.columns)}
+    done = work(docs.toDF(*aside.values()))
+    added = [c for c in done.columns if c not in aside.values()]
+    kept = [F.col(a).alias(c) for c, a in aside.items() if c not in added]
+    return done.select(*kept, *added)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -24,7 +24,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.common import hash_filter, in_filter, slices, stored
+from revtide.llm.common import hash_filter, in_filter, others_aside, slices, stored
 
 WINDOW = 8
 #: Words of a window that must be literal, so that a row of placeholders says nothing.
@@ -289,5 +289,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataFra
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) that leak no item."""
+    return others_aside(lambda own: _clean(own, benchmark), docs)
+
+
+def _clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     tainted = leaks(docs, benchmark, whole=True).select(F.col("doc_id").alias("_tainted")).distinct()
     return docs.join(tainted, docs["doc_id"].cast("long").eqNullSafe(F.col("_tainted")), "left_anti")

@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revtide.llm.common import others_aside
+
 WINDOW = 3
 MIN_WORDS = 25
 #: Characters from which a line is a fingerprint by itself.
@@ -121,7 +123,14 @@ aggregate(sort_array(ranges), cast(array() as array<struct<first: int, last: int
 
 
 def drop_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The rows and columns of ``docs``, with ``text`` freed of later repeated runs, and ``deleted_lines``."""
+    """The rows and columns of ``docs``, with ``text`` freed of later repeated runs, and ``deleted_lines``.
+
+    A column ``deleted_lines`` of ``docs`` gives way to the operator's.
+    """
+    return others_aside(lambda own: _without_runs(own, min_words), docs)
+
+
+def _without_runs(docs: DataFrame, min_words: int) -> DataFrame:
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = (

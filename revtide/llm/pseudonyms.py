@@ -23,6 +23,8 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revtide.llm.common import others_aside
+
 ROUNDS = 8
 #: Rounds of cycle walking; the share of invalid values is under a tenth in every format.
 WALKS = 24
@@ -152,8 +154,13 @@ def pseudonym_sql(key: str) -> tuple[str, str]:
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """The rows and columns of ``docs`` with ``text`` pseudonymised, and ``found``.
 
-    ``found`` is an array of ``kind`` and ``pseudonym`` of the values that were replaced, in text order.
+    ``found`` is an array of ``kind`` and ``pseudonym`` of the values that were replaced, in text order; a column
+    ``found`` of ``docs`` gives way to it.
     """
+    return others_aside(lambda own: _replaced(own, key), docs)
+
+
+def _replaced(docs: DataFrame, key: str) -> DataFrame:
     secret = hashlib.sha256(key.encode()).hexdigest()
     kind, pseudonym = pseudonym_sql(secret)
     has = F.col("text").rlike(HINT)

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revtide.llm.common import hash_filter, in_filter, slices, stored
+from revtide.llm.common import hash_filter, in_filter, others_aside, slices, stored
 from revtide.llm.components import connected_components
 
 BITS = 64
@@ -453,6 +453,10 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: f
 
 def one_of_each_group(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` (all columns) without near and exact copies: of each group the row with the least ``doc_id`` stays."""
+    return others_aside(lambda own: _least_of_groups(own, **settings), docs)
+
+
+def _least_of_groups(docs: DataFrame, **settings) -> DataFrame:
     marked = docs.withColumn("_text_id", _text_id(docs))
     groups = near_duplicate_groups(docs, **settings)
     ids = marked.select("doc_id", "_text_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -41,6 +42,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the shuffle files of frames that are no longer referenced removed now.
+
+    Spark's cleaner goes by the driver's garbage collector, which may not run for long where the driver is idle.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def others_aside(work, docs: DataFrame, own: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
     """``work(docs)`` with the columns that are not its ``own`` under names that no operator uses, then under their names again.
 

@@ -26,10 +26,12 @@ empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revtide.llm.common import hash_filter, in_filter, others_aside, slices, stored
+from revtide.llm.common import hash_filter, in_filter, others_aside, release, slices, stored, written
 from revtide.llm.components import connected_components
 
 BITS = 64
@@ -41,7 +43,7 @@ SHINGLE_WORDS = 5
 #: Bits of the filter of texts to be checked.
 FILTER = 1 << 22
 MIN_SIMILARITY = 0.8
-#: Texts whose shingles are counted, and the shingles kept, to take common ones last.
+#: Texts, on average, whose shingles are counted, and the shingles kept, to take common ones last.
 ORDER_TEXTS, ORDER_SHINGLES = 4000, 1 << 17
 #: Texts of a class up to which its pairs are counted out.
 SMALL = 16
@@ -49,6 +51,8 @@ SMALL = 16
 ROUNDS = 3
 #: Texts of a block, on average, and shingles of the matrix that is held at once.
 BLOCK_TEXTS, MATRIX = 128, 4096
+#: Shingles of texts that a task remembers while it checks pairs.
+HELD_SHINGLES = 1 << 22
 
 
 def shingle_hashes(text: str, size: int):
@@ -203,7 +207,7 @@ def common_shingles(texts: DataFrame, size: int):
     """
     import numpy as np
 
-    some = texts.filter("text <> ''").orderBy(F.xxhash64("text_id")).limit(ORDER_TEXTS)
+    some = texts.sample(min(1.0, ORDER_TEXTS / max(texts.count(), 1)), seed=SEED)
     counts = some.select("text").mapInArrow(_seen_shingles(size), "key long").groupBy("key").count().filter("count > 2")
     found = counts.orderBy(F.desc("count"), "key").limit(ORDER_SHINGLES).toPandas()
     keys = found["key"].to_numpy(np.int64)
@@ -222,8 +226,6 @@ def prefix(own, often, ranks, minimum: float):
     Texts of x and y shingles with a similarity of ``minimum`` share ``minimum * max(x, y)`` or more.
     Of the first ``n - minimum * n + k`` of each, in one order for all texts, they share k.
     """
-    import math
-
     import numpy as np
 
     n = len(own)
@@ -255,37 +257,53 @@ def _prefixes(size: int, minimum: float, order):
     return compute
 
 
-def _shingle_sets(size: int, wanted):
-    """Sets of shingles of the texts that the filter ``wanted``, a broadcast, lets through."""
+def _packed_texts(wanted):
+    """The texts, compressed, that the filter ``wanted``, a broadcast, lets through: a third of what their shingles would take."""
 
     def compute(batches):
-        import numpy as np
         import pyarrow as pa
+        import zstandard
 
-        passes = in_filter(wanted.value)
+        passes, pack = in_filter(wanted.value), zstandard.ZstdCompressor().compress
         for batch in slices(batches):
             some = batch.filter(pa.array(passes(batch.column(0).to_numpy())))
-            sets = [np.unique(shingle_hashes(t, size)).view(np.int64) for t in some.column(1).to_pylist()]
-            yield pa.RecordBatch.from_pydict(
-                {"text_id": some.column(0), "shingles": pa.array(sets, pa.list_(pa.int64()))}
-            )
+            texts = pa.array([pack(t.encode()) for t in some.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_pydict({"text_id": some.column(0), "packed": texts})
 
     return compute
 
 
-def _similar(minimum: float):
+def _unpacked(packed, size: int):
+    """The set of shingles of a compressed text, in order."""
+    import numpy as np
+    import zstandard
+
+    return np.unique(shingle_hashes(zstandard.ZstdDecompressor().decompress(packed).decode(), size)).view(np.int64)
+
+
+def _similar(size: int, minimum: float):
     def check(batches):
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
-            keep = []
-            for left, right in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = left.values.to_numpy(), right.values.to_numpy()
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                union = len(x) + len(y) - common
+        for batch in slices(batches):
+            keep, held, room = [], {}, HELD_SHINGLES
+            for a, b, x, y in zip(*(batch.column(i) for i in range(4)), strict=True):
+                sets = []
+                for name, packed in ((a.as_py(), x), (b.as_py(), y)):
+                    own = held.get(name)
+                    if own is None:
+                        own = _unpacked(packed.as_buffer(), size)
+                        room -= len(own)
+                        if room < 0:
+                            held.clear()
+                            room = HELD_SHINGLES
+                        held[name] = own
+                    sets.append(own)
+                common = len(np.intersect1d(*sets, assume_unique=True))
+                union = len(sets[0]) + len(sets[1]) - common
                 keep.append(union == 0 or common >= minimum * union)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return check
 
@@ -294,7 +312,7 @@ def _text_id(docs: DataFrame):
     return F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
 
 
-def _block_links(minimum: float):
+def _block_links(size: int, minimum: float):
     """Links that join the similar texts of one block, a tree for each of its groups."""
 
     def compute(table):
@@ -302,9 +320,9 @@ def _block_links(minimum: float):
         import pyarrow as pa
 
         ids = table.column("text_id").to_numpy()
-        chunks = table.column("shingles").combine_chunks()
-        m, lengths = len(ids), np.diff(chunks.offsets.to_numpy()).astype(np.int64)
-        values, place, counts = np.unique(chunks.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        sets = [_unpacked(p.as_buffer(), size) for p in table.column("packed")]
+        m, lengths = len(ids), np.array([len(own) for own in sets], np.int64)
+        _, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         owner = np.repeat(np.arange(m), lengths)
         # Shingles that only one text has are in no intersection.
         column = np.cumsum(counts > 1) - 1
@@ -338,7 +356,7 @@ def _block_links(minimum: float):
     return compute
 
 
-def _all_pairs(classes: DataFrame, sets: DataFrame, minimum: float) -> DataFrame:
+def _all_pairs(classes: DataFrame, kept: DataFrame, size: int, minimum: float) -> DataFrame:
     """``a, b``: links among the texts of each class (``key, text_id``), dealt out in pairs of blocks."""
     seen = classes.groupBy("key").agg(F.count("*").alias("m"), F.sum(F.xxhash64("text_id").cast("decimal(38,0)")).alias("of"))
     # Classes of the same texts are looked at once.
@@ -349,8 +367,23 @@ def _all_pairs(classes: DataFrame, sets: DataFrame, minimum: float) -> DataFrame
         .select("text_id", "key", "own", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("other"))
         .select("text_id", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
-    rows = dealt.join(sets.hint("merge"), "text_id")
-    return rows.groupBy("key", "i", "j").applyInArrow(_block_links(minimum), "a long, b long")
+    rows = dealt.join(kept.hint("merge"), "text_id")
+    return rows.groupBy("key", "i", "j").applyInArrow(_block_links(size, minimum), "a long, b long")
+
+
+def _by_length(open_rows: DataFrame, minimum: float) -> DataFrame:
+    """``key, text_id`` of classes split by length, of those that still have texts of more than one root.
+
+    Lengths of similar texts differ by a factor of ``minimum`` at most, so they are in one band of that
+    width or in two next to each other; each text goes to its own band's class and to the one below.
+    """
+    width = max(math.log(1 / minimum), 1e-3) * 1.0001
+    band = F.when(F.col("n") > 0, F.floor(F.log("n") / F.lit(width))).otherwise(F.lit(-9))
+    banded = open_rows.withColumn("band", band)
+    both = banded.select("text_id", "root", "key", F.explode(F.array("band", F.col("band") - 1)).alias("band"))
+    split = both.select("text_id", "root", F.xxhash64("key", "band").alias("key"))
+    mixed = split.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    return split.join(mixed.select("key").hint("merge"), "key", "left_semi").select("key", "text_id")
 
 
 def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: float = MIN_SIMILARITY) -> DataFrame:
@@ -360,7 +393,8 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: f
     ``minimum`` or more. Those that may are the texts with a common shingle among their first ones
     (``prefix``); no such pair is passed over. Pairs of small classes are counted out and checked.
     In a large class all texts are first held against a few of it, those with the most links; as long
-    as a class has texts of more than one group, in the end all of these are compared in blocks. A text
+    as a class has texts of more than one group, in the end all of these that may be alike by their
+    length are compared in blocks. A text
     in no group is not returned.
     """
     spark = docs.sparkSession
@@ -368,8 +402,8 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: f
     order = spark.sparkContext.broadcast(common_shingles(texts, size))
     keyed = texts.mapInArrow(_prefixes(size, minimum, order), "text_id long, n long, key long")
     dealt = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").dropDuplicates(["key", "text_id"])
-    classes = stored(dealt.withColumn("m", F.count("*").over(Window.partitionBy("key"))).filter("m > 1"))
-    large = stored(classes.filter(F.col("m") > SMALL).select("key", "text_id", "n"))
+    classes = written(dealt.withColumn("m", F.count("*").over(Window.partitionBy("key"))).filter("m > 1"), "classes")
+    large = classes.filter(F.col("m") > SMALL).select("key", "text_id", "n")
 
     near = F.least("na", "nb") >= F.lit(minimum) * F.greatest("na", "nb") - F.lit(1e-9)
     each = (
@@ -396,21 +430,25 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: f
     wanted = stored(small.select(F.explode(F.array("a", "b")).alias("text_id")).unionAll(large.select("text_id")).distinct())
     # A filter of fixed size spares most texts the way; the join decides.
     passing = spark.sparkContext.broadcast(hash_filter(wanted.select(F.col("text_id").alias("hash")), FILTER))
-    sets = stored(
-        texts.mapInArrow(_shingle_sets(size, passing), "text_id long, shingles array<long>")
-        .join(wanted.hint("merge"), "text_id", "left_semi")
+    kept = written(
+        texts.mapInArrow(_packed_texts(passing), "text_id long, packed binary")
         .dropDuplicates(["text_id"])
+        .join(wanted.hint("merge"), "text_id", "left_semi"),
+        "texts",
     )
 
     def checked(pairs: DataFrame) -> DataFrame:
         return (
-            pairs.join(sets.select(F.col("text_id").alias("a"), F.col("shingles").alias("x")).hint("merge"), "a")
-            .join(sets.select(F.col("text_id").alias("b"), F.col("shingles").alias("y")).hint("merge"), "b")
+            pairs.join(kept.select(F.col("text_id").alias("a"), F.col("packed").alias("x")).hint("merge"), "a")
+            .join(kept.select(F.col("text_id").alias("b"), F.col("packed").alias("y")).hint("merge"), "b")
             .select("a", "b", "x", "y")
-            .mapInArrow(_similar(minimum), "a long, b long")
+            .mapInArrow(_similar(size, minimum), "a long, b long")
         )
 
+    dealt = counted = None
+    release(spark)
     links = stored(checked(small))
+    release(spark)
     roots = connected_components(links)
     tried = None
     for turn in range(ROUNDS + 1):
@@ -425,7 +463,7 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: f
         if open_rows.isEmpty():
             break
         if turn == ROUNDS:
-            found = _all_pairs(large.select("key", "text_id"), sets, minimum)
+            found = _all_pairs(stored(_by_length(open_rows, minimum)), kept, size, minimum)
         else:
             ends = links.select(F.explode(F.array("a", "b")).alias("text_id")).groupBy("text_id").agg(F.count("*").alias("links"))
             left = large if tried is None else large.join(tried.hint("merge"), ["key", "text_id"], "left_anti")
@@ -447,6 +485,8 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: f
             )
             found = checked(pairs)
         links = stored(links.unionAll(found))
+        found = pairs = None
+        release(spark)
         roots = connected_components(links)
     return roots.select(F.col("node").alias("text_id"), F.col("root").alias("group_id"))
 

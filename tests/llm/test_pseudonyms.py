@@ -61,6 +61,15 @@ def test_the_mapping_is_one_to_one_and_keyed(spark):
     assert [r.text for r in run(spark, texts)] == [r.text for r in one]
 
 
+def test_dates_with_slashes_are_one_to_one(spark):
+    days = [date.fromordinal(date(1999, 1, 1).toordinal() + n) for n in range(1500)]
+    texts = sorted({f"{d:%d/%m/%Y}" for d in days} | {f"{d:%m/%d/%Y}" for d in days})
+    found = {t: r.found[0].pseudonym for t, r in zip(texts, run(spark, texts), strict=True)}
+    assert len(set(found.values())) == len(texts)
+    for old, new in found.items():
+        assert re.fullmatch(r"\d\d/\d\d/\d{4}", new) and (old[3:5] > "12") == (new[3:5] > "12")
+
+
 def test_what_fails_validation_stays(spark):
     texts = [
         "4111 1111 1111 1112 and 300.1.2.3 and 2023-02-30 and 000-12-3456 and 1.2.3.4.5",

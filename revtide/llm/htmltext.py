@@ -8,7 +8,9 @@ line is a mirror copy and deletes nothing.
 Differencing alone deletes sentences that a site repeats inside its articles and keeps menus that
 change from page to page, so the markup has the first word where it speaks: lines in menus, headers,
 footers, sidebars, notices, adverts, forms and comments go, and lines inside an ``article`` or
-``main`` element stay. Where a page has such an element, lines outside it go as well.
+``main`` element stay. Where such elements hold at least half of the page's own text, lines outside
+them go as well. Class names of ``html`` and ``body`` and those that say what a page has or lacks
+(``has-sidebar``) mark nothing.
 
 The order is dealt out by ranges of (host, path), so a large host spreads over many tasks; the pages
 on both sides of a range's border are aligned in a step of their own, and the result does not
@@ -43,20 +45,34 @@ BLOCKS = frozenset(
     "title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style title textarea template noscript svg math iframe object select button".split())
+HIDDEN = frozenset("script style title textarea template noscript svg iframe object select button".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog search".split())
 CONTENT = frozenset(("article", "main"))
 ROLES = "navigation|banner|contentinfo|complementary|search|form|menu|menubar|alert|dialog"
-NAMES = (
-    r"ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|gdpr|header|masthead|menu|"
+NAMES = re.compile(
+    r"ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|gdpr|masthead|menu|"
     r"modal|nav|navbar|navigation|newsletter|notices?|popup|promo\w*|related|replies|share|sharing|sidebar|"
-    r"social|sponsor\w*|subscribe|toolbar|widget"
-)
-MARKED = re.compile(
-    rf"\b(?:class|id)\s*=\s*(?:\"(?:[^\"]*[\s_-])?(?:{NAMES})(?:[\s_-][^\"]*)?\"|'(?:[^']*[\s_-])?(?:{NAMES})(?:[\s_-][^']*)?'|(?:{NAMES})(?=[\s/>]|\Z))"
-    rf"|\brole\s*=\s*[\"']?(?:{ROLES})\b",
+    r"social|sponsor\w*|subscribe|toolbar|widget",
     re.I,
 )
+#: Names that say what a page has or lacks, as in ``has-sidebar``.
+ABOUT = re.compile(r"(?:has|no|non|with|without|is|show|hide|hidden|layout)[-_]", re.I)
+#: Headers of the site; others, as ``entry-header``, hold titles.
+SITE_HEADER = re.compile(r"(?:(?:site|top|global)[-_]?)?header", re.I)
+NAMED = re.compile(r"(?<![\w-])(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+ROLE = re.compile(rf"(?<![\w-])role\s*=\s*[\"']?(?:{ROLES})\b", re.I)
+
+
+def _marked(rest: str, in_content: bool) -> bool:
+    """Whether an element's attributes name it as page furniture."""
+    for found in NAMED.finditer(rest):
+        for word in (found[1] or found[2] or found[3] or "").split():
+            if SITE_HEADER.fullmatch(word) and not in_content:
+                return True
+            if not ABOUT.match(word) and any(map(NAMES.fullmatch, re.split("[-_]", word))):
+                return True
+    return bool(ROLE.search(rest))
+
 
 OPEN, INSIDE, OUTSIDE = range(3)  # a line's zone: no word from the markup, in an article, boilerplate
 
@@ -64,7 +80,9 @@ OPEN, INSIDE, OUTSIDE = range(3)  # a line's zone: no word from the markup, in a
 def _class_of(name: str, rest: str, in_content: bool) -> int | None:
     if name in CONTENT:
         return INSIDE
-    if name in BOILERPLATE or (name == "header" and not in_content) or (rest and MARKED.search(rest)):
+    if name in ("html", "body"):
+        return None
+    if name in BOILERPLATE or (name == "header" and not in_content) or (rest and _marked(rest, in_content)):
         return OUTSIDE
     return None
 
@@ -129,9 +147,12 @@ def page_lines(page: str) -> list[tuple[int, str]]:
 
 def main_text(lines: list[tuple[int, str]], shared: set[int]) -> str:
     """The text of a page of whose ``lines`` those numbered in ``shared`` belong to its site."""
-    if any(zone == INSIDE for zone, _ in lines):
-        return "\n".join(text for zone, text in lines if zone == INSIDE)
-    return "\n".join(text for i, (zone, text) in enumerate(lines) if zone == OPEN and i not in shared)
+    own = [(zone, text) for i, (zone, text) in enumerate(lines) if zone == INSIDE or (zone == OPEN and i not in shared)]
+    inside = [text for zone, text in own if zone == INSIDE]
+    # An article that holds the lesser part of what is the page's own is a teaser, not its main text.
+    if sum(map(len, inside)) * 2 >= sum(len(text) for _, text in own):
+        return "\n".join(inside)
+    return "\n".join(text for _, text in own)
 
 
 def common_lines(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:

@@ -41,6 +41,19 @@ def test_site_lines_go_by_differencing(spark):
         assert texts(spark, pages, partitions) == own
 
 
+def test_class_names_that_mark_no_furniture(spark):
+    body = "<p>" + "Own words of the page. " * 5 + "</p>"
+    plain = ("Own words of the page. " * 5).strip()
+    pages = [
+        (1, "http://a.com/1", f'<html class="no-sidebar"><body class="has-sidebar">{body}</body></html>'),
+        (2, "http://b.com/2", f'<div class="main no-comments">{body}</div><div class="post comments-list">Reader</div>'),
+        (3, "http://c.com/3", f'<article><div class="entry-header"><h1>Title</h1></div>{body}</article>'),
+        (4, "http://d.com/4", f'{body}<article><p>Teaser</p></article><div id=site-header>Site</div>'),
+        (5, "http://e.com/5", f"<article>{body}<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>"),
+    ]
+    assert texts(spark, pages) == {1: plain, 2: plain, 3: f"Title\n{plain}", 4: f"{plain}\nTeaser", 5: f"{plain}\nSo x=2 holds"}
+
+
 def test_mirrors_keep_their_text_and_odd_rows(spark):
     page = "<p>Same words</p><p>on both pages</p>"
     pages = [(1, "http://m.com/a", page), (2, "http://m.com/b", page), (3, None, None), (4, "x", ""), (None, "http://m.com/c", "plain"), (5, "http://q.com/", "<nav><ul><li>x</ul>"), (5, "http://q.com/", "<nav><ul><li>x</ul>"), (6, "http://z.com/", "<p>" + "word " * 60_000)]

@@ -371,21 +371,6 @@ def _all_pairs(classes: DataFrame, kept: DataFrame, size: int, minimum: float) -
     return rows.groupBy("key", "i", "j").applyInArrow(_block_links(size, minimum), "a long, b long")
 
 
-def _by_length(open_rows: DataFrame, minimum: float) -> DataFrame:
-    """``key, text_id`` of classes split by length, of those that still have texts of more than one root.
-
-    Lengths of similar texts differ by a factor of ``minimum`` at most, so they are in one band of that
-    width or in two next to each other; each text goes to its own band's class and to the one below.
-    """
-    width = max(math.log(1 / minimum), 1e-3) * 1.0001
-    band = F.when(F.col("n") > 0, F.floor(F.log("n") / F.lit(width))).otherwise(F.lit(-9))
-    banded = open_rows.withColumn("band", band)
-    both = banded.select("text_id", "root", "key", F.explode(F.array("band", F.col("band") - 1)).alias("band"))
-    split = both.select("text_id", "root", F.xxhash64("key", "band").alias("key"))
-    mixed = split.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return split.join(mixed.select("key").hint("merge"), "key", "left_semi").select("key", "text_id")
-
-
 def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: float = MIN_SIMILARITY) -> DataFrame:
     """``text_id, group_id``: texts (by 64-bit hash) in one group with others, and the group's least text.
 
@@ -393,8 +378,7 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: f
     ``minimum`` or more. Those that may are the texts with a common shingle among their first ones
     (``prefix``); no such pair is passed over. Pairs of small classes are counted out and checked.
     In a large class all texts are first held against a few of it, those with the most links; as long
-    as a class has texts of more than one group, in the end all of these that may be alike by their
-    length are compared in blocks. A text
+    as a class has texts of more than one group, in the end all of these are compared in blocks. A text
     in no group is not returned.
     """
     spark = docs.sparkSession
@@ -463,7 +447,7 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: f
         if open_rows.isEmpty():
             break
         if turn == ROUNDS:
-            found = _all_pairs(stored(_by_length(open_rows, minimum)), kept, size, minimum)
+            found = _all_pairs(large.select("key", "text_id"), kept, size, minimum)
         else:
             ends = links.select(F.explode(F.array("a", "b")).alias("text_id")).groupBy("text_id").agg(F.count("*").alias("links"))
             left = large if tried is None else large.join(tried.hint("merge"), ["key", "text_id"], "left_anti")

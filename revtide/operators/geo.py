@@ -81,15 +81,21 @@ def _level(extent: Column, span: float) -> Column:
     return F.least(needed, F.lit(MAX_LEVEL)).cast("int")
 
 
-def box_cells(boxes: DataFrame) -> DataFrame:
-    """Valid boxes with the cells ``_lx, _ly, _x, _y`` that cover them, each on grids of its own size: at most ten by ten."""
+def _levelled(boxes: DataFrame) -> DataFrame:
+    """Valid boxes with the grids ``_lx, _ly`` of their size."""
     w, s, e, n = (F.col(c) for c in ("west", "south", "east", "north"))
-    wraps = w > e
-    levelled = (
+    return (
         boxes.filter(valid_box(w, s, e, n))
-        .withColumn("_lx", _level(F.when(wraps, F.lit(360.0) - (w - e)).otherwise(e - w), 360.0))
+        .withColumn("_lx", _level(F.when(w > e, F.lit(360.0) - (w - e)).otherwise(e - w), 360.0))
         .withColumn("_ly", _level(n - s, 180.0))
     )
+
+
+def box_cells(boxes: DataFrame) -> DataFrame:
+    """Valid boxes with the cells ``_lx, _ly, _x, _y`` that cover them, each on grids of its own size: at most ten by ten."""
+    w, s, e, n = (F.col(c) for c in ("west", "south", "east", "north"))
+    wraps = w > e
+    levelled = _levelled(boxes)
     first, last = _cell(w, 180.0, 360.0, F.col("_lx")), _cell(e, 180.0, 360.0, F.col("_lx"))
     edge = _cell(F.lit(180.0), 180.0, 360.0, F.col("_lx"))
     lons = F.when(wraps, F.concat(F.sequence(first, edge), F.sequence(F.lit(0).cast("long"), last))).otherwise(
@@ -105,10 +111,11 @@ def box_candidates(points: DataFrame, boxes: DataFrame, salts: int = SALTS) -> D
 
     Boxes may be of all sizes: each is put on a grid of its own size, and a point looks up one cell for every
     pair of grids that some box uses, 121 at most. Points of a cell are spread over ``salts`` lanes so that one crowded
-    cell is not one task.
+    cell is not one task. The join is a merge join by hint: a box has many cells in every lane, which the planner's guess
+    of the table's size leaves out, so that it would send millions of rows to the driver.
     """
-    cells = box_cells(boxes)
-    used = cells.agg(F.collect_set(F.struct("_lx", "_ly")).alias("levels")).scalar()
+    cells = box_cells(boxes).withColumn("_lane", every_lane(salts))
+    used = _levelled(boxes).agg(F.collect_set(F.struct("_lx", "_ly")).alias("levels")).scalar()
     located = (
         points.filter(valid_coordinate(F.col("lon"), F.col("lat")))
         .withColumn("_lane", lanes(*points.columns, salts=salts))
@@ -118,7 +125,7 @@ def box_candidates(points: DataFrame, boxes: DataFrame, salts: int = SALTS) -> D
         .drop("_level")
     )
     keys = ["_lx", "_ly", "_x", "_y", "_lane"]
-    return located.join(cells.withColumn("_lane", every_lane(salts)), keys).drop(*keys)
+    return located.join(cells.hint("merge"), keys).drop(*keys)
 
 
 def within_bounds(points: DataFrame, boxes: DataFrame, salts: int = SALTS) -> DataFrame:

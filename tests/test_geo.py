@@ -89,6 +89,19 @@ def test_boxes_of_all_sizes_meet_few_points_in_vain(spark):
     assert within_bounds(frame, areas.limit(0)).count() == 0
 
 
+def test_cells_of_many_boxes_are_never_broadcast(spark):
+    # The planner takes 2000 boxes for a small table, but they have 16 lanes of cells each.
+    n = F.col("id")
+    areas = spark.range(2000).select(
+        n.alias("box_id"), (n % 300 - 170.0).alias("west"), (n % 100 - 80.0).alias("south"), (n % 300 - 169.0).alias("east"), (n % 100 - 79.5).alias("north")
+    )
+    points = spark.range(50).select(n.alias("p"), (n * 7 % 300 - 169.5).alias("lon"), (n * 3 % 100 - 79.75).alias("lat"))
+    pairs = within_bounds(points, areas)
+    assert "BroadcastHashJoin" not in pairs._jdf.queryExecution().executedPlan().toString()
+    held = areas.crossJoin(points).filter("lon between west and east and lat between south and north")
+    assert sorted((r.p, r.box_id) for r in pairs.collect()) == sorted((r.p, r.box_id) for r in held.collect())
+
+
 def ford(**members) -> dict:
     """A well-formed place of this test's own; a member given as None is left out."""
     base = {

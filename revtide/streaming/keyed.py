@@ -1,16 +1,16 @@
 """Keyed state over streams: key states with conflicts, and started operations with timers.
 
-Both run on Spark's keyed state (``transformWithState``): one small value per key in the state store, which
-is checkpointed with the offsets, so nothing is read back from a target. The state store must be the
-RocksDB one (``use_keyed_state``).
+Both run on Spark's keyed state (``transformWithState``): one small value per key, or per bucket of observations, in
+the state store, which is checkpointed with the offsets, so nothing is read back from a target. The state store must
+be the RocksDB one (``use_keyed_state``).
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -21,6 +21,8 @@ from revtide.operators.telemetry import outcome_label
 _STATE = "revision long, tombstone boolean, digest string"
 _MERGED = f"kind string, id string, {_STATE}, status string"
 _OUTCOME = "observation string, operation string, ts long, result string"
+#: What an operations stream holds of a bucket: starts have no ``result``, finishes no ``operation``.
+_HELD = pa.schema([("observation", pa.string()), ("operation", pa.string()), ("result", pa.string()), ("ts_s", pa.int64()), ("due", pa.int64())])
 
 
 def use_keyed_state(spark: SparkSession) -> None:
@@ -87,45 +89,76 @@ def key_state_stream(operations: DataFrame) -> DataFrame:
     )
 
 
+#: Observations of an operations stream are dealt to so many buckets, each with one value in the state store.
+BUCKETS = 1024
+
+
 class _Operations(StatefulProcessor):
-    """One value per observation: its first start and the finishes seen, as JSON."""
+    """One value per bucket: its open observations' first starts and the finishes seen, as compressed Arrow rows.
+
+    Calls into the state store cost far more than the rows of an observation, so a bucket's observations share them.
+    Every observation keeps to its own time: the bucket's timer is that of the next one due.
+    """
 
     def __init__(self, timeout_s: int):
         self.timeout_s = timeout_s
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "ts long, operation string, due long, finishes string")
-
-    def _due(self, ts: int) -> int:
-        return (ts + self.timeout_s) * 1000 + 1
+        self.seen = handle.getValueState("seen", "rows binary, due long")
+
+    def _stored(self) -> tuple[pd.DataFrame | None, int | None]:
+        if not self.seen.exists():
+            return None, None
+        packed, due = self.seen.get()
+        with pa.ipc.open_stream(packed) as stream:
+            return stream.read_pandas(), int(due)
+
+    def _keep(self, rows: pd.DataFrame, before: int | None) -> None:
+        """Store the rows with a timer for the first observation due, which is ``before`` so far."""
+        due = int(rows["due"].min()) if len(rows) else None
+        if due != before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            if due is not None:
+                self.handle.registerTimer(due)
+        if due is None:
+            self.seen.clear()
+            return
+        batch = pa.RecordBatch.from_pandas(rows, _HELD, preserve_index=False)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, _HELD, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            stream.write_batch(batch)
+        self.seen.update((sink.getvalue().to_pybytes(), due))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        old = self.seen.get() if self.seen.exists() else (None, None, None, "[]")
-        start = None if old[0] is None else (int(old[0]), old[1])
-        finishes = {tuple(f) for f in json.loads(old[3])}
-        for row in _rows(rows, ["ts_s"]):
-            at = int(row["ts_s"])
-            if row["result"] is not None:
-                finishes.add((at, row["result"]))
-            elif start is None or (at, row["operation"]) < start:
-                start = (at, row["operation"])
+        old, before = self._stored()
+        own = ["observation", "operation", "result", "ts_s"]
+        whole = pd.concat([f[own] for f in (old, *rows) if f is not None], ignore_index=True).astype({"ts_s": "int64"})
+        begun = whole["result"].isna()
+        starts = whole[begun].sort_values(["ts_s", "operation"], kind="stable").drop_duplicates("observation")
+        finishes = whole[~begun].drop_duplicates(["observation", "ts_s", "result"])
         # A finish without a start is none; its state goes when a start can no longer come.
-        due = self._due(start[0] if start else max(f[0] for f in finishes))
-        if due != old[2]:
-            if old[2] is not None:
-                self.handle.deleteTimer(int(old[2]))
-            self.handle.registerTimer(due)
-        self.seen.update((*(start or (None, None)), due, json.dumps(sorted(finishes))))
+        lone = finishes[~finishes["observation"].isin(starts["observation"])]
+        last = pd.concat([starts, lone]).groupby("observation", dropna=False)["ts_s"].max().rename("due")
+        kept = pd.concat([starts, finishes]).merge(((last + self.timeout_s) * 1000 + 1).reset_index(), on="observation")
+        self._keep(kept, before)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        ts, operation, _, finishes = self.seen.get()
-        self.seen.clear()
-        if ts is not None:
-            fits = [r for at, r in json.loads(finishes) if 0 <= at - ts <= self.timeout_s]
-            found = {"observation": [key[0]], "operation": [operation], "ts": [ts], "result": [fits[0] if fits else None]}
-            yield pd.DataFrame(found).astype({"result": object})
+        rows, _ = self._stored()
+        fired = int(expiredTimerInfo.getExpiryTimeInMs())
+        over = rows["due"] <= max(fired, int(timerValues.getCurrentWatermarkInMs()) - 1)
+        done, begun = rows[over], rows[over]["result"].isna()
+        starts = done[begun].drop(columns="result").rename(columns={"ts_s": "ts"})
+        ends = done[~begun][["observation", "ts_s", "result"]].merge(starts[["observation", "ts"]], on="observation")
+        fits = ends[(ends["ts_s"] >= ends["ts"]) & (ends["ts_s"] - ends["ts"] <= self.timeout_s)]
+        first = fits.sort_values(["ts_s", "result"]).drop_duplicates("observation")
+        found = starts.merge(first[["observation", "result"]], on="observation", how="left")
+        # The fired timer is gone with this call.
+        self._keep(rows[~over], None)
+        if len(found):
+            yield found[["observation", "operation", "ts", "result"]].astype(object).where(lambda f: f.notna(), None).astype({"ts": "int64"})
 
     def close(self) -> None:
         pass
@@ -136,14 +169,17 @@ def abandoned_operations_stream(starts: DataFrame, finishes: DataFrame, timeout_
 
     ``starts``: ``observation, operation, ts``; ``finishes``: ``observation, result, ts``, with ``ts`` a timestamp.
     Repeated starts and finishes are tolerated: the first start and the first finish from it on count. An
-    observation's state is dropped with its timer, at the first watermark past start and ``timeout_s``; rows
-    later than ``late`` are dropped by the watermark.
+    observation's state is dropped at the first watermark past start and ``timeout_s``; rows
+    later than ``late`` are dropped by the watermark. Observations are kept by bucket, so a micro-batch reads and
+    writes the open observations of the buckets that it has rows of.
     """
     nothing = F.lit(None).cast("string")
     begun = starts.select("observation", "operation", nothing.alias("result"), "ts")
     ended = finishes.select("observation", nothing.alias("operation"), F.coalesce("result", F.lit("")).alias("result"), "ts")
     rows = begun.unionByName(ended).withColumn("ts_s", F.unix_timestamp("ts")).withWatermark("ts", late)
-    out = rows.groupBy("observation").transformWithStateInPandas(
+    rows = rows.withColumn("observation", F.col("observation").cast("string"))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("observation"), F.lit(BUCKETS)))
+    out = rows.groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=_Operations(timeout_s), outputStructType=_OUTCOME, outputMode="Append", timeMode="EventTime"
     )
     outcome = F.when(F.col("result").isNull(), "abandoned").otherwise(outcome_label(F.col("result")))

@@ -1,6 +1,8 @@
 import json
 import random
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from revtide.sources.generation import (
 from revtide.operators.telemetry import abandoned_operations
 from revtide.sources.journal import JOURNAL, open_journal, read_journal, stream_journal
 from revtide.streaming.keyed import abandoned_operations_stream, key_state_stream, use_keyed_state
-from revtide.streaming import projection
+from revtide.streaming import keyed, projection
 from revtide.streaming.projection import RebuildRequired, apply_page, known_states, read_cursors, run_projection
 from revtide.streaming.windows import abandoned_stream, dedupe_stream, operation_counts_stream
 from revtide.verdicts import Refused
@@ -303,6 +305,57 @@ def test_key_states_over_a_stream_equal_merged_pages(spark, tmp_path):
     assert {s for _, _, s, _ in seen} == {"inserted", "advanced", "conflict"}
 
 
+class Held:
+    """The state store's side of one key, with the calls counted."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value, self.calls = value, self.calls + 1
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_operations_of_a_bucket_share_the_store_and_keep_their_times():
+    held, work = Held(), keyed._Operations(100)
+    work.init(held)
+    columns = ["observation", "operation", "result", "ts_s"]
+    pages = [
+        [("a", "work", None, 10), ("a", "query", None, 5), ("b", "work", None, 400), ("a", None, "ok", 120), ("c", None, "ok", 20)],
+        [("a", None, "late", 90), ("b", None, "", 500), ("b", None, "denied", 499), ("b", None, "denied", 399)],
+    ]
+    for rows in pages:
+        assert list(work.handleInputRows((1,), iter([pd.DataFrame(rows, columns=columns)]), None)) == []
+    assert held.calls == 2 and held.timers == {105_001}
+    got = []
+    for watermark in (120_000, 121_000, 501_000):
+        for at in sorted(t for t in held.timers if t < watermark):
+            held.timers.remove(at)
+            fired = SimpleNamespace(getExpiryTimeInMs=lambda at=at: at)
+            now = SimpleNamespace(getCurrentWatermarkInMs=lambda watermark=watermark: watermark)
+            for frame in work.handleExpiredTimer((1,), now, fired):
+                got += [(watermark, *row) for row in frame[["observation", "operation", "ts", "result"]].itertuples(index=False)]
+    assert got == [(120_000, "a", "query", 5, "late"), (501_000, "b", "work", 400, "denied")]
+    assert held.value is None and held.timers == set()
+
+
 def test_stream_of_operations_equals_the_batch(spark, tmp_path):
     draw = random.Random(6)
     starts, finishes = [], []

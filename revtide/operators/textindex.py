@@ -159,11 +159,14 @@ def build_text_index(
     rejected = texts.filter("bad").select(
         "kind", "id", "revision", "field", F.lit("unsupported_text").alias("reject_reason")
     )
-    analysed = _analysed(texts, terms)
     if scratch is not None:
+        # A file may come as one piece, and analysing takes far longer than reading: the texts are dealt out first.
+        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        analysed = _analysed(texts.repartition(parts, "kind", "id", "revision", "field"), terms)
         analysed.write.mode("errorifexists").parquet(scratch)
         stored = docs.sparkSession.read.schema(analysed.schema).parquet(scratch)
         return TextIndex(_postings(stored), _stats(stored), rejected, stored.select(*FIELD, "doc_len"))
+    analysed = _analysed(texts, terms)
     lengths = texts.filter(~F.col("bad")).select(
         "profile", "kind", "field", F.size(tokens(F.col("text"))).cast("long").alias("doc_len")
     )
@@ -200,7 +203,8 @@ def write_text_index(index: TextIndex, path: str, files: int | None = None) -> N
     means = stats.select(*FIELD, (F.col("total_len") / F.col("n_docs")).alias("_mean"))
     placed = (
         index.postings.withColumn("zone", _zone())
-        .join(sizes.join(means, FIELD), [*FIELD, "zone"])
+        # A few rows for each field; a merge join would sort all postings of a zone in one task.
+        .join(F.broadcast(sizes.join(means, FIELD)), [*FIELD, "zone"])
         .withColumns({"block": F.pmod(F.xxhash64("kind", "id"), "_blocks"), "top": _part(F.col("_mean"))})
     )
     by_term = [*FIELD, "term"]

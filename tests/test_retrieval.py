@@ -371,3 +371,45 @@ def test_a_store_of_nothing(spark, tmp_path):
     assert pivot_candidates(read_pivot_store(spark, str(tmp_path / "store")), [1.0], "vec", 5).collect() == []
     with pytest.raises(Refused):
         write_pivot_store(frame, str(tmp_path / "other"), "cosine")
+
+
+def one_file_of_texts(spark, path):
+    rows = [("doc", str(n), 1, False, f"w{n % 7} w{n % 11} w{n % 13} common {'far ' * (n % 30)}") for n in range(400)]
+    spark.createDataFrame(rows, "kind string, id string, revision long, tombstone boolean, text string").coalesce(1).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_texts_of_one_file_are_analysed_by_many_tasks(spark, tmp_path):
+    docs = one_file_of_texts(spark, str(tmp_path / "docs"))
+    build_text_index(docs, ["text"], scratch=str(tmp_path / "analysis"))
+    assert len(list((tmp_path / "analysis").glob("part-*.parquet"))) > 1
+
+
+def test_no_zone_of_a_stored_index_is_sorted_in_one_task(spark, tmp_path, monkeypatch):
+    plans, store = {}, textindex._store
+
+    def kept(rows, path, name, order, files):
+        plans[name] = rows._jdf.queryExecution().executedPlan().toString()
+        store(rows, path, name, order, files)
+
+    monkeypatch.setattr(textindex, "_store", kept)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = one_file_of_texts(spark, str(tmp_path / "docs"))
+        write_text_index(build_text_index(docs, ["text"], scratch=str(tmp_path / "analysis")), str(tmp_path / "index"))
+        outer = plans["postings"].split("BroadcastExchange")[0]
+        assert "BroadcastHashJoin" in outer and "SortMergeJoin" not in outer
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_many_requests_deal_out_postings_of_their_terms_alone(spark):
+    docs = spark.createDataFrame(
+        [("doc", str(n), 1, False, f"w{n % 7} other{n}", {"text": "x"}) for n in range(30)],
+        "kind string, id string, revision long, tombstone boolean, text string, fields map<string,string>",
+    )
+    requests = spark.createDataFrame([(1, "w3"), (2, "w3 other10"), (3, "none")], "request long, text string")
+    many = search_many(build_text_index(docs, ["text"]), docs, requests, "doc", "text", "all", ["text"], 9, 9)
+    assert "LeftSemi, (term#" in many.found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.request, r.id) for r in many.found.collect()) == [(1, "10"), (1, "17"), (1, "24"), (1, "3"), (2, "10")]

@@ -382,7 +382,9 @@ class ManyFound(NamedTuple):
 def _request_candidates(index, terms: DataFrame, kind: str, field: str, every: bool, budget: int, profile: str) -> DataFrame:
     """``request, rank, kind, id, revision``: each request's best ``budget`` texts."""
     wanted = (F.col("profile") == profile) & (F.col("kind") == kind) & (F.col("field") == field)
-    postings = index.postings.filter(wanted).select("term", "kind", "id", "revision", "tf", "doc_len")
+    # Only postings of terms that some request has are counted and dealt out.
+    asked = terms.select("term").distinct()
+    postings = index.postings.filter(wanted).select("term", "kind", "id", "revision", "tf", "doc_len").join(asked, "term", "left_semi")
     if isinstance(index, StoredTextIndex):
         counts = index.terms.filter(wanted).select("term", "df")
     else:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtide.llm import decontam, linededup, packing, simhash, toxicity
-from revtide.llm.common import shared_folder, table
+from revtide.llm.common import release, shared_folder, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,4 +63,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{folder}/{number}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        # The next stage needs the disk that this one's shuffle files hold.
+        release(spark)
     return docs

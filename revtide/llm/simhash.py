@@ -12,9 +12,10 @@ most two bits apart, and any two at most two bits apart meet in one. Each such m
 its least member, so a group of n copies costs n links.
 
 Two operators use it. ``fingerprint_components`` links whole texts' fingerprints.
-``near_duplicate_groups`` finds texts whose word shingles are similar: a whole-text fingerprint
-moves by about ten of 64 bits at a similarity of 0.8, beyond any affordable radius, so it is an
-exact similarity join of the shingle sets by prefix filter and misses no pair.
+``near_duplicate_groups`` finds texts whose word shingles are similar: texts whose fingerprints link
+are checked first, and settle most of a large class. A whole-text fingerprint moves by about ten of
+64 bits at a similarity of 0.8, beyond any affordable radius, so an exact similarity join of the
+shingle sets by prefix filter adds the rest and no pair is missed.
 
 Joins that grow with the corpus are merge joins by hint: the planner's guess of the size of a
 computed table may be far too low, and would send it to the driver.
@@ -45,6 +46,8 @@ FILTER = 1 << 22
 MIN_SIMILARITY = 0.8
 #: Texts, on average, whose shingles are counted, and the shingles kept, to take common ones last.
 ORDER_TEXTS, ORDER_SHINGLES = 4000, 1 << 17
+#: The place that tells a text's fingerprint from the shingles of its prefix.
+FINGERPRINT = -1
 #: Texts of a class up to which its pairs are counted out.
 SMALL = 16
 #: Times that the texts of large classes are held against a few before all are compared.
@@ -237,22 +240,30 @@ def prefix(own, often, ranks, minimum: float):
 
 
 def _prefixes(size: int, minimum: float, order):
+    """The prefix of each text with the places in it, and its fingerprint as a key at the place ``FINGERPRINT``."""
+
     def compute(batches):
         import numpy as np
         import pyarrow as pa
 
         often, ranks = order.value
         for batch in slices(batches):
-            ids, sizes, keys = [], [], []
+            sizes, keys, places = [], [], []
             for text in batch.column(1).to_pylist():
-                own = np.unique(shingle_hashes(text, size).view(np.int64))
+                hashes = shingle_hashes(text, size)
+                own = np.unique(hashes.view(np.int64))
                 # Texts without words are all alike and meet in one class.
-                keys.append(prefix(own, often, ranks, minimum) if len(own) else np.zeros(1, np.int64))
+                first = prefix(own, often, ranks, minimum) if len(own) else np.zeros(1, np.int64)
+                bits = _majority(hashes, np.zeros(1, np.int64)) if len(hashes) else [0]
+                keys.append(np.append(first, np.array(bits, np.int64)))
+                places.append(np.append(np.arange(len(first), dtype=np.int32), np.int32(FINGERPRINT)))
                 sizes.append(len(own))
             lengths = [len(k) for k in keys]
             ids = np.repeat(batch.column(0).to_numpy(), lengths)
             keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_pydict({"text_id": ids, "n": np.repeat(np.array(sizes, np.int64), lengths), "key": keys})
+            places = np.concatenate(places) if places else np.zeros(0, np.int32)
+            n = np.repeat(np.array(sizes, np.int64), lengths)
+            yield pa.RecordBatch.from_pydict({"text_id": ids, "n": n, "key": keys, "place": places})
 
     return compute
 
@@ -371,23 +382,54 @@ def _all_pairs(classes: DataFrame, kept: DataFrame, size: int, minimum: float) -
     return rows.groupBy("key", "i", "j").applyInArrow(_block_links(size, minimum), "a long, b long")
 
 
+def _close_texts(prints: DataFrame) -> DataFrame:
+    """``a, b``: each text of ``prints`` (``text_id, fp``) with the least of those that its fingerprint links to."""
+    roots = link_fingerprints(prints.select("fp").distinct())
+    rooted = prints.join(roots.hint("merge"), prints["fp"] == roots["node"], "left").select(
+        "text_id", F.coalesce("root", "fp").alias("root")
+    )
+    least = rooted.groupBy("root").agg(F.min("text_id").alias("a"))
+    return rooted.join(least.hint("merge"), "root").filter("text_id <> a").select("a", F.col("text_id").alias("b"))
+
+
+def _able(rows: DataFrame, minimum: float) -> DataFrame:
+    """``key, text_id, n, reach``: the texts of each class that can be similar to another that meets them first in this class.
+
+    Two texts have nothing in common before the first shingle that they share, so at its ``place`` a text of ``n``
+    shingles has ``n - place`` left, and is similar to texts of at most ``reach`` shingles. The lesser of two similar texts
+    reaches its own number. A pair is looked for in the class of its first shared shingle, so no pair is lost.
+    """
+    left = F.col("n") - F.col("place")
+    reach = left * F.lit((1 + minimum) / minimum) - F.col("n") + F.lit(1e-6)
+    lesser = F.col("reach") >= F.col("n")
+    of_class = Window.partitionBy("key")
+    bounds = {"low": F.min(F.when(lesser, F.col("n"))).over(of_class), "high": F.max(F.when(lesser, F.col("reach"))).over(of_class)}
+    able = rows.withColumn("reach", reach).withColumns(bounds).filter((F.col("low") <= F.col("reach")) & (F.col("high") >= F.col("n")))
+    return able.withColumn("m", F.count("*").over(of_class)).filter("m > 1").select("key", "text_id", "n", "reach")
+
+
 def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: float = MIN_SIMILARITY) -> DataFrame:
     """``text_id, group_id``: texts (by 64-bit hash) in one group with others, and the group's least text.
 
     Two texts are linked if their sets of ``size``-word shingles have a Jaccard similarity of
-    ``minimum`` or more. Those that may are the texts with a common shingle among their first ones
+    ``minimum`` or more. Texts whose SimHash fingerprints link are checked against the least of their
+    group. All that may be similar are the texts with a common shingle among their first ones
     (``prefix``); no such pair is passed over. Pairs of small classes are counted out and checked.
-    In a large class all texts are first held against a few of it, those with the most links; as long
+    Of a large class only texts that can be similar to another by what follows the shingle take part (``_able``).
+    They are first held against a few of it, those with the most links; as long
     as a class has texts of more than one group, in the end all of these are compared in blocks. A text
     in no group is not returned.
     """
     spark = docs.sparkSession
     texts = docs.select(_text_id(docs).alias("text_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     order = spark.sparkContext.broadcast(common_shingles(texts, size))
-    keyed = texts.mapInArrow(_prefixes(size, minimum, order), "text_id long, n long, key long")
-    dealt = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").dropDuplicates(["key", "text_id"])
-    classes = written(dealt.withColumn("m", F.count("*").over(Window.partitionBy("key"))).filter("m > 1"), "classes")
-    large = classes.filter(F.col("m") > SMALL).select("key", "text_id", "n")
+    keyed = texts.mapInArrow(_prefixes(size, minimum, order), "text_id long, n long, key long, place int")
+    dealt = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").dropDuplicates(["key", "text_id", "place"])
+    members = F.count_if(F.col("place") >= 0).over(Window.partitionBy("key"))
+    stored_rows = written(dealt.withColumn("m", members).filter((F.col("m") > 1) | (F.col("place") < 0)), "classes")
+    classes = stored_rows.filter((F.col("place") >= 0) & (F.col("m") > 1))
+    crowded = classes.filter(F.col("m") > SMALL)
+    large = stored(_able(crowded, minimum))
 
     near = F.least("na", "nb") >= F.lit(minimum) * F.greatest("na", "nb") - F.lit(1e-9)
     each = (
@@ -404,12 +446,14 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: f
         .agg(F.count("*").alias("shared"), F.min(F.least("na", "nb")).alias("least"))
     )
     # What two texts share in large classes is not counted out: at most the lesser number of theirs.
-    inside = large.groupBy("text_id").agg(F.count("*").alias("more"))
+    inside = crowded.groupBy("text_id").agg(F.count("*").alias("more"))
     for side in ("a", "b"):
         own = inside.select(F.col("text_id").alias(side), F.col("more").alias(f"more_{side}"))
         counted = counted.join(own.hint("merge"), side, "left")
     rest = F.least(F.coalesce("more_a", F.lit(0)), F.coalesce("more_b", F.lit(0)))
-    small = stored(counted.filter(F.col("shared") + rest >= F.expr("1 + least div 20")).select("a", "b"))
+    shared = counted.filter(F.col("shared") + rest >= F.expr("1 + least div 20")).select("a", "b")
+    close = _close_texts(stored_rows.filter(F.col("place") < 0).select("text_id", F.col("key").alias("fp")))
+    small = stored(shared.unionAll(close).distinct())
 
     wanted = stored(small.select(F.explode(F.array("a", "b")).alias("text_id")).unionAll(large.select("text_id")).distinct())
     # A filter of fixed size spares most texts the way; the join decides.
@@ -429,7 +473,7 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: f
             .mapInArrow(_similar(size, minimum), "a long, b long")
         )
 
-    dealt = counted = None
+    dealt = counted = shared = close = None
     release(spark)
     links = stored(checked(small))
     release(spark)
@@ -439,11 +483,11 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: f
         if large.isEmpty():
             break
         rooted = large.join(roots.hint("merge"), large.text_id == roots.node, "left").select(
-            "key", "text_id", "n", F.coalesce("root", "text_id").alias("root")
+            "key", "text_id", "n", "reach", F.coalesce("root", "text_id").alias("root")
         )
         mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
         open_rows = stored(rooted.join(mixed.select("key").hint("merge"), "key", "left_semi"))
-        large = open_rows.select("key", "text_id", "n")
+        large = open_rows.select("key", "text_id", "n", "reach")
         if open_rows.isEmpty():
             break
         if turn == ROUNDS:
@@ -457,13 +501,14 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: f
             chosen = stored(chosen.select("key", F.explode(F.array_distinct(F.array("most.text_id", "least"))).alias("text_id")))
             tried = chosen if tried is None else tried.unionAll(chosen)
             held = open_rows.join(chosen.hint("merge"), ["key", "text_id"], "left_semi").select(
-                "key", F.col("text_id").alias("end"), F.col("n").alias("nb"), F.col("root").alias("of")
+                "key", F.col("text_id").alias("end"), F.col("n").alias("nb"), F.col("reach").alias("reach_b"), F.col("root").alias("of")
             )
             pairs = (
                 open_rows.withColumnRenamed("n", "na")
                 .join(held.hint("merge"), "key")
                 .filter("root <> of")
                 .filter(near)
+                .filter("na <= reach_b and nb <= reach")
                 .select(F.least("text_id", "end").alias("a"), F.greatest("text_id", "end").alias("b"))
                 .distinct()
             )

@@ -142,3 +142,26 @@ def test_short_texts_with_a_changed_word_are_found(spark):
     kept = {r.doc_id for r in simhash.one_of_each_group(brute.documents(spark, docs)).collect()}
     assert kept == left_by_brute_force(docs)
     assert sum(d >= 1000 for d in kept) < 225 / 2
+
+
+def test_close_fingerprints_are_candidates_of_the_groups(spark, monkeypatch):
+    asked, link = [], simhash.link_fingerprints
+
+    def seen(fps):
+        asked.append({r.fp for r in fps.collect()})
+        return link(fps)
+
+    monkeypatch.setattr(simhash, "link_fingerprints", seen)
+    docs = [(i, t, "en", "s", 1) for i, t in enumerate(["a b c d e f", "a b c d e", "", None, "x y z"])]
+    docs += [(9, "a b c d e f", "en", "s", 1)]
+    assert {r.doc_id for r in simhash.one_of_each_group(brute.documents(spark, docs)).collect()} == {0, 1, 2, 4}
+    assert asked == [{simhash.text_fingerprint(t, 5) for t in ("a b c d e f", "a b c d e", "", "x y z")}]
+    prints = spark.createDataFrame([(5, 0b1000), (3, 0b1011), (8, 7 << 40), (9, 0b1000), (7, 0b110000001)], "text_id long, fp long")
+    assert sorted((r.a, r.b) for r in simhash._close_texts(prints).collect()) == [(3, 5), (3, 9)]
+
+
+def test_texts_that_share_their_last_shingles_alone_are_not_compared(spark):
+    # Of 100 shingles each, a shingle at place 15 leaves 85, too few for a similarity of 0.8 (89); at place 5 it leaves 95.
+    rows = [(1, n, 100, 15) for n in range(20)] + [(2, n, 100, 5) for n in range(3)] + [(2, 9, 110, 15), (2, 8, 125, 25), (3, 1, 100, 2)]
+    classes = spark.createDataFrame(rows, "key long, text_id long, n long, place int")
+    assert sorted((r.key, r.text_id) for r in simhash._able(classes, 0.8).collect()) == [(2, 0), (2, 1), (2, 2), (2, 9)]

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.common import others_aside
+from revtide.llm.common import others_aside, release, written
 
 WINDOW = 3
 MIN_WORDS = 25
@@ -82,19 +82,22 @@ def fingerprint_places(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeated_lines(places: DataFrame, partitions: int) -> DataFrame:
+def repeated_lines(places: DataFrame) -> DataFrame:
     """``doc, version, first, last``: line ranges that repeat an earlier place, extended both ways.
 
-    The places are dealt out once by fingerprint; the first place and the join use that dealing.
+    First places are combined per task before they are dealt out, and written, so that their shuffle files go before the
+    places are dealt out for the join. A fingerprint of very many places is one row of a task there, and in the join the
+    planner may split it.
     """
-    dealt = places.repartition(partitions, "fp")
-    first = (
-        dealt.groupBy("fp")
+    first = written(
+        places.groupBy("fp")
         .agg(F.min(F.struct("doc", "place", "left", "right")).alias("o"), F.count("*").alias("n"))
         .filter("n > 1")
-        .select("fp", "o")
+        .select("fp", "o"),
+        "first",
     )
-    matched = dealt.join(first, "fp").filter("doc <> o.doc or place <> o.place")
+    release(places.sparkSession)
+    matched = places.join(first.hint("merge"), "fp").filter("doc <> o.doc or place <> o.place")
     low, high = "({c} & 4294967295L)", "shiftrightunsigned({c}, 32)"
 
     def reach(side: str) -> str:
@@ -131,10 +134,8 @@ def drop_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
 
 
 def _without_runs(docs: DataFrame, min_words: int) -> DataFrame:
-    spark = docs.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = (
-        repeated_lines(fingerprint_places(docs), partitions)
+        repeated_lines(fingerprint_places(docs))
         .groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_version"))
         .agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
         .select("_doc", "_version", F.expr(_RUNS).alias("_runs"))

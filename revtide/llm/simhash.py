@@ -408,6 +408,27 @@ def _able(rows: DataFrame, minimum: float) -> DataFrame:
     return able.withColumn("m", F.count("*").over(of_class)).filter("m > 1").select("key", "text_id", "n", "reach")
 
 
+def _of_several(rows: DataFrame) -> DataFrame:
+    """The ``rows`` of classes of two texts or more with their number ``m``; those at the place ``FINGERPRINT`` pass."""
+    members = F.count_if(F.col("place") >= 0).over(Window.partitionBy("key"))
+    return rows.withColumn("m", members).filter((F.col("m") > 1) | (F.col("place") < 0))
+
+
+def _of_able_texts(rows: DataFrame, minimum: float) -> DataFrame:
+    """``rows`` (``key, text_id, n, place``) without texts in fewer classes than any two similar texts share, and ``spare``.
+
+    A text of ``n`` shingles shares ``shared_at_least`` of ``minimum * n`` with a similar one, the least that this may have.
+    ``spare`` tells how many classes more than these a text has from the row's place on: two texts meet first in a class
+    where neither's is negative, as all that they share follow it. Rows at the place ``FINGERPRINT`` pass.
+    """
+    needed = F.expr(f"1 + ceil({minimum}D * n - 1e-9D) div 20")
+    of_text = Window.partitionBy("text_id").orderBy(F.desc("place"))
+    every = of_text.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    shared = F.col("place") >= 0
+    counted = rows.withColumns({"spare": F.count_if(shared).over(of_text) - needed, "most": F.count_if(shared).over(every) - needed})
+    return counted.filter(~shared | (F.col("most") >= 0)).drop("most")
+
+
 def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: float = MIN_SIMILARITY) -> DataFrame:
     """``text_id, group_id``: texts (by 64-bit hash) in one group with others, and the group's least text.
 
@@ -415,7 +436,8 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: f
     ``minimum`` or more. Texts whose SimHash fingerprints link are checked against the least of their
     group. All that may be similar are the texts with a common shingle among their first ones
     (``prefix``); no such pair is passed over. Pairs of small classes are counted out and checked.
-    Of a large class only texts that can be similar to another by what follows the shingle take part (``_able``).
+    Texts that share fewer shingles with others than similar ones must are left out (``_of_able_texts``), and of a large
+    class only texts that can be similar to another by what follows the shingle take part (``_able``).
     They are first held against a few of it, those with the most links; as long
     as a class has texts of more than one group, in the end all of these are compared in blocks. A text
     in no group is not returned.
@@ -425,11 +447,12 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: f
     order = spark.sparkContext.broadcast(common_shingles(texts, size))
     keyed = texts.mapInArrow(_prefixes(size, minimum, order), "text_id long, n long, key long, place int")
     dealt = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").dropDuplicates(["key", "text_id", "place"])
-    members = F.count_if(F.col("place") >= 0).over(Window.partitionBy("key"))
-    stored_rows = written(dealt.withColumn("m", members).filter((F.col("m") > 1) | (F.col("place") < 0)), "classes")
+    # Without the texts that share too little, some classes have one text left, and so may other texts.
+    stored_rows = written(_of_several(_of_able_texts(_of_several(dealt), minimum).drop("spare")), "classes")
     classes = stored_rows.filter((F.col("place") >= 0) & (F.col("m") > 1))
     crowded = classes.filter(F.col("m") > SMALL)
-    large = stored(_able(crowded, minimum))
+    able = _of_able_texts(classes, minimum).filter((F.col("m") > SMALL) & (F.col("spare") >= 0))
+    large = stored(_able(able, minimum))
 
     near = F.least("na", "nb") >= F.lit(minimum) * F.greatest("na", "nb") - F.lit(1e-9)
     each = (
@@ -513,7 +536,8 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS, minimum: f
                 .distinct()
             )
             found = checked(pairs)
-        links = stored(links.unionAll(found))
+        # Dealt out anew, as the parts of a union would grow in number with every round.
+        links = stored(links.unionAll(found).distinct())
         found = pairs = None
         release(spark)
         roots = connected_components(links)

@@ -86,3 +86,12 @@ def test_no_python_in_the_plan(spark):
     frame = linededup.drop_repeated_runs(brute.documents(spark)).withColumn("n", F.length("text"))
     plan = frame._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
+
+
+def test_a_fingerprint_of_very_many_places_may_be_dealt_to_many_tasks(spark):
+    # The planner splits joins of shuffles of its own only, so none may be fixed by a number of partitions.
+    docs = brute.documents(spark, [(i, f"one{i}. Same line here. Same line there. two{i}.", "en", "s", 0) for i in range(40)])
+    plan = linededup.repeated_lines(linededup.fingerprint_places(docs))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "REPARTITION_BY" not in plan
+    # Both sides come sorted from a shuffle, and no first place is sought again in the join.
+    assert plan.count("Exchange hashpartitioning(fp") == 2 and "SortAggregate" not in plan

@@ -165,3 +165,36 @@ def test_texts_that_share_their_last_shingles_alone_are_not_compared(spark):
     rows = [(1, n, 100, 15) for n in range(20)] + [(2, n, 100, 5) for n in range(3)] + [(2, 9, 110, 15), (2, 8, 125, 25), (3, 1, 100, 2)]
     classes = spark.createDataFrame(rows, "key long, text_id long, n long, place int")
     assert sorted((r.key, r.text_id) for r in simhash._able(classes, 0.8).collect()) == [(2, 0), (2, 1), (2, 2), (2, 9)]
+
+
+def test_texts_that_share_too_few_shingles_are_not_compared(spark, monkeypatch):
+    # A text of 100 shingles shares 5 with a similar one: 1 + 80 // 20.
+    rows = [(key, 1, 100, 3 * key) for key in range(6)] + [(key, 2, 100, key) for key in range(4)] + [(7, 2, 100, -1)]
+    able = simhash._of_able_texts(spark.createDataFrame(rows, "key long, text_id long, n long, place int"), 0.8)
+    assert sorted((r.text_id, r.place, r.spare) for r in able.collect() if r.place >= 0) == [(1, 3 * key, 1 - key) for key in range(6)]
+    assert {r.text_id for r in able.collect() if r.place < 0} == {2}
+
+    held, write = {}, simhash.written
+
+    def seen(frame, name):
+        out = write(frame, name)
+        held[name] = out.count()
+        return out
+
+    monkeypatch.setattr(simhash, "written", seen)
+    monkeypatch.setattr(simhash, "ORDER_SHINGLES", 0)
+    draw = random.Random(2)
+    passage = " ".join(f"p{i}" for i in range(12))
+    docs = [(i, " ".join(f"x{draw.randrange(10**6)}" for _ in range(150)) + " " + passage, "en", "s", 1) for i in range(60)]
+    assert simhash.one_of_each_group(brute.documents(spark, docs)).count() == 60
+    assert held["texts"] == 0
+
+
+def test_a_pair_among_texts_with_a_common_passage_is_found(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SMALL", 2)
+    draw = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(40))
+    docs = [(i, " ".join(f"x{draw.randrange(10**6)}" for _ in range(60 + 5 * i)) + " " + passage, "en", "s", 1) for i in range(30)]
+    docs += [(100 + i, text.replace(" p7 ", f" y{i} "), *r) for i, text, *r in docs[::3]]
+    kept = {r.doc_id for r in simhash.one_of_each_group(brute.documents(spark, docs)).collect()}
+    assert kept == left_by_brute_force(docs) == set(range(30))

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Plans name whole paths, however long the folder.
+    "spark.sql.maxMetadataStringLength": "2000",
 }
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,19 +34,41 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Has Spark (4.1 on) remove the shuffle files of a query when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession):
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read again, column by column."""
+    """``df`` written once as Parquet in the shared folder and read again, column by column.
+
+    The write's own shuffle files go as soon as it ends, as nothing reads them again.
+    """
     spark = df.sparkSession
     shared_folder(spark)
     path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
     """Have the shuffle files of frames that are no longer referenced removed now.
 
-    Spark's cleaner goes by the driver's garbage collector, which may not run for long where the driver is idle.
+    Spark's cleaner goes by the driver's garbage collector, which may not run for long where the driver is idle. Python
+    tells the driver's JVM up to a second later which frames it dropped, so those dropped last may stay.
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()

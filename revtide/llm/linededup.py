@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.common import others_aside, release, written
+from revtide.llm.common import others_aside, written
 
 WINDOW = 3
 MIN_WORDS = 25
@@ -96,7 +96,6 @@ def repeated_lines(places: DataFrame) -> DataFrame:
         .select("fp", "o"),
         "first",
     )
-    release(places.sparkSession)
     matched = places.join(first.hint("merge"), "fp").filter("doc <> o.doc or place <> o.place")
     low, high = "({c} & 4294967295L)", "shiftrightunsigned({c}, 32)"
 
@@ -134,11 +133,13 @@ def drop_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
 
 
 def _without_runs(docs: DataFrame, min_words: int) -> DataFrame:
-    ranges = (
+    # Written, so that the shuffle files of the places go before the texts are dealt out.
+    ranges = written(
         repeated_lines(fingerprint_places(docs))
         .groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_version"))
         .agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
-        .select("_doc", "_version", F.expr(_RUNS).alias("_runs"))
+        .select("_doc", "_version", F.expr(_RUNS).alias("_runs")),
+        "runs",
     )
     doc, version = _document(docs)
     joined = docs.withColumns({"_d": doc, "_v": version}).join(

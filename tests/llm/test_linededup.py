@@ -1,8 +1,10 @@
 import random
+import time
 
 from pyspark.sql import functions as F
 
 from revtide.llm import linededup
+from revtide.llm.common import written
 from tests.llm import brute
 
 
@@ -95,3 +97,27 @@ def test_a_fingerprint_of_very_many_places_may_be_dealt_to_many_tasks(spark):
     assert "SortMergeJoin" in plan and "REPARTITION_BY" not in plan
     # Both sides come sorted from a shuffle, and no first place is sought again in the join.
     assert plan.count("Exchange hashpartitioning(fp") == 2 and "SortAggregate" not in plan
+
+
+def test_shuffle_files_go_before_the_texts_are_dealt_out(spark):
+    def files():
+        # Names of shuffle files on this process's disk.
+        found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        return {f for f in found if "/shuffle_" in f}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    docs = brute.documents(spark, [(i, "Same line here. Same line there. " * 9, "en", "s", 0) for i in range(40)])
+    before, set_before = files(), spark.conf.get(setting, None)
+    places = linededup.fingerprint_places(docs)
+    found = written(places.groupBy("fp").agg(F.count("*").alias("n")), "counted")
+    frame = linededup.drop_repeated_runs(docs)
+    until = time.time() + 5
+    while files() - before and time.time() < until:
+        time.sleep(0.05)
+    assert not files() - before
+    assert found.agg(F.sum("n")).first()[0] == places.count()
+    # Neither the first places nor the places are left in what deals out the texts.
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(fp" not in plan and "xxhash64" not in plan
+    assert frame.filter("text <> ''").count() == 1
+    assert spark.conf.get(setting, None) == set_before

@@ -34,14 +34,14 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.common import slices, written
+from revtide.llm.common import setting, slices, written
 
 BYTES_SIDE, PIECES_SIDE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 RADIX = 64
 #: Links of one run, and documents of it.
 RUN_LINKS, RUN_DOCS = 2_000_000, 1 << 16
-#: Texts that are encoded together hold about so many characters.
-BATCH_CHARS = 1 << 20
+#: Texts that are encoded together: at most so many, of about so many characters.
+BATCH_DOCS, BATCH_CHARS = 256, 1 << 20
 FAN_IN, RUNS_AT_ONCE = 32, 32
 #: Entries of one zstd frame.
 FRAME = 1 << 15
@@ -99,7 +99,7 @@ def _piece_side(name: str):
     for i in range(library.get_piece_size()):
         piece = library.id_to_piece(i)
         table.append(bytes([int(piece[3:5], 16)]) if library.is_byte(i) else piece.replace("▁", " ").encode())
-    return lambda texts: library.encode(texts, num_threads=1), table
+    return library.encode, table
 
 
 @lru_cache(maxsize=1)
@@ -124,20 +124,19 @@ class Encoded:
         encode_b, bytes_b = _piece_side(b)
         len_a, len_b, digits, most = _tables(a, b)
         first, second = [], []
-        for text, pieces in zip(texts, encode_b([t or "" for t in texts]), strict=True):
-            own: list[int] = []
+        for text in texts:
+            own, pieces = [], []
             if text:
                 whole = " " + text
-                raw, own = whole.encode(), encode_a(whole)
+                raw, own, pieces = whole.encode(), encode_a(whole), encode_b(text)
                 if b"".join([bytes_a[i] for i in own]) != raw or b"".join([bytes_b[i] for i in pieces]) != raw:
-                    own = []
-            first.append(own)
-            second.append(pieces if own else [])
+                    own, pieces = [], []
+            # An array holds a text's ids in a tenth of what a list takes.
+            first.append(np.array(own, np.int32))
+            second.append(np.array(pieces, np.int32))
         self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in (first, second))
-        ids_a, ids_b = (
-            np.fromiter((i for x in side for i in x), np.int64, int(n.sum()))
-            for side, n in ((first, self.n_a), (second, self.n_b))
-        )
+        ids_a, ids_b = (np.concatenate(side).astype(np.int64) for side in (first, second))
+        del first, second
         ends_a, ends_b = np.cumsum(len_a[ids_a]), np.cumsum(len_b[ids_b])
         # Each stretch ends where a token of either side does; documents end on both sides.
         ends = np.union1d(ends_a, ends_b)
@@ -149,20 +148,26 @@ class Encoded:
         self.doc = doc_a[at_a]
         self.n_links = np.bincount(self.doc, minlength=len(texts))
         self.pair = ids_a[at_a] << 16 | ids_b[at_b]
+        del ends, ends_a, ends_b, at_a, at_b, doc_a
         # The groups' text: A ids, B ids, group after group.
         group_a = np.cumsum(shared_a) - shared_a
         group_b = np.cumsum(shared_b) - shared_b
         n = len(group_a) and int(group_a[-1]) + 1
         before_b = np.concatenate([[0], np.cumsum(np.bincount(group_b, minlength=n))])
         before_a = np.concatenate([[0], np.cumsum(np.bincount(group_a, minlength=n))])
-        codes = np.empty(len(ids_a) + len(ids_b), np.int64)
+        codes = np.empty(len(ids_a) + len(ids_b), np.int32)
         last_b = np.zeros(len(ids_b), bool)
         last_b[np.cumsum(self.n_b)[self.n_b > 0] - 1] = True
         codes[np.arange(len(ids_a)) + before_b[group_a]] = ids_a + most * np.where(shared_a, 2, 1)
         codes[np.arange(len(ids_b)) + before_a[group_b + 1]] = ids_b + most * np.where(last_b, 0, np.where(shared_b, 3, 1))
-        bounds = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)]).tolist()
-        said = codes.tolist()
-        self.groups = ["".join([digits[c] for c in said[x:y]]) for x, y in zip(bounds, bounds[1:], strict=False)]
+        self.codes, self.digits = codes, digits
+
+    def groups(self):
+        """Each document's groups as text, one document at a time."""
+        at = 0
+        for size in (self.n_a + self.n_b).tolist():
+            yield "".join([self.digits[c] for c in self.codes[at : at + size].tolist()])
+            at += size
 
 
 def _frames(*columns) -> bytes:
@@ -206,7 +211,10 @@ def _radix(pairs):
 
 
 class Run:
-    """Documents and distinct (pair, document, links) records gathered so far."""
+    """Documents and distinct (pair, document, links) records gathered so far.
+
+    A record is one number, its part, pair and document in this order of bits, beside its links.
+    """
 
     def __init__(self):
         self.parts, self.documents, self.links = [], [], 0
@@ -216,30 +224,33 @@ class Run:
 
         base = len(self.documents)
         keys, links = np.unique(encoded.pair << 20 | encoded.doc, return_counts=True)
-        self.parts.append((keys >> 20, (keys & 0xFFFFF) + base, links))
+        self.parts.append((_radix(keys >> 20) << 52 | (keys + base), links.astype("<u4")))
         self.links += len(encoded.pair)
         counts = (encoded.n_a, encoded.n_b, encoded.n_groups, encoded.n_links)
-        for doc_id, text, *numbers in zip(ids, encoded.groups, *(c.tolist() for c in counts), strict=True):
+        for doc_id, text, *numbers in zip(ids, encoded.groups(), *(c.tolist() for c in counts), strict=True):
             digest = hashlib.sha256(text.encode()).hexdigest() if text else ""
             self.documents.append((doc_id, *numbers, digest))
 
     def rows(self, run: int):
+        """The run's rows; its records are gone after it."""
         import numpy as np
         import pyarrow as pa
 
         names = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
-        pairs, docs, links = (np.concatenate(c) for c in zip(*self.parts, strict=True))
-        order = np.lexsort((docs, pairs, _radix(pairs)))
-        pairs, docs, links = pairs[order], docs[order], links[order]
-        cuts = np.searchsorted(_radix(pairs), np.arange(RADIX + 1))
+        keys, links = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+        self.parts = []
+        order = np.argsort(keys)
+        keys, links = keys[order], links[order]
+        del order
+        cuts = np.searchsorted(keys, np.arange(RADIX + 1) << 52)
         rows = []
         for radix in range(RADIX):
             own = slice(cuts[radix], cuts[radix + 1])
-            distinct, counts = np.unique(pairs[own], return_counts=True)
+            pairs, docs = (keys[own] >> 20).astype("<u4"), (keys[own] & 0xFFFFF).astype("<u4")
+            distinct, counts = np.unique(pairs, return_counts=True)
             if len(distinct):
-                listed = _frames(distinct.astype("<u4"), counts.astype("<i8"))
-                records = _frames(*(c[own].astype("<u4") for c in (pairs, docs, links)))
-                rows.append({"run": run, "radix": radix, "pairs": listed, "records": records})
+                listed = _frames(distinct, counts.astype("<i8"))
+                rows.append({"run": run, "radix": radix, "pairs": listed, "records": _frames(pairs, docs, links[own])})
         rows.append({"run": run, "documents": [dict(zip(names, d, strict=True)) for d in self.documents]})
         yield from pa.Table.from_pylist(rows, schema=_schema()).to_batches()
 
@@ -263,7 +274,7 @@ def encode_runs(docs: DataFrame, a: str = BYTES_SIDE, b: str = PIECES_SIDE) -> D
         from pyspark import TaskContext
 
         number, run = TaskContext.get().partitionId() << 32, Run()
-        for batch in slices(batches, 256):
+        for batch in slices(batches, BATCH_DOCS):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             at = 0
             while at < len(ids):
@@ -279,7 +290,9 @@ def encode_runs(docs: DataFrame, a: str = BYTES_SIDE, b: str = PIECES_SIDE) -> D
         if run.documents:
             yield from run.rows(number)
 
-    return written(rows.mapInArrow(compute, RUNS), "alignment-runs")
+    # A task and its worker hold one batch of texts each, and need not hold more than are encoded together.
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_DOCS)):
+        return written(rows.mapInArrow(compute, RUNS), "alignment-runs")
 
 
 def merged(lists: list[bytes]):
@@ -362,15 +375,16 @@ def _contributions(runs: DataFrame, counts: DataFrame, many: int) -> DataFrame:
         pairs, counts, best = (np.concatenate(c) for c in zip(*lists, strict=True))
         out: dict[str, list] = {"run": records.column("run").to_pylist(), "sums": []}
         for data in records.column("records").to_pylist():
-            n_best, count_sum = np.zeros(RUN_DOCS, np.int64), np.zeros(RUN_DOCS, np.int64)
-            top = 0
-            for own, docs, links in _unframed(data, RECORD):
+            frames = list(_unframed(data, RECORD))
+            # A run's last batch may bring it past RUN_DOCS documents.
+            top = max(int(docs.max()) for _, docs, _ in frames) + 1
+            n_best, count_sum = np.zeros(top, np.int64), np.zeros(top, np.int64)
+            for own, docs, links in frames:
                 at = np.searchsorted(pairs, own)
                 links = links.astype(np.int64)
                 np.add.at(n_best, docs, links * (counts[at] == best[at]))
                 np.add.at(count_sum, docs, links * counts[at])
-                top = max(top, int(docs.max()) + 1)
-            out["sums"].append(_frames(n_best[:top], count_sum[:top]))
+            out["sums"].append(_frames(n_best, count_sum))
         return pa.table({"run": pa.array(out["run"], pa.int64()), "sums": pa.array(out["sums"], pa.binary())})
 
     groups = -(-many // RUNS_AT_ONCE)

@@ -39,16 +39,17 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
-def _shuffles_removed(spark: SparkSession):
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def setting(spark: SparkSession, key: str, value: str):
+    """The session's ``key`` is ``value`` inside, and as before after it."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(_CLEANUP)
+            spark.conf.unset(key)
         else:
-            spark.conf.set(_CLEANUP, before)
+            spark.conf.set(key, before)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -59,7 +60,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     shared_folder(spark)
     path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
-    with _shuffles_removed(spark):
+    with setting(spark, _CLEANUP, "true"):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

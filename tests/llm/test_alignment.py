@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -135,3 +136,46 @@ def test_merge_adds_equal_pairs_and_finds_the_best():
     found = list(alignment.merged(packed))
     assert found == [(1 << 16 | 1, 4), (1 << 16 | 2, 5), (5 << 16, 1)]
     assert alignment.with_best(*alignment._columns(iter(found))).tolist() == [5, 5, 1]
+
+
+def test_a_run_may_end_past_its_number_of_documents(spark, monkeypatch):
+    """A batch brings a run past ``RUN_DOCS``; the documents beyond it have their sums too."""
+    monkeypatch.setattr(alignment, "RUN_DOCS", 50)
+    docs = corpus()
+    assert rows_of(alignment.align(brute.documents(spark, docs).coalesce(1))) == restated(docs)
+
+
+def test_workers_get_no_more_texts_than_they_encode_together(spark, monkeypatch):
+    def whole(batches, rows):
+        for batch in batches:
+            assert batch.num_rows <= rows
+            yield batch
+
+    monkeypatch.setattr(alignment, "slices", whole)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = brute.documents(spark, [(n, "of the same", "en", "s", 1) for n in range(600)]).coalesce(1)
+    assert {r.count_sum for r in alignment.align(docs).collect()} == {r[6] for r in restated([(n, "of the same") for n in range(600)])}
+    assert spark.conf.get(key) == before
+
+
+def peak(work):
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_encoding_and_a_runs_rows_take_little_memory_a_link():
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abeghinorst", k=draw.randrange(2, 9))) for _ in range(5000)]
+    texts = [" ".join(draw.choices(words, k=400)) for _ in range(100)]
+    alignment.Encoded(texts[:1], alignment.BYTES_SIDE, alignment.PIECES_SIDE)
+    links = int(alignment.Encoded(texts, alignment.BYTES_SIDE, alignment.PIECES_SIDE).n_links.sum())
+    assert peak(lambda: alignment.Encoded(texts, alignment.BYTES_SIDE, alignment.PIECES_SIDE)) < 150 * links
+    run = alignment.Run()
+    for _ in range(8):
+        run.add(list(range(100)), alignment.Encoded(texts, alignment.BYTES_SIDE, alignment.PIECES_SIDE))
+    assert peak(lambda: list(run.rows(0))) < 18 * run.links
